@@ -1,0 +1,155 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegauge import schemas
+from tidegauge.operators.filters import alerts, drop_lines_containing, keyword_filter
+from tidegauge.operators.parse import (bad_rows, conform, good_rows, parse_employee,
+                                       parse_maint, parse_pump, parse_sensor, parse_vmstat,
+                                       project_posts)
+
+GOOD = "R1,2024-01-01,00:00:01,1,2,3,4,4.99,6"
+
+
+def lines(spark, *rows):
+    return spark.createDataFrame([(r,) for r in rows], "value string")
+
+
+def with_psi(psi):
+    return GOOD.replace("4.99", psi)
+
+
+def test_sensor_types_and_values(spark):
+    df = parse_sensor(lines(spark, GOOD))
+    assert [(f.name, f.dataType) for f in df.schema] == \
+        [(f.name, f.dataType) for f in schemas.SENSOR]
+    assert tuple(df.first()) == ("R1", "2024-01-01", "00:00:01", 1.0, 2.0, 3.0, 4.0, 4.99, 6.0)
+
+
+@pytest.mark.parametrize("psi,expected", [("4.99", 1), ("5.0", 0), ("NaN", 0), ("-Infinity", 1),
+                                          (" 1.5 ", 1), ("1.5d", 1)])
+def test_alert_is_strictly_below(spark, psi, expected):
+    assert alerts(parse_sensor(lines(spark, with_psi(psi)))).count() == expected
+
+
+@pytest.mark.parametrize("line", ["R1,2024-01-01,00:00:01,1,2,3,4,5", with_psi("x"), "",
+                                  GOOD.rsplit(",", 1)[0] + ",,,", with_psi("inf"),
+                                  with_psi("nan"), with_psi("INFINITY")])
+def test_bad_sensor_line(spark, line):
+    rows = lines(spark, GOOD, line)
+    with pytest.raises(Exception, match="bad sensor line"):
+        parse_sensor(rows).collect()
+    parsed = parse_sensor(rows, "permissive")
+    assert good_rows(parsed).count() == 1
+    assert [r["_bad"] for r in bad_rows(parsed).collect()] == [line]
+
+
+@pytest.mark.parametrize("use", [
+    lambda df: df.select("resid"), lambda df: df.groupBy().count(),
+    lambda df: df.filter("psi < 1"), lambda df: df.filter("resid = 'none'").select("date")])
+def test_strict_holds_whatever_is_read(spark, tmp_path, use):
+    bad = GOOD.replace(",1,2,", ",1,two,").replace("4.99", "9.0")
+    lines(spark, GOOD, bad).write.text(str(tmp_path / "in"))
+    with pytest.raises(Exception, match="bad sensor line"):
+        use(parse_sensor(spark.read.text(str(tmp_path / "in")))).collect()
+
+
+def test_strict_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="bad sensor line"):
+            parse_sensor(lines(spark, with_psi("x"))).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_extra_fields_and_pass_through(spark):
+    df = parse_sensor(lines(spark, GOOD + ",more").withColumn("seq", F.lit(7)))
+    assert df.first()["chlPPM"] == 6.0 and df.first()["seq"] == 7
+
+
+def test_pump(spark):
+    row = parse_pump(lines(spark, "R1,HP,2010-01-01,2011-01-01,ACME,1.5,-2.25")).first()
+    assert (row["longitude"], row["lattitude"], row["vendor"]) == (1.5, -2.25, "ACME")
+    with pytest.raises(Exception, match="bad pump line"):
+        parse_pump(lines(spark, "R1,HP,a,b,ACME,1.5,south")).collect()
+
+
+def test_maint_trailing_empty_field(spark):
+    assert parse_maint(lines(spark, "R1,2024-01-01,bob,oil")).count() == 1
+    assert parse_maint(lines(spark, "R1,,bob,oil")).first()["eventDate"] == ""
+    with pytest.raises(Exception, match="bad maintenance line"):
+        parse_maint(lines(spark, "R1,2024-01-01,bob,")).collect()
+
+
+def test_employee_quotes(spark):
+    quoted = lines(spark, '"1","a","b","c","M","d"')
+    assert tuple(parse_employee(quoted, "strip").first()) == (1, "a", "b", "c", "M", "d")
+    with pytest.raises(Exception, match="bad employee line"):
+        parse_employee(quoted, "keep").collect()
+    kept = parse_employee(lines(spark, '1,"a,b",c,M,d'), "keep").first()
+    assert (kept["birth_date"], kept["first_name"]) == ('"a', 'b"')
+    split = parse_employee(lines(spark, '"1","a,b","c","M","d"'), "strip").first()
+    assert (split["birth_date"], split["first_name"]) == ("a", "b")
+
+
+@pytest.mark.parametrize("number", [" 12 ", "12.5", "", "9223372036854775808", "x"])
+def test_employee_number_is_strict(spark, number):
+    with pytest.raises(Exception, match="bad employee line"):
+        parse_employee(lines(spark, f"{number},a,b,c,M,d")).collect()
+
+
+def test_vmstat_strict(spark):
+    tokens = [str(i) for i in range(1, 18)]
+    text = " " + "  ".join(tokens)
+    df = parse_vmstat(lines(spark, "procs ---memory---", " r b swpd free buff cache", text))
+    assert [list(r) for r in df.collect()] == [tokens]
+    with pytest.raises(Exception, match="bad vmstat line"):
+        parse_vmstat(lines(spark, text.strip())).collect()
+    shifted = parse_vmstat(lines(spark, text.strip() + " 18")).first()
+    assert (shifted["R"], shifted["ST"]) == ("2", "18")
+
+
+def test_vmstat_lenient(spark):
+    tokens = [str(i) for i in range(1, 18)] + ["2024-01-01", "10:00:00"]
+    text = " " + " ".join(tokens)
+    df = parse_vmstat(lines(spark, text, text.rsplit(" ", 1)[0] + "   ", "", " "), "lenient")
+    assert [list(r) for r in df.collect()] == [tokens[:16] + tokens[17:]]
+
+
+def test_conform_null_key(spark):
+    df = spark.createDataFrame([(None, "ann"), (3, "bob")], "emp_no int, first_name string")
+    for name in ("birth_date", "last_name", "gender", "hire_date"):
+        df = df.withColumn(name, F.lit("x"))
+    kept = conform(df, schemas.EMPLOYEE, "emp_no")
+    assert [r["emp_no"] for r in good_rows(kept).collect()] == [3]
+    assert "ann" in bad_rows(kept).first()["_bad"]
+    zero = conform(df, schemas.EMPLOYEE, "emp_no", "zero")
+    assert zero.schema["emp_no"].dataType == schemas.EMPLOYEE["emp_no"].dataType
+    assert sorted(r["emp_no"] for r in zero.collect()) == [0, 3]
+    with pytest.raises(Exception, match="record without emp_no"):
+        conform(df, schemas.EMPLOYEE, "emp_no", "fail").collect()
+
+
+def test_keyword_is_a_whole_token(spark):
+    texts = ["a Thing!", "nothing", "things", "(THING)", "éthing", "red fox and thing"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    found = [r["id"] for r in keyword_filter(df, ["thing"]).orderBy("id").collect()]
+    assert found == [0, 3, 5]
+    both = keyword_filter(df, ["thing red", "things"]).orderBy("id").collect()
+    assert [r["id"] for r in both] == [2, 5]
+
+
+def test_drop_lines_is_case_sensitive(spark):
+    df = drop_lines_containing(lines(spark, "memory", "Memory", "x"), ["memory", "buff"])
+    assert sorted(r[0] for r in df.collect()) == ["Memory", "x"]
+
+
+def test_posts(spark):
+    df = spark.sql("select 1 id, 'x' text, timestamp_ntz'2024-01-01 00:00:00' created_at")
+    assert tuple(project_posts(df).first()) == (1, "x", "2024-01-01 00:00:00")
+
+
+def test_nan_survives(spark):
+    assert math.isnan(parse_sensor(lines(spark, with_psi("NaN"))).first()["psi"])

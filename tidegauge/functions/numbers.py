@@ -12,14 +12,18 @@ _LOOSE_SPECIAL = r"^\s*[+-]?(?!(?:Infinity|NaN)\s*$)(?i:inf|infinity|nan)\s*$"
 _WHOLE = r"^[+-]?[0-9]+$"
 
 
+# The greatest finite double.
+_FINITE = 1.7976931348623157e308
+
+
 def read_number(field, dtype):
     return field.try_cast(dtype)
 
 
-def valid_number(field, dtype):
-    number = field.try_cast(dtype)
+def valid_number(field, number, dtype):
+    """Whether ``number``, read from ``field``, is one the JVM would have read as well."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         # The spelling matters only for the rare special values.
-        special = F.isnan(number) | (F.abs(number) == F.lit(float("inf")))
-        return F.when(special, ~field.rlike(_LOOSE_SPECIAL)).otherwise(number.isNotNull())
+        return F.when(F.abs(number) <= F.lit(_FINITE), True).otherwise(
+            number.isNotNull() & ~field.rlike(_LOOSE_SPECIAL))
     return number.isNotNull() & field.rlike(_WHOLE)

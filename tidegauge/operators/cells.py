@@ -18,6 +18,8 @@ SENSOR_TEXT = ["resid", "date"] + schemas.METRICS
 SENSOR_BINARY = list(schemas.METRICS)
 # Both spellings are found in stored tables.
 RESID_QUALIFIERS = ["resid", "resID"]
+# Fixed value: the order in which families of a row are read; the last one wins.
+FAMILIES = ["alert", "data"]
 
 
 def sensor_key():
@@ -33,23 +35,27 @@ def employee_key():
     return F.col("emp_no").cast("string")
 
 
-def _value(df, name, encoding):
-    dtype = df.schema[name].dataType
-    if encoding == "text":
-        return F.col(name).cast("string")
-    if encoding != "binary":
+def _coded(df, columns, encoding):
+    """``df`` with the stored form of each column beside it, made once for all its cells."""
+
+    def stored(c):
+        if encoding == "text":
+            return F.col(c).cast("string")
+        if isinstance(df.schema[c].dataType, T.DoubleType):
+            return double_to_bytes(F.col(c))
+        return F.encode(F.col(c).cast("string"), "UTF-8")
+
+    if encoding not in ("text", "binary"):
         raise ValueError(f"unknown encoding {encoding!r}")
-    if isinstance(dtype, T.DoubleType):
-        return double_to_bytes(name)
-    return F.encode(F.col(name).cast("string"), "UTF-8")
+    return df.withColumns({f"_stored_{c}": stored(c) for c in columns})
 
 
-def _family(df, columns, family, encoding, names=None, only=None):
+def _family(columns, family, names=None, only=None):
     """A row's cells in one family; null, and so not emitted, where not ``only``."""
     names = names or {}
 
     def value(c):
-        stored = _value(df, c, encoding)
+        stored = F.col(f"_stored_{c}")
         return stored if only is None else F.when(only, stored)
 
     return [F.struct(F.lit(family).alias("family"), F.lit(names.get(c, c)).alias("qualifier"),
@@ -70,12 +76,13 @@ def encode_cells(df, key, columns=None, family="data", encoding="text", names=No
     bytes and text as UTF-8.
     """
     columns = columns or [c for c in df.columns if c != "seq"]
-    return _emit(df, key, F.array(*_family(df, columns, family, encoding, names)))
+    return _emit(_coded(df, columns, encoding), key, F.array(*_family(columns, family, names)))
 
 
 def encode_alert_cells(df, encoding="text"):
     """The psi cell of the ``alert`` family."""
-    return _emit(df, sensor_key(), F.array(*_family(df, ["psi"], "alert", encoding)))
+    return _emit(_coded(df, ["psi"], encoding), sensor_key(),
+                 F.array(*_family(["psi"], "alert")))
 
 
 def route(df, mode="both", encoding="text", threshold=LOW_PRESSURE, columns=None, names=None):
@@ -86,15 +93,16 @@ def route(df, mode="both", encoding="text", threshold=LOW_PRESSURE, columns=None
     """
     low = is_alert("psi", threshold)
     if mode == "both":
-        default = SENSOR_TEXT if encoding == "text" else SENSOR_BINARY
-        cells = F.array(*_family(df, columns or default, "data", encoding, names),
-                        *_family(df, ["psi"], "alert", encoding, only=low))
+        columns = columns or (SENSOR_TEXT if encoding == "text" else SENSOR_BINARY)
+        cells = F.array(*_family(columns, "data", names), *_family(["psi"], "alert", only=low))
     elif mode == "exclusive":
-        data = F.array(*_family(df, columns or SENSOR_BINARY, "data", encoding, names))
-        cells = F.when(low, F.array(*_family(df, ["psi"], "alert", encoding))).otherwise(data)
+        columns = columns or SENSOR_BINARY
+        data = F.array(*_family(columns, "data", names))
+        cells = F.when(low, F.array(*_family(["psi"], "alert"))).otherwise(data)
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    return _emit(df, sensor_key(), cells)
+    coded = _coded(df, dict.fromkeys([*columns, "psi"]), encoding)
+    return _emit(coded, sensor_key(), cells)
 
 
 def vmstat_cells(df):
@@ -106,43 +114,60 @@ def employee_cells(df):
     return encode_cells(df, employee_key(), schemas.EMPLOYEE.fieldNames())
 
 
-def _newest(cells, wanted):
-    """For each row key, the value of each wanted qualifier that is last by family and seq.
+def _placed(cells, families):
+    """Cells with ``_place``, which orders the writes that could fill the same column."""
+    place = F.lit(0)
+    for i, family in enumerate(families, 1):
+        place = F.when(F.col("family") == family, F.lit(i)).otherwise(place)
+    if "seq" in cells.columns:
+        place = F.struct(place, "seq")
+    return cells.withColumn("_place", place)
 
-    One aggregation with one shuffle; the cells of a row meet partly before it.
-    """
-    place = F.struct("family", "seq") if "seq" in cells.columns else F.struct("family")
-    found = cells.filter(F.col("qualifier").isin(*{q for qs in wanted.values() for q in qs}))
-    return found.groupBy("row_key").agg(*[
-        F.max_by("value", F.when(F.col("qualifier").isin(*qs), place)).alias(name)
-        for name, qs in wanted.items()])
+
+def _last(value, qualifiers):
+    return F.max_by(value, F.when(F.col("qualifier").isin(*qualifiers), F.col("_place")))
 
 
-def decode_cells(cells, encoding="text"):
+def decode_cells(cells, encoding="text", families=FAMILIES):
     """Cells back to sensor rows, one for each row key.
 
     A missing cell reads as 0.0 or an empty string, an unknown qualifier is left out, a
     value that is no number fails the query. When both families hold psi, ``data`` wins.
+
+    One aggregation with one shuffle; the cells of a row meet partly before it. Families
+    are ranked and numbers in text read ahead of it, so that it carries mostly numbers; the
+    bytes of a number are decoded after it, when there is one for each row and metric.
     """
-    wanted = {"resID": RESID_QUALIFIERS, "date": ["date"], **{m: [m] for m in schemas.METRICS}}
-    rows = _newest(cells, wanted)
-    out = [F.col("row_key").alias("key")]
-    for name in ("resID", "date"):
-        text = F.col(name) if encoding == "text" else F.decode(name, "UTF-8")
-        out.append(F.coalesce(text, F.lit("")).alias(name))
-    for name in schemas.METRICS:
-        if encoding == "text":
-            wrong = F.raise_error(F.concat(F.lit(f"bad {name} cell: "), F.col(name)))
-            number = F.col(name).try_cast("double")
-            number = F.when(F.col(name).isNull(), F.lit(0.0)) \
-                .when(number.isNotNull(), number).otherwise(wrong)
-        else:
-            number = F.coalesce(double_from_bytes(F.col(name)), F.lit(0.0))
-        out.append(number.alias(name))
-    return rows.select(*out)
+    known = cells.filter(F.col("qualifier").isin(*RESID_QUALIFIERS, "date", *schemas.METRICS))
+    placed = _placed(known, families)
+    if encoding == "text":
+        wrong = F.raise_error(F.concat(F.lit("bad cell: "), "qualifier", F.lit(" "), "value"))
+        number = F.when(F.col("qualifier").isin(*schemas.METRICS),
+                        F.coalesce(F.col("value").try_cast("double"), wrong))
+        placed, stored = placed.withColumn("_number", number), "_number"
+    elif encoding == "binary":
+        stored = "value"
+    else:
+        raise ValueError(f"unknown encoding {encoding!r}")
+    rows = placed.groupBy("row_key").agg(
+        _last("value", RESID_QUALIFIERS).alias("resID"), _last("value", ["date"]).alias("date"),
+        *[_last(stored, [m]).alias(m) for m in schemas.METRICS])
+
+    def text(name):
+        return F.decode(name, "UTF-8") if encoding == "binary" else F.col(name)
+
+    def number(name):
+        return double_from_bytes(F.col(name)) if encoding == "binary" else F.col(name)
+
+    return rows.select(
+        F.col("row_key").alias("key"),
+        *[F.coalesce(text(c), F.lit("")).alias(c) for c in ("resID", "date")],
+        *[F.coalesce(number(m), F.lit(0.0)).alias(m) for m in schemas.METRICS])
 
 
 def project_family(cells, family, qualifiers):
     """Named columns of one family as text, one row for each key, the key left out."""
-    rows = _newest(cells.filter(F.col("family") == family), {q: [q] for q in qualifiers})
+    found = cells.filter((F.col("family") == family) & F.col("qualifier").isin(*qualifiers))
+    rows = _placed(found, [family]).groupBy("row_key").agg(
+        *[_last("value", [q]).alias(q) for q in qualifiers])
     return rows.select(*qualifiers)

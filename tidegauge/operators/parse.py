@@ -35,15 +35,17 @@ def bad_rows(df):
 def _rows(lines, parts, schema, positions, mode, what):
     """One typed row for each line whose fields at ``positions`` fit ``schema``."""
     split = lines.withColumn("_parts", parts)
-    field = {p: F.get("_parts", F.lit(p)) for p in positions}
+    # Each number is read once, here; the check and the row below use the result.
+    texts = {p: F.get("_parts", F.lit(p)) for p in positions}
+    numbers = {p: read_number(texts[p], f.dataType).alias(f"_{p}")
+               for f, p in zip(schema, positions) if not isinstance(f.dataType, T.StringType)}
+    typed = split.select("*", *numbers.values())
     ok = F.size("_parts") > max(positions)
-    values = []
     for f, p in zip(schema, positions):
-        if isinstance(f.dataType, T.StringType):
-            values.append(field[p].alias(f.name))
-        else:
-            ok = ok & valid_number(field[p], f.dataType)
-            values.append(read_number(field[p], f.dataType).alias(f.name))
+        if p in numbers:
+            ok = ok & valid_number(texts[p], F.col(f"_{p}"), f.dataType)
+    values = [(F.col(f"_{p}") if p in numbers else texts[p]).alias(f.name)
+              for f, p in zip(schema, positions)]
     if mode == "strict":
         wrong = F.raise_error(F.concat(F.lit(f"bad {what} line: "),
                                        F.coalesce("value", F.lit("null"))))
@@ -58,7 +60,7 @@ def _rows(lines, parts, schema, positions, mode, what):
     else:
         raise ValueError(f"unknown mode {mode!r}")
     passed = [c for c in lines.columns if c != "value"]
-    return split.select(F.inline(row), *passed)
+    return typed.select(F.inline(row), *passed)
 
 
 def _comma_rows(lines, schema, mode, what, line=None):

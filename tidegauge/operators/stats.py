@@ -40,9 +40,12 @@ def _windowed(df, length, slide, time, ts, watermark):
     else:
         raise ValueError(f"unknown time {time!r}")
     if watermark is not None:  # asks for a timestamp with zone
-        df = df.withColumn("_at", at.cast("timestamp")).withWatermark("_at", watermark)
-        at = F.col("_at")
-    return df.groupBy(F.window(at, length, slide).alias("w"), *BY)
+        at = at.cast("timestamp")
+    # A column of its own, as each row's time is needed once for every window it is in.
+    df = df.withColumn("_at", at)
+    if watermark is not None:
+        df = df.withWatermark("_at", watermark)
+    return df.groupBy(F.window("_at", length, slide).alias("w"), *BY)
 
 
 def _flat(df):
