@@ -43,7 +43,8 @@ def test_alert_maintenance(spark, hot, how):
 
 def test_hot_key_is_spread(spark):
     alerts, _, maint = frames(spark, True)
-    found = {k: (ls, rs) for k, ls, rs in joins.hot_keys(alerts, maint, "resid", 64)}
+    counts = [joins.key_counts(df, "resid") for df in (alerts, maint)]
+    found = {k: (ls, rs) for k, ls, rs in joins.hot_keys(*counts, "resid", 64)}
     assert found["HOT"][0] * found["HOT"][1] >= 64 / 3 and len(found) <= 3 * 64
     assert min(found["HOT"]) > 1  # hot on both sides, so both are dealt
     copies = joins.spread_join(alerts, maint, "resid", 64).groupBy("resid").count()

@@ -1,7 +1,5 @@
 """Column expressions over raw text lines."""
 
-import re
-
 from pyspark.sql import functions as F
 
 # Fixed value: the characters a JVM regular expression counts as \s.
@@ -18,9 +16,18 @@ def blank_fields(line):
     return F.split(F.rtrim(line, F.lit(_BLANKS)), r"[\s]+")
 
 
-def _whole_word(word):
-    letters = r"[\p{L}\p{M}\p{N}_]"
-    return rf"(?iu)(?<!{letters})\Q{word}\E(?!{letters})"
+# Fixed value: what a token is made of.
+_TOKEN = r"[\p{L}\p{M}\p{N}_]"
+
+
+def _any_word(words):
+    """Matches any of the words as a whole token, in any case.
+
+    The word comes first and its surroundings are looked at only where it is found: asked
+    at every position, they cost several times as much.
+    """
+    found = [rf"\Q{w}\E(?!{_TOKEN})(?<!{_TOKEN}\Q{w}\E)" for w in words]
+    return "(?iu)" + "|".join(found)
 
 
 def has_keyword(text, terms):
@@ -28,15 +35,15 @@ def has_keyword(text, terms):
 
     A term of several words asks for each of its words, in any order.
     """
-    if not terms:
-        raise ValueError("no keyword given")
-    found = F.lit(False)
-    for term in terms:
-        words = re.split(r"\s+", term.strip())
-        every = F.lit(True)
-        for word in words:
-            if not word or r"\E" in word:
-                raise ValueError(f"not a keyword: {term!r}")
-            every = every & text.rlike(_whole_word(word))
-        found = found | every
+    split = [term.split() for term in terms]
+    if not split or not all(split) or any(r"\E" in term for term in terms):
+        raise ValueError(f"bad keywords {terms!r}")
+    single = [words[0] for words in split if len(words) == 1]
+    found = text.rlike(_any_word(single)) if single else F.lit(False)
+    for words in split:
+        if len(words) > 1:
+            every = F.lit(True)
+            for word in words:
+                every = every & text.rlike(_any_word([word]))
+            found = found | every
     return found

@@ -44,7 +44,18 @@ def alert_maintenance_view(alerts, pump, maint, strategy=None):
     narrow = alerts.select("resid", "date", "psi")
     pump = pump.select("resid", "pumpType", "purchaseDate", "serviceDate", "vendor")
     maint = maint.select("resid", "eventDate", "technician", "description")
-    return _join(_join(narrow, pump, strategy["pump"]), maint, strategy["maint"]).select(*VIEW)
+    counts = None
+    if strategy["pump"] == "broadcast":
+        with_pump = narrow.join(F.broadcast(pump), "resid")
+    else:
+        # The alerts are counted once; what the first join makes of them follows from that.
+        counts = _written(key_counts(narrow, "resid"))
+        with_pump = spread_join(narrow, pump, "resid", left_counts=counts)
+        counts = counts.join(key_counts(pump, "resid").withColumnRenamed("n", "m"), "resid") \
+            .select("resid", (F.col("n") * F.col("m")).alias("n"))
+    if strategy["maint"] == "broadcast":
+        return with_pump.join(F.broadcast(maint), "resid").select(*VIEW)
+    return spread_join(with_pump, maint, "resid", left_counts=counts).select(*VIEW)
 
 
 def join_strategy(pump, maint, limit=BROADCAST_BYTES):
@@ -52,27 +63,29 @@ def join_strategy(pump, maint, limit=BROADCAST_BYTES):
             "maint": "broadcast" if fits_broadcast(maint, limit) else "spread"}
 
 
-def _join(left, right, how):
-    if how == "broadcast":
-        return left.join(F.broadcast(right), "resid")
-    if how == "spread":
-        return spread_join(left, right, "resid")
-    raise ValueError(f"unknown strategy {how!r}")
+def key_counts(df, on):
+    """Rows of each key, null left out, as (key, n)."""
+    return df.filter(F.col(on).isNotNull()).groupBy(on).agg(
+        F.count(F.lit(1)).cast("double").alias("n"))
 
 
-def hot_keys(left, right, on, tasks):
+def _written(df):
+    """``df`` as a table in the shared folder, to be read more than once."""
+    path = scratch_dir(df.sparkSession, "key-counts")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def hot_keys(left_counts, right_counts, on, tasks):
     """Keys with more than one task's share of either side's rows or of the joined rows.
 
     Returns rows (key, ls, rs): the key's left rows go to ``ls`` slices, its right rows to
     ``rs``. At most ``3 * tasks`` keys can pass, so the list is small whatever the data.
     """
-    spark = left.sparkSession
-    counted = scratch_dir(spark, "key-counts")
-    one = F.count(F.lit(1)).cast("double")
-    nl = left.filter(F.col(on).isNotNull()).groupBy(on).agg(one.alias("nl"))
-    nr = right.filter(F.col(on).isNotNull()).groupBy(on).agg(one.alias("nr"))
-    nl.join(nr, on, "full").fillna(0.0, ["nl", "nr"]).write.parquet(counted)
-    keys = spark.read.parquet(counted).withColumn("nj", F.col("nl") * F.col("nr"))
+    keys = _written(
+        left_counts.withColumnRenamed("n", "nl")
+        .join(right_counts.withColumnRenamed("n", "nr"), on, "full")
+        .fillna(0.0, ["nl", "nr"])).withColumn("nj", F.col("nl") * F.col("nr"))
     sums = keys.agg(*[F.sum(c).alias(c) for c in ("nl", "nr", "nj")]).first()
     shares = [F.col(c) * F.lit(tasks / (sums[c] or 1.0)) for c in ("nl", "nr", "nj")]
     hot = keys.withColumn("share", F.greatest(*shares)).filter("share > 1").collect()
@@ -86,18 +99,20 @@ def hot_keys(left, right, on, tasks):
     return found
 
 
-def spread_join(left, right, on, tasks=None):
+def spread_join(left, right, on, tasks=None, left_counts=None):
     """Inner equi-join that splits hot keys.
 
     A hot key's left rows are dealt to ``ls`` slices and its right rows to ``rs``; each
     slice is copied to meet every slice of the other side, so each pair of rows meets
     exactly once. Other keys join as usual. The slice of a row depends on its content and
     its input partition only: a task that runs again deals the same way, and even equal
-    copies of one row spread.
+    copies of one row spread. ``left_counts``, if known, saves counting the left rows.
     """
     spark = left.sparkSession
-    tasks = tasks or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hot = hot_keys(left, right, on, tasks)
+    tasks = tasks or 4 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if left_counts is None:
+        left_counts = key_counts(left, on)
+    hot = hot_keys(left_counts, key_counts(right, on), on, tasks)
     if not hot:
         return left.join(right, on)
     schema = T.StructType([left.schema[on], T.StructField("_ls", T.IntegerType()),
@@ -111,8 +126,10 @@ def spread_join(left, right, on, tasks=None):
         return (df.withColumn("_deal", deal).join(grid, on, "left")
                 .withColumn(own_slice, F.pmod(F.col("_deal"), own_count).cast("int"))
                 .withColumn(other_slice, F.explode(copies))
-                .drop("_deal", "_ls", "_rs"))
+                .drop("_deal", "_ls", "_rs").repartition(tasks, on, "_l", "_r"))
 
+    # A fixed number of tasks: adaptive execution merges tasks by the bytes they read, and
+    # slices are small in bytes where it is the joined rows that are many.
     sliced = dealt(left, "_ls", "_rs", "_l", "_r").join(
         dealt(right, "_rs", "_ls", "_r", "_l"), [on, "_l", "_r"])
     return sliced.drop("_l", "_r")

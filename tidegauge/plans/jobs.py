@@ -147,12 +147,13 @@ def post_stream(spark, posts, terms, table, checkpoint, max_len=200, on_long="fa
 
 
 def window_stream(spark, rows, table, checkpoint, length="6 seconds", slide="2 seconds",
-                  time="event", buckets=16, **run):
+                  time="event", watermark=None, buckets=16, **run):
     """Counts and psi statistics of sliding windows, kept in a table by window and group.
 
-    A batch writes only the windows it changed.
+    A batch writes only the windows it changed. With a ``watermark`` the query forgets
+    windows that are past it; without one it keeps all, and takes rows however late.
     """
-    grouped = stats.windowed_report(rows, ["psi"], length, slide, time)
+    grouped = stats.windowed_report(rows, ["psi"], length, slide, time, watermark=watermark)
     keyed_table.ensure_table(spark, table, grouped.schema, ["w_start", *stats.BY], buckets)
 
     def put(batch, i):

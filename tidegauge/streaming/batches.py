@@ -7,24 +7,26 @@ A batch can run again after a failure, so a sink has to take the same ``batch_id
 from pyspark import StorageLevel
 
 
-def start_batches(stream, sinks, checkpoint, trigger=None, name=None, mode="append"):
+def start_batches(stream, sinks, checkpoint, trigger=None, name=None, mode="append", keep=None):
     """Start a query that calls every ``sink(batch, batch_id)`` on each non-empty batch.
 
     ``trigger`` is an interval such as ``'2 seconds'``; without one the query takes what is
-    there and ends. With several sinks the batch is kept for them, so it is read and parsed
-    once.
+    there and ends. ``keep`` holds the batch, in memory or on disk, while the sinks run, so
+    that it is read and parsed once. It is the default with several sinks, and in update
+    and complete mode, where each pass would update the aggregation's state again.
     """
     sinks = list(sinks)
+    keep = len(sinks) > 1 or mode != "append" if keep is None else keep
 
     def each(batch, batch_id):
-        if len(sinks) > 1:
+        if keep:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():
                 for sink in sinks:
                     sink(batch, batch_id)
         finally:
-            if len(sinks) > 1:
+            if keep:
                 batch.unpersist()
 
     writer = (stream.writeStream.foreachBatch(each).outputMode(mode)
@@ -37,12 +39,12 @@ def start_batches(stream, sinks, checkpoint, trigger=None, name=None, mode="appe
 
 
 def run_batches(stream, sinks, checkpoint, trigger=None, timeout=None, name=None,
-                mode="append"):
+                mode="append", keep=None):
     """``start_batches``, wait for the end or ``timeout`` seconds, then stop.
 
     Returns whether the query ended by itself; a failed batch raises its error.
     """
-    query = start_batches(stream, sinks, checkpoint, trigger, name, mode)
+    query = start_batches(stream, sinks, checkpoint, trigger, name, mode, keep)
     try:
         if timeout is None:
             query.awaitTermination()
