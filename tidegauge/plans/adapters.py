@@ -6,11 +6,11 @@
 from pyspark.sql import functions as F
 
 from tidegauge import schemas
-from tidegauge.sources import files
+from tidegauge.sources import files, widen
 
 
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return widen(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def stream_table(spark, sf_dir, name):

@@ -9,6 +9,17 @@ def read_lines(spark, path):
     return spark.read.text(path)
 
 
+def widen(df):
+    """Deal the rows of an input with fewer splits than cores over all cores.
+
+    A single compressed file or row group would otherwise keep one core busy with all the
+    work after it. Inputs of many splits are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if 0 < splits < cores else df
+
+
 def kafka_options(servers, topics, group=None, threads=None, **extra):
     """Reader options for a comma-separated topic list.
 
