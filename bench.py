@@ -1,7 +1,7 @@
 """Times the registered queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8), ``BENCH_RUNS``
-(default 3) timed runs after one warm-up, of which the median counts. Every query runs to
+(default 2) timed runs after one warm-up, of which the median counts. Every query runs to
 the end into a sink that discards the rows. Names of queries as arguments time only those.
 """
 
@@ -20,7 +20,7 @@ from tidegauge.session import build_session  # noqa: E402
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session("bench", **{
         "spark.master": f"local[{cpus}]",
         "spark.sql.shuffle.partitions": cpus,

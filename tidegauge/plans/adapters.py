@@ -22,6 +22,15 @@ def stream_table(spark, sf_dir, name):
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+def _date(ts):
+    """The date of a timestamp without zone, whatever the session's zone."""
+    return F.substring(F.col(ts).cast("string"), 1, 10)
+
+
+def _time(ts):
+    return F.substring(F.col(ts).cast("string"), 12, 8)
+
+
 def _device(column):
     return F.concat(F.lit("R"), F.col(column).cast("string"))
 
@@ -30,8 +39,8 @@ def sensor_lines(events):
     """``resid,date,time,hz,disp,flo,sedPPM,psi,chlPPM`` for each event."""
     fields = [
         _device("user_id"),
-        F.date_format("ts", "yyyy-MM-dd"),
-        F.date_format("ts", "HH:mm:ss"),
+        _date("ts"),
+        _time("ts"),
         F.col("value"),
         F.get_json_object("props", "$.k").cast("double"),
         (F.col("event_id") % 100).cast("double"),
@@ -87,7 +96,7 @@ def vmstat_lines(events, stamped=False):
     end in date and time, and each header is then followed by a line cut short."""
     tokens = [(F.col("event_id") * i % 1000).cast("string") for i in range(1, 18)]
     if stamped:
-        tokens += [F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss")]
+        tokens += [_date("ts"), _time("ts")]
     line = F.concat(F.lit(" "), F.concat_ws("  ", *tokens))
     extra = [F.lit(h) for h in VMSTAT_HEADER]
     if stamped:
