@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidegauge.llm import fingerprints, mixing, quality, sharding, warc
+from tidegauge.llm import fingerprints, htmltext, mixing, pieces, quality, sharding, warc
 from tidegauge.session import scratch_dir
 
 
@@ -30,6 +30,11 @@ def op4_fingerprints(spark, sf_dir):
     return fingerprints.pairs_with_next(_table(spark, sf_dir, "documents"))
 
 
+def op5_main_text(spark, sf_dir):
+    return htmltext.extract(_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", "n_chars")
+
+
 def op7_mixing(spark, sf_dir):
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -42,9 +47,14 @@ def op9_sharding(spark, sf_dir):
                            "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
 
 
+def op10_sentencepiece(spark, sf_dir):
+    return pieces.encode_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op2_warc, op3_quality_rules, op4_fingerprints, op7_mixing,
-                                    op9_sharding)}
+    return {f.__name__: f for f in (
+        op2_warc, op3_quality_rules, op4_fingerprints, op5_main_text, op7_mixing, op9_sharding,
+        op10_sentencepiece)}
 
 
 def oracle_sql():
