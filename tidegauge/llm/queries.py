@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidegauge.llm import fingerprints, htmltext, mixing, pieces, quality, sharding, warc
+from tidegauge.llm import fingerprints, htmltext, mixing, neardup, pieces, quality, sharding, warc
 from tidegauge.session import scratch_dir
 
 
@@ -35,6 +35,10 @@ def op5_main_text(spark, sf_dir):
         "page_id", "url", "text", "n_chars")
 
 
+def op6_near_duplicates(spark, sf_dir):
+    return neardup.classes(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark, sf_dir):
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -53,8 +57,8 @@ def op10_sentencepiece(spark, sf_dir):
 
 def queries():
     return {f.__name__: f for f in (
-        op2_warc, op3_quality_rules, op4_fingerprints, op5_main_text, op7_mixing, op9_sharding,
-        op10_sentencepiece)}
+        op2_warc, op3_quality_rules, op4_fingerprints, op5_main_text, op6_near_duplicates, op7_mixing,
+        op9_sharding, op10_sentencepiece)}
 
 
 def oracle_sql():
