@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidegauge.llm import fingerprints, htmltext, mixing, neardup, pieces, quality, sharding, warc
+from tidegauge.llm import fingerprints, htmltext, mixing, neardup, pieces, quality, sharding, spandedup, warc
 from tidegauge.session import scratch_dir
 
 
@@ -44,6 +44,10 @@ def op7_mixing(spark, sf_dir):
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    return spandedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark, sf_dir):
     assigned = sharding.shard_documents(_table(spark, sf_dir, "documents"), 16,
                                         scratch_dir(spark, "shard-maps"))
@@ -58,7 +62,7 @@ def op10_sentencepiece(spark, sf_dir):
 def queries():
     return {f.__name__: f for f in (
         op2_warc, op3_quality_rules, op4_fingerprints, op5_main_text, op6_near_duplicates, op7_mixing,
-        op9_sharding, op10_sentencepiece)}
+        op8_suffix_dedup, op9_sharding, op10_sentencepiece)}
 
 
 def oracle_sql():
