@@ -118,3 +118,29 @@ def mix(docs, share=1.5, cap=2, weights=WEIGHTS, key="doc_id", source="source",
     return joined.select(
         "doc_id", "size", "source", "source_size", "target", "rate", copies.alias("copies"),
         (copies * F.col("size")).alias("taken"))
+
+
+def mixed(docs, share=1.5, cap=2, weights=WEIGHTS, key="doc_id", source="source", text="text"):
+    """The documents as often as the mix takes them, with all their columns.
+
+    Documents of equal id, source and size are numbered on both sides, so that each finds the
+    copies of one of them.
+    """
+    found = mix(docs, share, cap, weights, key, source, text)
+
+    def numbered(rows, id_, source_, size):
+        for name, column in (("_id", id_), ("_source", source_)):
+            # Null is a value of its own here: a join on equality would lose it.
+            rows = rows.withColumn(name, F.coalesce(
+                F.concat(F.lit("="), column.cast("string")), F.lit("")))
+        rows = rows.withColumn("_size", size)
+        same = ["_id", "_source", "_size"]
+        return rows.withColumn("_n", F.row_number().over(
+            Window.partitionBy(*same).orderBy("_size"))), [*same, "_n"]
+
+    taken, on = numbered(found.filter("copies > 0"), F.col("doc_id"), F.col("source"), F.col("size"))
+    whole, _ = numbered(docs.select(F.struct(*docs.columns).alias("_doc")), F.col(f"_doc.{key}"),
+                        F.col(f"_doc.{source}"), word_count(F.col(f"_doc.{text}")))
+    again = whole.join(taken.select(*on, "copies"), on).select(
+        "_doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return again.select("_doc.*")

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tidegauge.llm import fingerprints, htmltext, mixing, neardup, pieces, quality, sharding, spandedup, warc
+from tidegauge.llm import (
+    fingerprints, htmltext, licences, mixing, neardup, pieces, quality, sharding, spandedup, warc)
 from tidegauge.session import scratch_dir
 
 
@@ -10,6 +11,19 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licences(spark, sf_dir):
+    """Documents as the files of a tree: source, language, thousands of ids."""
+    part = F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), F.coalesce(
+        "lang", F.lit("none")), F.lit("/"), F.coalesce(F.floor(F.col("doc_id") / 1000).cast(
+            "string"), F.lit("none")), F.lit("/"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
+    files = _table(spark, sf_dir, "documents").select(
+        F.concat(part, name, F.lit(".txt")).alias("path"), "text")
+    found = licences.scan(files, declares="first")
+    number = F.regexp_extract("path", r"/(-?\d+)\.txt$", 1)
+    return found.select(F.when(number != "", number.cast("long")).alias("doc_id"), "*")
+
+
 def op2_warc(spark, sf_dir):
     folder = scratch_dir(spark, "warc")
     warc.write_archive(_table(spark, sf_dir, "pages"), folder)
@@ -61,7 +75,7 @@ def op10_sentencepiece(spark, sf_dir):
 
 def queries():
     return {f.__name__: f for f in (
-        op2_warc, op3_quality_rules, op4_fingerprints, op5_main_text, op6_near_duplicates, op7_mixing,
+        op1_licences, op2_warc, op3_quality_rules, op4_fingerprints, op5_main_text, op6_near_duplicates, op7_mixing,
         op8_suffix_dedup, op9_sharding, op10_sentencepiece)}
 
 

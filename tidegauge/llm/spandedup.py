@@ -421,3 +421,35 @@ def remove_repeats(docs, key="doc_id", text="text", length=LENGTH, **sizes):
         F.when(gone, zero + 1).otherwise(F.coalesce("spans", zero)).alias("n_spans"),
         F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(
             F.coalesce("sha", "digest")).alias("kept_sha256"))
+
+
+def cut_documents(docs, key="doc_id", text="text", length=LENGTH, **sizes):
+    """The documents without their repeated bytes; those of which nothing is left go.
+
+    All columns stay. A cut may fall inside a character; what is left of it goes too.
+    """
+    base, _, marks = removals(docs, key, text, length, **sizes)
+    gone = base.filter(F.col("copy") & (F.col("n_bytes") >= length)).select(
+        F.col("_g").alias("g"), F.col("_d").alias("d"), F.lit(None).cast("array<long>").alias(
+            "first"), F.lit(None).cast("array<long>").alias("n")).distinct()
+    told = keep(marks.select("g", "d", "first", "n").union(gone), "span-told")
+    body = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    whole = docs.select(F.struct(*docs.columns).alias("_doc"), F.xxhash64(body).alias("_g"),
+                        F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("_d"))
+    met = whole.join(told, (F.col("_g") == F.col("g")) & (F.col("_d") == F.col("d")), "left")
+    met = met.filter(F.col("g").isNull() | F.col("first").isNotNull())
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, firsts: pd.Series, counts: pd.Series) -> pd.Series:
+        out = []
+        for t, first, n in zip(texts, firsts, counts, strict=True):
+            if first is not None:
+                t = kept_bytes(t.encode("utf-8", "replace"), *spans(first, n, length)).decode(
+                    "utf-8", "ignore")
+            out.append(t)
+        return pd.Series(out, index=texts.index, dtype=object)
+
+    done = met.withColumn("_left", cut(f"_doc.{text}", "first", "n"))
+    done = done.filter(F.col("first").isNull() | (F.col("_left") != ""))
+    return done.select(*[F.col("_left").alias(text) if c == text else F.col(f"_doc.{c}")
+                         for c in docs.columns])
