@@ -36,7 +36,9 @@ from tidegauge.llm.common import ready
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHED = 300_000
+ROWS = 128  # texts encoded together
+CACHED = 150_000  # parts of texts remembered in each of two generations
+LONGEST = 64  # characters of a part that is remembered
 FALLBACK = 1e6  # of a character without a piece in a unigram model, above any piece's cost
 # Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
@@ -122,27 +124,34 @@ class Transducer:
         self.text = {i: t for t, i in self.ids.items()}
         inner = any(MARK in t.lstrip(MARK) for t in self.ids)
         feed = any("\n" in t for t in self.ids)
+        # Signs that no piece has behind a letter: there, too, every path has a border.
+        signs = {c for c in map(chr, range(33, 127)) if not c.isalnum()} - {
+            y for t in self.ids for x, y in zip(t, t[1:], strict=False) if x.isalpha()}
+        letters = f"{MARK}*[^\\W\\d_]+(?=[{re.escape(''.join(sorted(signs)))}{MARK}\n]|\\Z)"
         self._part = re.compile(
             ".+" if inner else f"{MARK}*[^{MARK}]+|{MARK}+" if feed
-            else f"\n|{MARK}*[^{MARK}\n]+|{MARK}+", re.DOTALL)
-        self.lexicon, self.endings = {}, None
+            else f"{letters}|\n|{MARK}*[^{MARK}\n]+|{MARK}+", re.DOTALL)
+        self.lexicon, self.beginnings = {}, None
         self.halves = self._halves() if self.kind == BPE else {}
+        # Merging never reaches some pieces of a byte-pair model.
+        self.usable = {t: i for t, i in self.ids.items()
+                       if self.kind == UNIGRAM or i in self.halves}
         self.odd = self._odd()
         self.known, self.older, self.fits = {}, {}, {}
 
-    def _sizes(self, end):
-        """Sizes, longest first, of the pieces that may end where the text has ``end``.
+    def _sizes(self, start):
+        """Sizes, longest first, of the pieces that may begin where the text has ``start``.
 
-        ``end`` is up to three characters; remembered for each.
+        ``start`` is up to three characters; remembered for each.
         """
-        if self.endings is None:
-            self.endings = {}
-            for text in self.ids:
+        if self.beginnings is None:
+            self.beginnings = {}
+            for text in self.usable:
                 if len(text) > 2:
-                    self.endings.setdefault(text[-3:], set()).add(len(text))
-        sizes = sorted(self.endings.get(end, ()), reverse=True) if len(end) == 3 else []
-        sizes += [k for k in (2, 1) if k <= len(end) and end[-k:] in self.ids]
-        self.lexicon[end] = sizes
+                    self.beginnings.setdefault(text[:3], set()).add(len(text))
+        sizes = sorted(self.beginnings.get(start, ()), reverse=True) if len(start) == 3 else []
+        sizes += [k for k in (2, 1) if k <= len(start) and start[:k] in self.usable]
+        self.lexicon[start] = sizes
         return sizes
 
     def merged(self, text):
@@ -223,70 +232,102 @@ class Transducer:
             text = " " + text
         return text.replace(" ", MARK)
 
-    def shortest(self, part):
-        """Ids on the shortest path through the composition with one part of a text."""
-        n = len(part)
-        last, back = [None] * (n + 1), [0] * (n + 1)
-        ids, lexicon = self.ids, self.lexicon
-        if self.kind == BPE:
-            halves, fits, many = self.halves, self.fits, len(self.cost)
-            for j in range(1, n + 1):
-                end = part[j - 3 if j > 3 else 0:j]
-                back[j] = j - 1  # if no piece ends here, bytes reach the next state
-                for size in lexicon[end] if end in lexicon else self._sizes(end):
-                    i = j - size
-                    if i < 0:
-                        continue
-                    piece = ids.get(part[i:j])
-                    if piece is None or piece not in halves:
+    def merged_path(self, part):
+        """The one finite path of a byte-pair model, found depth first, long pieces first.
+
+        Each start of the part has one path too, so a position that leads nowhere does so
+        whatever leads to it. Characters without a piece are given as minus one minus their code.
+        """
+        pieces, lexicon, fits, many = self.usable, self.lexicon, self.fits, len(self.cost)
+        n, i, before = len(part), 0, None
+        way, stack, dead = [], [], None
+        options = None
+        while i < n:
+            if options is None:
+                start = part[i:i + 3]
+                options = iter(lexicon[start] if start in lexicon else self._sizes(start))
+            for size in options:
+                j = i + size
+                piece = pieces.get(part[i:j]) if j <= n else None
+                if piece is None or dead and j in dead:
+                    continue
+                if before is not None:
+                    good = fits.get(before * many + piece)
+                    if not (self.fit(before, piece) if good is None else good):
                         continue
-                    before = last[i]
-                    if before is not None:
-                        good = fits.get(before * many + piece)
-                        if not (self.fit(before, piece) if good is None else good):
-                            continue
-                    last[j], back[j] = piece, i
-                    break
-        else:
-            reach, cost = [0.0] + [math.inf] * n, self.cost
-            for j in range(1, n + 1):
-                end = part[j - 3 if j > 3 else 0:j]
-                for size in lexicon[end] if end in lexicon else self._sizes(end):
-                    i = j - size
-                    piece = ids.get(part[i:j]) if i >= 0 else None
-                    if piece is not None and reach[i] + cost[piece] < reach[j]:
-                        reach[j], last[j], back[j] = reach[i] + cost[piece], piece, i
-                if reach[j] == math.inf:
-                    reach[j], back[j] = reach[j - 1] + FALLBACK, j - 1
-        found, j = [], n
-        while j:
-            if last[j] is not None:
-                found.append((last[j],))
-            elif self.fallback:
-                found.append(tuple(self.bytes[b] for b in part[back[j]:j].encode(
-                    "utf-8", "replace")))
+                stack.append((i, before, options))
+                way.append(piece)
+                i, before, options = j, piece, None
+                break
             else:
-                found.append((self.unknown,))
+                if part[i] not in pieces and not (dead and i + 1 in dead):
+                    stack.append((i, before, iter(())))
+                    way.append(-1 - ord(part[i]))
+                    i, before, options = i + 1, None, None
+                else:
+                    dead = dead or set()
+                    dead.add(i)
+                    i, before, options = stack.pop()
+                    way.pop()
+        return way
+
+    def scored_path(self, part):
+        """The path of least cost of a unigram model, position by position."""
+        pieces, lexicon, costs = self.usable, self.lexicon, self.cost
+        n = len(part)
+        reach, last, back = [0.0] + [math.inf] * n, [None] * (n + 1), [0] * (n + 1)
+        for i in range(n):
+            start = part[i:i + 3]
+            for size in lexicon[start] if start in lexicon else self._sizes(start):
+                j = i + size
+                piece = pieces.get(part[i:j]) if j <= n else None
+                if piece is not None and reach[i] + costs[piece] < reach[j]:
+                    reach[j], last[j], back[j] = reach[i] + costs[piece], piece, i
+            if part[i] not in pieces and reach[i] + FALLBACK < reach[i + 1]:
+                reach[i + 1], last[i + 1], back[i + 1] = reach[i] + FALLBACK, -1 - ord(part[i]), i
+        way, j = [], n
+        while j:
+            way.append(last[j])
             j = back[j]
-        return array.array("i", [i for piece in reversed(found) for i in piece]).tobytes()
+        return way[::-1]
 
-    def encode(self, text):
-        """Ids of a text as an array of 32-bit numbers."""
-        known = self.known
-        parts = self._part.findall(self.normalise(text))
-        out = []
-        for part in parts:
-            ids = known.get(part)
-            if ids is None:
-                ids = self.older.get(part)
-                if ids is None:
-                    ids = self.shortest(part)
-                if len(part) <= 64:
-                    known[part] = ids
-            out.append(ids)
+    def shortest(self, part):
+        """Ids on the shortest path through the composition with one part of a text."""
+        way = self.merged_path(part) if self.kind == BPE else self.scored_path(part)
+        if min(way) < 0:
+            spelled = []
+            for piece in way:
+                if piece >= 0:
+                    spelled.append(piece)
+                elif self.fallback:
+                    spelled.extend(self.bytes[b] for b in chr(-1 - piece).encode(
+                        "utf-8", "replace"))
+                else:
+                    spelled.append(self.unknown)
+            way = spelled
+        return array.array("i", way).tobytes()
+
+    def encode_all(self, texts):
+        """Ids of each text as an array of 32-bit numbers."""
+        split = [self._part.findall(self.normalise(t)) for t in texts]
+        known, older = self.known, self.older
+        found = {}
+        for part in set().union(*split):
+            if part not in known:
+                found[part] = older[part] if part in older else self.shortest(part)
+        known.update(found)
+        out = [np.frombuffer(b"".join(map(known.__getitem__, parts)), np.int32)
+               for parts in split]
+        for part in found:
+            if len(part) > LONGEST:
+                del known[part]
         if len(known) > CACHED:
             self.older, self.known = known, {}
-        return np.frombuffer(b"".join(out), np.int32)
+        return out
+
+    def encode(self, text):
+        """Ids of a text as an array of 32-bit numbers."""
+        return self.encode_all([text])[0]
 
     def decode(self, ids):
         """Text of a sequence of ids."""
@@ -306,15 +347,21 @@ def _model(spark, path):
     return spark.sparkContext.broadcast(open(path, "rb").read())
 
 
+def _encoded(machine, texts):
+    """Ids of each text, None for what is no text."""
+    there = [isinstance(t, str) for t in texts]
+    found = iter(machine.encode_all([t for t, yes in zip(texts, there, strict=True) if yes]))
+    return [next(found) if yes else None for yes in there]
+
+
 def encoder(spark, model=MODEL, rules=()):
     """A column function from texts to their ids."""
     data = _model(spark, model)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pd.Series) -> pd.Series:
-        machine = compiled(data.value, rules)
-        return pd.Series([machine.encode(t) if isinstance(t, str) else None for t in texts],
-                         index=texts.index, dtype=object)
+        return pd.Series(_encoded(compiled(data.value, rules), texts), index=texts.index,
+                         dtype=object)
 
     return encode
 
@@ -338,24 +385,23 @@ def encode_documents(docs, key="doc_id", text="text", model=MODEL, rules=()):
     Encoding and decoding pass a text through Python once.
     """
     data = _model(docs.sparkSession, model)
-    schema = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())),
-                           T.StructField("round_trip", T.BooleanType())])
+    schema = T.StructType([
+        docs.select(F.col(key)).schema[0], T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())])
 
-    @F.pandas_udf(schema)
-    def both(texts: pd.Series) -> pd.DataFrame:
+    def run(frames):
         machine = compiled(data.value, rules)
-        ids, good = [], []
-        for t in texts:
-            if not isinstance(t, str):
-                ids.append(None)
-                good.append(None)
-                continue
-            found = machine.encode(t)
-            ids.append(found)
-            good.append(machine.decode(found) == t.replace(MARK, " "))
-        return pd.DataFrame({"ids": pd.Series(ids, dtype=object),
-                             "round_trip": pd.Series(good, dtype=object)})
-
-    coded = docs.select(F.col(key), both(F.col(text)).alias("_r"))
-    return coded.select(key, "_r.ids", F.size("_r.ids").cast("long").alias("n_tokens"),
-                        "_r.round_trip")
+        for frame in frames:
+            for at in range(0, len(frame), ROWS):
+                part = frame.iloc[at:at + ROWS]
+                texts = part[text].tolist()
+                ids = _encoded(machine, texts)
+                good = [None if i is None else machine.decode(i) == t.replace(MARK, " ")
+                        for i, t in zip(ids, texts, strict=True)]
+                size = [None if i is None else len(i) for i in ids]
+                yield pd.DataFrame({
+                    key: part[key].array, "ids": pd.Series(ids, dtype=object),
+                    "n_tokens": pd.Series(size, dtype="Int64"),
+                    "round_trip": pd.Series(good, dtype=object)})
+
+    return docs.select(F.col(key), F.col(text)).mapInPandas(run, schema)
