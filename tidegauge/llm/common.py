@@ -11,10 +11,24 @@ from tidegauge.session import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
 def keep(df, label):
-    """``df`` written to the shared folder and read back: cuts lineage, survives executors."""
+    """``df`` written to the shared folder and read back: cuts lineage, survives executors.
+
+    While it is written, Python workers get batches of some megabytes at a time: with long texts
+    the usual batch of thousands of rows is most of a worker's memory.
+    """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    usual = conf.get(BATCH)
+    conf.set(BATCH, f"{BATCH_BYTES}b")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(BATCH, usual)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

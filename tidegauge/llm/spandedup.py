@@ -38,9 +38,9 @@ from tidegauge.llm.suffixes import first_owners
 
 LENGTH = 50
 GRAM = 24
-PART = 2_000_000  # bytes of text handled together
+PART = 1_000_000  # bytes of text handled together
 BUCKET = 4_000_000  # bytes of all texts for each bucket
-SLICE = 1 << 22
+SLICE = 1 << 15  # windows hashed together; small enough for a core's cache
 LAST = (1 << 63) - 1
 BITS = 1 << 24  # words of the filter of texts
 
@@ -119,7 +119,7 @@ def part_anchors(rows, length):
     first = np.flatnonzero(np.diff(pos, prepend=-1))
     pos, h = pos[first], h[first]
     number = np.searchsorted(starts, pos, side="right") - 1
-    order = np.lexsort((number, h))
+    order = np.argsort(h, kind="stable")  # texts stay in order
     number, h = number[order], h[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (number[1:] != number[:-1])
