@@ -1,5 +1,6 @@
 """What the operators of this package share."""
 
+import contextlib
 import os
 import pathlib
 
@@ -15,20 +16,25 @@ BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 
 
-def keep(df, label):
-    """``df`` written to the shared folder and read back: cuts lineage, survives executors.
+@contextlib.contextmanager
+def small_batches(spark):
+    """Within it Python workers get batches of some megabytes at a time.
 
-    While it is written, Python workers get batches of some megabytes at a time: with long texts
-    the usual batch of thousands of rows is most of a worker's memory.
+    With long texts the usual batch of thousands of rows is most of a worker's memory.
     """
-    path = scratch_dir(df.sparkSession, label)
-    conf = df.sparkSession.conf
-    usual = conf.get(BATCH)
-    conf.set(BATCH, f"{BATCH_BYTES}b")
+    usual = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, f"{BATCH_BYTES}b")
     try:
-        df.write.parquet(path)
+        yield
     finally:
-        conf.set(BATCH, usual)
+        spark.conf.set(BATCH, usual)
+
+
+def keep(df, label):
+    """``df`` written to the shared folder and read back: cuts lineage, survives executors."""
+    path = scratch_dir(df.sparkSession, label)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -27,18 +27,20 @@ empty table gives an empty result. Lone surrogates become question marks.
 
 import functools
 import hashlib
+import uuid
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import keep, ready, tasks
+from tidegauge.llm.common import keep, ready, small_batches, tasks
 from tidegauge.llm.hashing import mix, span_hash, sums
 from tidegauge.llm.suffixes import first_owners
 
 LENGTH = 50
 GRAM = 24
 PART = 1_000_000  # bytes of text handled together
+MOST = 1 << 16  # texts of a part, numbered by two bytes
 BUCKET = 4_000_000  # bytes of all texts for each bucket
 SLICE = 1 << 15  # windows hashed together; small enough for a core's cache
 LAST = (1 << 63) - 1
@@ -52,7 +54,7 @@ def parts_of(frames, part, columns=("_g", "_t")):
         for row in zip(*[frame[c] for c in columns], strict=True):
             held.append(row)
             size += len(row[1])
-            if size >= part:
+            if size >= part or len(held) == MOST:
                 yield held
                 held, size = [], 0
     if held:
@@ -157,7 +159,7 @@ def anchor_entries(mode, length, part, buckets, frames):
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         me = part_id(keys)
         out = [(int(bucket[some[0]]), me, h[some].astype("<u8").view(np.uint8).reshape(
-                    -1, 8)[:, 2:].tobytes(), number[some].astype("<u4").tobytes(),
+                    -1, 8)[:, 2:].tobytes(), number[some].astype("<u2").tobytes(),
                 np.packbits(many[some]).tobytes()) for some in np.split(order, cuts)]
         yield pd.DataFrame(out, columns=["bucket", "part", "h", "number", "many"])
 
@@ -167,7 +169,7 @@ def repeated_anchors(hot_from, group):
     h, number, many, part = [], [], [], []
     for i, row in enumerate(group.itertuples()):
         h.append(np.frombuffer(row.h, np.uint8).reshape(-1, 6))
-        number.append(np.frombuffer(row.number, "<u4"))
+        number.append(np.frombuffer(row.number, "<u2"))
         many.append(np.unpackbits(np.frombuffer(row.many, np.uint8))[:len(number[-1])])
         part.append(np.full(len(number[-1]), i))
     whole = np.zeros((sum(map(len, h)), 8), np.uint8)
@@ -211,50 +213,42 @@ def contexts(mode, length, part, buckets, shared_hot, frames):
     """
     hot = shared_hot.value
     for rows in parts_of(frames, part, ("_g", "_t", "_d", "hs")):
+        if mode == "marks":
+            rows = [r for r in rows if np.isin(np.asarray(r[3], np.int64).view(np.uint64),
+                                               hot).any()]
+            if not rows:
+                continue
         data, starts = buffer([r[1] for r in rows])
         g = np.array([r[0] for r in rows], np.int64)
         d = np.array([r[2] for r in rows], np.int64)
         places, pos, h = anchors(data, window_mask(starts, length), length)
-        h = short(h)
-        number = np.searchsorted(starts, places, side="right") - 1
+        new, count = runs_of(places, pos)
+        first, h = places[new], short(h[new])
+        mine = np.searchsorted(starts, first, side="right") - 1
         own = np.concatenate([np.asarray(r[3], np.int64) for r in rows]).view(np.uint64)
-        owner = np.repeat(np.arange(len(rows)), [len(r[3]) for r in rows]).astype(np.uint64)
-        wanted = np.unique(mix(own ^ mix(owner)))
-        wide = mix(h ^ mix(number.astype(np.uint64)))
-        at = np.minimum(np.searchsorted(wanted, wide), max(0, len(wanted) - 1))
-        listed = wanted[at] == wide if len(wanted) else np.zeros(len(h), bool)
-        warm = np.zeros(len(h), bool)
-        if len(hot):
-            k = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
-            warm = hot[k] == h
-        chosen = np.zeros(len(data), bool)
-        chosen[places[listed & warm]] = True
-        at, least = first_owners(data, chosen, lambda p: d[np.searchsorted(
-            starts, p, side="right") - 1], length)
-        mine = np.searchsorted(starts, at, side="right") - 1
-        done = least < d[mine]
+        owner = np.repeat(np.arange(len(rows), dtype=np.uint64), [len(r[3]) for r in rows])
+        listed = np.isin(mix(h ^ mix(mine.astype(np.uint64))), mix(own ^ mix(owner)))
+        warm = listed & np.isin(h, hot)
+        cold = listed & ~warm
+        near, at, least = first_of_runs(data, first[warm], count[warm], d[mine[warm]], length)
+        run = np.flatnonzero(warm)[near]
+        done = least < d[mine[run]]
         if mode == "marks":
-            at, mine = at[done], mine[done]
-            new, count = runs_of(at, mine)
+            at, text = at[done], mine[run[done]]
+            new, count = runs_of(at, text)
             if len(new):
-                yield pd.DataFrame({"g": g[mine[new]], "d": d[mine[new]],
-                                    "first": at[new] - starts[mine[new]], "n": count})
+                yield pd.DataFrame({"g": g[text[new]], "d": d[text[new]],
+                                    "first": at[new] - starts[text[new]], "n": count})
             continue
-        cold = listed & ~warm
-        new, count = runs_of(places[cold], pos[cold])
-        first = places[cold][new]
-        bucket = (h[cold][new] >> np.uint64(16)) % np.uint64(buckets)
         rest = at[~done]
-        if len(rest):
-            total = sums(data)
-            first = np.concatenate([first, rest])
-            count = np.concatenate([count, np.ones(len(rest), np.int64)])
-            bucket = np.concatenate([bucket, span_hash(total, rest, rest + length) % np.uint64(
-                buckets)])
+        windows = span_hash(sums(data), rest, rest + length) if len(rest) else rest.astype(np.uint64)
+        bucket = np.concatenate([(h[cold] >> np.uint64(16)) % np.uint64(buckets),
+                                 windows % np.uint64(buckets)]).astype(np.int64)
+        first = np.concatenate([first[cold], rest])
+        count = np.concatenate([count[cold], np.ones(len(rest), np.int64)])
+        mine = np.concatenate([mine[cold], mine[run[~done]]])
         if not len(first):
             continue
-        bucket = bucket.astype(np.int64)
-        mine = np.searchsorted(starts, first, side="right") - 1
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         raw = data.tobytes()
@@ -264,10 +258,30 @@ def contexts(mode, length, part, buckets, shared_hot, frames):
                 raw[a:a + n + length - 1] for a, n in zip(first[some].tolist(),
                                                           count[some].tolist(), strict=True)),
                 count[some].astype("<u2").tobytes(), g[mine[some]].tobytes(),
-                d[mine[some]].tobytes(), (first - starts[mine])[some].astype("<u4").tobytes()))
+                d[mine[some]].tobytes(),
+                (first[some] - starts[mine[some]]).astype("<u4").tobytes()))
         yield pd.DataFrame(out, columns=["bucket", "bytes", "n", "g", "d", "first"])
 
 
+def first_of_runs(data, first, count, owner, length):
+    """For each window of the runs: (run, place in ``data``, smallest owner of an equal window).
+
+    The bytes that the runs cover are put one after the other and their suffixes sorted.
+    """
+    if not len(first):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    size = count + length - 1
+    begin = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=begin[1:])
+    place = np.arange(begin[-1]) + np.repeat(first - begin[:-1], size)
+    inside = np.arange(begin[-1]) - np.repeat(begin[:-1], size)
+    run = np.repeat(np.arange(len(size)), size)
+    chosen = inside < np.repeat(count, size)
+    at, least = first_owners(data[place], chosen, lambda p: owner[run[p]], length)
+    return run[at], place[at], least
+
+
 def covered(length, group):
     """The windows of a bucket that a smaller document has, as (g, d, first, count)."""
     def whole(column, kind):
@@ -275,21 +289,13 @@ def covered(length, group):
 
     data, n = whole("bytes", np.uint8), whole("n", "<u2").astype(np.int64)
     g, d, first = whole("g", "<i8"), whole("d", "<i8"), whole("first", "<u4").astype(np.int64)
-    starts = np.zeros(len(n) + 1, np.int64)
-    np.cumsum(n + length - 1, out=starts[1:])
-    chosen = np.zeros(len(data), bool)
-    edge = np.zeros(len(data) + 1, np.int8)
-    edge[starts[:-1]] += 1
-    edge[starts[:-1] + n] -= 1
-    chosen = np.cumsum(edge[:-1], dtype=np.int8) > 0
-    at, least = first_owners(data, chosen, lambda p: d[np.searchsorted(
-        starts, p, side="right") - 1], length)
-    run = np.searchsorted(starts, at, side="right") - 1
+    begin = np.cumsum(n + length - 1) - (n + length - 1)
+    run, at, least = first_of_runs(data, begin, n, d, length)
     done = least < d[run]
     at, run = at[done], run[done]
     new, count = runs_of(at, run)
     return pd.DataFrame({"g": g[run[new]], "d": d[run[new]],
-                         "first": first[run[new]] + at[new] - starts[run[new]], "n": count})
+                         "first": first[run[new]] + at[new] - begin[run[new]], "n": count})
 
 
 def spans(first, count, length):
@@ -377,8 +383,9 @@ def removals(docs, key="doc_id", text="text", length=LENGTH, part=PART, hot_part
 
     some = rows.filter(F.octet_length("_t") >= length).filter(
         maybe(*[F.xxhash64("_g", F.lit(i)) for i in range(3)]))
-    some = keep(some.join(flagged, (F.col("_g") == F.col("g")) & (F.col("_d") == F.col("d")))
-                .select("_g", "_t", "_d", "hs"), "span-texts")
+    # Bucketed by its text's key, the table meets the marks later without another shuffle.
+    some = some.join(flagged, F.col("_g") == F.col("g")).filter(F.col("_d") == F.col("d"))
+    some = bucketed(some.select("_g", "_t", "_d", "hs"), "_g", "span_texts")
     windows = some.mapInPandas(
         functools.partial(contexts, "contexts", length, part, buckets, shared_hot),
         "bucket int, bytes binary, n binary, g binary, d binary, first binary")
@@ -392,6 +399,15 @@ def removals(docs, key="doc_id", text="text", length=LENGTH, part=PART, hot_part
     return base, some, marks
 
 
+def bucketed(df, column, label):
+    """``df`` as a table in the warehouse, bucketed by ``column``."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    with small_batches(spark):
+        df.write.bucketBy(tasks(spark), column).option("compression", "zstd").saveAsTable(name)
+    return spark.table(name)
+
+
 def remove_repeats(docs, key="doc_id", text="text", length=LENGTH, **sizes):
     """(key, n_bytes, n_removed, n_spans, kept_sha256) of each document."""
     base, some, marks = removals(docs, key, text, length, **sizes)
@@ -407,11 +423,11 @@ def remove_repeats(docs, key="doc_id", text="text", length=LENGTH, **sizes):
                             hashlib.sha256(rest).hexdigest()))
             yield pd.DataFrame(out, columns=["g", "d", "removed", "spans", "sha"])
 
-    cut = some.select("_g", "_d", "_t").dropDuplicates(["_g", "_d"]).join(
-        marks, (F.col("_g") == F.col("g")) & (F.col("_d") == F.col("d"))).select(
+    cut = some.select("_g", F.col("_d").alias("d0"), "_t").join(
+        marks, F.col("_g") == F.col("g")).filter("d0 = d").select(
         "g", "d", "_t", "first", "n").mapInPandas(
         run, "g long, d long, removed long, spans long, sha string")
-    cut = keep(cut, "span-cut")
+    cut = keep(cut.dropDuplicates(["g", "d"]), "span-cut")
     gone = F.col("copy") & (F.col("n_bytes") >= length)
     joined = base.join(cut, (F.col("_g") == F.col("g")) & (F.col("_d") == F.col("d")), "left")
     zero = F.lit(0).cast("long")

@@ -31,8 +31,8 @@ def smaller_than_next(data):
     after = np.concatenate([data[1:], np.zeros(1, np.uint8)])
     differs = data != after
     differs[-1:] = True
-    at = np.flatnonzero(differs)
-    next_different = at[np.searchsorted(at, np.arange(n))]
+    # From each position the next one that differs from the byte after it.
+    next_different = np.minimum.accumulate(np.where(differs, np.arange(n), n)[::-1])[::-1]
     types = data < after
     types[-1:] = False
     return types[next_different]
