@@ -12,12 +12,13 @@ weighs as much as one in exactly one of ``RARE``: the weight's ceiling. Hence on
 above that share, at most ``RARE`` times the mean number of shingles of a document, need their
 exact count; ``frequent_shingles`` finds them in two passes and proves that none is missing.
 
-Members of a bucket that are not of a class with their leader go on: they are banded anew, with
-fresh samples, within their bucket, and get new leaders, until no bucket has two such members.
-The leader is compared with all and leaves, so this ends. No bucket is capped and no pairs
-within a bucket are listed; a bucket of n members costs n comparisons a round. Like any banding,
-a pair just above the threshold is missed with a small probability (below 1 in 500 for the
-bands used here) if nothing else joins the two.
+A bucket is led by its ``LEADERS`` most popular members, those in the largest buckets; all its
+members are compared with each of them. So buckets of up to ``LEADERS + 1`` members are compared
+completely, and a bucket of n members costs ``LEADERS`` * n comparisons, never all pairs. Members
+of larger buckets that are then still of several classes are banded anew with fresh samples, and
+popularity adds up, as long as a round finds links. No bucket is capped. As with any banding a
+pair may be missed: one at 0.8 agrees in no band with a chance of 1 in 600, and in a large bucket two
+members that link to each other and to no leader of any band and round are not compared.
 
 Nulls count as empty texts. Texts without words are linked to exact copies only; one to four
 words are one shingle. Rows of one id are one document: their classes join. A null id is replaced by
@@ -26,6 +27,7 @@ the hash of the text. An empty table gives an empty result.
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import keep, ready, tasks
@@ -35,7 +37,7 @@ from tidegauge.llm.hashing import mix, shingle_hashes
 BANDS, ROWS = 9, 3
 RARE = 200
 PART = 4096  # documents counted together before their frequent shingles are handed on
-LEADERS = 3  # orders in which buckets choose a leader
+LEADERS = 3  # members of a bucket that all others are compared with
 GROUP = 64  # members compared with one copy of their leader
 
 _rng = np.random.default_rng(20240229)  # a fixed seed: every worker draws the same tables
@@ -197,17 +199,22 @@ def banded(rows, shared, turn=0):
     return rows.select("_n", "_t").mapInPandas(run, "_n long, keys array<long>")
 
 
-def leaders(members):
-    """(bucket, node, leader): every other member of each bucket with its leader."""
-    order = F.pmod(F.col("bucket"), F.lit(LEADERS))
-    rank = F.when(order == 0, F.col("node")).otherwise(F.xxhash64("node", order))
-    ranked = members.withColumn("rank", rank)
-    best = keep(ranked.groupBy("bucket").agg(
-        F.min("rank").alias("rank"), F.count(F.lit(1)).alias("size")).filter("size > 1"),
-        "near-best")
-    heads = keep(ranked.join(best, ["bucket", "rank"]).select(
-        "bucket", F.col("node").alias("leader")).dropDuplicates(["bucket"]), "near-heads")
-    return keep(members.join(heads, "bucket"), "near-members")
+def leaders(members, known):
+    """(bucket, leader, size), up to ``LEADERS`` for each bucket of two or more, and popularity.
+
+    A member is the more popular, the larger the buckets that it is in. Of a group of edited
+    copies the text they were made from agrees with most of them in most bands, so it leads
+    nearly every bucket of the group. Popularity adds up over the rounds in ``known``.
+    """
+    sizes = keep(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(
+        "size > 1"), "near-sizes")
+    sized = keep(members.join(sizes, "bucket"), "near-sized")
+    popular = keep(sized.select("node", F.col("size").cast("double").alias("weight")).union(
+        known).groupBy("node").agg(F.sum("weight").alias("weight")), "near-popular")
+    order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "node")
+    heads = sized.join(popular, "node").withColumn("rank", F.row_number().over(order)).filter(
+        F.col("rank") <= LEADERS)
+    return keep(heads.select("bucket", F.col("node").alias("leader"), "size"), "near-heads"), popular
 
 
 def verified(pairs, texts, shared, least):
@@ -263,40 +270,50 @@ def classes(docs, key="doc_id", text="text", least=0.8):
         nodes.withColumnRenamed("node", "_n"), "_n", "left_semi")
     members = keep(keyed.select(F.explode("keys").alias("bucket"), F.col("_n").alias("node"))
                    .distinct(), "near-buckets")
-    linked = copies.filter(F.col("_n") != F.col("node")).select(
-        F.col("node").alias("a"), F.col("_n").alias("b"))
-    texts, turn = None, 0
+    linked = keep(copies.filter(F.col("_n") != F.col("node")).select(
+        F.col("node").alias("a"), F.col("_n").alias("b")).distinct(), "near-linked")
+    known = spark.createDataFrame([], "node long, weight double")
+    texts, now, turn = None, None, 0
     while True:
-        led = leaders(members)
-        pairs = keep(led.filter(F.col("node") != F.col("leader")).select(
-            "leader", "node").distinct(), "near-pairs")
+        heads, known = leaders(members, known)
+        pairs = members.join(heads, "bucket").filter(F.col("node") != F.col("leader")).select(
+            "leader", "node").distinct()
+        if now is not None:
+            one, other = (now.select(F.col("node").alias(c), F.col("class").alias(f"{c}_class"))
+                          for c in ("leader", "node"))
+            pairs = pairs.join(one, "leader", "left").join(other, "node", "left").filter(
+                F.coalesce("leader_class", "leader") != F.coalesce("node_class", "node")).select(
+                "leader", "node")
+        pairs = keep(pairs, "near-pairs")
         if not pairs.limit(1).count():
             break
         if texts is None:
             wanted = pairs.select(F.col("leader").alias("_n")).union(
                 pairs.select("node")).distinct()
-            # Of a document whose rows differ every text counts; copies of one do not.
             texts = keep(rows.select("_n", "_t").join(wanted, "_n").dropDuplicates(
                 ["_n"]), "near-texts")
         found = keep(verified(pairs, texts, shared, least), "near-links")
+        if turn and not found.limit(1).count():
+            break
         linked = keep(linked.union(found), "near-linked")
         now = components(linked)
-        of = led.join(now.withColumnRenamed("class", "cn"), "node", "left").join(
-            now.select(F.col("node").alias("leader"), F.col("class").alias("cl")), "leader", "left")
-        rest = keep(of.filter((F.col("node") != F.col("leader")) & (
-            F.coalesce("cn", "node") != F.coalesce("cl", "leader"))).select("bucket", "node"),
-            "near-rest")
-        crowded = rest.groupBy("bucket").count().filter("count > 1").select("bucket")
-        rest = keep(rest.join(crowded, "bucket", "left_semi"), "near-rest")
-        if not rest.limit(1).count():
+        # Larger buckets with several classes: all their members are banded anew.
+        seen = members.join(heads.filter(F.col("size") > LEADERS + 1).select("bucket").distinct(),
+                            "bucket", "left_semi").join(now, "node", "left")
+        split = seen.groupBy("bucket").agg(
+            F.min(F.coalesce("class", "node")).alias("low"),
+            F.max(F.coalesce("class", "node")).alias("high")).filter("low < high")
+        crowd = keep(members.join(split.select("bucket"), "bucket", "left_semi").select(
+            F.col("node").alias("_n")).distinct(), "near-crowd")
+        if not crowd.limit(1).count():
             break
         turn += 1
-        again = texts.join(rest.select(F.col("node").alias("_n")).distinct(), "_n", "left_semi")
-        fresh = keep(banded(again, shared, turn), "near-bands").select(
-            F.col("_n").alias("node"), F.explode("keys").alias("key"))
-        members = keep(rest.join(fresh, "node").select(
-            F.xxhash64("bucket", "key").alias("bucket"), "node").distinct(), "near-buckets")
-    now = components(linked).withColumnRenamed("node", "_n")
+        members = keep(banded(texts.join(crowd, "_n", "left_semi"), shared, turn).select(
+            F.explode("keys").alias("bucket"), F.col("_n").alias("node")).distinct(),
+            "near-buckets")
+    if now is None:
+        now = components(linked)
+    now = now.withColumnRenamed("node", "_n")
     return copies.join(now, "_n", "left").select(
         F.when(~F.col("_null"), F.col("_n")).alias(key),
         F.coalesce("class", "node").alias("class_id"))
