@@ -6,9 +6,10 @@ counted over all files; a term that no template has adds its frequency, with wei
 block's length only. A file's own licence is that of the template with the highest cosine over its
 blocks, if that is at least ``least``; of equals, the first by name.
 
-Only blocks that can reach ``least`` are scored: a block without any of a template's required
-terms, its heaviest ones, has a cosine of at most the length of the template's other terms, which
-is below ``least``. So the filter drops no match.
+Only blocks that can reach ``least`` are scored: the cosine is at most the length of the part
+of the template's unit vector whose terms the block has. A block without any of a template's
+required terms, its heaviest ones, cannot reach ``least``; of those that have one, the bound itself
+is computed. So the filters drop no match.
 
 A file without a licence of its own gets that of the nearest directory above it that declares
 one. A directory declares the licence of its first licence file by path (``declares="named"``), or
@@ -113,19 +114,29 @@ def required(vectors, least=LEAST):
     return found
 
 
+def reach(body, vectors):
+    """The largest bound of the square of a block's cosine to a template, from its terms."""
+    bounds = [sum((F.when(F.contains(body, F.lit(t)), F.lit(w * w)).otherwise(F.lit(0.0))
+                   for t, w in sorted(vector.items())), F.lit(0.0)) for _, _, vector in vectors]
+    return F.greatest(F.lit(0.0), *bounds)
+
+
 def own_licences(files, templates=TEMPLATES, least=LEAST, path="path", text="text"):
     """(path, licence, score) of the files with a licence of their own."""
     spark = files.sparkSession
     vocabulary = set().union(*(terms_of(t) for _, t in templates))
     df, n_files = document_frequencies(files, vocabulary, text)
     idf, vectors = weights(templates, df, n_files)
-    needed = "|".join(re.escape(t) for t in sorted(required(vectors, least)))
+    # As whole terms: their letters are in many other words.
+    needed = "(?<![a-z0-9])(?:" + "|".join(
+        re.escape(t) for t in sorted(required(vectors, least))) + ")(?![a-z0-9])"
     possible = files.select(F.col(path).alias("path"), F.col(text).alias("text")).filter(
         F.lower(F.col("text")).rlike(needed))
     line = F.filter(F.split("text", "\n"), lambda x: F.lower(x).rlike(needed))
     comment = F.regexp_extract("text", _COMMENT, 0)
     blocks = possible.select("path", F.posexplode(F.array_distinct(F.concat(
-        line, F.array(comment, F.col("text"))))).alias("block", "body"))
+        line, F.array(comment, F.col("text"))))).alias("block", "body")).filter(
+        reach(F.lower("body"), vectors) >= least ** 2 - 1e-9)
     counted = blocks.select("path", "block", F.explode(_terms(F.col("body"))).alias("term")) \
         .groupBy("path", "block", "term").agg(F.count(F.lit(1)).alias("tf"))
     known = F.broadcast(spark.createDataFrame(
