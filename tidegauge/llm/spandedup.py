@@ -9,7 +9,8 @@ bytes, the leftmost of equals, is the window's anchor; equal windows have equal
 1. Anchors: each part of some documents hands on each of its anchors once. Those in two texts
    are repeated, all others have no partner and are done.
 2. Contexts: of texts with repeated anchors, the windows of each such anchor, with the bytes
-   they cover, go to the bucket of the anchor.
+   they cover, go to a bucket. Equal windows have the same smallest gram of ``ROUTE`` bytes, whose
+   hash gives the bucket; neighbours that share it travel as one run.
 3. Each bucket sorts its suffixes and finds the smallest document of each window.
 4. Windows found in a smaller document are joined into spans of their text.
 
@@ -38,7 +39,8 @@ from tidegauge.llm.hashing import mix, span_hash, sums
 from tidegauge.llm.suffixes import first_owners
 
 LENGTH = 50
-GRAM = 24
+GRAM = 32  # bytes of an anchor: rarely repeated by chance
+ROUTE = 20  # bytes of the gram by which windows find their bucket: longer runs meet
 PART = 1_000_000  # bytes of text handled together
 MOST = 1 << 16  # texts of a part, numbered by two bytes
 BUCKET = 4_000_000  # bytes of all texts for each bucket
@@ -78,9 +80,9 @@ def window_mask(starts, length=LENGTH):
     return good
 
 
-def anchors(data, good, length=LENGTH):
-    """(positions of windows, position of the anchor of each, hash of each anchor)."""
-    width = length - GRAM + 1
+def anchors(data, good, length=LENGTH, gram=GRAM):
+    """(positions of windows, position of the smallest gram of each, its hash)."""
+    width = length - gram + 1
     places, found, hashes = [], [], []
     for low in range(0, len(data), SLICE):
         at = np.flatnonzero(good[low:low + SLICE])
@@ -88,9 +90,9 @@ def anchors(data, good, length=LENGTH):
             continue
         piece = data[low:low + SLICE + length]
         total = sums(piece)
-        n = len(piece) - GRAM + 1
+        n = len(piece) - gram + 1
         begin = np.arange(n)
-        h = span_hash(total, begin, begin + GRAM)
+        h = span_hash(total, begin, begin + gram)
         key = (h & ~np.uint64(0xFFFFFF)) | begin.astype(np.uint64)
         least, size = key, 1
         while size < width:
@@ -159,7 +161,7 @@ def anchor_entries(mode, length, part, buckets, frames):
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         me = part_id(keys)
         out = [(int(bucket[some[0]]), me, h[some].astype("<u8").view(np.uint8).reshape(
-                    -1, 8)[:, 2:].tobytes(), number[some].astype("<u2").tobytes(),
+                    -1, 8)[:, 3:].tobytes(), number[some].astype("<u2").tobytes(),
                 np.packbits(many[some]).tobytes()) for some in np.split(order, cuts)]
         yield pd.DataFrame(out, columns=["bucket", "part", "h", "number", "many"])
 
@@ -168,12 +170,12 @@ def repeated_anchors(hot_from, group):
     """The anchors of a bucket that are in two texts: (part, numbers, hashes, hot)."""
     h, number, many, part = [], [], [], []
     for i, row in enumerate(group.itertuples()):
-        h.append(np.frombuffer(row.h, np.uint8).reshape(-1, 6))
+        h.append(np.frombuffer(row.h, np.uint8).reshape(-1, 5))
         number.append(np.frombuffer(row.number, "<u2"))
         many.append(np.unpackbits(np.frombuffer(row.many, np.uint8))[:len(number[-1])])
         part.append(np.full(len(number[-1]), i))
     whole = np.zeros((sum(map(len, h)), 8), np.uint8)
-    whole[:, 2:] = np.concatenate(h)
+    whole[:, 3:] = np.concatenate(h)
     h = whole.view("<u8")[:, 0]
     number, many, part = map(np.concatenate, (number, many, part))
     order = np.argsort(h, kind="stable")
@@ -192,8 +194,8 @@ def repeated_anchors(hot_from, group):
 
 
 def short(h):
-    """The 48 bits of an anchor's hash that are handed on."""
-    return (h >> np.uint64(16)) << np.uint64(16)
+    """The 40 bits of an anchor's hash that are handed on, beside its bucket."""
+    return (h >> np.uint64(24)) << np.uint64(24)
 
 
 def runs_of(places, key):
@@ -240,13 +242,16 @@ def contexts(mode, length, part, buckets, shared_hot, frames):
                 yield pd.DataFrame({"g": g[text[new]], "d": d[text[new]],
                                     "first": at[new] - starts[text[new]], "n": count})
             continue
+        far = np.zeros(len(data), bool)
+        far[places[np.repeat(cold, count)]] = True
+        windows_at, gram, key = anchors(data, far, length, ROUTE)
+        head, many = runs_of(windows_at, gram)
         rest = at[~done]
         windows = span_hash(sums(data), rest, rest + length) if len(rest) else rest.astype(np.uint64)
-        bucket = np.concatenate([(h[cold] >> np.uint64(16)) % np.uint64(buckets),
-                                 windows % np.uint64(buckets)]).astype(np.int64)
-        first = np.concatenate([first[cold], rest])
-        count = np.concatenate([count[cold], np.ones(len(rest), np.int64)])
-        mine = np.concatenate([mine[cold], mine[run[~done]]])
+        bucket = (np.concatenate([key[head], windows]) % np.uint64(buckets)).astype(np.int64)
+        first = np.concatenate([windows_at[head], rest])
+        count = np.concatenate([many, np.ones(len(rest), np.int64)])
+        mine = np.searchsorted(starts, first, side="right") - 1
         if not len(first):
             continue
         order = np.argsort(bucket, kind="stable")
@@ -366,7 +371,7 @@ def removals(docs, key="doc_id", text="text", length=LENGTH, part=PART, hot_part
         F.explode(F.arrays_zip("numbers", "hs")).alias("x"), "keys").select(
         F.expr("keys[x.numbers]").alias("g"), F.col("x.hs").alias("h"))
     local = said("local", "g long, h long").select(
-        "g", F.expr("shiftleft(shiftright(h, 16), 16)").alias("h"))
+        "g", F.expr("shiftleft(shiftright(h, 24), 24)").alias("h"))
     least = base.groupBy(F.col("_g").alias("g")).agg(F.min("_d").alias("d"))
     flagged = keep(listed.union(local).groupBy("g").agg(F.collect_set("h").alias("hs")).join(
         least, "g"), "span-flagged")
