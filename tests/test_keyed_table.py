@@ -26,8 +26,8 @@ def content(spark, path):
 
 def test_create_is_idempotent(spark, table):
     keyed_table.upsert(spark, table, rows(spark, (1, "x", "y", 1)))
-    schema = spark.createDataFrame([], "other int").schema
-    assert not keyed_table.ensure_table(spark, table, schema, ["other"])
+    _, state = keyed_table._load(spark, table)
+    assert not keyed_table.ensure_table(spark, table, keyed_table._schema(state), state["keys"])
     assert content(spark, table) == [(1, "x", "y")]
 
 
@@ -110,15 +110,64 @@ def test_second_writer_fails(spark, table, monkeypatch):
     assert content(spark, table) == [(1, "p", "q")]
 
 
-def test_state_cut_short_is_passed_over(spark, table):
+def test_a_writer_that_stops_half_way_leaves_no_state(spark, table, monkeypatch):
     keyed_table.upsert(spark, table, rows(spark, (1, "p", "q", 1)))
-    number, _ = keyed_table._load(spark, table)
-    files.create_text(spark, f"{table}/_state/{number + 1:010d}.json", '{"schema"')
-    assert content(spark, table) == [(1, "p", "q")]
+    number, state = keyed_table._load(spark, table)
+
+    class Stopped(Exception):
+        pass
+
+    def stop(*args):
+        raise Stopped
+
+    # Stopped after the text was written and before its file has its name.
+    monkeypatch.setattr(files, "_give_name", stop)
+    with pytest.raises(Stopped):
+        keyed_table._commit(spark, table, number, state)
+    monkeypatch.undo()
+    assert keyed_table._load(spark, table)[0] == number
     keyed_table.upsert(spark, table, rows(spark, (2, "r", "s", 1)))
     assert content(spark, table) == [(1, "p", "q"), (2, "r", "s")]
 
 
+def test_states_are_bounded(spark, table):
+    number, state = keyed_table._load(spark, table)
+    for _ in range(100):
+        keyed_table._commit(spark, table, number, state)
+        number += 1
+    assert len(keyed_table._state_names(spark, table)) <= keyed_table.KEPT_STATES
+    assert keyed_table._load(spark, table)[0] == number
+
+
+def test_another_schema_or_key_at_that_place_is_an_error(spark, table):
+    _, state = keyed_table._load(spark, table)
+    schema = keyed_table._schema(state)
+    assert not keyed_table.ensure_table(spark, table, schema, state["keys"])
+    with pytest.raises(ValueError, match="other columns or keys"):
+        keyed_table.ensure_table(spark, table, schema, ["a"])
+    with pytest.raises(ValueError, match="other columns or keys"):
+        keyed_table.ensure_table(spark, table, schemas.CELL, schemas.CELL_KEYS)
+
+
+def test_a_subset_write_reads_only_its_buckets(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "many")
+    schema = spark.range(1).selectExpr("id k", "'a' a", "'b' b").schema
+    keyed_table.ensure_table(spark, path, schema, ["k"], 16)
+    keyed_table.upsert(spark, path, spark.range(200).selectExpr("id k", "'a' a", "'b' b"))
+    asked = []
+    scan = keyed_table._scan
+    monkeypatch.setattr(keyed_table, "_scan", lambda *args: asked.append(args[4]) or scan(*args))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed_table.upsert(spark, path, spark.sql("select 7L k, 'new' a"), columns=["k", "a"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [len(buckets) for buckets in asked] == [1]
+    monkeypatch.undo()
+    kept = keyed_table.read_table(spark, path)
+    assert kept.filter("k = 7").collect()[0][1:] == ("new", "b") and kept.count() == 200
+
+
 @pytest.mark.parametrize("on_long,expected", [
     ("truncate", [(1, "abc", "q"), (2, "ok", "q")]), ("reject", [(2, "ok", "q")])])
 def test_text_length(spark, table, on_long, expected):

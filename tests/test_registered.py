@@ -2,9 +2,10 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from tidegauge.plans import catalog, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +15,7 @@ def con():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

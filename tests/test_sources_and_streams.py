@@ -1,5 +1,7 @@
 import glob
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,9 +12,9 @@ from tidegauge.operators.parse import bad_rows, good_rows, parse_maint, parse_pu
 from tidegauge.plans import jobs
 from tidegauge.plans.avro_files import write_avro
 from tidegauge.sources import (kafka_options, message_text, read_employees, read_lines,
-                               stream_lines)
+                               stream_lines, widen)
 from tidegauge.sources.employees import XML_TAGS
-from tidegauge.streaming import batch_sql, run_batches
+from tidegauge.streaming import batch_sql, run_batches, stream_id
 
 PEOPLE = [(1, "1960-01-01", "Ann", "O'Neil & Co", "F", "1990-01-01"),
           (2, "1961-01-01", "Bö", "<x>", "M", "1991-01-01")]
@@ -120,6 +122,8 @@ def landing(spark, tmp_path):
     path.mkdir()
     for n in range(4):
         (path / f"{n}.txt").write_text("\n".join(line(2 * n + j, n + 3.5) for j in (0, 1)))
+        # Streams take files by age; these are written within one tick of the clock.
+        os.utime(path / f"{n}.txt", (1_700_000_000 + n, 1_700_000_000 + n))
     return str(path)
 
 
@@ -151,11 +155,12 @@ def test_interval_trigger_stops_at_timeout(spark, landing, tmp_path):
 @pytest.mark.parametrize("style,first", [("csv", "R0,2024-01-01,"), ("text", "Sensor(R0,2024")])
 def test_alert_stream(spark, landing, tmp_path, style, first):
     out = str(tmp_path / "alerts")
-    jobs.alert_stream(stream(spark, landing), out, str(tmp_path / "state"), style)
+    jobs.alert_stream(stream(spark, landing), out, str(tmp_path / "state"), style, trigger=None)
     written = sorted(r[0] for r in spark.read.text(out).select("value").collect())
     assert len(written) == 4 and written[0].startswith(first)
     again = parse_sensor(read_lines(spark, f"{landing}/0.txt"))
-    sinks.append_alerts(again, out, 0, style)  # a batch that runs again
+    query = stream_id(spark, str(tmp_path / "state"))
+    sinks.append_alerts(again, out, 0, style, query)  # a batch that runs again
     assert spark.read.text(out).count() == 4
 
 
@@ -163,8 +168,9 @@ def test_report_stream(spark, landing, tmp_path):
     pump = parse_pump(spark.sql("select 'R0,HP,2010,2011,ACME,1,2' value"))
     maint = parse_maint(spark.sql("select explode(array('R0,d1,t,x', 'R0,d2,t,x')) value"))
     out = str(tmp_path / "out")
-    jobs.report_stream(stream(spark, landing), pump, maint, out, str(tmp_path / "state"), show=2)
-    view = spark.read.parquet(f"{out}/view").drop("batch_id")
+    jobs.report_stream(stream(spark, landing), pump, maint, out, str(tmp_path / "state"), show=2,
+                       trigger=None)
+    view = spark.read.parquet(f"{out}/view").drop("query", "batch_id")
     assert view.columns == joins.VIEW and view.count() == 4  # two R0 alerts, two events each
     assert spark.read.parquet(f"{out}/stats").count() == 8
     assert spark.read.csv(f"{out}/alerts").count() == 4
@@ -188,7 +194,7 @@ def test_cells_stream_and_read_back(spark, landing, tmp_path, encoding):
     table = str(tmp_path / "cells")
     for _ in range(2):  # with a new checkpoint the same batches come again
         jobs.sensor_cells_stream(spark, stream(spark, landing), table,
-                                 str(tmp_path / f"state-{_}"), encoding)
+                                 str(tmp_path / f"state-{_}"), encoding, trigger=None)
     df = jobs.read_sensor_table(spark, table, encoding)
     expected = [(f"R{i % 2}_2024-01-01 00:00:{i:02d}", i // 2 + 3.5) for i in range(8)]
     assert sorted((r["key"], r["psi"]) for r in df.collect()) == sorted(expected)
@@ -196,7 +202,7 @@ def test_cells_stream_and_read_back(spark, landing, tmp_path, encoding):
 
 def test_window_stream_equals_batch(spark, landing, tmp_path):
     table = str(tmp_path / "windows")
-    jobs.window_stream(spark, stream(spark, landing), table, str(tmp_path / "state"))
+    jobs.window_stream(spark, stream(spark, landing), table, str(tmp_path / "state"), trigger=None)
     batch = stats.windowed_report(parse_sensor(read_lines(spark, landing)))
     assert got(keyed_table.read_table(spark, table)) == got(batch)
 
@@ -217,17 +223,18 @@ def test_vmstat_and_post_streams(spark, tmp_path):
     (folder / "a.txt").write_text(f"r b buff cache\n {tokens}\n")
     table = str(tmp_path / "vmstat")
     jobs.vmstat_stream_to_table(spark, stream_lines(spark, str(folder)), table,
-                                str(tmp_path / "s1"))
+                                str(tmp_path / "s1"), trigger=None)
     assert got(keyed_table.read_table(spark, table)) == [tuple(str(i) for i in range(1, 18))]
     (folder / "a.txt").write_text(f" {tokens} 2024-01-01 10:00:00\n {tokens}\n")
     jobs.vmstat_stream_to_cells(spark, stream_lines(spark, str(folder)),
-                                str(tmp_path / "vmcells"), str(tmp_path / "s2"))
+                                str(tmp_path / "vmcells"), str(tmp_path / "s2"), trigger=None)
     cells = keyed_table.read_table(spark, str(tmp_path / "vmcells"))
     assert cells.count() == 16 and {r[0] for r in cells.collect()} == {"2024-01-01 10:00:00"}
     spark.sql("select 1L id, 'about India' text, 'today' created_at union all "
               "select 2, 'Indiana', 'today'").coalesce(1).write.parquet(str(tmp_path / "posts"))
     posts = spark.readStream.schema(schemas.POST).parquet(str(tmp_path / "posts"))
-    jobs.post_stream(spark, posts, ["India"], str(tmp_path / "kept"), str(tmp_path / "s3"))
+    jobs.post_stream(spark, posts, ["India"], str(tmp_path / "kept"), str(tmp_path / "s3"),
+                     trigger=None)
     assert got(keyed_table.read_table(spark, str(tmp_path / "kept"))) == \
         [(1, "about India", "today")]
 
@@ -243,3 +250,73 @@ def test_publish_lines_feeds_the_landing_folder(spark, landing, tmp_path):
 def test_preview(spark, capsys):
     head = sinks.preview(spark.range(30), 10, schema=True)
     assert head.count() == 10 and "id: long" in capsys.readouterr().out
+
+
+def test_repeated_keys_in_a_file_in_two_files_and_delivered_twice(spark, tmp_path):
+    folder, table = tmp_path / "vm", str(tmp_path / "table")
+    folder.mkdir()
+
+    def vm(cach, st):
+        return " " + "  ".join([*map(str, range(1, 6)), str(cach), *map(str, range(7, 17)), str(st)])
+
+    def take(state):
+        jobs.vmstat_stream_to_table(spark, stream_lines(spark, str(folder)), table,
+                                    str(tmp_path / state), trigger=None)
+        return {r["CACH"]: r["ST"] for r in keyed_table.read_table(spark, table).collect()}
+
+    (folder / "b.txt").write_text("\n".join([vm(6, "old"), vm(6, "new"), vm(7, "x"), vm(7, "x")]))
+    assert take("s1") == {"6": "new", "7": "x"}
+    time.sleep(1.1)
+    (folder / "a.txt").write_text("\n".join([vm(7, "y"), vm(8, "z")]))
+    assert take("s1") == {"6": "new", "7": "y", "8": "z"}
+    assert take("s1") == {"6": "new", "7": "y", "8": "z"}
+    assert take("s2") == {"6": "new", "7": "y", "8": "z"}  # a new stream counts batches anew
+
+
+def test_two_streams_share_an_alert_folder(spark, landing, tmp_path):
+    out = str(tmp_path / "alerts")
+    for state in ("s1", "s2"):
+        jobs.alert_stream(stream(spark, landing), out, str(tmp_path / state), trigger=None)
+    assert spark.read.csv(out).count() == 8
+    jobs.alert_stream(stream(spark, landing), out, str(tmp_path / "s1"), trigger=None)
+    assert spark.read.csv(out).count() == 8
+
+
+def test_posts_keep_their_order_and_give_back_long_ones(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "first", "t", 1), (1, "second", "t", 2), (2, "x" * 300, "t", 3)],
+                                 "id long, text string, created_at string, seq long")
+    table = str(tmp_path / "posts")
+    assert jobs.posts_to_table(spark, rows, table, seq="seq") is None
+    assert [r[1][:6] for r in got(keyed_table.read_table(spark, table))] == ["second", "xxxxxx"]
+    short = str(tmp_path / "short")
+    left = jobs.posts_to_table(spark, rows, short, 200, "reject", seq="seq")
+    assert [r["tweet_id"] for r in left.collect()] == [2]
+    assert [r[0] for r in got(keyed_table.read_table(spark, short))] == [1]
+
+
+def test_null_fields_keep_their_place_in_alert_lines(spark, tmp_path):
+    row = spark.createDataFrame([("R1", None, "t", 1.0, None, 1.0, 1.0, 1.0, 1.0)], schemas.SENSOR)
+    sinks.append_alerts(row, str(tmp_path / "a"), 0, "text")
+    assert spark.read.text(str(tmp_path / "a")).first()[0] == "Sensor(R1,null,t,1.0,null,1.0,1.0,1.0,1.0)"
+
+
+def test_store_options():
+    assert sinks.store_options("cassandra", "t", "k", ttl=5) == (
+        "org.apache.spark.sql.cassandra", {"table": "t", "keyspace": "k", "ttl": "5"})
+    assert sinks.store_options("phoenix", "t")[1] == {"table": "t"}
+    for bad in (("cassandra", "t"), ("other", "t")):
+        with pytest.raises(ValueError):
+            sinks.store_options(*bad)
+
+
+def test_input_of_many_splits_is_not_shuffled(spark, tmp_path):
+    spark.range(100).repartition(3).write.parquet(str(tmp_path / "three"))
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    conf = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))
+    try:
+        three, one = (widen(spark.read.parquet(str(tmp_path / n))) for n in ("three", "one"))
+        assert "Exchange" not in three._jdf.queryExecution().toString()
+        assert "Exchange" in one._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", conf)

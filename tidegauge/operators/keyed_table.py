@@ -4,7 +4,8 @@ Spark alone has no MERGE for Parquet, so a table is a folder with
 
 * ``data/run=<r>/bucket=<b>/*.parquet`` - rows of one write, split by a hash of the key;
 * ``_state/<n>.json`` - which runs each bucket consists of, oldest first. The highest n
-  counts; it is created, never replaced, so of two writers at once the second fails.
+  counts; it is created whole, never replaced, so of two writers at once the second fails.
+  The last ``KEPT_STATES`` are kept, for readers that have just begun.
 
 A write touches only the buckets of its own keys and rewrites nothing that is stored, so a
 micro-batch costs its own size. A bucket that has gathered ``FOLD_AFTER`` runs is folded
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge import schemas
+from tidegauge.session import scratch_dir
 from tidegauge.sources import files
 
 FOLD_AFTER = 8
+KEPT_STATES = 10
 
 
 class TableChanged(RuntimeError):
@@ -31,10 +34,16 @@ class TableChanged(RuntimeError):
 def ensure_table(spark, path, schema, keys, buckets=16, bucket_by=None):
     """Create an empty table unless there is one; returns whether it was created.
 
+    A table of other columns or keys at that place is an error.
+
     ``buckets`` bounds how finely a write is split: choose it so that a bucket holds some
     gigabytes. ``bucket_by``, by default the keys, must be among the keys.
     """
     if _state_names(spark, path):
+        _, state = _load(spark, path)
+        there = [(f.name, f.dataType) for f in _schema(state)]
+        if there != [(f.name, f.dataType) for f in schema] or state["keys"] != list(keys):
+            raise ValueError(f"the table at {path} has other columns or keys")
         return False
     unknown = [c for c in [*keys, *(bucket_by or [])] if c not in schema.fieldNames()]
     if unknown or not keys or not set(bucket_by or keys) <= set(keys):
@@ -50,35 +59,28 @@ def ensure_table(spark, path, schema, keys, buckets=16, bucket_by=None):
 
 
 def _state_names(spark, path):
-    return [n for n in files.names(spark, f"{path}/_state") if n.endswith(".json")]
-
-
-def _complete(spark, path, name):
-    try:
-        return json.loads(files.read_text(spark, f"{path}/_state/{name}"))
-    except json.JSONDecodeError:  # its writer died half way
-        return None
+    return [n for n in files.names(spark, f"{path}/_state")
+            if n.endswith(".json") and not n.startswith(".")]
 
 
 def _load(spark, path):
-    """Number and content of the newest complete state."""
-    for name in reversed(_state_names(spark, path)):
-        state = _complete(spark, path, name)
-        if state:
-            return int(name[:-5]), state
-    raise FileNotFoundError(f"no table at {path}")
+    """Number and content of the newest state."""
+    taken = _state_names(spark, path)
+    if not taken:
+        raise FileNotFoundError(f"no table at {path}")
+    return int(taken[-1][:-5]), json.loads(files.read_text(spark, f"{path}/_state/{taken[-1]}"))
 
 
 def _commit(spark, path, number, state):
     taken = _state_names(spark, path)
-    newest = int(taken[-1][:-5]) if taken else -1
-    # A higher number than the one read is another writer's, unless that died half way.
-    if newest > number and _complete(spark, path, taken[-1]):
+    if taken and int(taken[-1][:-5]) > number:
         raise TableChanged(path)
     try:
-        files.create_text(spark, f"{path}/_state/{newest + 1:010d}.json", json.dumps(state))
+        files.create_text(spark, f"{path}/_state/{number + 1:010d}.json", json.dumps(state))
     except files.FileTaken as e:
         raise TableChanged(path) from e
+    for name in taken[:-KEPT_STATES + 1]:
+        files.remove(spark, f"{path}/_state/{name}")
 
 
 def _schema(state):
@@ -251,13 +253,16 @@ def upsert(spark, path, df, seq=None, columns=None, batch_id=None, stream="defau
 def _with_stored(spark, path, state, rows, rest):
     """Complete rows with the stored values of the columns they lack.
 
-    Joined on the bucket as well, so only buckets of the batch's keys are read.
+    The batch is written first, by bucket: it is computed once, and only the buckets that it
+    has are read of the table, whatever join the optimiser picks.
     """
     on = ["bucket", *state["keys"]]
+    batch = scratch_dir(spark, "batch")
     rows = rows.withColumn("bucket", _bucket(state))
-    stored = _scan(spark, path, state, rest).select(*on, *rest)
-    met = stored.join(rows.select(*on), on, "left_semi")
-    return rows.join(met, on, "left")
+    rows.write.partitionBy("bucket").parquet(batch)
+    found = {n[len("bucket="):] for n in files.names(spark, batch) if n.startswith("bucket=")}
+    stored = _scan(spark, path, state, rest, found).select(*on, *rest)
+    return spark.read.schema(rows.schema).parquet(batch).join(stored, on, "left")
 
 
 def ensure_cells(spark, path, buckets=16, binary=False):

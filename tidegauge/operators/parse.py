@@ -128,6 +128,7 @@ def conform(df, schema, key=None, null_key="reject"):
 
 
 def project_posts(df, id="id", text="text", created_at="created_at"):
-    """Posts as (id, text, created_at), the time as text."""
+    """Posts as (id, text, created_at), the time as text, and their ``seq`` if they have one."""
+    seq = ["seq"] if "seq" in df.columns else []
     return df.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"),
-                     F.col(created_at).cast("string").alias("created_at"))
+                     F.col(created_at).cast("string").alias("created_at"), *seq)

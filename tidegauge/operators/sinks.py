@@ -6,18 +6,26 @@ from tidegauge import schemas
 from tidegauge.sources.lines import read_lines
 
 
-def append_alerts(df, path, batch_id, style="csv"):
+def batch_folder(path, batch_id, stream=None):
+    """The folder of a batch: batch numbers are counted anew for each stream."""
+    own = f"/query={stream}" if stream else ""
+    return f"{path}{own}/batch_id={batch_id}"
+
+
+def append_alerts(df, path, batch_id, style="csv", stream=None):
     """Write one batch of alert rows below ``path``, in a folder of its own.
 
-    A batch that runs again replaces its own folder, so no alert is there twice.
-    ``style='text'`` writes lines of the form ``Sensor(a,b,...)`` instead of CSV.
+    A batch that runs again replaces its own folder, so no alert is there twice. Give the
+    ``stream`` if several write below one path. ``style='text'`` writes lines of the form
+    ``Sensor(a,b,...)`` instead of CSV, with ``null`` for a null field.
     """
-    target = f"{path}/batch_id={batch_id}"
+    target = batch_folder(path, batch_id, stream)
     rows = df.select(*schemas.SENSOR.fieldNames())
     if style == "csv":
         rows.write.mode("overwrite").csv(target)
     elif style == "text":
-        line = F.concat(F.lit("Sensor("), F.concat_ws(",", *rows.columns), F.lit(")"))
+        fields = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in rows.columns]
+        line = F.concat(F.lit("Sensor("), F.concat_ws(",", *fields), F.lit(")"))
         rows.select(line).write.mode("overwrite").text(target)
     else:
         raise ValueError(f"unknown style {style!r}")
@@ -59,3 +67,33 @@ def publish(lines, target=None, fmt="text", **options):
     else:
         named = {k: str(v) for k, v in options.items()}
         message_rows(lines).write.format(fmt).options(**named).save()
+
+
+def store_options(store, table, keyspace=None, **extra):
+    """Format and options of a connector for a table of an outside store.
+
+    The connectors are packages of their own and are passed through, not part of this library.
+    """
+    if store == "cassandra":
+        if not keyspace:
+            raise ValueError("a keyspace is needed")
+        fmt, options = "org.apache.spark.sql.cassandra", {"table": table, "keyspace": keyspace}
+    elif store == "phoenix":
+        fmt, options = "phoenix", {"table": table}
+    elif store == "hbase":
+        fmt, options = "org.apache.hadoop.hbase.spark", {"hbase.table": table}
+    else:
+        raise ValueError(f"unknown store {store!r}")
+    return fmt, {**options, **{k: str(v) for k, v in extra.items()}}
+
+
+def write_store(df, store, table, keyspace=None, mode="append", **extra):
+    """Rows to a table of an outside store, by its connector."""
+    fmt, options = store_options(store, table, keyspace, **extra)
+    df.write.format(fmt).options(**options).mode(mode).save()
+
+
+def read_store(spark, store, table, keyspace=None, **extra):
+    """A table of an outside store, by its connector."""
+    fmt, options = store_options(store, table, keyspace, **extra)
+    return spark.read.format(fmt).options(**options).load()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidegauge import schemas
 from tidegauge.operators import cells, joins, keyed_table, sinks, stats
 from tidegauge.operators.filters import alerts, keyword_filter
-from tidegauge.operators.parse import (good_rows, parse_employee, parse_maint, parse_pump,
+from tidegauge.operators.parse import (bad_rows, good_rows, parse_employee, parse_maint, parse_pump,
                                        parse_sensor, parse_vmstat, project_posts)
 from tidegauge.plans import adapters, jobs
 from tidegauge.plans.adapters import stream_table, table
@@ -16,7 +16,6 @@ from tidegauge.sources.employees import XML_TAGS
 from tidegauge.streaming import batch_sql, run_batches
 
 KEYWORDS = ["thing", "water"]
-POST_LENGTH = 200  # fixed value: the longest text of a stored post
 WINDOW = {"length": "6 hours", "slide": "2 hours"}
 
 QUERIES = {}
@@ -116,6 +115,24 @@ def vmstat_lenient(spark, sf):
     return _vmstat(spark, sf, "lenient").drop("seq")
 
 
+def _spoiled(spark, sf):
+    """Sensor lines of which those of the first hour lack their last field."""
+    lines = adapters.sensor_lines(table(spark, sf, "events"))
+    hour = F.substring(_field(",", 2), 1, 2)
+    return lines.withColumn("value", F.when(
+        hour == "00", F.regexp_replace("value", ",[^,]*$", "")).otherwise(F.col("value")))
+
+
+@query
+def permissive_good(spark, sf):
+    return good_rows(parse_sensor(_spoiled(spark, sf), "permissive")).drop("seq")
+
+
+@query
+def permissive_bad(spark, sf):
+    return bad_rows(parse_sensor(_spoiled(spark, sf), "permissive")).drop("seq")
+
+
 # Filters ------------------------------------------------------------------------------
 
 @query
@@ -264,6 +281,15 @@ def upsert_employees(spark, sf):
     return keyed_table.read_table(spark, path)
 
 
+@query
+def upsert_employee_cells(spark, sf):
+    """The job from employee lines to cells, read back."""
+    lines, path = scratch_dir(spark, "employee-lines"), scratch_dir(spark, "employee-cells")
+    adapters.employee_lines(_employees(spark, sf), quoted=False).write.text(lines)
+    jobs.employees_to_cells(spark, lines, path)
+    return keyed_table.read_table(spark, path)
+
+
 @query
 def upsert_subset_columns(spark, sf):
     """A batch without last_name: stored names stay, new employees have none."""
@@ -298,10 +324,10 @@ def upsert_cells(spark, sf):
 
 @query
 def upsert_posts(spark, sf):
-    """Posts with a keyword; a text beyond the column's length is refused."""
+    """Posts with a keyword, texts of any length."""
     path = scratch_dir(spark, "posts")
     found = keyword_filter(adapters.posts(table(spark, sf, "documents")), ["the", "de"])
-    jobs.posts_to_table(spark, project_posts(found), path, POST_LENGTH, "reject")
+    jobs.posts_to_table(spark, project_posts(found), path)
     return keyed_table.read_table(spark, path)
 
 
@@ -326,6 +352,39 @@ def _sensor_stream(spark, sf):
     return parse_sensor(adapters.sensor_lines(stream_table(spark, sf, "events")))
 
 
+def _publish(lines, landing, key):
+    """Lines to a landing folder, those of one key in one file and in order."""
+    placed = lines.withColumn("key", key).repartition("key").sortWithinPartitions("key", "seq")
+    sinks.publish(placed, landing)
+
+
+def _in_turns(spark, sf, lines, hours, key, take):
+    """Publishes the lines of each span of hours of the day and lets ``take`` read them.
+
+    ``lines`` makes lines of events. Files of a later turn are newer, so rows arrive by turn and
+    then by ``seq``. Every event is in one of the turns.
+    """
+    landing = scratch_dir(spark, "landing")
+    events = table(spark, sf, "events")
+    for low, high in zip(hours, [*hours[1:], 24]):
+        turn = (F.hour("ts") >= low) & (F.hour("ts") < high)
+        _publish(lines(events.filter(turn)), landing, key)
+        take(stream_lines(spark, landing))
+    return landing
+
+
+def _field(sep, n):
+    return F.get(F.split("value", sep), F.lit(n))
+
+
+def _token(n):
+    """Token n, from 1, of a vmstat line."""
+    return F.get(F.split(F.ltrim("value"), " +"), F.lit(n - 1))
+
+
+TURNS = [0, 8, 16]
+
+
 def _batches(spark, path, schema):
     return spark.read.schema(schema).parquet(path).drop("batch_id")
 
@@ -340,24 +399,24 @@ def publish_sensor_lines(spark, sf):
 
 @query
 def stream_batch_stats(spark, sf):
-    """Lines published to a landing folder, read as a stream, statistics of the batch."""
-    landing, out, state = (scratch_dir(spark, n) for n in ("landing", "stats", "stats-state"))
-    sinks.publish(adapters.sensor_lines(table(spark, sf, "events")), landing)
-    stream = parse_sensor(stream_lines(spark, landing))
+    """Statistics of each batch of a stream that is stopped and started again twice."""
+    out, state = scratch_dir(spark, "stats"), scratch_dir(spark, "stats-state")
     shape = stats.sensor_stats(_sensor(spark, sf)).schema
 
     def per_batch(batch, batch_id):
         _to_parquet(out)(stats.sensor_stats(batch), batch_id)
 
-    run_batches(stream, [per_batch], state)
-    return _rounded(_batches(spark, out, shape))
+    _in_turns(spark, sf, adapters.sensor_lines, TURNS, _field(",", 0),
+              lambda lines: run_batches(parse_sensor(lines), [per_batch], state))
+    batches = spark.read.schema(shape.add("batch_id", "long")).parquet(out)
+    return _rounded(batches)
 
 
 @query
 def stream_alerts(spark, sf):
     out, state = scratch_dir(spark, "alerts"), scratch_dir(spark, "alerts-state")
-    jobs.alert_stream(_sensor_stream(spark, sf), out, state)
-    return spark.read.schema(schemas.SENSOR).csv(out).drop("batch_id")
+    jobs.alert_stream(_sensor_stream(spark, sf), out, state, trigger=None)
+    return spark.read.schema(schemas.SENSOR).csv(out).drop("query", "batch_id")
 
 
 @query
@@ -373,6 +432,8 @@ def stream_alert_maintenance(spark, sf):
     sql = batch_sql("alert", statement, _to_parquet(out))
     run_batches(alerts(_sensor_stream(spark, sf)), [sql], state)
     shape = spark.table("pump").join(spark.table("maint"), "resid").schema
+    for view in ("pump", "maint", "alert"):
+        spark.catalog.dropTempView(view)
     psi = schemas.SENSOR
     fields = [psi[c] if c in psi.fieldNames() else shape[c] for c in joins.VIEW]
     return _batches(spark, out, type(shape)(fields))
@@ -380,9 +441,22 @@ def stream_alert_maintenance(spark, sf):
 
 @query
 def stream_cells(spark, sf):
-    """One pass over the stream into both families of a cell table."""
-    path, state = scratch_dir(spark, "cells"), scratch_dir(spark, "cells-state")
-    jobs.sensor_cells_stream(spark, _sensor_stream(spark, sf), path, state)
+    """Two streams fill both families of one cell table, and a restart adds nothing.
+
+    The second stream reads all lines, the first those of the first half day; a cell keeps
+    what arrived last.
+    """
+    path = scratch_dir(spark, "cells")
+    states = [scratch_dir(spark, "cells-state") for _ in range(2)]
+    later = iter(states)
+
+    def take(lines):
+        jobs.sensor_cells_stream(spark, parse_sensor(lines), path, next(later), trigger=None)
+
+    landing = _in_turns(spark, sf, adapters.sensor_lines, [0, 12], F.concat_ws("_", *[
+        _field(",", i) for i in range(3)]), take)
+    jobs.sensor_cells_stream(spark, parse_sensor(stream_lines(spark, landing)), path, states[1],
+                             trigger=None)
     return keyed_table.read_table(spark, path)
 
 
@@ -390,31 +464,51 @@ def stream_cells(spark, sf):
 def stream_cells_read_back(spark, sf):
     """Binary cells written by a stream and read back as sensor rows."""
     path, state = scratch_dir(spark, "cells"), scratch_dir(spark, "cells-state")
-    jobs.sensor_cells_stream(spark, _sensor_stream(spark, sf), path, state, encoding="binary")
+    jobs.sensor_cells_stream(spark, _sensor_stream(spark, sf), path, state, encoding="binary",
+                             trigger=None)
     return jobs.read_sensor_table(spark, path, "binary")
 
 
 @query
 def stream_vmstat(spark, sf):
     path, state = scratch_dir(spark, "vmstat"), scratch_dir(spark, "vmstat-state")
-    lines = adapters.vmstat_lines(stream_table(spark, sf, "events"))
-    jobs.vmstat_stream_to_table(spark, lines, path, state)
+    _in_turns(spark, sf, adapters.vmstat_lines, [0], _token(6),
+              lambda lines: jobs.vmstat_stream_to_table(spark, lines, path, state, trigger=None))
     return keyed_table.read_table(spark, path)
 
 
 @query
 def stream_vmstat_cells(spark, sf):
     path, state = scratch_dir(spark, "vmstat"), scratch_dir(spark, "vmstat-state")
-    lines = adapters.vmstat_lines(stream_table(spark, sf, "events"), stamped=True)
-    jobs.vmstat_stream_to_cells(spark, lines, path, state)
+    _in_turns(spark, sf, lambda events: adapters.vmstat_lines(events, stamped=True), [0],
+              F.concat_ws(" ", _token(18), _token(19)),
+              lambda lines: jobs.vmstat_stream_to_cells(spark, lines, path, state, trigger=None))
     return keyed_table.read_table(spark, path)
 
 
+@query
+def stream_posts(spark, sf):
+    """Posts with a keyword from a stream, by id; the rows' order is that of the files."""
+    path, state = scratch_dir(spark, "posts"), scratch_dir(spark, "posts-state")
+    posts = adapters.posts(stream_table(spark, sf, "documents"))
+    jobs.post_stream(spark, posts, KEYWORDS, path, state, trigger=None)
+    return keyed_table.read_table(spark, path)
+
+
+@query
+def stream_report(spark, sf):
+    """Alerts with maintenance as the report job writes them, beside statistics and alerts."""
+    out, state = scratch_dir(spark, "report"), scratch_dir(spark, "report-state")
+    jobs.report_stream(_sensor_stream(spark, sf), _pump(spark, sf), _maint(spark, sf), out, state,
+                       trigger=None)
+    return spark.read.parquet(f"{out}/view").drop("query", "batch_id")
+
+
 @query
 def stream_window_counts(spark, sf):
     """Running window counts: each batch upserts the windows it changed."""
     path, state = scratch_dir(spark, "windows"), scratch_dir(spark, "windows-state")
-    jobs.window_stream(spark, _sensor_stream(spark, sf), path, state, **WINDOW)
+    jobs.window_stream(spark, _sensor_stream(spark, sf), path, state, trigger=None, **WINDOW)
     return keyed_table.read_table(spark, path, ["w_start", *stats.BY, "total"])
 
 

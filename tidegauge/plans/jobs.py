@@ -1,8 +1,10 @@
 """The jobs as a user runs them: a source, an operator chain and a sink each.
 
 Batch jobs take paths. Stream jobs take a stream, of lines from ``stream_lines`` or of rows
-parsed from it, a target and a checkpoint folder; ``trigger``, ``timeout`` and ``name`` go to
-``run_batches``.
+parsed from it, a target and a checkpoint folder; ``timeout`` and ``name`` go to
+``run_batches``. ``trigger`` is how often they take a batch; ``trigger=None`` takes what is there
+and ends. Writes to one key go by the order of arrival, the stream's ``seq``; batches are
+told apart by the id in the checkpoint, so several streams may share a target.
 """
 
 from pyspark.sql import functions as F
@@ -11,10 +13,10 @@ from pyspark.sql import types as T
 from tidegauge import schemas
 from tidegauge.operators import cells, joins, keyed_table, sinks, stats
 from tidegauge.operators.filters import alerts, keyword_filter
-from tidegauge.operators.parse import (BAD, good_rows, parse_employee, parse_sensor,
-                                       parse_vmstat, project_posts)
+from tidegauge.operators.parse import (BAD, good_rows, parse_employee, parse_vmstat,
+                                       project_posts)
 from tidegauge.sources import read_employees, read_lines
-from tidegauge.streaming import run_batches
+from tidegauge.streaming import placed, run_batches, stream_id
 
 # How often each stream job takes a batch.
 STATS_INTERVAL = "2 seconds"
@@ -52,27 +54,40 @@ def read_sensor_table(spark, table, encoding="text"):
     return cells.decode_cells(keyed_table.read_table(spark, table), encoding)
 
 
-def posts_to_table(spark, posts, table, max_len=200, on_long="fail", batch_id=None, buckets=16):
-    """Upsert posts by id; ``on_long`` says what happens to a longer text."""
+def posts_to_table(spark, posts, table, max_len=None, on_long="fail", batch_id=None, buckets=16,
+                   seq=None, stream="default"):
+    """Upsert posts by id, of one id the last by ``seq``.
+
+    ``max_len`` limits the characters of a text; ``on_long`` says what happens to a longer one:
+    ``fail``, ``reject`` or ``truncate``, which cuts it. Returns the rejected rows, which are not
+    written, or None.
+    """
     schema = T.StructType([
         T.StructField("tweet_id", T.LongType()), T.StructField("tweet", T.StringType()),
         T.StructField("created_at", T.StringType())])
     keyed_table.ensure_table(spark, table, schema, ["tweet_id"], buckets)
-    rows = posts.select(F.col("id").alias("tweet_id"), F.col("text").alias("tweet"), "created_at")
-    keyed_table.upsert(spark, table, rows, batch_id=batch_id,
-                       max_len={"tweet": max_len, "created_at": max_len}, on_long=on_long)
+    order = [seq] if seq else []
+    rows = posts.select(F.col("id").alias("tweet_id"), F.col("text").alias("tweet"), "created_at",
+                        *order)
+    limits = {"tweet": max_len, "created_at": max_len} if max_len else None
+    keyed_table.upsert(spark, table, rows, seq, batch_id=batch_id, stream=stream, max_len=limits,
+                       on_long=on_long)
+    return keyed_table.too_long(rows, limits) if limits and on_long == "reject" else None
 
 
 # Streams ------------------------------------------------------------------------------
 
-def alert_stream(rows, out, checkpoint, style="csv", **run):
+def alert_stream(rows, out, checkpoint, style="csv", trigger=ALERT_INTERVAL, **run):
     """Low-pressure rows to alert files."""
-    return run_batches(
-        rows, [lambda batch, i: sinks.append_alerts(alerts(batch), out, i, style)],
-        checkpoint, **run)
+
+    def save(batch, i):
+        sinks.append_alerts(alerts(batch), out, i, style,
+                            stream_id(batch.sparkSession, checkpoint))
+
+    return run_batches(rows, [save], checkpoint, trigger, **run)
 
 
-def report_stream(rows, pump, maint, out, checkpoint, show=0, **run):
+def report_stream(rows, pump, maint, out, checkpoint, show=0, trigger=STATS_INTERVAL, **run):
     """Statistics, alerts with maintenance, and alert files of each batch.
 
     The device tables are kept once for all batches, and so is how to join them.
@@ -83,7 +98,8 @@ def report_stream(rows, pump, maint, out, checkpoint, show=0, **run):
     def save(df, name, i):
         if show:
             sinks.preview(df, show)
-        df.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={i}")
+        stream = stream_id(df.sparkSession, checkpoint)
+        df.write.mode("overwrite").parquet(sinks.batch_folder(f"{out}/{name}", i, stream))
 
     def statistics(batch, i):
         save(stats.sensor_stats(batch), "stats", i)
@@ -92,76 +108,82 @@ def report_stream(rows, pump, maint, out, checkpoint, show=0, **run):
         save(joins.alert_maintenance_view(alerts(batch), pump, maint, strategy), "view", i)
 
     def low(batch, i):
-        sinks.append_alerts(alerts(batch), f"{out}/alerts", i)
+        sinks.append_alerts(alerts(batch), f"{out}/alerts", i,
+                            stream=stream_id(batch.sparkSession, checkpoint))
 
     try:
-        return run_batches(rows, [statistics, maintenance, low], checkpoint, **run)
+        return run_batches(rows, [statistics, maintenance, low], checkpoint, trigger, **run)
     finally:
         pump.unpersist()
         maint.unpersist()
 
 
 def sensor_cells_stream(spark, rows, table, checkpoint, encoding="text", mode="both",
-                        buckets=16, **run):
+                        buckets=16, trigger=CELL_INTERVAL, **run):
     """Sensor rows to the data and alert families."""
     keyed_table.ensure_cells(spark, table, buckets, binary=encoding == "binary")
 
     def put(batch, i):
         keyed_table.write_cells(batch.sparkSession, table,
-                                cells.route(batch, mode, encoding), batch_id=i)
+                                cells.route(placed(batch), mode, encoding), batch_id=i,
+                                stream=stream_id(batch.sparkSession, checkpoint))
 
-    return run_batches(rows, [put], checkpoint, **run)
+    return run_batches(rows, [put], checkpoint, trigger, **run)
 
 
-def vmstat_stream_to_table(spark, lines, table, checkpoint, buckets=16, **run):
+def vmstat_stream_to_table(spark, lines, table, checkpoint, buckets=16,
+                           trigger=STATS_INTERVAL, **run):
     """Strict vmstat lines to a table keyed by cache size."""
     keyed_table.ensure_table(spark, table, schemas.VMSTAT, ["CACH"], buckets)
     rows = parse_vmstat(lines, "strict")
     seq = "seq" if "seq" in rows.columns else None
 
     def put(batch, i):
-        keyed_table.upsert(batch.sparkSession, table, batch, seq, batch_id=i)
+        keyed_table.upsert(batch.sparkSession, table, placed(batch), seq, batch_id=i,
+                           stream=stream_id(batch.sparkSession, checkpoint))
 
-    return run_batches(rows, [put], checkpoint, **run)
+    return run_batches(rows, [put], checkpoint, trigger, **run)
 
 
-def vmstat_stream_to_cells(spark, lines, table, checkpoint, buckets=16, **run):
+def vmstat_stream_to_cells(spark, lines, table, checkpoint, buckets=16,
+                           trigger=CELL_INTERVAL, **run):
     """Lenient vmstat lines to cells under date and time."""
     keyed_table.ensure_cells(spark, table, buckets)
     rows = parse_vmstat(lines, "lenient")
 
     def put(batch, i):
-        keyed_table.write_cells(batch.sparkSession, table, cells.vmstat_cells(batch), batch_id=i)
+        keyed_table.write_cells(batch.sparkSession, table, cells.vmstat_cells(placed(batch)),
+                                batch_id=i, stream=stream_id(batch.sparkSession, checkpoint))
 
-    return run_batches(rows, [put], checkpoint, **run)
+    return run_batches(rows, [put], checkpoint, trigger, **run)
 
 
-def post_stream(spark, posts, terms, table, checkpoint, max_len=200, on_long="fail", **run):
-    """Posts with one of the terms to a table keyed by id."""
+def post_stream(spark, posts, terms, table, checkpoint, max_len=None, on_long="fail",
+                trigger=STATS_INTERVAL, **run):
+    """Posts with one of the terms to a table keyed by id; a ``seq`` of the posts orders them."""
     rows = project_posts(keyword_filter(posts, terms))
+    seq = "seq" if "seq" in rows.columns else None
 
     def put(batch, i):
-        posts_to_table(batch.sparkSession, batch, table, max_len, on_long, batch_id=i)
+        posts_to_table(batch.sparkSession, placed(batch), table, max_len, on_long, batch_id=i,
+                       seq=seq, stream=stream_id(batch.sparkSession, checkpoint))
 
-    return run_batches(rows, [put], checkpoint, **run)
+    return run_batches(rows, [put], checkpoint, trigger, **run)
 
 
 def window_stream(spark, rows, table, checkpoint, length="6 seconds", slide="2 seconds",
-                  time="event", watermark=None, buckets=16, **run):
+                  time="event", watermark="1 hour", buckets=16, trigger=STATS_INTERVAL, **run):
     """Counts and psi statistics of sliding windows, kept in a table by window and group.
 
-    A batch writes only the windows it changed. With a ``watermark`` the query forgets
-    windows that are past it; without one it keeps all, and takes rows however late.
+    A batch writes only the windows it changed. The query forgets windows that are past the
+    ``watermark`` and leaves out rows that come later still; ``watermark=None`` takes rows
+    however late, and its state then grows for ever.
     """
     grouped = stats.windowed_report(rows, ["psi"], length, slide, time, watermark=watermark)
     keyed_table.ensure_table(spark, table, grouped.schema, ["w_start", *stats.BY], buckets)
 
     def put(batch, i):
-        keyed_table.upsert(batch.sparkSession, table, batch, batch_id=i)
-
-    return run_batches(grouped, [put], checkpoint, mode="update", **run)
-
+        keyed_table.upsert(batch.sparkSession, table, batch, batch_id=i,
+                           stream=stream_id(batch.sparkSession, checkpoint))
 
-def parse_stream(lines, mode="strict"):
-    """Sensor rows of a stream of lines."""
-    return parse_sensor(lines, mode)
+    return run_batches(grouped, [put], checkpoint, trigger, mode="update", **run)

@@ -177,7 +177,7 @@ ORACLE = {
                 "row_key, family, qualifier", "half desc, seq desc") + ")",
     "upsert_posts": f"""
         select cast(doc_id as bigint) tweet_id, text tweet, source created_at
-        from documents where {_keyword(["the", "de"])} and length(text) <= 200""",
+        from documents where {_keyword(["the", "de"])}""",
     "table_head": f"select * from ({_EMPLOYEE}) order by emp_no limit 5",
     "publish_sensor_lines": f"select {_LINE} \"value\" from events",
     "stream_vmstat": f"select * exclude (seq) from ({_VMSTAT_LAST})",
@@ -185,7 +185,17 @@ ORACLE = {
         + _last(_VMSTAT_CELLS, "row_key, family, qualifier", "seq desc") + ")",
 }
 ORACLE.update({
-    "stream_batch_stats": ORACLE["sensor_stats6"],
+    "stream_batch_stats": f"""
+        select resid, "date", cast(floor("chlPPM" / 8) as bigint) batch_id,
+               {_extremes(schemas.METRICS)}
+        from ({_SENSOR}) group by all""",
+    "stream_posts": ORACLE["keyword_posts"].replace(
+        "id, text, source", "tweet_id, text tweet, source", 1),
+    "stream_report": _ALERT_VIEW,
+    "upsert_employee_cells": ORACLE["cells_employee"],
+    "permissive_good": f"select {_FIELDS} from ({_SENSOR}) where \"chlPPM\" >= 1",
+    "permissive_bad": f"""
+        select regexp_replace({_LINE}, ',[^,]*$', '') _bad from events where hour(ts) = 0""",
     "stream_alerts": ORACLE["low_pressure_alerts"],
     "stream_alert_maintenance": _ALERT_VIEW,
     "stream_cells": ORACLE["upsert_cells"],

@@ -1,5 +1,7 @@
 """Small driver-side file operations on whatever file system a path names."""
 
+import uuid
+
 from py4j.protocol import Py4JJavaError
 
 
@@ -51,15 +53,39 @@ def read_text(spark, path):
 
 
 def create_text(spark, path, text):
-    """Write a new file; fails if it is there already."""
+    """Write a new file; fails if it is there already.
+
+    It is written under a name of its own and renamed without overwriting, so that the file
+    is there with all its text or not at all.
+    """
     fs, p = _fs(spark, path)
-    try:
-        stream = fs.create(p, False)
-    except Py4JJavaError as e:
-        if fs.exists(p):
-            raise FileTaken(path) from e
-        raise
+    partial = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+    stream = fs.create(partial, False)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
+    _give_name(spark, fs, partial, p)
+
+
+def _give_name(spark, fs, partial, p):
+    """Rename without overwriting."""
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    try:
+        context.rename(fs.makeQualified(partial), fs.makeQualified(p), options)
+    except Py4JJavaError as e:
+        fs.delete(partial, False)
+        if fs.exists(p):
+            raise FileTaken(str(p)) from e
+        raise
+
+
+def remove(spark, path):
+    """Remove a file; none is no error."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, False)

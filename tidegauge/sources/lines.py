@@ -10,14 +10,15 @@ def read_lines(spark, path):
 
 
 def widen(df):
-    """Deal the rows of an input with fewer splits than cores over all cores.
+    """Deal the rows of an input that cannot be split over all cores.
 
     A single compressed file or row group would otherwise keep one core busy with all the
-    work after it. Inputs of many splits are left alone.
+    work after it. Inputs of two splits or more are never shuffled for it: lower
+    ``spark.sql.files.maxPartitionBytes`` to split them further.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if 0 < splits < cores else df
+    return df.repartition(cores) if splits == 1 < cores else df
 
 
 def kafka_options(servers, topics, group=None, threads=None, **extra):
@@ -37,16 +38,31 @@ def kafka_options(servers, topics, group=None, threads=None, **extra):
     return options
 
 
-def message_text(df, body="value"):
-    """The message body as text column ``value``, whatever its stored type."""
+def arrival_order(df, fmt):
+    """A column that orders messages by arrival, or None if the source has none.
+
+    Files: modification time, path and start of the split. Topics: timestamp, partition and
+    offset. ``streaming.placed`` adds a row's place within its split.
+    """
+    if {"timestamp", "partition", "offset"} <= set(df.columns):
+        return F.struct("timestamp", "partition", "offset")
+    if fmt == "text":
+        return F.struct("_metadata.file_modification_time", "_metadata.file_path",
+                        "_metadata.file_block_start")
+    return None
+
+
+def message_text(df, body="value", seq=None):
+    """The message body as text column ``value``, whatever its stored type, and its order."""
     column = F.col(body)
     if isinstance(df.schema[body].dataType, T.BinaryType):
         column = F.decode(column, "UTF-8")
-    return df.select(column.cast("string").alias("value"))
+    order = [] if seq is None else [seq.alias("seq")]
+    return df.select(column.cast("string").alias("value"), *order)
 
 
 def stream_lines(spark, path=None, fmt="text", body="value", schema=None, **options):
-    """A stream of lines.
+    """A stream of lines, with ``seq``, the order of their arrival, where the source has one.
 
     ``text`` watches a landing folder: each new file's lines become rows. Other formats
     (``kafka``, ``socket`` or any installed one) pass ``options`` through and give the text
@@ -56,4 +72,4 @@ def stream_lines(spark, path=None, fmt="text", body="value", schema=None, **opti
     if schema is not None:
         reader = reader.schema(schema)
     loaded = reader.load(path) if path else reader.load()
-    return message_text(loaded, body)
+    return message_text(loaded, body, arrival_order(loaded, fmt))

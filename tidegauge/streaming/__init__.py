@@ -1,3 +1,4 @@
-from tidegauge.streaming.batches import batch_sql, run_batches, start_batches
+from tidegauge.streaming.batches import (batch_sql, placed, run_batches, start_batches,
+                                         stream_id)
 
-__all__ = ["batch_sql", "run_batches", "start_batches"]
+__all__ = ["batch_sql", "run_batches", "start_batches", "placed", "stream_id"]

@@ -4,7 +4,24 @@ A batch can run again after a failure, so a sink has to take the same ``batch_id
 ``append_alerts`` replaces that batch's folder, ``upsert`` and ``write_cells`` skip it.
 """
 
+import json
+
 from pyspark import StorageLevel
+from pyspark.sql import functions as F
+
+from tidegauge.sources import files
+
+
+def stream_id(spark, checkpoint):
+    """The id that Spark keeps in a checkpoint: the same after a restart, new in a new one."""
+    return json.loads(files.read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
+def placed(batch):
+    """The batch with the row's place in its split added to its order of arrival ``seq``."""
+    if "seq" not in batch.columns:
+        return batch
+    return batch.withColumn("seq", F.struct(F.col("seq"), F.monotonically_increasing_id()))
 
 
 def start_batches(stream, sinks, checkpoint, trigger=None, name=None, mode="append", keep=None):
