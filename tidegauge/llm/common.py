@@ -30,9 +30,15 @@ def small_batches(spark):
         spark.conf.set(BATCH, usual)
 
 
-def keep(df, label):
-    """``df`` written to the shared folder and read back: cuts lineage, survives executors."""
+def keep(df, label, narrow=False):
+    """``df`` written to the shared folder and read back: cuts lineage, survives executors.
+
+    A ``narrow`` table, of ids and numbers of what has texts elsewhere, is written by an
+    eighth of the shuffle's tasks, whose number suits texts.
+    """
     path = scratch_dir(df.sparkSession, label)
+    if narrow:
+        df = df.coalesce(-(-tasks(df.sparkSession) // 8))
     with small_batches(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

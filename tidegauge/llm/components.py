@@ -14,17 +14,18 @@ def components(links, a="a", b="b"):
     """
     one, other = F.col(a).alias("node"), F.col(b).alias("near")
     edges = keep(links.select(one, other).union(
-        links.select(other.alias("node"), one.alias("near"))).distinct(), "edges")
-    classes = keep(edges.select("node").distinct().withColumn("class", F.col("node")), "classes")
+        links.select(other.alias("node"), one.alias("near"))).distinct(), "edges", True)
+    classes = keep(edges.select("node").distinct().withColumn("class", F.col("node")),
+                   "classes", True)
     while True:
         near = edges.join(classes.withColumnRenamed("node", "near"), "near").groupBy("node").agg(
             F.min("class").alias("least"))
-        found = classes.join(near, "node").select(
-            "node", F.least("class", "least").alias("class"), F.col("class").alias("old"))
-        found = keep(found, "classes")
+        found = keep(classes.join(near, "node").select(
+            "node", F.least("class", "least").alias("class"), F.col("class").alias("old")),
+            "classes", True)
         jump = found.select(F.col("node").alias("class"), F.col("class").alias("next"))
         jumped = keep(found.join(jump, "class").select(
-            "node", F.col("next").alias("class"), "old"), "classes")
+            "node", F.col("next").alias("class"), "old"), "classes", True)
         if not jumped.filter(F.col("class") != F.col("old")).limit(1).count():
             return jumped.select("node", "class")
         classes = jumped.select("node", "class")

@@ -16,7 +16,8 @@ A bucket is led by its ``LEADERS`` most popular members, those in the largest bu
 members are compared with each of them. So buckets of up to ``LEADERS + 1`` members are compared
 completely, and a bucket of n members costs ``LEADERS`` * n comparisons, never all pairs. Members
 of larger buckets that are then still of several classes are banded anew with fresh samples, and
-popularity adds up, as long as a round finds links. No bucket is capped. As with any banding a
+popularity adds up, as long as a round finds at least one link for every ``WORTH`` of them. No
+bucket is capped. As with any banding a
 pair may be missed: one at 0.8 agrees in no band with a chance of 1 in 600, and in a large bucket two
 members that link to each other and to no leader of any band and round are not compared.
 
@@ -38,6 +39,7 @@ BANDS, ROWS = 9, 3
 RARE = 200
 PART = 4096  # documents counted together before their frequent shingles are handed on
 LEADERS = 3  # members of a bucket that all others are compared with
+WORTH = 100  # members of crowded buckets for whom one new link is worth another round
 GROUP = 64  # members compared with one copy of their leader
 
 _rng = np.random.default_rng(20240229)  # a fixed seed: every worker draws the same tables
@@ -207,14 +209,14 @@ def leaders(members, known):
     nearly every bucket of the group. Popularity adds up over the rounds in ``known``.
     """
     sizes = keep(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(
-        "size > 1"), "near-sizes")
-    sized = keep(members.join(sizes, "bucket"), "near-sized")
+        "size > 1"), "near-sizes", True)
+    sized = keep(members.join(sizes, "bucket"), "near-sized", True)
     popular = keep(sized.select("node", F.col("size").cast("double").alias("weight")).union(
-        known).groupBy("node").agg(F.sum("weight").alias("weight")), "near-popular")
+        known).groupBy("node").agg(F.sum("weight").alias("weight")), "near-popular", True)
     order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "node")
     heads = sized.join(popular, "node").withColumn("rank", F.row_number().over(order)).filter(
         F.col("rank") <= LEADERS)
-    return keep(heads.select("bucket", F.col("node").alias("leader"), "size"), "near-heads"), popular
+    return keep(heads.select("bucket", F.col("node").alias("leader"), "size"), "near-heads", True), popular
 
 
 def verified(pairs, texts, shared, least):
@@ -224,7 +226,7 @@ def verified(pairs, texts, shared, least):
     reads the groups in order and holds the leader's shingles and one batch of members.
     """
     spark = pairs.sparkSession
-    counted = keep(pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("n")), "near-sizes")
+    counted = keep(pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("n")), "near-sizes", True)
     groups = F.ceil(F.col("n") / GROUP)
     dealt = pairs.join(counted, "leader").select(
         "leader", "node", F.pmod(F.xxhash64("node"), groups).cast("int").alias("part"))
@@ -262,16 +264,16 @@ def classes(docs, key="doc_id", text="text", least=0.8):
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.xxhash64(body)).alias("_n"),
                        body.alias("_t"), F.col(key).isNull().alias("_null"))
     shared = spark.sparkContext.broadcast(frequent_shingles(rows, "_t"))
-    digests = keep(rows.select("_n", "_null", F.sha2("_t", 256).alias("digest")), "near-digests")
-    first = keep(digests.groupBy("digest").agg(F.min("_n").alias("node")), "near-first")
-    copies = keep(digests.join(first, "digest").select("_n", "_null", "node"), "near-copies")
+    digests = keep(rows.select("_n", "_null", F.sha2("_t", 256).alias("digest")), "near-digests", True)
+    first = keep(digests.groupBy("digest").agg(F.min("_n").alias("node")), "near-first", True)
+    copies = keep(digests.join(first, "digest").select("_n", "_null", "node"), "near-copies", True)
     nodes = copies.select("node").distinct()
     keyed = keep(banded(rows, shared), "near-bands").join(
         nodes.withColumnRenamed("node", "_n"), "_n", "left_semi")
     members = keep(keyed.select(F.explode("keys").alias("bucket"), F.col("_n").alias("node"))
-                   .distinct(), "near-buckets")
+                   .distinct(), "near-buckets", True)
     linked = keep(copies.filter(F.col("_n") != F.col("node")).select(
-        F.col("node").alias("a"), F.col("_n").alias("b")).distinct(), "near-linked")
+        F.col("node").alias("a"), F.col("_n").alias("b")).distinct(), "near-linked", True)
     known = spark.createDataFrame([], "node long, weight double")
     texts, now, turn = None, None, 0
     while True:
@@ -284,19 +286,23 @@ def classes(docs, key="doc_id", text="text", least=0.8):
             pairs = pairs.join(one, "leader", "left").join(other, "node", "left").filter(
                 F.coalesce("leader_class", "leader") != F.coalesce("node_class", "node")).select(
                 "leader", "node")
-        pairs = keep(pairs, "near-pairs")
+        pairs = keep(pairs, "near-pairs", True)
         if not pairs.limit(1).count():
             break
         if texts is None:
             wanted = pairs.select(F.col("leader").alias("_n")).union(
                 pairs.select("node")).distinct()
-            texts = keep(rows.select("_n", "_t").join(wanted, "_n").dropDuplicates(
+            # Whatever their number: a plan that changes with it would not show its cost.
+            texts = keep(rows.select("_n", "_t").join(wanted.hint("merge"), "_n").dropDuplicates(
                 ["_n"]), "near-texts")
-        found = keep(verified(pairs, texts, shared, least), "near-links")
-        if turn and not found.limit(1).count():
+        found = keep(verified(pairs, texts, shared, least), "near-links", True)
+        n_found = found.count() if turn else None
+        if turn and not n_found:
             break
-        linked = keep(linked.union(found), "near-linked")
+        linked = keep(linked.union(found), "near-linked", True)
         now = components(linked)
+        if turn and n_found * WORTH < n_crowd:
+            break
         # Larger buckets with several classes: all their members are banded anew.
         seen = members.join(heads.filter(F.col("size") > LEADERS + 1).select("bucket").distinct(),
                             "bucket", "left_semi").join(now, "node", "left")
@@ -304,13 +310,14 @@ def classes(docs, key="doc_id", text="text", least=0.8):
             F.min(F.coalesce("class", "node")).alias("low"),
             F.max(F.coalesce("class", "node")).alias("high")).filter("low < high")
         crowd = keep(members.join(split.select("bucket"), "bucket", "left_semi").select(
-            F.col("node").alias("_n")).distinct(), "near-crowd")
-        if not crowd.limit(1).count():
+            F.col("node").alias("_n")).distinct(), "near-crowd", True)
+        n_crowd = crowd.count()
+        if not n_crowd:
             break
         turn += 1
         members = keep(banded(texts.join(crowd, "_n", "left_semi"), shared, turn).select(
             F.explode("keys").alias("bucket"), F.col("_n").alias("node")).distinct(),
-            "near-buckets")
+            "near-buckets", True)
     if now is None:
         now = components(linked)
     now = now.withColumnRenamed("node", "_n")
