@@ -7,8 +7,10 @@ documents that agree in a band meet in a bucket. In each bucket all members are
 leaders, and pairs of a weighted Jaccard similarity of at least ``least`` are links. Classes are
 the connected components of links and exact copies.
 
-Document frequencies count over all documents. A shingle in fewer than one of ``RARE`` documents
-weighs as much as one in exactly one of ``RARE``: the weight's ceiling. Hence only the shingles
+Document frequencies count over all documents. A shingle weighs 1 + log(documents / documents that
+have it), but no more than one in exactly one of ``RARE`` documents. The ceiling is low on purpose: the
+shingles of a text of which a third of all documents are edited copies would else weigh so little against
+those of the edits that no copy is similar to another. Also only the shingles
 above that share, at most ``RARE`` times the mean number of shingles of a document, need their
 exact count; ``frequent_shingles`` finds them in two passes and proves that none is missing.
 
@@ -23,7 +25,7 @@ members that link to each other and to no leader of any band and round are not c
 
 Nulls count as empty texts. Texts without words are linked to exact copies only; one to four
 words are one shingle. Rows of one id are one document: their classes join. A null id is replaced by
-the hash of the text. An empty table gives an empty result.
+a number from the hash of the text, above those of real ids. An empty table gives an empty result.
 """
 
 import numpy as np
@@ -36,7 +38,7 @@ from tidegauge.llm.components import components
 from tidegauge.llm.hashing import mix, shingle_hashes
 
 BANDS, ROWS = 9, 3
-RARE = 200
+RARE = 10
 PART = 4096  # documents counted together before their frequent shingles are handed on
 LEADERS = 3  # members of a bucket that all others are compared with
 WORTH = 100  # members of crowded buckets for whom one new link is worth another round
@@ -60,12 +62,12 @@ def weighted(texts, frequent, n_docs):
     if not offset[-1]:
         return np.zeros(0, np.uint64), np.zeros(0), offset
     values = np.concatenate(parts)
-    weights = np.concatenate(counts) * np.log1p(RARE)
+    weights = np.concatenate(counts) * (1 + np.log(RARE))
     keys, df = frequent
     if len(keys):
         at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
         hit = keys[at] == values
-        weights[hit] *= np.log1p(n_docs / df[at[hit]]) / np.log1p(RARE)
+        weights[hit] *= (1 + np.log(n_docs / df[at[hit]])) / (1 + np.log(RARE))
     return values, weights, offset
 
 
@@ -115,6 +117,12 @@ def similarity(one, other):
     return float(shared / total) if total else 0.0
 
 
+def node_of(key, body):
+    """The id of a document; for a null id a number above real ids, from the text."""
+    made = F.xxhash64(body).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    return F.coalesce(key.cast("long"), made)
+
+
 def small_parts(frame, rows=128):
     for at in range(0, len(frame), rows):
         yield frame.iloc[at:at + rows]
@@ -261,7 +269,7 @@ def classes(docs, key="doc_id", text="text", least=0.8):
     spark = docs.sparkSession
     ready(spark)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.xxhash64(body)).alias("_n"),
+    rows = docs.select(node_of(F.col(key), body).alias("_n"),
                        body.alias("_t"), F.col(key).isNull().alias("_null"))
     shared = spark.sparkContext.broadcast(frequent_shingles(rows, "_t"))
     digests = keep(rows.select("_n", "_null", F.sha2("_t", 256).alias("digest")), "near-digests", True)
@@ -332,7 +340,7 @@ def keep_one(docs, key="doc_id", text="text", least=0.8):
     Of rows with one id, or of equal texts without an id, one stays.
     """
     found = keep(classes(docs, key, text, least).distinct(), "near-classes")
-    node = F.coalesce(F.col(key).cast("long"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    node = node_of(F.col(key), F.coalesce(F.col(text), F.lit("")))
     stay = found.select("class_id").distinct()
     rows = docs.withColumn("_node", node).join(
         stay.withColumnRenamed("class_id", "_node"), "_node", "left_semi")
