@@ -1,6 +1,7 @@
 """What the operators of this package share."""
 
 import contextlib
+import gc
 import os
 import pathlib
 
@@ -44,6 +45,16 @@ def keep(df, label, narrow=False):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark):
+    """Lets Spark drop the shuffle files of steps that are done.
+
+    It does so when the driver's garbage is collected, which in a quiet driver comes late: the
+    files of all steps would lie on the executors' disks at once.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ready(spark):
     """Lets Python workers on this machine import the package from where the driver has it.
 

@@ -34,7 +34,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import keep, ready, small_batches, tasks
+from tidegauge.llm.common import keep, ready, release, small_batches, tasks
 from tidegauge.llm.hashing import mix, span_hash, sums
 from tidegauge.llm.suffixes import first_owners
 
@@ -46,6 +46,7 @@ MOST = 1 << 16  # texts of a part, numbered by two bytes
 BUCKET = 4_000_000  # bytes of all texts for each bucket
 SLICE = 1 << 15  # windows hashed together; small enough for a core's cache
 LAST = (1 << 63) - 1
+MAP, LOCAL = -2, -1  # in place of a bucket
 BITS = 1 << 24  # words of the filter of texts
 
 
@@ -130,40 +131,38 @@ def part_anchors(rows, length):
     return keys, number[new], h[new]
 
 
-def anchor_entries(mode, length, part, buckets, frames):
-    """What a part says of its anchors.
+SAID = "bucket int, part long, h binary, number binary, many binary, keys array<long>, hs array<long>"
 
-    ``map``: its id and the keys of its texts. ``entries``: for each bucket the anchors of the
-    part, each once, with the number of its first text. ``local``: the anchors that two texts
-    of the part have, for each such text.
+
+def anchor_entries(length, part, buckets, frames):
+    """What parts say of their anchors, in rows of ``SAID``.
+
+    Bucket ``MAP``: the part's id and the keys of its texts. Bucket ``LOCAL``: the anchors that
+    two texts of the part have, for each such text. Other buckets: the anchors of the part,
+    each once, with the number of its first text and whether others of the part have it.
     """
+    columns = [c.split()[0] for c in SAID.split(", ")]
     for rows in parts_of(frames, part):
-        if mode == "map":
-            keys = np.array([r[0] for r in rows], np.int64)
-            yield pd.DataFrame({"part": [part_id(keys)], "keys": [keys]})
-            continue
         keys, number, h = part_anchors(rows, length)
         if not len(h):
             continue
+        me = part_id(keys)
         heads = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         sizes = np.diff(np.concatenate([heads, [len(h)]]))
-        group = np.repeat(np.arange(len(heads)), sizes)
         owner = keys[number]
-        low, high = np.minimum.reduceat(owner, heads), np.maximum.reduceat(owner, heads)
-        if mode == "local":
-            both = (low != high)[group]
-            if both.any():
-                yield pd.DataFrame({"g": owner[both], "h": h[both].view(np.int64)})
-            continue
-        h, number, many = h[heads], number[heads], low != high
+        several = np.minimum.reduceat(owner, heads) != np.maximum.reduceat(owner, heads)
+        both = np.repeat(several, sizes)
+        out = [(MAP, me, None, None, None, keys, None),
+               (LOCAL, me, None, None, None, owner[both], short(h[both]).view(np.int64))]
+        h, number = h[heads], number[heads]
         bucket = (h % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-        me = part_id(keys)
-        out = [(int(bucket[some[0]]), me, h[some].astype("<u8").view(np.uint8).reshape(
+        out += [(int(bucket[some[0]]), me, h[some].astype("<u8").view(np.uint8).reshape(
                     -1, 8)[:, 3:].tobytes(), number[some].astype("<u2").tobytes(),
-                np.packbits(many[some]).tobytes()) for some in np.split(order, cuts)]
-        yield pd.DataFrame(out, columns=["bucket", "part", "h", "number", "many"])
+                 np.packbits(several[some]).tobytes(), None, None)
+                for some in np.split(order, cuts)]
+        yield pd.DataFrame(out, columns=columns)
 
 
 def repeated_anchors(hot_from, group):
@@ -207,19 +206,19 @@ def runs_of(places, key):
     return new, np.diff(np.concatenate([new, [len(places)]]))
 
 
-def contexts(mode, length, part, buckets, shared_hot, frames):
+WINDOWS = ("bucket int, bytes binary, n binary, g binary, d binary, first binary, "
+           "marks array<struct<g:long,d:long,first:long,n:long>>")
+
+
+def contexts(length, part, buckets, shared_hot, frames):
     """Windows of repeated anchors, from rows (_g, _t, _d, hs) of texts and their anchors.
 
-    ``contexts``: for each bucket the windows with the bytes they cover. ``marks``: the windows
-    of hot anchors that a smaller document of the part has, as (g, first, count).
+    Rows of ``WINDOWS``: for each bucket the windows with the bytes they cover. The windows of hot
+    anchors that a smaller document of the part has are not handed on; they are marks, (g, d,
+    first, count), which travel with one of the part's rows.
     """
     hot = shared_hot.value
     for rows in parts_of(frames, part, ("_g", "_t", "_d", "hs")):
-        if mode == "marks":
-            rows = [r for r in rows if np.isin(np.asarray(r[3], np.int64).view(np.uint64),
-                                               hot).any()]
-            if not rows:
-                continue
         data, starts = buffer([r[1] for r in rows])
         g = np.array([r[0] for r in rows], np.int64)
         d = np.array([r[2] for r in rows], np.int64)
@@ -235,13 +234,11 @@ def contexts(mode, length, part, buckets, shared_hot, frames):
         near, at, least = first_of_runs(data, first[warm], count[warm], d[mine[warm]], length)
         run = np.flatnonzero(warm)[near]
         done = least < d[mine[run]]
-        if mode == "marks":
-            at, text = at[done], mine[run[done]]
-            new, count = runs_of(at, text)
-            if len(new):
-                yield pd.DataFrame({"g": g[text[new]], "d": d[text[new]],
-                                    "first": at[new] - starts[text[new]], "n": count})
-            continue
+        gone, text = at[done], mine[run[done]]
+        new, size = runs_of(gone, text)
+        marks = [dict(zip(("g", "d", "first", "n"), m, strict=True)) for m in zip(
+            g[text[new]].tolist(), d[text[new]].tolist(),
+            (gone[new] - starts[text[new]]).tolist(), size.tolist(), strict=True)]
         far = np.zeros(len(data), bool)
         far[places[np.repeat(cold, count)]] = True
         windows_at, gram, key = anchors(data, far, length, ROUTE)
@@ -264,8 +261,9 @@ def contexts(mode, length, part, buckets, shared_hot, frames):
                                                           count[some].tolist(), strict=True)),
                 count[some].astype("<u2").tobytes(), g[mine[some]].tobytes(),
                 d[mine[some]].tobytes(),
-                (first[some] - starts[mine[some]]).astype("<u4").tobytes()))
-        yield pd.DataFrame(out, columns=["bucket", "bytes", "n", "g", "d", "first"])
+                (first[some] - starts[mine[some]]).astype("<u4").tobytes(), marks))
+            marks = None
+        yield pd.DataFrame(out, columns=["bucket", "bytes", "n", "g", "d", "first", "marks"])
 
 
 def first_of_runs(data, first, count, owner, length):
@@ -288,7 +286,10 @@ def first_of_runs(data, first, count, owner, length):
 
 
 def covered(length, group):
-    """The windows of a bucket that a smaller document has, as (g, d, first, count)."""
+    """The windows of a bucket that a smaller document has, as (g, d, first, count).
+
+    The marks that came along are handed on.
+    """
     def whole(column, kind):
         return np.concatenate([np.frombuffer(v, kind) for v in group[column]])
 
@@ -299,8 +300,11 @@ def covered(length, group):
     done = least < d[run]
     at, run = at[done], run[done]
     new, count = runs_of(at, run)
-    return pd.DataFrame({"g": g[run[new]], "d": d[run[new]],
-                         "first": first[run[new]] + at[new] - begin[run[new]], "n": count})
+    found = pd.DataFrame({"g": g[run[new]], "d": d[run[new]],
+                          "first": first[run[new]] + at[new] - begin[run[new]], "n": count})
+    came = [(m["g"], m["d"], m["first"], m["n"]) for marks in group["marks"]
+            if marks is not None for m in marks]
+    return pd.concat([found, pd.DataFrame(came, columns=found.columns, dtype="int64")])
 
 
 def spans(first, count, length):
@@ -353,28 +357,29 @@ def removals(docs, key="doc_id", text="text", length=LENGTH, part=PART, hot_part
     buckets = max(tasks(spark), size // BUCKET, 1)
     texts = rows.filter(F.octet_length("_t") >= length).select("_g", "_t")
 
-    def said(mode, schema):
-        return texts.mapInPandas(functools.partial(anchor_entries, mode, length, part, buckets), schema)
-
-    part_map = keep(said("map", "part long, keys array<long>").dropDuplicates(["part"]),
-                    "span-parts")
-    hot_from = max(hot_parts, part_map.count() // 10)
-    found = keep(said("entries", "bucket int, part long, h binary, number binary, many binary")
+    said = keep(texts.mapInPandas(
+        functools.partial(anchor_entries, length, part, buckets), SAID), "span-anchors")
+    part_map = said.filter(F.col("bucket") == MAP).select("part", "keys").dropDuplicates(["part"])
+    hot_from = max(hot_parts, said.filter(F.col("bucket") == MAP).count() // 10)
+    found = keep(said.filter("bucket >= 0").select("bucket", "part", "h", "number", "many")
                  .groupBy("bucket").applyInPandas(
                      functools.partial(repeated_anchors, hot_from),
                      "part long, numbers array<int>, hs array<long>, hot array<boolean>"),
                  "span-repeated")
+    release(spark)
     hot = found.select(F.explode(F.arrays_zip("hs", "hot")).alias("x")).filter("x.hot").select(
         "x.hs").distinct().toPandas()["hs"].to_numpy(np.int64).view(np.uint64)
     shared_hot = spark.sparkContext.broadcast(np.sort(hot))
     listed = found.join(part_map, "part").select(
         F.explode(F.arrays_zip("numbers", "hs")).alias("x"), "keys").select(
         F.expr("keys[x.numbers]").alias("g"), F.col("x.hs").alias("h"))
-    local = said("local", "g long, h long").select(
-        "g", F.expr("shiftleft(shiftright(h, 24), 24)").alias("h"))
+    local = said.filter(F.col("bucket") == LOCAL).select(
+        F.explode(F.arrays_zip("keys", "hs")).alias("x")).select(
+        F.col("x.keys").alias("g"), F.col("x.hs").alias("h"))
     least = base.groupBy(F.col("_g").alias("g")).agg(F.min("_d").alias("d"))
     flagged = keep(listed.union(local).groupBy("g").agg(F.collect_set("h").alias("hs")).join(
         least, "g"), "span-flagged")
+    release(spark)
     words = spark.sparkContext.broadcast(_filter_bits(flagged.select("g")))
 
     @F.pandas_udf("boolean")
@@ -391,14 +396,11 @@ def removals(docs, key="doc_id", text="text", length=LENGTH, part=PART, hot_part
     # Bucketed by its text's key, the table meets the marks later without another shuffle.
     some = some.join(flagged, F.col("_g") == F.col("g")).filter(F.col("_d") == F.col("d"))
     some = bucketed(some.select("_g", "_t", "_d", "hs"), "_g", "span_texts")
+    release(spark)
     windows = some.mapInPandas(
-        functools.partial(contexts, "contexts", length, part, buckets, shared_hot),
-        "bucket int, bytes binary, n binary, g binary, d binary, first binary")
-    schema = "g long, d long, first long, n long"
-    marks = windows.groupBy("bucket").applyInPandas(functools.partial(covered, length), schema)
-    if len(hot):
-        marks = marks.union(some.mapInPandas(
-            functools.partial(contexts, "marks", length, part, buckets, shared_hot), schema))
+        functools.partial(contexts, length, part, buckets, shared_hot), WINDOWS)
+    marks = windows.groupBy("bucket").applyInPandas(
+        functools.partial(covered, length), "g long, d long, first long, n long")
     marks = keep(marks.groupBy("g", "d").agg(F.collect_list("first").alias("first"),
                                              F.collect_list("n").alias("n")), "span-marks")
     return base, some, marks
