@@ -125,15 +125,18 @@ def in_blocks(docs, key="doc_id", text="text", blocks=None):
                         F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("_c"))
     cuts = whole.select("_k").agg(F.percentile_approx(
         "_k", [i / blocks for i in range(1, blocks)] or [0.5], 100 * blocks)).first()[0] or []
-    cuts = sorted(set(cuts), reverse=True)
-    # The number of cuts above the id: the order falls, and null is in the last block.
-    block = F.coalesce(
-        F.size(F.filter(F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast(
-            "array<long>"), lambda c: c > F.col("_k"))), F.lit(0))
-    block = F.when(F.col("_k").isNull(), F.lit(len(cuts))).otherwise(block)
+    cuts = np.array(sorted(set(cuts)), np.int64)
+
+    @F.pandas_udf(T.IntegerType())
+    def cuts_above(ids: pd.Series) -> pd.Series:
+        return pd.Series(len(cuts) - np.searchsorted(cuts, ids.to_numpy(np.int64), "right"))
+
+    # The order falls, and null is in the last block.
+    block = F.when(F.col("_k").isNull(), F.lit(len(cuts))).otherwise(
+        cuts_above(F.coalesce("_k", F.lit(0))))
     placed = whole.withColumn("_block", block.cast("int"))
     # First of each block: the largest id, then the smallest checksum.
-    heads = keep(placed.groupBy("_block").agg(F.min(F.struct(
+    heads = keep(placed.drop("_t").groupBy("_block").agg(F.min(F.struct(
         F.col("_k").isNull().alias("n"), (-F.col("_k")).alias("k"), F.col("_c").alias("c")
     )).alias("h")), "sketch-heads")
     order = Window.orderBy("_block")  # as many rows as blocks
