@@ -42,7 +42,16 @@ def keep(df, label, narrow=False):
         df = df.coalesce(-(-tasks(df.sparkSession) // 8))
     with small_batches(df.sparkSession):
         df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.scratch_path = path
+    return kept
+
+
+def discard(kept):
+    """Removes a table of ``keep``; nothing may still be to be computed from it."""
+    path = kept.sparkSession._jvm.org.apache.hadoop.fs.Path(kept.scratch_path)
+    conf = kept.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    path.getFileSystem(conf).delete(path, True)
 
 
 def release(spark):

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import keep, ready, tasks
+from tidegauge.llm.common import discard, keep, ready, tasks
 from tidegauge.llm.components import components
 from tidegauge.llm.hashing import mix, shingle_hashes
 
@@ -326,6 +326,8 @@ def classes(docs, key="doc_id", text="text", least=0.8):
         members = keep(banded(texts.join(crowd, "_n", "left_semi"), shared, turn).select(
             F.explode("keys").alias("bucket"), F.col("_n").alias("node")).distinct(),
             "near-buckets", True)
+    if texts is not None:
+        discard(texts)
     if now is None:
         now = components(linked)
     now = now.withColumnRenamed("node", "_n")

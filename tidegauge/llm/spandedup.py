@@ -34,7 +34,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import keep, ready, release, small_batches, tasks
+from tidegauge.llm.common import discard, keep, ready, release, small_batches, tasks
 from tidegauge.llm.hashing import mix, span_hash, sums
 from tidegauge.llm.suffixes import first_owners
 
@@ -379,6 +379,7 @@ def removals(docs, key="doc_id", text="text", length=LENGTH, part=PART, hot_part
     least = base.groupBy(F.col("_g").alias("g")).agg(F.min("_d").alias("d"))
     flagged = keep(listed.union(local).groupBy("g").agg(F.collect_set("h").alias("hs")).join(
         least, "g"), "span-flagged")
+    discard(said)
     release(spark)
     words = spark.sparkContext.broadcast(_filter_bits(flagged.select("g")))
 
@@ -406,17 +407,24 @@ def removals(docs, key="doc_id", text="text", length=LENGTH, part=PART, hot_part
     return base, some, marks
 
 
+def _drop(table):
+    table.sparkSession.sql(f"DROP TABLE {table.table_name}")
+
+
 def bucketed(df, column, label):
     """``df`` as a table in the warehouse, bucketed by ``column``."""
     spark = df.sparkSession
     name = f"{label}_{uuid.uuid4().hex}"
     with small_batches(spark):
         df.write.bucketBy(tasks(spark), column).option("compression", "zstd").saveAsTable(name)
-    return spark.table(name)
+    made = spark.table(name)
+    made.table_name = name
+    return made
 
 
 def remove_repeats(docs, key="doc_id", text="text", length=LENGTH, **sizes):
     """(key, n_bytes, n_removed, n_spans, kept_sha256) of each document."""
+    spark = docs.sparkSession
     base, some, marks = removals(docs, key, text, length, **sizes)
 
     def run(frames):
@@ -435,6 +443,8 @@ def remove_repeats(docs, key="doc_id", text="text", length=LENGTH, **sizes):
         "g", "d", "_t", "first", "n").mapInPandas(
         run, "g long, d long, removed long, spans long, sha string")
     cut = keep(cut.dropDuplicates(["g", "d"]), "span-cut")
+    _drop(some)
+    release(spark)
     gone = F.col("copy") & (F.col("n_bytes") >= length)
     joined = base.join(cut, (F.col("_g") == F.col("g")) & (F.col("_d") == F.col("d")), "left")
     zero = F.lit(0).cast("long")
@@ -451,7 +461,9 @@ def cut_documents(docs, key="doc_id", text="text", length=LENGTH, **sizes):
 
     All columns stay. A cut may fall inside a character; what is left of it goes too.
     """
-    base, _, marks = removals(docs, key, text, length, **sizes)
+    base, some, marks = removals(docs, key, text, length, **sizes)
+    _drop(some)
+    release(docs.sparkSession)
     gone = base.filter(F.col("copy") & (F.col("n_bytes") >= length)).select(
         F.col("_g").alias("g"), F.col("_d").alias("d"), F.lit(None).cast("array<long>").alias(
             "first"), F.lit(None).cast("array<long>").alias("n")).distinct()
