@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidegauge.llm import (
-    fingerprints, htmltext, licences, mixing, neardup, pieces, quality, sharding, spandedup, warc)
+    fingerprints, htmltext, licences, mixing, neardup, oracle, pieces, quality, sharding, spandedup, warc)
 from tidegauge.session import scratch_dir
 
 
@@ -80,4 +80,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return oracle.oracle_sql()
