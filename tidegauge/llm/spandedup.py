@@ -277,12 +277,18 @@ def first_of_runs(data, first, count, owner, length):
     size = count + length - 1
     begin = np.zeros(len(size) + 1, np.int64)
     np.cumsum(size, out=begin[1:])
-    place = np.arange(begin[-1]) + np.repeat(first - begin[:-1], size)
-    inside = np.arange(begin[-1]) - np.repeat(begin[:-1], size)
-    run = np.repeat(np.arange(len(size)), size)
-    chosen = inside < np.repeat(count, size)
-    at, least = first_owners(data[place], chosen, lambda p: owner[run[p]], length)
-    return run[at], place[at], least
+    shift = first - begin[:-1]
+    if shift.any():
+        data = data[np.arange(begin[-1]) + np.repeat(shift, size)]
+    edge = np.zeros(begin[-1] + 1, np.int8)
+    edge[begin[:-1]] += 1
+    edge[begin[:-1] + count] -= 1
+    chosen = np.cumsum(edge[:-1], dtype=np.int8) > 0
+    run = np.repeat(np.arange(len(size)), count)  # of each window, in their order
+    where = np.full(begin[-1], -1, np.int32)
+    where[chosen] = run
+    at, least = first_owners(data, chosen, lambda p: owner[where[p]], length)
+    return run, at + shift[run], least
 
 
 def covered(length, group):

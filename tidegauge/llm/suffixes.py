@@ -13,12 +13,34 @@ DEPTH = 56
 
 
 def words_at(data):
-    """The eight bytes from each position as one number, zeros behind the end."""
+    """A view of the eight bytes from each position as one number, zeros behind the end."""
     padded = np.concatenate([data, np.zeros(DEPTH + 16, np.uint8)])
-    found = np.zeros(len(data) + DEPTH + 8, np.uint64)
-    for k in range(8):
-        found |= padded[k:k + len(found)].astype(np.uint64) << np.uint64(56 - 8 * k)
-    return found
+    return np.ndarray((len(data) + DEPTH + 8,), ">u8", padded, strides=(1,))
+
+
+def lexicographic(words, at):
+    """Positions ``at`` in order of their first ``DEPTH`` bytes.
+
+    Two words decide most of the order. Where all of a group of equal beginnings go on equally,
+    which is what repeats do, the group is in order already; the others are sorted by the rest.
+    """
+    one, two = (words[at + 8 * k].astype(np.uint64) for k in (0, 1))
+    order = np.lexsort((two, one))
+    at, one, two = at[order], one[order], two[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    group = np.cumsum(new) - 1
+    inner = np.flatnonzero(~new)  # places with an equal beginning before them
+    open_ = np.zeros(len(inner), bool)
+    for k in range(2, DEPTH // 8):
+        open_ |= words[at[inner] + 8 * k] != words[at[inner - 1] + 8 * k]
+    unsettled = np.zeros(len(at), bool)
+    unsettled[group[inner[open_]]] = True
+    rest = np.flatnonzero(unsettled[group])
+    if len(rest):
+        keys = [words[at[rest] + 8 * k].astype(np.uint64) for k in range(DEPTH // 8 - 1, 1, -1)]
+        at[rest] = at[rest][np.lexsort([*keys, group[rest]])]
+    return at
 
 
 def smaller_than_next(data):
@@ -32,7 +54,8 @@ def smaller_than_next(data):
     differs = data != after
     differs[-1:] = True
     # From each position the next one that differs from the byte after it.
-    next_different = np.minimum.accumulate(np.where(differs, np.arange(n), n)[::-1])[::-1]
+    place = np.arange(n, dtype=np.int64 if n >= 1 << 31 else np.int32)
+    next_different = np.minimum.accumulate(np.where(differs, place, place[-1:])[::-1])[::-1]
     types = data < after
     types[-1:] = False
     return types[next_different]
@@ -49,16 +72,15 @@ def sort_suffixes(data, chosen, words=None):
         return np.zeros(0, np.int64)
     words = words_at(data) if words is None else words
     small = smaller_than_next(data)
-    stops = np.append(np.flatnonzero(small), n)  # the end, smaller than all, is sorted too
-    at = np.flatnonzero(chosen)
-    # Every position from a chosen one to the next of type S.
-    edge = np.zeros(n + 2, np.int32)
-    edge[at] += 1
-    edge -= np.bincount(stops[np.searchsorted(stops, at)] + 1, minlength=n + 2).astype(np.int32)
-    inside = np.cumsum(edge[:n]) > 0
+    # Every position from a chosen one to the next of type S: those with a chosen one since
+    # the last of type S before them.
+    seen = np.cumsum(chosen, dtype=np.int64 if n >= 1 << 31 else np.int32)
+    before = np.maximum.accumulate(np.where(small, seen, 0))
+    inside = seen.copy()
+    inside[1:] -= before[:-1]
+    inside = inside > 0
     direct = np.flatnonzero(inside & small)
-    keys = [words[direct + 8 * k] for k in range(DEPTH // 8 - 1, -1, -1)]
-    direct = direct[np.lexsort(keys)]
+    direct = lexicographic(words, direct)
     induced = inside & ~small
     first = data[direct]
     cut = np.searchsorted(first, np.arange(257))
@@ -108,7 +130,7 @@ def first_owners(data, chosen, owner_of, length):
         part = words[order + 8 * k]
         same &= part[1:] == part[:-1]
     if rest:
-        part = words[order + 8 * whole] >> np.uint64(64 - 8 * rest)
+        part = words[order + 8 * whole].astype(np.uint64) >> np.uint64(64 - 8 * rest)
         same &= part[1:] == part[:-1]
     starts = np.flatnonzero(np.concatenate([[True], ~same]))
     owners = owner_of(order)
