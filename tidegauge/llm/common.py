@@ -1,9 +1,9 @@
 """What the operators of this package share."""
 
-import contextlib
 import gc
 import os
 import pathlib
+import re
 
 from pyspark.sql import functions as F
 
@@ -17,20 +17,6 @@ BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 
 
-@contextlib.contextmanager
-def small_batches(spark):
-    """Within it Python workers get batches of some megabytes at a time.
-
-    With long texts the usual batch of thousands of rows is most of a worker's memory.
-    """
-    usual = spark.conf.get(BATCH)
-    spark.conf.set(BATCH, f"{BATCH_BYTES}b")
-    try:
-        yield
-    finally:
-        spark.conf.set(BATCH, usual)
-
-
 def keep(df, label, narrow=False):
     """``df`` written to the shared folder and read back: cuts lineage, survives executors.
 
@@ -40,8 +26,7 @@ def keep(df, label, narrow=False):
     path = scratch_dir(df.sparkSession, label)
     if narrow:
         df = df.coalesce(-(-tasks(df.sparkSession) // 8))
-    with small_batches(df.sparkSession):
-        df.write.parquet(path)
+    df.write.parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
     kept.scratch_path = path
     return kept
@@ -65,10 +50,17 @@ def release(spark):
 
 
 def ready(spark):
-    """Lets Python workers on this machine import the package from where the driver has it.
+    """Prepares a session for Python in its tasks.
 
-    On a cluster install the package on the workers or pass it with ``--py-files``.
+    Workers on this machine import the package from where the driver has it; on a cluster install
+    it on the workers or pass it with ``--py-files``. Workers get batches of some megabytes at a
+    time, now and when a lazy result is computed: with long texts the usual batch of thousands of
+    rows is most of a worker's memory. A smaller setting of the session's own is left as it is.
     """
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", spark.conf.get(BATCH).lower()).groups()
+    now = int(number) << 10 * (" kmgtp".index(unit) if unit else 0)
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(BATCH, f"{BATCH_BYTES}b")
     root = str(pathlib.Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

@@ -34,7 +34,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import discard, keep, ready, release, small_batches, tasks
+from tidegauge.llm.common import discard, keep, ready, release, tasks
 from tidegauge.llm.hashing import mix, span_hash, sums
 from tidegauge.llm.suffixes import first_owners
 
@@ -421,8 +421,7 @@ def bucketed(df, column, label):
     """``df`` as a table in the warehouse, bucketed by ``column``."""
     spark = df.sparkSession
     name = f"{label}_{uuid.uuid4().hex}"
-    with small_batches(spark):
-        df.write.bucketBy(tasks(spark), column).option("compression", "zstd").saveAsTable(name)
+    df.write.bucketBy(tasks(spark), column).option("compression", "zstd").saveAsTable(name)
     made = spark.table(name)
     made.table_name = name
     return made
