@@ -199,6 +199,33 @@ def test_a_crowd_of_edited_copies_finds_its_base(spark):
     assert found.most_common(2)[0][1] >= 149 and found.most_common(2)[1][1] == 1
 
 
+def template_pages(n):
+    """Pages of one template just below 0.8 of each other, and each page's copy just above."""
+    rng = np.random.default_rng(9)
+    head = [f"t{i}" for i in range(350)]
+    texts = []
+    for k in range(n):
+        page = head + [f"p{k}w{i}" for i in range(50)]
+        texts += [page, page[:370] + [f"c{k}x{i}" for i in range(30)]]
+    return [(i, " ".join(texts[i])) for i in rng.permutation(len(texts)).tolist()]
+
+
+def test_near_copies_in_a_crowd_of_several_classes(spark):
+    """Every page links to its copy only; brute force over all pairs of the crowd."""
+    n = 40
+    pages = template_pages(n)
+    others = [(10 ** 6 + k, " ".join(f"y{k}z{i}" for i in range(50))) for k in range(9 * len(pages))]
+    rows = spark.createDataFrame(pages + others, "doc_id long, text string")
+    frequent, total = neardup.frequent_shingles(rows)
+    values, weights, offset = neardup.weighted([t for _, t in pages], frequent, total)
+    sets = [(values[a:b], weights[a:b]) for a, b in zip(offset[:-1], offset[1:], strict=True)]
+    links = {tuple(sorted((pages[i][0], pages[j][0]))) for i in range(len(pages)) for j in range(i)
+             if neardup.similarity(sets[i], sets[j]) >= 0.8}
+    assert links == {(2 * k, 2 * k + 1) for k in range(n)}
+    found = {r.doc_id: r.class_id for r in neardup.classes(rows).collect()}
+    assert found == {i: i - i % 2 if i < 10 ** 6 else i for i, _ in pages + others}
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (205, 200)]
     found = {r.node: r["class"] for r in components(spark.createDataFrame(

@@ -16,12 +16,12 @@ exact count; ``frequent_shingles`` finds them in two passes and proves that none
 
 A bucket is led by its ``LEADERS`` most popular members, those in the largest buckets; all its
 members are compared with each of them. So buckets of up to ``LEADERS + 1`` members are compared
-completely, and a bucket of n members costs ``LEADERS`` * n comparisons, never all pairs. Members
-of larger buckets that are then still of several classes are banded anew with fresh samples, and
-popularity adds up, as long as a round finds at least one link for every ``WORTH`` of them. No
-bucket is capped. As with any banding a
-pair may be missed: one at 0.8 agrees in no band with a chance of 1 in 600, and in a large bucket two
-members that link to each other and to no leader of any band and round are not compared.
+completely, and a bucket of n members costs ``LEADERS`` * n comparisons, never all pairs. The members
+of larger buckets that are then still of several classes go through an exact join: the first
+shingles of a text, rarest first, up to where the rest weighs too little for a link, meet those of other
+classes, and every pair that their weights do not rule out is compared unless other links have
+joined it meanwhile. No bucket is capped and no pair that meets in one is left out. As with any banding a
+pair may meet in no band: one at 0.8 with a chance of 1 in 600.
 
 Nulls count as empty texts. Texts without words are linked to exact copies only; one to four
 words are one shingle. Rows of one id are one document: their classes join. A null id is replaced by
@@ -41,7 +41,10 @@ BANDS, ROWS = 9, 3
 RARE = 10
 PART = 4096  # documents counted together before their frequent shingles are handed on
 LEADERS = 3  # members of a bucket that all others are compared with
-WORTH = 100  # members of crowded buckets for whom one new link is worth another round
+STEP = float(np.log(1.02))  # texts of the exact join meet by the logarithm of their weight
+SLACK = 1e-6  # what rounding may add to a bound
+FIRST, MORE = 1, 16  # pairs of two classes and a share that are tried at once, and how they grow
+SHARES = 8
 GROUP = 64  # members compared with one copy of their leader
 
 _rng = np.random.default_rng(20240229)  # a fixed seed: every worker draws the same tables
@@ -209,22 +212,22 @@ def banded(rows, shared, turn=0):
     return rows.select("_n", "_t").mapInPandas(run, "_n long, keys array<long>")
 
 
-def leaders(members, known):
-    """(bucket, leader, size), up to ``LEADERS`` for each bucket of two or more, and popularity.
+def leaders(members):
+    """(bucket, leader, size), up to ``LEADERS`` for each bucket of two or more.
 
     A member is the more popular, the larger the buckets that it is in. Of a group of edited
     copies the text they were made from agrees with most of them in most bands, so it leads
-    nearly every bucket of the group. Popularity adds up over the rounds in ``known``.
+    nearly every bucket of the group.
     """
     sizes = keep(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(
         "size > 1"), "near-sizes", True)
     sized = keep(members.join(sizes, "bucket"), "near-sized", True)
-    popular = keep(sized.select("node", F.col("size").cast("double").alias("weight")).union(
-        known).groupBy("node").agg(F.sum("weight").alias("weight")), "near-popular", True)
+    popular = keep(sized.groupBy("node").agg(F.sum(F.col("size").cast("double")).alias("weight")),
+                   "near-popular", True)
     order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "node")
     heads = sized.join(popular, "node").withColumn("rank", F.row_number().over(order)).filter(
         F.col("rank") <= LEADERS)
-    return keep(heads.select("bucket", F.col("node").alias("leader"), "size"), "near-heads", True), popular
+    return keep(heads.select("bucket", F.col("node").alias("leader"), "size"), "near-heads", True)
 
 
 def verified(pairs, texts, shared, least):
@@ -264,6 +267,93 @@ def verified(pairs, texts, shared, least):
     return ordered.select("leader", "node", "_t").mapInPandas(run, "a long, b long")
 
 
+def level(weight):
+    return F.floor(F.log(weight) / STEP)
+
+
+def candidates(crowd, texts, shared, least):
+    """(leader, node, hope): pairs of crowd members (node, class) of two classes that may be links.
+
+    Shingles are in one order, by the number of members that have them. All that a pair shares stands
+    from its first shared shingle on, so both texts' weight from there on must be enough for the sum of both
+    weights: only shingles before the rest is below ``least`` of a text count, and the heavier text
+    is looked for among weights that its rest allows. Members of a shingle's largest class meet only
+    those of others. ``hope`` is the largest such rest of both.
+    """
+
+    def run(frames):
+        frequent, n_docs = shared.value
+        for frame in frames:
+            for part in small_parts(frame):
+                values, weights, offset = weighted(part["_t"], frequent, n_docs)
+                sizes = np.diff(offset)
+                total = np.array([weights[x:y].sum() for x, y in zip(offset[:-1], offset[1:], strict=True)])
+                yield pd.DataFrame({
+                    "h": values.view(np.int64), "node": np.repeat(part["node"].to_numpy(), sizes),
+                    "class": np.repeat(part["class"].to_numpy(), sizes), "w": weights,
+                    "total": np.repeat(total, sizes)})
+
+    own = crowd.join(texts.withColumnRenamed("_n", "node"), "node").select("node", "class", "_t")
+    found = keep(own.mapInPandas(run, "h long, node long, class long, w double, total double"), "near-shingles")
+    counted = found.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("class").alias("low"),
+                                     F.max("class").alias("high")).filter("df > 1")
+    order = Window.partitionBy("node").orderBy("df", "h")
+    ordered = found.join(counted, "h", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn(
+        "rest", F.col("total") - F.sum("w").over(order) + F.col("w"))
+    first = keep(ordered.filter((F.col("rest") >= F.col("total") * (least * (1 - SLACK))) & (
+        F.col("low") < F.col("high"))).select("h", "node", "class", "total", "rest"), "near-first-shingles")
+    discard(found)
+    largest = first.groupBy("h", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(
+        F.max_by("class", F.struct("n", "class")).alias("main"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    most = F.col("rest") * ((1 + least) / least) - F.col("total")  # weight of the other text
+    near = keep(first.join(largest.drop("n"), "h").withColumn("most", most * (1 + SLACK)), "near-meeting")
+    light = near.filter("most >= total").withColumn("level", level("total"))
+    heavy = near.withColumn("level", F.explode(F.sequence(
+        level(F.col("total") * (least * (1 - 4 * SLACK))), level(F.least("total", "most")))))
+
+    def meeting(one, other):
+        s, l = one.alias("s"), other.alias("l")
+        shared_most = F.least("s.rest", "l.rest") * (1 + SLACK)
+        return s.join(l, ["h", "level"]).filter(
+            (F.col("s.class") != F.col("l.class"))
+            & (F.struct("s.total", "s.node") < F.struct("l.total", "l.node"))
+            & (shared_most >= (F.col("s.total") + F.col("l.total")) * (least / (1 + least)))).select(
+            F.col("s.node").alias("leader"), F.col("l.node").alias("node"),
+            (F.col("s.rest") + F.col("l.rest")).alias("hope"))
+
+    aside = F.col("class") != F.col("main")
+    met = meeting(light.filter(aside), heavy).union(meeting(light.filter(~aside), heavy.filter(aside)))
+    return met.groupBy("leader", "node").agg(F.max("hope").alias("hope"))
+
+
+def settled(linked, now, crowd, texts, shared, least):
+    """The classes when every link between members of the crowd counts.
+
+    The most hopeful pairs of two classes are compared first; pairs that their links join need no more
+    comparison. The rest follows until none is left.
+    """
+    left = keep(candidates(crowd, texts, shared, least), "near-candidates", True)
+    first = FIRST
+    while True:
+        one, other = (now.select(F.col("node").alias(c), F.col("class").alias(f"{c}_class"))
+                      for c in ("leader", "node"))
+        apart = left.select("leader", "node", "hope").join(one, "leader", "left").join(other, "node", "left").select(
+            "leader", "node", "hope", F.coalesce("leader_class", "leader").alias("x"),
+            F.coalesce("node_class", "node").alias("y")).filter("x != y")
+        order = Window.partitionBy(F.least("x", "y"), F.greatest("x", "y"), F.pmod(
+            F.xxhash64("leader", "node"), F.lit(SHARES))).orderBy(F.col("hope").desc(), "leader", "node")
+        left = keep(apart.withColumn("rank", F.row_number().over(order)), "near-candidates", True)
+        tried = left.filter(F.col("rank") <= first).select("leader", "node")
+        if not tried.limit(1).count():
+            return now
+        found = keep(verified(tried, texts, shared, least), "near-links", True)
+        if found.limit(1).count():
+            linked = keep(linked.union(found), "near-linked", True)
+            now = components(linked)
+        left = left.filter(F.col("rank") > first)
+        first *= MORE
+
+
 def classes(docs, key="doc_id", text="text", least=0.8):
     """(id, class_id) of each row: class_id is the smallest id of the class."""
     spark = docs.sparkSession
@@ -282,53 +372,28 @@ def classes(docs, key="doc_id", text="text", least=0.8):
                    .distinct(), "near-buckets", True)
     linked = keep(copies.filter(F.col("_n") != F.col("node")).select(
         F.col("node").alias("a"), F.col("_n").alias("b")).distinct(), "near-linked", True)
-    known = spark.createDataFrame([], "node long, weight double")
-    texts, now, turn = None, None, 0
-    while True:
-        heads, known = leaders(members, known)
-        pairs = members.join(heads, "bucket").filter(F.col("node") != F.col("leader")).select(
-            "leader", "node").distinct()
-        if now is not None:
-            one, other = (now.select(F.col("node").alias(c), F.col("class").alias(f"{c}_class"))
-                          for c in ("leader", "node"))
-            pairs = pairs.join(one, "leader", "left").join(other, "node", "left").filter(
-                F.coalesce("leader_class", "leader") != F.coalesce("node_class", "node")).select(
-                "leader", "node")
-        pairs = keep(pairs, "near-pairs", True)
-        if not pairs.limit(1).count():
-            break
-        if texts is None:
-            wanted = pairs.select(F.col("leader").alias("_n")).union(
-                pairs.select("node")).distinct()
-            # Whatever their number: a plan that changes with it would not show its cost.
-            texts = keep(rows.select("_n", "_t").join(wanted.hint("merge"), "_n").dropDuplicates(
-                ["_n"]), "near-texts")
-        found = keep(verified(pairs, texts, shared, least), "near-links", True)
-        n_found = found.count() if turn else None
-        if turn and not n_found:
-            break
-        linked = keep(linked.union(found), "near-linked", True)
+    heads = leaders(members)
+    pairs = keep(members.join(heads, "bucket").filter(F.col("node") != F.col("leader")).select(
+        "leader", "node").distinct(), "near-pairs", True)
+    if pairs.limit(1).count():
+        wanted = pairs.select(F.col("leader").alias("_n")).union(pairs.select("node")).distinct()
+        # Whatever their number: a plan that changes with it would not show its cost.
+        texts = keep(rows.select("_n", "_t").join(wanted.hint("merge"), "_n").dropDuplicates(
+            ["_n"]), "near-texts")
+        linked = keep(linked.union(verified(pairs, texts, shared, least)), "near-linked", True)
         now = components(linked)
-        if turn and n_found * WORTH < n_crowd:
-            break
-        # Larger buckets with several classes: all their members are banded anew.
+        # Larger buckets with several classes: their members' other pairs are still to be compared.
         seen = members.join(heads.filter(F.col("size") > LEADERS + 1).select("bucket").distinct(),
-                            "bucket", "left_semi").join(now, "node", "left")
-        split = seen.groupBy("bucket").agg(
-            F.min(F.coalesce("class", "node")).alias("low"),
-            F.max(F.coalesce("class", "node")).alias("high")).filter("low < high")
-        crowd = keep(members.join(split.select("bucket"), "bucket", "left_semi").select(
-            F.col("node").alias("_n")).distinct(), "near-crowd", True)
-        n_crowd = crowd.count()
-        if not n_crowd:
-            break
-        turn += 1
-        members = keep(banded(texts.join(crowd, "_n", "left_semi"), shared, turn).select(
-            F.explode("keys").alias("bucket"), F.col("_n").alias("node")).distinct(),
-            "near-buckets", True)
-    if texts is not None:
+                            "bucket", "left_semi").join(now, "node", "left").select(
+            "bucket", "node", F.coalesce("class", "node").alias("class"))
+        split = seen.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter(
+            "low < high")
+        crowd = keep(seen.join(split.select("bucket"), "bucket", "left_semi").select(
+            "node", "class").distinct(), "near-crowd", True)
+        if crowd.limit(1).count():
+            now = settled(linked, now, crowd, texts, shared, least)
         discard(texts)
-    if now is None:
+    else:
         now = components(linked)
     now = now.withColumnRenamed("node", "_n")
     return copies.join(now, "_n", "left").select(
