@@ -95,6 +95,26 @@ def test_main_text_of_a_page():
         "A quotation of some length, with a comma."]
 
 
+ARTICLE = ("<h1>A heading of the page</h1>" + "".join(
+    f"<p>Paragraph {k} of the text, which is long enough to be kept. It has stops, and a second sentence.</p>"
+    for k in range(6)))
+AROUND = ("<nav><a href=a>One</a> <a href=b>Two</a></nav><div class=ad>Buy this now. It is cheap. Really.</div>",
+          "<footer><p>Copyright by us. All rights are reserved, of course.</p></footer>")
+
+
+@pytest.mark.parametrize("before, after", [
+    ('<body class="has-sidebar">', "</body>"), ('<body class="no-sidebar comments-open">', "</body>"),
+    ('<body class="sidebar">', "</body>"), ('<body><div id="page-search">', "</div></body>"),
+    ("<body><form action=x>", "</form></body>"),
+    ('<body><form class="form"><div class="no-sidebar"><main class="comments-open"><article>',
+     "</article></main></div></form></body>")])
+def test_main_text_in_wrappers(before, after):
+    """What wraps the whole page decides nothing: the text is that of the page without wrappers."""
+    want = htmltext.main_text(f"<body>{AROUND[0]}{ARTICLE}{AROUND[1]}</body>")
+    assert want.count("\n") == 6 and "Buy" not in want and "Copyright" not in want
+    assert htmltext.main_text(f"<html>{before}{AROUND[0]}{ARTICLE}{AROUND[1]}{after}</html>") == want
+
+
 def test_main_text_of_tricky_pages(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, "u", "no markup at all, only a sentence of text."),
             (4, "u", "<p>unclosed <b>and long enough to be text, with a stop.<!-- never closed <p>x"),

@@ -3,7 +3,8 @@
 A page becomes a row of text blocks. A linear classifier scores each block from its length,
 links, punctuation and the names around it; the scores become the capacities of the block's
 edges to the terminals content and boilerplate. Neighbours on the page and near relatives in
-the element tree are joined by smoothness edges. The minimum cut, found by maximum flow, is
+the element tree are joined by smoothness edges. Names say nothing against the page itself, ``article``
+and ``main``, nor do names or ``form`` against an element that holds most of the page's text. The minimum cut, found by maximum flow, is
 the cheapest labelling; the content blocks in page order are the text.
 
 Nulls and empty pages have the empty text. White space inside a block becomes one space,
@@ -27,10 +28,10 @@ BLOCKS = frozenset((
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main "
     "menu nav ol p pre section summary table tbody td tfoot th thead title tr ul").split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head title button select option textarea label form fieldset legend "
-                   "menu nav dialog".split())
+UNSEEN = frozenset("head title button select option textarea".split())
+WHOLE = frozenset("html body article main".split())  # names do not count against these
 TAG_SCORE = {"article": 4.0, "main": 3.0, "header": -4.0, "footer": -8.0, "aside": -8.0,
-             "nav": -9.0, "menu": -9.0, "form": -9.0, "address": -1.0, "li": -0.5, "td": -0.5,
+             "nav": -9.0, "menu": -9.0, "form": -9.0, "dialog": -9.0, "label": -9.0, "legend": -9.0, "address": -1.0, "li": -0.5, "td": -0.5,
              "blockquote": 0.5, "h1": 1.0, "figcaption": -0.5}
 NAME_SCORE = {
     **dict.fromkeys("ad ads adv advert adverts advertisement advertising banner sponsor sponsored "
@@ -56,6 +57,9 @@ _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true",
                      re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
+# Tokens that tell the state or layout of a page, such as has-sidebar, no-sidebar and comments-open.
+_STATE = re.compile(r"(?:has|have|no|not|with|without|is|show|hide)[-_]|.*[-_](?:open|opened|closed|enabled|"
+                    r"disabled|on|off|left|right|none)\Z")
 _SPACES = re.compile(r"\s+")
 _STOPS = re.compile(r"[.!?;:,…](?:\s|$)")
 
@@ -64,9 +68,9 @@ def _named_score(attributes):
     """The lowest score of the words in class, id and role, or else the highest."""
     found = []
     for match in _NAMED.finditer(attributes):
-        for word in _PART.findall((match[2] or match[3] or match[4] or "").lower()):
-            if word in NAME_SCORE:
-                found.append(NAME_SCORE[word])
+        for token in (match[2] or match[3] or match[4] or "").lower().split():
+            if not _STATE.match(token):
+                found += [NAME_SCORE[word] for word in _PART.findall(token) if word in NAME_SCORE]
     if not found:
         return 0.0
     return min(found) if min(found) < 0 else max(found)
@@ -74,22 +78,29 @@ def _named_score(attributes):
 
 def blocks(page):
     """Text blocks of a page: (text, link characters, score of its elements, element path)."""
-    stack = []  # (name, score, number)
+    stack = []  # (name, score, score if it holds most of the text, number)
     found, pieces, linked = [], [], []
+    held = {}  # characters of text by element
     state = {"link": 0, "number": 0}
 
     def end():
         text = _SPACES.sub(" ", html.unescape("".join(pieces))).strip()
         pieces.clear()
-        if text and not any(name in UNSEEN for name, _, _ in stack):
-            inside = any(n in ("article", "main") for n, _, _ in stack)
-            score = sum(s / 2 if n == "header" and inside else s for n, s, _ in stack)
-            low = [s for _, s, _ in stack if s <= -8]
-            # Inside an advert or a footer no name of an outer element makes up for it.
-            found.append((text, len("".join(linked)), min(low) if low else max(-8.0, min(6.0, score)),
-                          tuple(number for _, _, number in stack)))
+        if text and not any(e[0] in UNSEEN for e in stack):
+            found.append((text, len("".join(linked)), tuple(stack)))
+            for e in stack:
+                held[e[3]] = held.get(e[3], 0) + len(text)
         linked.clear()
 
+    def around(elements):
+        """The score of a block's elements."""
+        inside = any(e[0] in ("article", "main") for e in elements)
+        worth = [(e[0], e[2] if 2 * held[e[3]] > whole else e[1]) for e in elements]
+        low = [w for _, w in worth if w <= -8]
+        # Inside an advert or a footer no name of an outer element makes up for it.
+        return min(low) if low else max(-8.0, min(6.0, sum(
+            w / 2 if n == "header" and inside else w for n, w in worth)))
+
     def put(text):
         if text:
             pieces.append(text)
@@ -147,14 +158,15 @@ def blocks(page):
             stack.pop()
         if token[4].endswith("/") and name not in BLOCKS:
             continue
-        score = TAG_SCORE.get(name, 0.0) + _named_score(token[4])
-        if token[4] and _HIDDEN.search(token[4]):
-            score -= 9.0
+        tag, named = TAG_SCORE.get(name, 0.0), _named_score(token[4])
+        hidden = -9.0 if token[4] and _HIDDEN.search(token[4]) else 0.0
+        most = (0.0 if name == "form" else tag) + max(0.0, named) + hidden
         state["number"] += 1
-        stack.append((name, score, state["number"]))
+        stack.append((name, most if name in WHOLE else tag + named + hidden, most, state["number"]))
     put(page[at:])
     end()
-    return found
+    whole = sum(len(text) for text, _, _ in found)
+    return [(text, links, around(path), tuple(e[3] for e in path)) for text, links, path in found]
 
 
 def scores(found):
