@@ -296,6 +296,18 @@ def test_repeated_spans_of_tricky_rows(docs, no_docs):
     assert spandedup.cut_documents(no_docs).count() == 0
 
 
+def test_a_run_at_the_beginning_alone():
+    data = np.frombuffer(b"ab" * 2525, np.uint8)
+    run, at, least = spandedup.first_of_runs(data, np.array([0]), np.array([9]), np.array([1]), 50)
+    assert run.tolist() == [0] * 9 and at.tolist() == list(range(9)) and least.tolist() == [1] * 9
+
+
+@pytest.mark.parametrize("length", [31, 57])
+def test_lengths_that_are_refused(sample, length):
+    with pytest.raises(ValueError):
+        spandedup.remove_repeats(sample, length=length)
+
+
 def test_suffixes_are_sorted():
     rng = np.random.default_rng(6)
     for kinds in (2, 3, 256):

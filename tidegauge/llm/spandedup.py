@@ -23,7 +23,8 @@ Copies of a whole text are one text of the smallest id; the others are removed w
 
 Nulls: a null text is empty; null ids come after all others and do not remove each other. Rows
 of one id do not remove each other. Texts below ``length`` bytes are left alone. An
-empty table gives an empty result. Lone surrogates become question marks.
+empty table gives an empty result. Lone surrogates become question marks. ``length`` is from ``GRAM``
+to the depth of the sort (32 to 56); others are refused.
 """
 
 import functools
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.common import discard, keep, ready, release, tasks
 from tidegauge.llm.hashing import mix, span_hash, sums
-from tidegauge.llm.suffixes import first_owners
+from tidegauge.llm.suffixes import DEPTH, first_owners
 
 LENGTH = 50
 GRAM = 32  # bytes of an anchor: rarely repeated by chance
@@ -280,6 +281,8 @@ def first_of_runs(data, first, count, owner, length):
     shift = first - begin[:-1]
     if shift.any():
         data = data[np.arange(begin[-1]) + np.repeat(shift, size)]
+    else:
+        data = data[:begin[-1]]
     edge = np.zeros(begin[-1] + 1, np.int8)
     edge[begin[:-1]] += 1
     edge[begin[:-1] + count] -= 1
@@ -350,6 +353,8 @@ def removals(docs, key="doc_id", text="text", length=LENGTH, part=PART, hot_part
     (_g, _t, _d, hs), the texts with repeated anchors, copies of others left out. marks:
     (g, d, first, n), the runs of windows that a smaller document has, for each such text.
     """
+    if not GRAM <= length <= DEPTH:
+        raise ValueError(f"length must be from {GRAM} to {DEPTH}")
     spark = docs.sparkSession
     ready(spark)
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
