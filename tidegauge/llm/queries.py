@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tidegauge.llm import (
-    fingerprints, htmltext, licences, mixing, neardup, oracle, pieces, quality, sharding, spandedup, warc)
+    fingerprints, htmltext, licences, mixing, neardup, oracle, packing, pieces, quality, runs, sharding,
+    spandedup, warc, whitening)
 from tidegauge.session import scratch_dir
 
 
@@ -73,10 +74,24 @@ def op10_sentencepiece(spark, sf_dir):
     return pieces.encode_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    text = runs.made_periodic(F.col("doc_id").cast("string"), F.col("text"))
+    return runs.digests(runs.find_runs(docs.select("doc_id", text.alias("text"))))
+
+
+def op12_packing(spark, sf_dir):
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.long_form(_table(spark, sf_dir, "embeddings"))
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_licences, op2_warc, op3_quality_rules, op4_fingerprints, op5_main_text, op6_near_duplicates, op7_mixing,
-        op8_suffix_dedup, op9_sharding, op10_sentencepiece)}
+        op8_suffix_dedup, op9_sharding, op10_sentencepiece, op11_periodic_runs, op12_packing, op13_whitening)}
 
 
 def oracle_sql():
