@@ -191,7 +191,8 @@ def test_words_give_the_ids_of_whole_texts(sample):
     words, whole = (packing.Encoder(packing.word_tokenizer(), a) for a in (False, True))
     rng = np.random.default_rng(5)
     odd = ["a", "́", "'s", "'", "\x1c", "\x85", "　", " ", " ", "\x0b", " ",
-           "\n", "\t", "\x0c", "İ", "Σ", "ﬁ", "9", "-", "<|endoftext|>",
+           "\n", "\t", "\x0c", "İ", "Σ", "ﬁ", "9", "-", "<|endoftext|>", "<|endoftext",
+           "|>", ".,", "b", "'ll",
            "\U0001f600", "ᄀ", "ᅡ", "Å", "t's", "\x00"]
     texts = ["".join(rng.choice(odd, int(rng.integers(0, 30)))) for _ in range(2000)]
     texts += [r.text for r in sample.collect()] + ["x" * 5000 + " y", ""]

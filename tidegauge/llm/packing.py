@@ -16,12 +16,15 @@ Nulls: a null text is empty and becomes the end token alone; a null id is kept.
 pieces of their own. Ties between places go to the smallest gap, so a rerun on the same table gives
 the same sequences. An empty table gives an empty result. Other columns are ignored.
 
-Tokens do not cross white space in the tokenizers this is for (their pre-tokenizer splits there and
-drops it), so each word is encoded once for a task. ``across_spaces=True`` encodes whole texts.
+The tokenizers this is for split texts before all else: at white space, which they drop, between
+letters and marks, and at each digit. So a worker encodes a word once and remembers a bounded number
+of words. For others, ``across_spaces=True`` encodes whole texts.
 """
 
 import functools
 import os
+import re
+import struct
 import zlib
 
 import numpy as np
@@ -35,7 +38,9 @@ from tidegauge.llm.common import keep, ready
 SIZE = 2048
 END = 0
 GROUP = 16384  # pieces packed in one task
-WORDS = 1 << 19  # words remembered by a task
+WORDS = 1 << 19  # words of late that a worker remembers, and as many before
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LETTERS = re.compile(rb"[A-Za-z]")
 LONGEST = 64  # bytes of a word that is remembered
 PIECES = "doc_id {}, piece int, start long, length long, ids_crc32 long, ids {}"
 
@@ -47,6 +52,10 @@ def word_tokenizer():
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def as_bytes(ids):
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Ids of texts by a tokenizer file, as little-endian numbers of four bytes."""
 
@@ -56,33 +65,80 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.across_spaces = across_spaces
-        self.known = {}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)).encode() or b"(?!)")
+        self.mark = None
+        self.known, self.before = {}, {}  # words of late, and those known before
 
     def whole(self, texts):
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [as_bytes(e.ids) for e in found]
+
+    def each(self, words):
+        """Ids of each word: as one text with a digit between the words, cut where its id is.
+
+        Words with that digit, and all if the cuts do not agree with the words, go one by one.
+        """
+        mark = self.whole(["0"])[0] if self.mark is None else self.mark
+        self.mark = mark
+        plain = [w for w in words if b"0" not in w] if len(mark) == 4 else []
+        found = {}
+        if plain:
+            raw = self.whole([b" 0 ".join(plain).decode()])[0]
+            ids = np.frombuffer(raw, "<u4")
+            cuts = (4 * np.flatnonzero(ids == np.frombuffer(mark, "<u4"))).tolist()
+            if len(cuts) == len(plain) - 1:
+                found = {w: raw[a:b] for w, a, b in zip(
+                    plain, [0, *(c + 4 for c in cuts)], [*cuts, len(raw)], strict=True)}
+        rest = [w for w in words if w not in found]
+        found.update(zip(rest, self.whole([w.decode() for w in rest]), strict=True))
+        return found
 
     def encode(self, text):
         if self.across_spaces:
             return self.whole([text])[0]
         words = text.encode("utf-8", "replace").split()  # at ASCII white space only
+        if len(self.known) > WORDS:
+            self.known, self.before = {}, self.known
         known = self.known
         new = {w for w in words if w not in known}
         if new:
-            if len(known) + len(new) > WORDS:
-                known.clear()
-                new = set(words)
-            known.update(zip(new, self.whole([w.decode() for w in new]), strict=True))
+            self.learn(new)
         ids = b"".join(map(known.__getitem__, words))
         for word in new:
             if len(word) > LONGEST:
                 del known[word]
         return ids
 
+    def learn(self, new):
+        """Adds new words. Marks behind an ASCII letter are tokens of their own."""
+        known, before = self.known, self.before
+        cut = {}
+        for word in new:
+            if word in before:
+                known[word] = before[word]
+                continue
+            head = word.rstrip(MARKS)
+            apart = LETTERS.match(head[-1:]) and not self.special.search(word)
+            cut[word] = (head, word[len(head):]) if apart else (word, b"")
+        heads = {part for parts in cut.values() for part in parts if part and part not in known}
+        ids = {h: before[h] for h in heads if h in before}
+        ids.update(self.each([h for h in heads if h not in ids]))
+        ids[b""] = b""
+        for word, (head, tail) in cut.items():
+            known[word] = (ids[head] if head in ids else known[head]) + (
+                ids[tail] if tail in ids else known[tail])
+
+
+@functools.lru_cache(maxsize=2)
+def encoder_of(path, across_spaces=False):
+    """An encoder that the tasks of a worker have after one another, with the words it knows."""
+    return Encoder(path, across_spaces)
+
 
 def _cut(path, size, end, across_spaces, with_ids, frames):
-    encoder = Encoder(path, across_spaces)
-    last = np.array([end], "<u4").tobytes()
+    encoder = encoder_of(path, across_spaces)
+    last = as_bytes([end])
     for frame in frames:
         rows = []
         for key, text in zip(frame["k"], frame["t"], strict=True):
