@@ -1,10 +1,14 @@
+import glob
 import itertools
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidegauge import schemas
 from tidegauge.operators import joins, stats
+from tidegauge.sources import files
+from tidegauge.sources.clustered import drop_clustered, only_keys, open_clustered, write_clustered
 
 
 def frames(spark, hot):
@@ -44,7 +48,7 @@ def test_alert_maintenance(spark, hot, how):
 def test_hot_key_is_spread(spark):
     alerts, _, maint = frames(spark, True)
     counts = [joins.key_counts(df, "resid") for df in (alerts, maint)]
-    found = {k: (ls, rs) for k, ls, rs in joins.hot_keys(*counts, "resid", 64)}
+    found = {k: (ls, rs) for k, ls, rs in joins.hot_keys(*counts, "resid", 64)[1]}
     assert found["HOT"][0] * found["HOT"][1] >= 64 / 3 and len(found) <= 3 * 64
     assert min(found["HOT"]) > 1  # hot on both sides, so both are dealt
     copies = joins.spread_join(alerts, maint, "resid", 64).groupBy("resid").count()
@@ -74,6 +78,99 @@ def test_small_device_tables_leave_alerts_unshuffled(spark):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    """The executed plan without the one that adaptive execution began with."""
+    return plan_of(df).split("== Initial Plan ==")[0]
+
+
+@pytest.fixture
+def devices(spark):
+    made = []
+
+    def make(pump, maint, buckets=8):
+        made.append(joins.DeviceTables(pump, maint, buckets))
+        return made[-1]
+
+    yield make
+    for tables in made:
+        tables.drop()
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("most,limit", [(joins.KEYS, joins.BROADCAST_BYTES), (10, 10), (1000, 10)])
+def test_device_tables_give_the_same_view(spark, devices, hot, most, limit):
+    sides = frames(spark, hot)
+    got = devices(*sides[1:]).view(sides[0], most, limit)
+    assert got.columns == joins.VIEW
+    assert sorted(tuple(r) for r in got.collect()) == by_hand(*sides)
+
+
+def test_a_batch_of_few_devices_reads_their_buckets(spark, devices):
+    alerts, pump, maint = frames(spark, False)
+    some = alerts.filter("resid in ('R1', 'R2')")
+    plan = final_plan(devices(pump, maint).view(some))
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2
+    empty = devices(pump, maint).view(alerts.filter("resid is null"))
+    assert empty.count() == 0
+
+
+def test_files_of_other_buckets_are_not_opened(spark, tmp_path):
+    _, _, maint = frames(spark, False)
+    path = str(tmp_path / "maint")
+    name = write_clustered(maint, "resid", 16, path=path)
+    table = spark.table(name)
+    some = only_keys(table, "resid", ["R1", "R2"])
+    rows = sorted(map(tuple, some.collect()))
+    own = {r[0] for r in some.select("_metadata.file_name").distinct().collect()}
+    others = [f for f in glob.glob(f"{path}/*.parquet") if f.rsplit("/", 1)[1] not in own]
+    assert others
+    for f in others:
+        with open(f, "r+b") as out:  # whoever opens it fails
+            out.write(bytes(8))
+            out.seek(-8, 2)
+            out.write(bytes(8))
+    assert sorted(map(tuple, only_keys(spark.table(name), "resid", ["R1", "R2"]).collect())) == rows
+    with pytest.raises(Exception):
+        table.count()
+    drop_clustered(spark, name)
+
+
+def test_a_batch_of_many_devices_does_not_shuffle_the_tables(spark, devices):
+    _, pump, maint = frames(spark, False)
+    alerts = spark.range(400).select(F.concat(F.lit("R"), F.col("id") % 60).alias("resid"),
+                                     F.lit("d").alias("date"), F.lit(1.0).alias("psi"))
+    tables = devices(pump, maint)
+    plan = final_plan(tables._joined(alerts, *tables.tables(spark)[:2]))
+    assert plan.count("SortMergeJoin") == 2
+    assert plan.count("Exchange hashpartitioning") == 1  # the alerts
+    assert plan.count("Bucketed: true") == 2
+
+
+def test_tables_are_registered_again(spark, tmp_path):
+    _, pump, _ = frames(spark, False)
+    path = str(tmp_path / "pump")
+    name = write_clustered(pump, "resid", 4, path=path)
+    rows = sorted(map(tuple, spark.table(name).collect()))
+    spark.sql(f"DROP TABLE {name}")
+    name = open_clustered(spark, pump.schema, "resid", 4, path)
+    assert sorted(map(tuple, spark.table(name).collect())) == rows
+    assert "Exchange" not in final_plan(spark.table(name).groupBy("resid").count())
+    drop_clustered(spark, name)
+    assert not files.exists(spark, path)
+
+
+def test_counts_leave_no_scratch_tables(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    view = joins.alert_maintenance_view(*frames(spark, True), {"pump": "spread", "maint": "spread"})
+    assert view.count() and set(os.listdir(folder)) == before
+
+
 @pytest.fixture
 def rows(spark):
     data = [("R1", "2024-01-01", f"00:00:0{s}", 1.0, 2.0, 3.0, 4.0, float(s), 6.0)

@@ -13,6 +13,7 @@ from tidegauge.plans import jobs
 from tidegauge.plans.avro_files import write_avro
 from tidegauge.sources import (kafka_options, message_text, read_employees, read_lines,
                                stream_lines, widen)
+from tidegauge.sources.clustered import drop_clustered, write_clustered
 from tidegauge.sources.employees import XML_TAGS
 from tidegauge.streaming import batch_sql, run_batches, stream_id
 
@@ -189,6 +190,37 @@ def test_sql_on_batches_with_static_view(spark, landing, tmp_path):
     assert sorted(r["top"] for r in spark.read.parquet(out).collect()) == [3.5, 4.5, 5.5, 6.5]
 
 
+@pytest.mark.parametrize("most", [1, 100])
+def test_sql_on_batches_with_tables_by_device(spark, landing, tmp_path, most):
+    spark.sql("select 'mine' x").createOrReplaceTempView("pump")
+    pump = write_clustered(spark.sql("select explode(array('R0', 'R7', null)) resid, 'ACME' vendor"),
+                           "resid", 4)
+    seen = []
+
+    def sink(df, i):
+        seen.extend(tuple(r) for r in df.collect())
+
+    sql = batch_sql("sensor", "select resid, vendor, psi, (select count(*) from pump) n from sensor "
+                    "join pump using (resid)", sink, {"pump": pump}, "resid", most)
+    run_batches(stream(spark, landing), [sql], str(tmp_path / "state"))
+    assert sorted(seen) == [("R0", "ACME", p + 0.5, 3 if most == 1 else 1) for p in (3, 4, 5, 6)]
+    assert spark.table("pump").first()[0] == "mine"
+    drop_clustered(spark, pump)
+    spark.catalog.dropTempView("pump")
+
+
+def test_report_stream_with_tables_by_device(spark, landing, tmp_path, monkeypatch):
+    pump = parse_pump(spark.sql("select 'R0,HP,2010,2011,ACME,1,2' value"))
+    maint = parse_maint(spark.sql("select explode(array('R0,d1,t,x', 'R0,d2,t,x')) value"))
+    monkeypatch.setattr(joins, "join_strategy", lambda *a: {"pump": "spread", "maint": "spread"})
+    out, before = str(tmp_path / "out"), spark.catalog.listTables()
+    jobs.report_stream(stream(spark, landing), pump, maint, out, str(tmp_path / "state"),
+                       trigger=None, buckets=4)
+    view = spark.read.parquet(f"{out}/view").drop("query", "batch_id")
+    assert view.columns == joins.VIEW and view.count() == 4
+    assert len(spark.catalog.listTables()) == len(before)
+
+
 @pytest.mark.parametrize("encoding", ["text", "binary"])
 def test_cells_stream_and_read_back(spark, landing, tmp_path, encoding):
     table = str(tmp_path / "cells")

@@ -1,6 +1,7 @@
 """The registered queries: each takes (spark, sf_dir) and returns a DataFrame."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge import schemas
 from tidegauge.operators import cells, joins, keyed_table, sinks, stats
@@ -12,6 +13,7 @@ from tidegauge.plans.adapters import stream_table, table
 from tidegauge.plans.avro_files import write_avro
 from tidegauge.session import scratch_dir
 from tidegauge.sources import read_employees, read_lines, stream_lines
+from tidegauge.sources.clustered import drop_clustered, write_clustered
 from tidegauge.sources.employees import XML_TAGS
 from tidegauge.streaming import batch_sql, run_batches
 
@@ -383,6 +385,14 @@ def _token(n):
 
 
 TURNS = [0, 8, 16]
+DEVICE_BUCKETS = 16
+
+
+def _view_schema(pump, maint):
+    """The schema of alerts with their pump and maintenance records."""
+    fields = {f.name: f for df in (maint, pump) for f in df.schema} | {
+        f.name: f for f in schemas.SENSOR}
+    return T.StructType([fields[c] for c in joins.VIEW])
 
 
 def _batches(spark, path, schema):
@@ -421,22 +431,47 @@ def stream_alerts(spark, sf):
 
 @query
 def stream_alert_maintenance(spark, sf):
-    """A SQL statement on each batch's alerts beside two static views."""
+    """A SQL statement on each batch's alerts beside two static tables, stored by device."""
     out, state = scratch_dir(spark, "view"), scratch_dir(spark, "view-state")
-    _pump(spark, sf).createOrReplaceTempView("pump")
-    _maint(spark, sf).createOrReplaceTempView("maint")
+    pump, maint = _pump(spark, sf), _maint(spark, sf)
+    tables = {name: write_clustered(df, "resid", DEVICE_BUCKETS)
+              for name, df in (("pump", pump), ("maint", maint))}
     statement = f"""
-        select {', '.join(('p.' if c in joins.VIEW[3:7] else 'm.' if c in joins.VIEW[7:]
+        select {', '.join(('p.' if c in joins.PUMP_COLUMNS else 'm.' if c in joins.MAINT_COLUMNS
                            else 'a.') + c for c in joins.VIEW)}
         from alert a join pump p on a.resid = p.resid join maint m on p.resid = m.resid"""
-    sql = batch_sql("alert", statement, _to_parquet(out))
+    sql = batch_sql("alert", statement, _to_parquet(out), tables, "resid")
     run_batches(alerts(_sensor_stream(spark, sf)), [sql], state)
-    shape = spark.table("pump").join(spark.table("maint"), "resid").schema
-    for view in ("pump", "maint", "alert"):
-        spark.catalog.dropTempView(view)
-    psi = schemas.SENSOR
-    fields = [psi[c] if c in psi.fieldNames() else shape[c] for c in joins.VIEW]
-    return _batches(spark, out, type(shape)(fields))
+    for name in tables.values():
+        drop_clustered(spark, name)
+    return _batches(spark, out, _view_schema(pump, maint))
+
+
+@query
+def stream_alert_devices(spark, sf):
+    """The same view by device tables that two restarts of a stream share."""
+    out, state = scratch_dir(spark, "view"), scratch_dir(spark, "view-state")
+    pump, maint = _pump(spark, sf), _maint(spark, sf)
+    devices = joins.DeviceTables(pump, maint, DEVICE_BUCKETS)
+
+    def take(lines):
+        jobs.report_stream(parse_sensor(lines), None, None, out, state, trigger=None,
+                           devices=devices)
+
+    _in_turns(spark, sf, adapters.sensor_lines, TURNS, _field(",", 0), take)
+    devices.drop()
+    return spark.read.schema(_view_schema(pump, maint)).parquet(f"{out}/view").drop(
+        "query", "batch_id")
+
+
+@query
+def alert_maintenance_devices(spark, sf):
+    """The same join with tables stored by device, as for a batch of very many devices."""
+    devices = joins.DeviceTables(_pump(spark, sf), _maint(spark, sf), DEVICE_BUCKETS)
+    out = scratch_dir(spark, "view")
+    devices.view(alerts(_sensor(spark, sf)), most=10).write.parquet(out)
+    devices.drop()
+    return spark.read.parquet(out)
 
 
 @query

@@ -87,13 +87,22 @@ def alert_stream(rows, out, checkpoint, style="csv", trigger=ALERT_INTERVAL, **r
     return run_batches(rows, [save], checkpoint, trigger, **run)
 
 
-def report_stream(rows, pump, maint, out, checkpoint, show=0, trigger=STATS_INTERVAL, **run):
+def report_stream(rows, pump, maint, out, checkpoint, show=0, trigger=STATS_INTERVAL, devices=None,
+                  buckets=64, **run):
     """Statistics, alerts with maintenance, and alert files of each batch.
 
-    The device tables are kept once for all batches, and so is how to join them.
+    Device tables of a broadcast's size are kept once for all batches. Larger ones are written once by
+    device, into ``buckets`` buckets, and removed at the end; a caller that keeps them for several
+    runs hands them over as ``devices``, a ``joins.DeviceTables``, and ``pump`` and ``maint`` are
+    not looked at.
     """
-    pump, maint = pump.persist(), maint.persist()
-    strategy = joins.join_strategy(pump, maint)
+    made, kept = None, []
+    if devices is None:
+        strategy = joins.join_strategy(pump, maint)
+        if set(strategy.values()) == {"broadcast"}:
+            kept = [pump.persist(), maint.persist()]
+        else:
+            devices = made = joins.DeviceTables(pump, maint, buckets)
 
     def save(df, name, i):
         if show:
@@ -105,7 +114,9 @@ def report_stream(rows, pump, maint, out, checkpoint, show=0, trigger=STATS_INTE
         save(stats.sensor_stats(batch), "stats", i)
 
     def maintenance(batch, i):
-        save(joins.alert_maintenance_view(alerts(batch), pump, maint, strategy), "view", i)
+        low = alerts(batch)
+        save(devices.view(low) if devices else joins.alert_maintenance_view(low, *kept, strategy),
+             "view", i)
 
     def low(batch, i):
         sinks.append_alerts(alerts(batch), f"{out}/alerts", i,
@@ -114,8 +125,10 @@ def report_stream(rows, pump, maint, out, checkpoint, show=0, trigger=STATS_INTE
     try:
         return run_batches(rows, [statistics, maintenance, low], checkpoint, trigger, **run)
     finally:
-        pump.unpersist()
-        maint.unpersist()
+        for df in kept:
+            df.unpersist()
+        if made:
+            made.drop()
 
 
 def sensor_cells_stream(spark, rows, table, checkpoint, encoding="text", mode="both",

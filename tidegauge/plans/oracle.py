@@ -192,6 +192,8 @@ ORACLE.update({
     "stream_posts": ORACLE["keyword_posts"].replace(
         "id, text, source", "tweet_id, text tweet, source", 1),
     "stream_report": _ALERT_VIEW,
+    "stream_alert_devices": _ALERT_VIEW,
+    "alert_maintenance_devices": _ALERT_VIEW,
     "upsert_employee_cells": ORACLE["cells_employee"],
     "permissive_good": f"select {_FIELDS} from ({_SENSOR}) where \"chlPPM\" >= 1",
     "permissive_bad": f"""

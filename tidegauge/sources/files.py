@@ -89,3 +89,9 @@ def remove(spark, path):
     """Remove a file; none is no error."""
     fs, p = _fs(spark, path)
     fs.delete(p, False)
+
+
+def remove_tree(spark, path):
+    """Remove a folder with what is in it; none is no error."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

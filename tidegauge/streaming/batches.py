@@ -9,7 +9,9 @@ import json
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
+from tidegauge.operators import joins
 from tidegauge.sources import files
+from tidegauge.sources.clustered import few_keys, only_keys
 
 
 def stream_id(spark, checkpoint):
@@ -71,12 +73,23 @@ def run_batches(stream, sinks, checkpoint, trigger=None, timeout=None, name=None
         query.stop()
 
 
-def batch_sql(view, statement, sink):
+def batch_sql(view, statement, sink, static=None, on=None, most=joins.KEYS):
     """A sink that registers the batch as ``view``, runs a SQL statement and passes the
-    result on. Views registered before, static tables for one, can be named as well."""
+    result on. Views registered before can be named as well.
+
+    ``static`` are tables of ``write_clustered``, {name in the statement: table}, that the statement
+    joins with the batch by their column ``on``. They are not shuffled for it; beside a batch of at
+    most ``most`` keys the statement sees the rows of those keys alone. All views are of the batch's
+    session, so views of the caller with these names stay.
+    """
 
     def run(batch, batch_id):
+        spark = batch.sparkSession
         batch.createOrReplaceTempView(view)
-        sink(batch.sparkSession.sql(statement), batch_id)
+        if static:
+            keys = few_keys(batch, on, most)
+            for name, table in static.items():
+                only_keys(spark.table(table), on, keys).createOrReplaceTempView(name)
+        sink(spark.sql(statement), batch_id)
 
     return run
