@@ -205,3 +205,22 @@ def test_windows(rows):
 def test_processing_time_windows(rows):
     got = stats.windowed_counts(rows, time="processing").collect()
     assert len(got) == 3 and {r["total"] for r in got} == {3}
+
+
+def test_windows_are_made_of_panes(spark, rows):
+    report = stats.windowed_report(rows, length="7 seconds", slide="2 seconds")
+    lines = [x.strip(" :+-*()0123456789") for x in final_plan(report).splitlines()]
+    kinds = [x.split(" ")[0].split("(")[0] for x in lines]
+    assert "HashAggregate" in kinds[kinds.index("Expand"):]  # below the Expand: it sees panes
+    assert stats.pane_length("7 seconds", "2 seconds") == "1000 milliseconds"
+    plain = rows.withColumn("_at", stats.event_time()).groupBy(
+        F.window("_at", "7 seconds", "2 seconds").alias("w"), *stats.BY).agg(
+        F.count("resid"), F.max("psi"), F.min("psi"), F.avg("psi"))
+    assert sorted(map(tuple, report.collect())) == sorted(
+        (r["w"]["start"], *r[1:]) for r in plain.collect())
+
+
+def test_windows_of_null_metrics(spark, rows):
+    null = rows.withColumn("psi", F.lit(None).cast("double")).select(*rows.columns)
+    assert {(r["total"], r["avgpsi"]) for r in stats.windowed_report(null).collect()} == {
+        (1, None), (2, None), (3, None)}

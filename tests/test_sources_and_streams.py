@@ -15,7 +15,8 @@ from tidegauge.sources import (kafka_options, message_text, read_employees, read
                                stream_lines, widen)
 from tidegauge.sources.clustered import drop_clustered, write_clustered
 from tidegauge.sources.employees import XML_TAGS
-from tidegauge.streaming import batch_sql, run_batches, stream_id
+from tidegauge.streaming import (arrival_windows, batch_sql, run_batches, start_batches,
+                                 stream_id)
 
 PEOPLE = [(1, "1960-01-01", "Ann", "O'Neil & Co", "F", "1990-01-01"),
           (2, "1961-01-01", "Bö", "<x>", "M", "1991-01-01")]
@@ -236,7 +237,77 @@ def test_window_stream_equals_batch(spark, landing, tmp_path):
     table = str(tmp_path / "windows")
     jobs.window_stream(spark, stream(spark, landing), table, str(tmp_path / "state"), trigger=None)
     batch = stats.windowed_report(parse_sensor(read_lines(spark, landing)))
-    assert got(keyed_table.read_table(spark, table)) == got(batch)
+    assert got(jobs.read_windows(spark, table)) == got(batch)
+
+
+def test_windows_by_arrival_against_all_batches(spark, tmp_path):
+    folder, out = tmp_path / "landing", []
+    folder.mkdir()
+    batches = [[("R0", 1.0), ("R0", 3.0), ("R1", 2.0)], [("R0", 5.0)], [("R1", 7.0), ("R2", 1.0)],
+               [("R2", 4.0)] * 50, [("R0", None), (None, 2.0)]]
+    schema = "resid string, date string, psi double"
+
+    def sink(df, i):
+        out.append((i, df.collect()))
+
+    rows = arrival_windows(spark.readStream.schema(schema).json(str(folder)), ["psi"],
+                           "3 seconds", "1 second")
+    query = start_batches(rows, [sink], str(tmp_path / "state"), "1 second", mode="update")
+    try:
+        for n, batch in enumerate(batches):
+            (folder / f".{n}").write_text("\n".join(
+                json.dumps({"resid": r, "date": "d", "psi": p}) for r, p in batch))
+            (folder / f".{n}").rename(folder / f"{n}.json")
+            taken = lambda: sum(p["numInputRows"] for p in query.recentProgress)
+            end = time.time() + 60
+            while taken() < sum(map(len, batches[:n + 1])) and time.time() < end:
+                time.sleep(0.1)
+        end = time.time() + 30
+        while query.lastProgress["stateOperators"][0]["numRowsTotal"] and time.time() < end:
+            time.sleep(0.2)
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 0  # nothing is kept
+        ids = {p["batchId"]: p["numInputRows"] for p in query.recentProgress}
+    finally:
+        query.stop()
+    fed = [i for i in sorted(ids) if ids[i]]  # the batches that had rows, one file each
+    assert [ids[i] for i in fed] == [len(b) for b in batches]
+    pane = {i: int(r[0]["w_start"].timestamp()) + 2 for i, r in out}  # of the batch
+    content = {i: b for i, b in zip(fed, batches, strict=True)}
+    for i, found in out:
+        want = {}
+        for j, b in content.items():
+            if j <= i and pane[j] > pane[i] - 3:
+                for r, p in b:
+                    want.setdefault(r, []).append(p)
+        assert len({r["w_start"] for r in found}) == 1
+        for r in found:
+            values = [p for p in want[r["resid"]] if p is not None]
+            assert r["total"] == (0 if r["resid"] is None else len(want[r["resid"]]))
+            assert (r["maxpsi"], r["minpsi"]) == (
+                max(values, default=None), min(values, default=None))
+            assert r["avgpsi"] == (
+                pytest.approx(sum(values) / len(values)) if values else None)
+        assert {r for r, _ in content.get(i, [])} <= {r["resid"] for r in found} <= set(want)
+    # Groups without new rows are told of again in later panes.
+    assert any(i not in content for i, _ in out)
+
+
+def test_lengths_of_arrival_windows(spark):
+    stream = spark.readStream.format("rate").load().selectExpr(
+        "'a' resid", "'d' date", "1d psi")
+    with pytest.raises(ValueError, match="multiple"):
+        arrival_windows(stream, length="5 seconds", slide="2 seconds")
+
+
+def test_arrival_windows_to_a_table(spark, landing, tmp_path):
+    table = str(tmp_path / "windows")
+    jobs.arrival_window_stream(spark, stream(spark, landing), table, str(tmp_path / "state"),
+                               length="6 hours", slide="2 hours", trigger=None)
+    found = keyed_table.read_table(spark, table).collect()
+    assert sum(r["total"] for r in found if r["w_start"] == max(
+        x["w_start"] for x in found)) <= 8
+    assert {r["resid"] for r in found} == {"R0", "R1"}
+    assert {(r["maxpsi"], r["minpsi"]) for r in found} & {(6.5, 3.5)}
 
 
 def test_watermarked_append_windows(spark, landing, tmp_path):

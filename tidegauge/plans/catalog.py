@@ -541,10 +541,10 @@ def stream_report(spark, sf):
 
 @query
 def stream_window_counts(spark, sf):
-    """Running window counts: each batch upserts the windows it changed."""
+    """Running window counts: each batch upserts the panes it changed, windows are made of those."""
     path, state = scratch_dir(spark, "windows"), scratch_dir(spark, "windows-state")
     jobs.window_stream(spark, _sensor_stream(spark, sf), path, state, trigger=None, **WINDOW)
-    return keyed_table.read_table(spark, path, ["w_start", *stats.BY, "total"])
+    return jobs.read_windows(spark, path, **WINDOW).select("w_start", *stats.BY, "total")
 
 
 def queries():

@@ -16,7 +16,7 @@ from tidegauge.operators.filters import alerts, keyword_filter
 from tidegauge.operators.parse import (BAD, good_rows, parse_employee, parse_vmstat,
                                        project_posts)
 from tidegauge.sources import read_employees, read_lines
-from tidegauge.streaming import placed, run_batches, stream_id
+from tidegauge.streaming import arrival_windows, placed, run_batches, stream_id
 
 # How often each stream job takes a batch.
 STATS_INTERVAL = "2 seconds"
@@ -186,13 +186,34 @@ def post_stream(spark, posts, terms, table, checkpoint, max_len=None, on_long="f
 
 def window_stream(spark, rows, table, checkpoint, length="6 seconds", slide="2 seconds",
                   time="event", watermark="1 hour", buckets=16, trigger=STATS_INTERVAL, **run):
-    """Counts and psi statistics of sliding windows, kept in a table by window and group.
+    """Sums of the panes of sliding windows, kept in a table; ``read_windows`` gives the windows.
 
-    A batch writes only the windows it changed. The query forgets windows that are past the
-    ``watermark`` and leaves out rows that come later still; ``watermark=None`` takes rows
-    however late, and its state then grows for ever.
+    A batch writes only the panes it changed, each once, though it is in several windows. The
+    query forgets panes that are past the ``watermark`` and leaves out rows that come later still;
+    ``watermark=None`` takes rows however late, and its state then grows for ever.
     """
-    grouped = stats.windowed_report(rows, ["psi"], length, slide, time, watermark=watermark)
+    grouped = stats.panes(rows, ["psi"], length, slide, time, watermark=watermark)
+    keyed_table.ensure_table(spark, table, grouped.schema, ["p_start", *stats.BY], buckets)
+
+    def put(batch, i):
+        keyed_table.upsert(batch.sparkSession, table, batch, batch_id=i,
+                           stream=stream_id(batch.sparkSession, checkpoint))
+
+    return run_batches(grouped, [put], checkpoint, trigger, mode="update", **run)
+
+
+def read_windows(spark, table, length="6 seconds", slide="2 seconds"):
+    """Counts and psi statistics of sliding windows from the table of ``window_stream``."""
+    return stats.windows_of_panes(keyed_table.read_table(spark, table), ["psi"], length, slide)
+
+
+def arrival_window_stream(spark, rows, table, checkpoint, length="6 seconds", slide="2 seconds",
+                          buckets=16, trigger=STATS_INTERVAL, **run):
+    """Counts and psi statistics over the rows that arrived in the last ``length``, in a table.
+
+    Run it every ``slide``; see ``arrival_windows``.
+    """
+    grouped = arrival_windows(rows, ["psi"], length, slide)
     keyed_table.ensure_table(spark, table, grouped.schema, ["w_start", *stats.BY], buckets)
 
     def put(batch, i):
