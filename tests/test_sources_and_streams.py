@@ -300,14 +300,16 @@ def test_lengths_of_arrival_windows(spark):
 
 
 def test_arrival_windows_to_a_table(spark, landing, tmp_path):
-    table = str(tmp_path / "windows")
-    jobs.arrival_window_stream(spark, stream(spark, landing), table, str(tmp_path / "state"),
-                               length="6 hours", slide="2 hours", trigger=None)
+    table, state = str(tmp_path / "windows"), str(tmp_path / "state")
+    with pytest.raises(ValueError, match="trigger"):
+        jobs.arrival_window_stream(spark, stream(spark, landing), table, state, trigger=None)
+    jobs.arrival_window_stream(spark, stream(spark, landing), table, state, length="6 hours",
+                               slide="2 hours", trigger="1 second", timeout=15)
     found = keyed_table.read_table(spark, table).collect()
-    assert sum(r["total"] for r in found if r["w_start"] == max(
-        x["w_start"] for x in found)) <= 8
     assert {r["resid"] for r in found} == {"R0", "R1"}
-    assert {(r["maxpsi"], r["minpsi"]) for r in found} & {(6.5, 3.5)}
+    last = max(r["w_start"] for r in found)
+    assert {(r["total"], r["maxpsi"], r["minpsi"]) for r in found if r["w_start"] == last} == {
+        (4, 6.5, 3.5)}
 
 
 def test_watermarked_append_windows(spark, landing, tmp_path):

@@ -211,8 +211,11 @@ def arrival_window_stream(spark, rows, table, checkpoint, length="6 seconds", sl
                           buckets=16, trigger=STATS_INTERVAL, **run):
     """Counts and psi statistics over the rows that arrived in the last ``length``, in a table.
 
-    Run it every ``slide``; see ``arrival_windows``.
+    Run it every ``slide``; see ``arrival_windows``. Its windows go by the clock, so it has no end of
+    its own: a stream that takes what is there would wait for the last window to pass.
     """
+    if trigger is None:
+        raise ValueError("windows by arrival need a trigger")
     grouped = arrival_windows(rows, ["psi"], length, slide)
     keyed_table.ensure_table(spark, table, grouped.schema, ["w_start", *stats.BY], buckets)
 
