@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidegauge import schemas
 from tidegauge.operators import cells
 from tidegauge.operators.parse import parse_sensor
+from tidegauge.sources.clustered import drop_clustered, write_clustered
 
 LOW = ("R1", "2024-01-01", "00:00:01", 1.0, 2.5, 3.0, 4.0, 4.99, 6.0)
 HIGH = ("R2", "2024-01-01", "00:00:02", 1e10, -0.0, 3.0, 4.0, 5.0, 6.0)
@@ -107,3 +108,13 @@ def test_input_is_parsed_once(spark, tmp_path):
     plan = cells.route(parse_sensor(spark.read.text(path)))._jdf.queryExecution().toString()
     physical = plan[plan.index("== Physical Plan =="):]
     assert physical.count("FileScan") == 1 and "Exchange" not in physical
+
+
+def test_cells_stored_by_key_are_decoded_without_shuffle(spark, rows):
+    written = cells.route(rows, "both")
+    name = write_clustered(written, "row_key", 4)
+    decoded = cells.decode_cells(spark.table(name))
+    assert sorted(map(tuple, decoded.collect())) == sorted(
+        map(tuple, cells.decode_cells(written).collect()))
+    assert "Exchange" not in decoded._jdf.queryExecution().executedPlan().toString()
+    drop_clustered(spark, name)

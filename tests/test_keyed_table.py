@@ -1,3 +1,6 @@
+import glob
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,8 +29,8 @@ def content(spark, path):
 
 def test_create_is_idempotent(spark, table):
     keyed_table.upsert(spark, table, rows(spark, (1, "x", "y", 1)))
-    _, state = keyed_table._load(spark, table)
-    assert not keyed_table.ensure_table(spark, table, keyed_table._schema(state), state["keys"])
+    there = keyed_table._table(spark, table)
+    assert not keyed_table.ensure_table(spark, table, keyed_table._schema(there), ["k"], 4)
     assert content(spark, table) == [(1, "x", "y")]
 
 
@@ -77,93 +80,101 @@ def test_replayed_batch_is_skipped(spark, table):
     assert content(spark, table) == [(1, "p", "q"), (2, "z", "z")]
 
 
-def test_folding_keeps_content(spark, table):
+def test_many_writes_keep_the_newest(spark, table):
     for i in range(5):
         batch = spark.range(20).select(F.col("id").alias("k"), F.lit(f"a{i}").alias("a"),
                                        F.lit(f"b{i}").alias("b")).filter(F.col("k") >= 3 * i)
-        keyed_table.upsert(spark, table, batch, fold_after=2)
+        keyed_table.upsert(spark, table, batch)
     expected = [(k, f"a{min(k // 3, 4)}", f"b{min(k // 3, 4)}") for k in range(20)]
     assert content(spark, table) == expected
-    _, state = keyed_table._load(spark, table)
-    assert all(len(runs) <= 2 for runs in state["runs"].values())
+    assert len(files.names(spark, f"{table}/_done")) == 1
+    assert [n for n in os.listdir(table) if n.startswith("_next") or n == "_writing.json"] == []
+
+
+def stamps(table):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{table}/data/*/*.parquet")}
 
 
 def test_untouched_buckets_are_not_rewritten(spark, table):
     keyed_table.upsert(spark, table, spark.range(40).selectExpr("id k", "'a' a", "'b' b"))
-    before = keyed_table._load(spark, table)[1]["runs"]
+    before = stamps(table)
     keyed_table.upsert(spark, table, rows(spark, (1, "n", "n", 1)))
-    after = keyed_table._load(spark, table)[1]["runs"]
-    assert sum(before[b] != after[b] for b in before) == 1
+    after = stamps(table)
+    gone = {f.rsplit("/", 2)[1] for f in before if after.get(f) != before[f]}
+    assert len(gone) == 1 and len(content(spark, table)) == 40
 
 
-def test_one_run_is_read_without_shuffle(spark, table):
+def test_the_table_is_read_without_shuffle(spark, table):
     keyed_table.upsert(spark, table, rows(spark, (1, "p", "q", 1)))
+    keyed_table.upsert(spark, table, rows(spark, (1, "r", "q", 1)))
     plan = keyed_table.read_table(spark, table)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
 
 def test_second_writer_fails(spark, table, monkeypatch):
-    number, state = keyed_table._load(spark, table)
-    keyed_table.upsert(spark, table, rows(spark, (1, "p", "q", 1)))
+    united = keyed_table._united
+
+    def meanwhile(*args):
+        monkeypatch.setattr(keyed_table, "_united", united)
+        keyed_table.upsert(spark, table, rows(spark, (1, "first", "q", 1)))
+        return united(*args)
+
+    monkeypatch.setattr(keyed_table, "_united", meanwhile)
     with pytest.raises(keyed_table.TableChanged):
-        keyed_table._commit(spark, table, number, state)
-    assert content(spark, table) == [(1, "p", "q")]
+        keyed_table.upsert(spark, table, rows(spark, (1, "late", "q", 1)))
+    assert content(spark, table) == [(1, "first", "q")]
+    keyed_table.upsert(spark, table, rows(spark, (1, "again", "q", 1)))
+    assert content(spark, table) == [(1, "again", "q")]
 
 
-def test_a_writer_that_stops_half_way_leaves_no_state(spark, table, monkeypatch):
-    keyed_table.upsert(spark, table, rows(spark, (1, "p", "q", 1)))
-    number, state = keyed_table._load(spark, table)
+@pytest.mark.parametrize("where", ["before", "after"])
+def test_a_writer_that_dies_is_finished(spark, table, monkeypatch, where):
+    keyed_table.upsert(spark, table, rows(spark, (1, "p", "q", 1), (3, "x", "y", 1)))
 
-    class Stopped(Exception):
+    class Died(Exception):
         pass
 
-    def stop(*args):
-        raise Stopped
-
-    # Stopped after the text was written and before its file has its name.
-    monkeypatch.setattr(files, "_give_name", stop)
-    with pytest.raises(Stopped):
-        keyed_table._commit(spark, table, number, state)
+    def die(spark, path, text_or_table, *rest):
+        if where == "after" and "/_done/" not in path:
+            return create(spark, path, text_or_table)
+        raise Died
+
+    create = files.create_text
+    if where == "before":  # the note is there, the data are not touched
+        monkeypatch.setattr(keyed_table, "_put_in_place", die)
+    else:  # the data are in place, the mark is not
+        monkeypatch.setattr(files, "create_text", die)
+    with pytest.raises(Died):
+        keyed_table.upsert(spark, table, rows(spark, (1, "new", "q", 1)), batch_id=7)
     monkeypatch.undo()
-    assert keyed_table._load(spark, table)[0] == number
-    keyed_table.upsert(spark, table, rows(spark, (2, "r", "s", 1)))
-    assert content(spark, table) == [(1, "p", "q"), (2, "r", "s")]
-
-
-def test_states_are_bounded(spark, table):
-    number, state = keyed_table._load(spark, table)
-    for _ in range(100):
-        keyed_table._commit(spark, table, number, state)
-        number += 1
-    assert len(keyed_table._state_names(spark, table)) <= keyed_table.KEPT_STATES
-    assert keyed_table._load(spark, table)[0] == number
+    with pytest.raises(keyed_table.TableChanged):
+        keyed_table.upsert(spark, table, rows(spark, (2, "r", "s", 1)))
+    there = keyed_table._table(spark, table)
+    keyed_table.ensure_table(spark, table, keyed_table._schema(there), ["k"], 4)
+    assert content(spark, table) == [(1, "new", "q"), (3, "x", "y")]
+    assert not keyed_table.upsert(spark, table, rows(spark, (1, "old", "q", 1)), batch_id=7)
 
 
 def test_another_schema_or_key_at_that_place_is_an_error(spark, table):
-    _, state = keyed_table._load(spark, table)
-    schema = keyed_table._schema(state)
-    assert not keyed_table.ensure_table(spark, table, schema, state["keys"])
+    schema = keyed_table._schema(keyed_table._table(spark, table))
+    assert not keyed_table.ensure_table(spark, table, schema, ["k"], 4)
     with pytest.raises(ValueError, match="other columns or keys"):
-        keyed_table.ensure_table(spark, table, schema, ["a"])
+        keyed_table.ensure_table(spark, table, schema, ["a"], 4)
     with pytest.raises(ValueError, match="other columns or keys"):
-        keyed_table.ensure_table(spark, table, schemas.CELL, schemas.CELL_KEYS)
+        keyed_table.ensure_table(spark, table, schemas.CELL, schemas.CELL_KEYS, 4)
 
 
-def test_a_subset_write_reads_only_its_buckets(spark, tmp_path, monkeypatch):
+def test_a_write_reads_only_its_buckets(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "many")
     schema = spark.range(1).selectExpr("id k", "'a' a", "'b' b").schema
     keyed_table.ensure_table(spark, path, schema, ["k"], 16)
     keyed_table.upsert(spark, path, spark.range(200).selectExpr("id k", "'a' a", "'b' b"))
     asked = []
-    scan = keyed_table._scan
-    monkeypatch.setattr(keyed_table, "_scan", lambda *args: asked.append(args[4]) or scan(*args))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        keyed_table.upsert(spark, path, spark.sql("select 7L k, 'new' a"), columns=["k", "a"])
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert [len(buckets) for buckets in asked] == [1]
+    stored = keyed_table._stored
+    monkeypatch.setattr(keyed_table, "_stored", lambda *args: asked.append(stored(*args)) or asked[0])
+    keyed_table.upsert(spark, path, spark.sql("select 7L k, 'new' a"), columns=["k", "a"])
     monkeypatch.undo()
+    assert "PartitionFilters: []" not in asked[0]._jdf.queryExecution().executedPlan().toString()
     kept = keyed_table.read_table(spark, path)
     assert kept.filter("k = 7").collect()[0][1:] == ("new", "b") and kept.count() == 200
 

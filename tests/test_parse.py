@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegauge import schemas
+from tidegauge.functions import text
 from tidegauge.operators.filters import alerts, drop_lines_containing, keyword_filter
 from tidegauge.operators.parse import (bad_rows, conform, good_rows, parse_employee,
                                        parse_maint, parse_pump, parse_sensor, parse_vmstat,
@@ -153,3 +154,17 @@ def test_posts(spark):
 
 def test_nan_survives(spark):
     assert math.isnan(parse_sensor(lines(spark, with_psi("NaN"))).first()["psi"])
+
+
+def test_many_terms_equal_the_expression(spark, monkeypatch):
+    texts = ["The THING is red", "things only", "a thing_b", "caf\u00e9 \u017fet", "\u212aelvin", "\u0130nk \u0131nk", "x1 y2",
+             "it's re-set", "", None, "\u00e9thing", "thing\u0301", "wide red thing", "na\u00efve"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    terms = ["thing", "Set", "kelvin", "INK", "y2", "red wide", "caf\u00e9", "re-set", "na\u00efve"]
+    few = keyword_filter(df, terms).collect()
+    many = keyword_filter(df, terms + [f"zz{i}" for i in range(10_000)])
+    assert many.collect() == few and len(few) > 6
+    assert "INSET" in many._jdf.queryExecution().optimizedPlan().toString().upper()
+    for term in terms:
+        assert keyword_filter(df, [term] + ["zz"] * text.MANY_TERMS).collect() == \
+            keyword_filter(df, [term]).collect()

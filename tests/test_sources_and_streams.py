@@ -1,6 +1,7 @@
 import glob
 import json
 import os
+import shutil
 import time
 
 import pytest
@@ -69,16 +70,16 @@ def test_employee_jobs(spark, people, tmp_path):
     table, source = str(tmp_path / "table"), str(tmp_path / "people.csv")
     people.select(F.concat_ws(",", *[F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
                                      for c in people.columns])).write.text(source)
-    jobs.employees_to_table(spark, source, "csv", table)
+    jobs.employees_to_table(spark, source, "csv", table, 4)
     assert got(keyed_table.read_table(spark, table)) == PEOPLE
     changed = people.withColumn("last_name", F.lit("new")).withColumn("gender", F.lit("X"))
     write_avro(changed.withColumn("emp_no", F.col("emp_no").cast("int")), str(tmp_path / "a"))
-    jobs.employees_to_table(spark, str(tmp_path / "a"), "avro", table)
+    jobs.employees_to_table(spark, str(tmp_path / "a"), "avro", table, 4)
     assert got(keyed_table.read_table(spark, table)) == \
         [(*p[:4], "X", p[5]) for p in PEOPLE]
     plain = str(tmp_path / "plain")
     people.select(F.concat_ws(",", *people.columns)).write.text(plain)
-    jobs.employees_to_cells(spark, plain, str(tmp_path / "cells"))
+    jobs.employees_to_cells(spark, plain, str(tmp_path / "cells"), 4)
     cells = keyed_table.read_table(spark, str(tmp_path / "cells"))
     assert cells.count() == 12
     assert cells.filter("row_key = '1' and qualifier = 'first_name'").first()["value"] == "Ann"
@@ -92,6 +93,31 @@ def test_kafka_options():
         kafka_options("h:1", " ,")
 
 
+def test_messages_delivered_again_are_dropped(spark, tmp_path):
+    rows = spark.createDataFrame([(f"{line(i, i)}".encode(),) for i in range(6)], "body binary")
+    rows.coalesce(1).write.parquet(str(tmp_path / "made"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "same"))  # equal bodies, other messages
+    landing = tmp_path / "landing"
+    state, out = str(tmp_path / "state"), []
+
+    def take(once="1 hour"):
+        lines = stream_lines(spark, str(landing), "parquet", "body", rows.schema, once=once,
+                             recursiveFileLookup="true")
+        run_batches(lines, [lambda b, i: out.extend(r["value"] for r in b.collect())], state,
+                    timeout=100)
+        return len(out)
+
+    shutil.copytree(tmp_path / "made", landing / "a")
+    assert take() == 6 and sorted(out)[0].startswith("R0,2024-01-01")
+    shutil.copytree(tmp_path / "made", landing / "b")  # after a restart, in a later batch
+    assert take() == 6
+    shutil.copytree(tmp_path / "same", landing / "c")
+    shutil.copytree(tmp_path / "same", landing / "d")  # twice in one batch
+    assert take() == 12
+    with pytest.raises(ValueError, match="identity"):
+        stream_lines(spark, str(landing), once="1 hour")
+
+
 def test_message_text(spark):
     df = spark.sql("select encode('é', 'UTF-8') body, 'k' key")
     assert message_text(df, "body").first()["value"] == "é"
@@ -227,7 +253,7 @@ def test_cells_stream_and_read_back(spark, landing, tmp_path, encoding):
     table = str(tmp_path / "cells")
     for _ in range(2):  # with a new checkpoint the same batches come again
         jobs.sensor_cells_stream(spark, stream(spark, landing), table,
-                                 str(tmp_path / f"state-{_}"), encoding, trigger=None)
+                                 str(tmp_path / f"state-{_}"), 4, encoding, trigger=None)
     df = jobs.read_sensor_table(spark, table, encoding)
     expected = [(f"R{i % 2}_2024-01-01 00:00:{i:02d}", i // 2 + 3.5) for i in range(8)]
     assert sorted((r["key"], r["psi"]) for r in df.collect()) == sorted(expected)
@@ -235,7 +261,8 @@ def test_cells_stream_and_read_back(spark, landing, tmp_path, encoding):
 
 def test_window_stream_equals_batch(spark, landing, tmp_path):
     table = str(tmp_path / "windows")
-    jobs.window_stream(spark, stream(spark, landing), table, str(tmp_path / "state"), trigger=None)
+    jobs.window_stream(spark, stream(spark, landing), table, str(tmp_path / "state"), 4,
+                       trigger=None)
     batch = stats.windowed_report(parse_sensor(read_lines(spark, landing)))
     assert got(jobs.read_windows(spark, table)) == got(batch)
 
@@ -302,8 +329,8 @@ def test_lengths_of_arrival_windows(spark):
 def test_arrival_windows_to_a_table(spark, landing, tmp_path):
     table, state = str(tmp_path / "windows"), str(tmp_path / "state")
     with pytest.raises(ValueError, match="trigger"):
-        jobs.arrival_window_stream(spark, stream(spark, landing), table, state, trigger=None)
-    jobs.arrival_window_stream(spark, stream(spark, landing), table, state, length="6 hours",
+        jobs.arrival_window_stream(spark, stream(spark, landing), table, state, 4, trigger=None)
+    jobs.arrival_window_stream(spark, stream(spark, landing), table, state, 4, length="6 hours",
                                slide="2 hours", trigger="1 second", timeout=15)
     found = keyed_table.read_table(spark, table).collect()
     assert {r["resid"] for r in found} == {"R0", "R1"}
@@ -328,17 +355,17 @@ def test_vmstat_and_post_streams(spark, tmp_path):
     (folder / "a.txt").write_text(f"r b buff cache\n {tokens}\n")
     table = str(tmp_path / "vmstat")
     jobs.vmstat_stream_to_table(spark, stream_lines(spark, str(folder)), table,
-                                str(tmp_path / "s1"), trigger=None)
+                                str(tmp_path / "s1"), 4, trigger=None)
     assert got(keyed_table.read_table(spark, table)) == [tuple(str(i) for i in range(1, 18))]
     (folder / "a.txt").write_text(f" {tokens} 2024-01-01 10:00:00\n {tokens}\n")
     jobs.vmstat_stream_to_cells(spark, stream_lines(spark, str(folder)),
-                                str(tmp_path / "vmcells"), str(tmp_path / "s2"), trigger=None)
+                                str(tmp_path / "vmcells"), str(tmp_path / "s2"), 4, trigger=None)
     cells = keyed_table.read_table(spark, str(tmp_path / "vmcells"))
     assert cells.count() == 16 and {r[0] for r in cells.collect()} == {"2024-01-01 10:00:00"}
     spark.sql("select 1L id, 'about India' text, 'today' created_at union all "
               "select 2, 'Indiana', 'today'").coalesce(1).write.parquet(str(tmp_path / "posts"))
     posts = spark.readStream.schema(schemas.POST).parquet(str(tmp_path / "posts"))
-    jobs.post_stream(spark, posts, ["India"], str(tmp_path / "kept"), str(tmp_path / "s3"),
+    jobs.post_stream(spark, posts, ["India"], str(tmp_path / "kept"), str(tmp_path / "s3"), 4,
                      trigger=None)
     assert got(keyed_table.read_table(spark, str(tmp_path / "kept"))) == \
         [(1, "about India", "today")]
@@ -366,7 +393,7 @@ def test_repeated_keys_in_a_file_in_two_files_and_delivered_twice(spark, tmp_pat
 
     def take(state):
         jobs.vmstat_stream_to_table(spark, stream_lines(spark, str(folder)), table,
-                                    str(tmp_path / state), trigger=None)
+                                    str(tmp_path / state), 4, trigger=None)
         return {r["CACH"]: r["ST"] for r in keyed_table.read_table(spark, table).collect()}
 
     (folder / "b.txt").write_text("\n".join([vm(6, "old"), vm(6, "new"), vm(7, "x"), vm(7, "x")]))
@@ -391,10 +418,10 @@ def test_posts_keep_their_order_and_give_back_long_ones(spark, tmp_path):
     rows = spark.createDataFrame([(1, "first", "t", 1), (1, "second", "t", 2), (2, "x" * 300, "t", 3)],
                                  "id long, text string, created_at string, seq long")
     table = str(tmp_path / "posts")
-    assert jobs.posts_to_table(spark, rows, table, seq="seq") is None
+    assert jobs.posts_to_table(spark, rows, table, 4, seq="seq") is None
     assert [r[1][:6] for r in got(keyed_table.read_table(spark, table))] == ["second", "xxxxxx"]
     short = str(tmp_path / "short")
-    left = jobs.posts_to_table(spark, rows, short, 200, "reject", seq="seq")
+    left = jobs.posts_to_table(spark, rows, short, 4, 200, "reject", seq="seq")
     assert [r["tweet_id"] for r in left.collect()] == [2]
     assert [r[0] for r in got(keyed_table.read_table(spark, short))] == [1]
 

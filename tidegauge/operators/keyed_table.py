@@ -1,19 +1,20 @@
 """Keyed tables on Parquet: the last row written for a key wins.
 
-Spark alone has no MERGE for Parquet, so a table is a folder with
-
-* ``data/run=<r>/bucket=<b>/*.parquet`` - rows of one write, split by a hash of the key;
-* ``_state/<n>.json`` - which runs each bucket consists of, oldest first. The highest n
-  counts; it is created whole, never replaced, so of two writers at once the second fails.
-  The last ``KEPT_STATES`` are kept, for readers that have just begun.
-
-A write touches only the buckets of its own keys and rewrites nothing that is stored, so a
-micro-batch costs its own size. A bucket that has gathered ``FOLD_AFTER`` runs is folded
-into one. A bucket of one run is read as it lies, without a shuffle; of several runs the
-newest row of each key is taken.
+Where a table format or a store with a MERGE of its own is installed, use that (``sinks.write_store``).
+Parquet has none, so a write unites the stored rows of its buckets with its own, takes the newest of
+each key and overwrites those buckets, as folders ``data/bucket=<hash of the key>``. A write costs as
+much as the buckets of its keys: choose ``buckets`` so that one holds some gigabytes, and batches
+that touch few.
+
+Small files beside the data tell what is there: ``_table.json`` the columns and keys, ``_done/<n>.json``
+the last batch of each stream after write n. The new buckets are written aside first; while they are
+put in place, ``_writing.json`` names them. A job that died there is finished by the next one's
+``ensure_table``. One writer at a time: another one's write in between is an error (``TableChanged``).
 """
 
+import functools
 import json
+import operator
 import uuid
 
 from pyspark.sql import functions as F
@@ -23,146 +24,87 @@ from tidegauge import schemas
 from tidegauge.session import scratch_dir
 from tidegauge.sources import files
 
-FOLD_AFTER = 8
-KEPT_STATES = 10
-
 
 class TableChanged(RuntimeError):
-    """Another writer committed first; read again and retry."""
+    """Another writer is at work or was first; read again and retry."""
 
 
-def ensure_table(spark, path, schema, keys, buckets=16, bucket_by=None):
+def ensure_table(spark, path, schema, keys, buckets, bucket_by=None):
     """Create an empty table unless there is one; returns whether it was created.
 
-    A table of other columns or keys at that place is an error.
-
-    ``buckets`` bounds how finely a write is split: choose it so that a bucket holds some
-    gigabytes. ``bucket_by``, by default the keys, must be among the keys.
+    A table of other columns or keys at that place is an error. ``bucket_by``, by default the keys,
+    must be among the keys. A write that was broken off is finished.
     """
-    if _state_names(spark, path):
-        _, state = _load(spark, path)
-        there = [(f.name, f.dataType) for f in _schema(state)]
-        if there != [(f.name, f.dataType) for f in schema] or state["keys"] != list(keys):
-            raise ValueError(f"the table at {path} has other columns or keys")
-        return False
-    unknown = [c for c in [*keys, *(bucket_by or [])] if c not in schema.fieldNames()]
-    if unknown or not keys or not set(bucket_by or keys) <= set(keys):
+    bucket_by = list(bucket_by or keys)
+    if not keys or not set(keys) <= set(schema.fieldNames()) or not set(bucket_by) <= set(keys):
         raise ValueError(f"bad keys {keys} or bucket_by {bucket_by}")
-    state = {"schema": schema.jsonValue(), "keys": list(keys), "buckets": buckets,
-             "bucket_by": list(bucket_by or keys), "runs": {}, "applied": {}}
-    files.make_dir(spark, f"{path}/_state")
+    table = {"schema": schema.jsonValue(), "keys": list(keys), "buckets": buckets,
+             "bucket_by": bucket_by}
+    files.make_dir(spark, f"{path}/_done")
+    files.make_dir(spark, f"{path}/data")
     try:
-        _commit(spark, path, -1, state)
-    except TableChanged:
-        return False
-    return True
-
-
-def _state_names(spark, path):
-    return [n for n in files.names(spark, f"{path}/_state")
-            if n.endswith(".json") and not n.startswith(".")]
-
-
-def _load(spark, path):
-    """Number and content of the newest state."""
-    taken = _state_names(spark, path)
-    if not taken:
+        files.create_text(spark, f"{path}/_table.json", json.dumps(table))
+        return True
+    except files.FileTaken:
+        there = _table(spark, path)
+    columns = [(f.name, f.dataType) for f in _schema(there)]
+    if columns != [(f.name, f.dataType) for f in schema] or there["keys"] != list(keys):
+        raise ValueError(f"the table at {path} has other columns or keys")
+    if files.exists(spark, f"{path}/_writing.json"):
+        _put_in_place(spark, path, there)
+    return False
+
+
+def _table(spark, path):
+    if not files.exists(spark, f"{path}/_table.json"):
         raise FileNotFoundError(f"no table at {path}")
-    return int(taken[-1][:-5]), json.loads(files.read_text(spark, f"{path}/_state/{taken[-1]}"))
+    return json.loads(files.read_text(spark, f"{path}/_table.json"))
 
 
-def _commit(spark, path, number, state):
-    taken = _state_names(spark, path)
-    if taken and int(taken[-1][:-5]) > number:
-        raise TableChanged(path)
-    try:
-        files.create_text(spark, f"{path}/_state/{number + 1:010d}.json", json.dumps(state))
-    except files.FileTaken as e:
-        raise TableChanged(path) from e
-    for name in taken[:-KEPT_STATES + 1]:
-        files.remove(spark, f"{path}/_state/{name}")
+def _done(spark, path):
+    """(number of writes, last batch of each stream)."""
+    marks = files.names(spark, f"{path}/_done")
+    marks = [m for m in marks if m.endswith(".json") and not m.startswith(".")]
+    if not marks:
+        return 0, {}
+    return int(marks[-1][:-5]), json.loads(files.read_text(spark, f"{path}/_done/{marks[-1]}"))
 
 
-def _schema(state):
-    return T.StructType.fromJson(state["schema"])
+def _schema(table):
+    return T.StructType.fromJson(table["schema"])
 
 
-def _bucket(state):
-    return F.pmod(F.xxhash64(*state["bucket_by"]), F.lit(state["buckets"])).cast("int")
+def _stored_schema(table):
+    return T.StructType([*_schema(table), T.StructField("bucket", T.IntegerType())])
 
 
-def _newest_rows(df, keys, order):
-    """The row with the greatest ``order`` for each key, partly reduced before the shuffle.
-
-    All columns follow in the comparison, so equal orders are decided the same way always.
-    """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    if not rest:
-        return df.select(*keys).distinct()
-    picked = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_r"))
-    return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
-
-
-def _scan(spark, path, state, columns=None, buckets=None):
-    """Rows of the live runs, each key once, with their ``bucket``."""
-    schema = _schema(state)
-    columns = columns or schema.fieldNames()
-    keys = state["keys"]
-    wanted = list(dict.fromkeys([*keys, *columns]))
-    stored = T.StructType([*schema, T.StructField("run", T.StringType()),
-                           T.StructField("bucket", T.IntegerType())])
-    live = {b: runs for b, runs in state["runs"].items() if buckets is None or b in buckets}
-
-    def load(chosen):
-        paths = [f"{path}/data/run={r}/bucket={b}" for b, runs in chosen.items() for r in runs]
-        return (spark.read.schema(stored).option("basePath", f"{path}/data")
-                .parquet(*paths).select(*wanted, "run", "bucket"))
-
-    single = {b: runs for b, runs in live.items() if len(runs) == 1}
-    several = {b: runs for b, runs in live.items() if len(runs) > 1}
-    parts = []
-    if single:
-        parts.append(load(single).drop("run"))
-    if several:
-        # Within a run a key is there once, so the run alone decides.
-        newest = _newest_rows(load(several), ["bucket", *keys], ["run"])
-        parts.append(newest.select(*wanted, "bucket"))
-    if not parts:
-        return spark.createDataFrame([], T.StructType(
-            [schema[c] for c in wanted] + [stored["bucket"]]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _bucket(table):
+    return F.pmod(F.xxhash64(*table["bucket_by"]), F.lit(table["buckets"])).cast("int")
 
 
 def read_table(spark, path, columns=None):
     """The table as of now. Name the ``columns`` you need: others are then not read."""
-    _, state = _load(spark, path)
-    columns = columns or _schema(state).fieldNames()
-    return _scan(spark, path, state, columns).select(*columns)
+    table = _table(spark, path)
+    rows = spark.read.schema(_stored_schema(table)).parquet(f"{path}/data")
+    return rows.select(*(columns or _schema(table).fieldNames()))
 
 
 def table_head(spark, path, n=5, ordered=True):
     """``n`` rows of the table, by default the first by key."""
-    _, state = _load(spark, path)
     rows = read_table(spark, path)
-    return (rows.orderBy(*state["keys"]) if ordered else rows).limit(n)
+    return (rows.orderBy(*_table(spark, path)["keys"]) if ordered else rows).limit(n)
 
 
-def _write_run(spark, path, state, number, rows):
-    """Write rows as a new run; returns its name and buckets.
+def _newest_rows(df, keys, order):
+    """The row with the greatest ``order`` for each key, partly reduced before the shuffle.
 
-    Rebalancing gathers each bucket in few files, and splits a bucket that is too large
-    for one task.
+    All columns follow in the comparison, so equal orders are decided the same way always.
     """
-    run = f"{number + 1:010d}-{uuid.uuid4().hex[:8]}"
-    rows = rows.select(*_schema(state).fieldNames(), _bucket(state).alias("bucket"))
-    rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(
-        f"{path}/data/run={run}")
-    found = [n[len("bucket="):] for n in files.names(spark, f"{path}/data/run={run}")
-             if n.startswith("bucket=")]
-    return run, found
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    if not rest:
+        return df.select(*keys).distinct()
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_r"))
+    return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
 def limit_text(df, max_len, on_long="fail"):
@@ -193,9 +135,7 @@ def too_long(df, max_len):
 
 
 def _one_per_key(df, keys, seq, columns):
-    key_ok = F.lit(True)
-    for k in keys:
-        key_ok = key_ok & F.col(k).isNotNull()
+    key_ok = functools.reduce(operator.and_, [F.col(k).isNotNull() for k in keys])
     wrong = F.raise_error(F.lit(f"null in key {keys}"))
     df = df.withColumn(keys[0], F.when(key_ok, F.col(keys[0])).otherwise(wrong))
     if seq is not None:
@@ -211,7 +151,7 @@ def _one_per_key(df, keys, seq, columns):
 
 
 def upsert(spark, path, df, seq=None, columns=None, batch_id=None, stream="default",
-           max_len=None, on_long="fail", fold_after=FOLD_AFTER):
+           max_len=None, on_long="fail"):
     """Insert or replace rows by key; returns whether anything was applied.
 
     ``seq`` names the column that orders rows of equal key within ``df``; without it a key
@@ -219,10 +159,10 @@ def upsert(spark, path, df, seq=None, columns=None, batch_id=None, stream="defau
     their stored value, or are null for a new key. With ``batch_id``, a batch of ``stream``
     that was applied before is skipped.
     """
-    number, state = _load(spark, path)
-    if batch_id is not None and batch_id <= state["applied"].get(stream, -1):
+    table, (number, applied) = _table(spark, path), _done(spark, path)
+    if batch_id is not None and batch_id <= applied.get(stream, -1):
         return False
-    schema, keys = _schema(state), state["keys"]
+    schema, keys = _schema(table), table["keys"]
     columns = columns or schema.fieldNames()
     missing = [c for c in keys if c not in columns]
     if missing:
@@ -232,47 +172,80 @@ def upsert(spark, path, df, seq=None, columns=None, batch_id=None, stream="defau
     typed = [F.col(c).cast(schema[c].dataType).alias(c) for c in columns]
     carried = [seq] if seq is not None and seq not in columns else []
     rows = _one_per_key(df.select(*typed, *carried), keys, seq, columns)
-    rest = [c for c in schema.fieldNames() if c not in columns]
-    if rest:
-        rows = _with_stored(spark, path, state, rows, rest)
-    run, found = _write_run(spark, path, state, number, rows)
-    for b in found:
-        state["runs"].setdefault(b, []).append(run)
-    full = {b for b, runs in state["runs"].items() if len(runs) > fold_after}
-    if full:
-        folded, kept = _write_run(spark, path, state, number,
-                                  _scan(spark, path, state, buckets=full))
-        for b in full:
-            state["runs"][b] = [folded] if b in kept else []
-    if batch_id is not None:
-        state["applied"][stream] = batch_id
-    _commit(spark, path, number, state)
+    rows = rows.withColumn("bucket", _bucket(table))
+    aside = scratch_dir(spark, "table-batch")
+    rows.write.partitionBy("bucket").parquet(aside)  # once, to know which buckets it has
+    rows = spark.read.schema(rows.schema).parquet(aside)
+    found = [int(n[len("bucket="):]) for n in files.names(spark, aside) if n.startswith("bucket=")]
+    if found:
+        ready = f"{path}/_next-{uuid.uuid4().hex}"
+        merged = _united(_stored(spark, path, table, found), rows, schema, keys, columns)
+        merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(ready)
+    files.remove_tree(spark, aside)
+    applied = applied if batch_id is None else {**applied, stream: batch_id}
+    try:
+        _commit(spark, path, table, number, found and ready, applied)
+    except TableChanged:
+        if found:
+            files.remove_tree(spark, ready)
+        raise
     return True
 
 
-def _with_stored(spark, path, state, rows, rest):
-    """Complete rows with the stored values of the columns they lack.
+def _stored(spark, path, table, buckets):
+    rows = spark.read.schema(_stored_schema(table)).parquet(f"{path}/data")
+    return rows.filter(F.col("bucket").isin(buckets))
 
-    The batch is written first, by bucket: it is computed once, and only the buckets that it
-    has are read of the table, whatever join the optimiser picks.
-    """
-    on = ["bucket", *state["keys"]]
-    batch = scratch_dir(spark, "batch")
-    rows = rows.withColumn("bucket", _bucket(state))
-    rows.write.partitionBy("bucket").parquet(batch)
-    found = {n[len("bucket="):] for n in files.names(spark, batch) if n.startswith("bucket=")}
-    stored = _scan(spark, path, state, rest, found).select(*on, *rest)
-    return spark.read.schema(rows.schema).parquet(batch).join(stored, on, "left")
 
+def _united(stored, rows, schema, keys, columns):
+    """One row for each key of both: the written columns of ``rows``, if there, the rest as stored."""
+    new = [c for c in columns if c not in keys]
+    kept = [c for c in schema.fieldNames() if c not in columns]
+    both = stored.withColumn("_turn", F.lit(0)).unionByName(
+        rows.withColumn("_turn", F.lit(1)), allowMissingColumns=True)
+    grouped = both.groupBy("bucket", *keys).agg(
+        F.max_by(F.struct(F.lit(0), *new), "_turn").alias("_new"),
+        F.max_by(F.struct(F.lit(0), *kept), F.when(F.col("_turn") == 0, 0)).alias("_kept"))
+    values = {**{c: F.col(f"_new.{c}") for c in new}, **{c: F.col(f"_kept.{c}") for c in kept}}
+    return grouped.select(*[values.get(c, F.col(c)).alias(c) for c in schema.fieldNames()], "bucket")
 
-def ensure_cells(spark, path, buckets=16, binary=False):
+
+def _commit(spark, path, table, number, ready, applied):
+    """Put the buckets written to ``ready`` in place, unless another write was first."""
+    note = json.dumps({"number": number, "ready": ready or None, "applied": applied})
+    try:
+        files.create_text(spark, f"{path}/_writing.json", note)
+    except files.FileTaken as e:
+        raise TableChanged(path) from e
+    if _done(spark, path)[0] != number:
+        files.remove(spark, f"{path}/_writing.json")
+        raise TableChanged(path)
+    _put_in_place(spark, path, table)
+
+
+def _put_in_place(spark, path, table):
+    """Overwrites the buckets that ``_writing.json`` names; a second time changes nothing."""
+    note = json.loads(files.read_text(spark, f"{path}/_writing.json"))
+    number = note["number"]
+    if _done(spark, path)[0] == number:
+        if note["ready"]:
+            spark.read.schema(_stored_schema(table)).parquet(note["ready"]).write.mode(
+                "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "bucket").parquet(f"{path}/data")
+        files.create_text(spark, f"{path}/_done/{number + 1:010d}.json", json.dumps(note["applied"]))
+        files.remove(spark, f"{path}/_done/{number:010d}.json")
+    files.remove(spark, f"{path}/_writing.json")
+    if note["ready"]:
+        files.remove_tree(spark, note["ready"])
+
+
+def ensure_cells(spark, path, buckets, binary=False):
     """A cell table. All cells of a row are in one bucket."""
     schema = schemas.BINARY_CELL if binary else schemas.CELL
     return ensure_table(spark, path, schema, schemas.CELL_KEYS, buckets, ["row_key"])
 
 
-def write_cells(spark, path, cells, batch_id=None, stream="default", fold_after=FOLD_AFTER):
+def write_cells(spark, path, cells, batch_id=None, stream="default"):
     """Put cells: for each (row_key, family, qualifier) the last write wins."""
     seq = "seq" if "seq" in cells.columns else None
-    return upsert(spark, path, cells, seq, batch_id=batch_id, stream=stream,
-                  fold_after=fold_after)
+    return upsert(spark, path, cells, seq, batch_id=batch_id, stream=stream)

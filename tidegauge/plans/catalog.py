@@ -12,12 +12,13 @@ from tidegauge.plans import adapters, jobs
 from tidegauge.plans.adapters import stream_table, table
 from tidegauge.plans.avro_files import write_avro
 from tidegauge.session import scratch_dir
-from tidegauge.sources import read_employees, read_lines, stream_lines
+from tidegauge.sources import files, read_employees, read_lines, stream_lines
 from tidegauge.sources.clustered import drop_clustered, write_clustered
 from tidegauge.sources.employees import XML_TAGS
 from tidegauge.streaming import batch_sql, run_batches
 
 KEYWORDS = ["thing", "water"]
+BUCKETS = 16  # folders of the tables that the queries write
 WINDOW = {"length": "6 hours", "slide": "2 hours"}
 
 QUERIES = {}
@@ -147,6 +148,13 @@ def keyword_posts(spark, sf):
     return project_posts(keyword_filter(adapters.posts(table(spark, sf, "documents")), KEYWORDS))
 
 
+@query
+def keyword_posts_many(spark, sf):
+    """Posts with one of ten thousand terms, of which two occur, by a look-up of each token."""
+    terms = KEYWORDS + [f"term{i}" for i in range(10_000)]
+    return project_posts(keyword_filter(adapters.posts(table(spark, sf, "documents")), terms))
+
+
 # Statistics ---------------------------------------------------------------------------
 
 @query
@@ -217,6 +225,17 @@ def cells_decode(spark, sf):
     return cells.decode_cells(cells.route(_sensor(spark, sf, keep_seq=True), "both"))
 
 
+@query
+def cells_decode_clustered(spark, sf):
+    """The same from cells stored by row key: they are not shuffled to be put together."""
+    written = cells.route(_sensor(spark, sf, keep_seq=True), "both")
+    name = write_clustered(written, "row_key", BUCKETS)
+    out = scratch_dir(spark, "decoded")
+    cells.decode_cells(spark.table(name)).write.parquet(out)
+    drop_clustered(spark, name)
+    return spark.read.parquet(out)
+
+
 @query
 def cells_project_family(spark, sf):
     written = cells.encode_cells(_sensor(spark, sf, keep_seq=True), cells.sensor_key(),
@@ -259,7 +278,7 @@ def _halves(rows):
 def upsert_latest(spark, sf):
     """The newest row of each device after two batches, the second one winning."""
     path = scratch_dir(spark, "latest")
-    keyed_table.ensure_table(spark, path, schemas.SENSOR, ["resid"])
+    keyed_table.ensure_table(spark, path, schemas.SENSOR, ["resid"], BUCKETS)
     for batch in _halves(_sensor(spark, sf, keep_seq=True)):
         keyed_table.upsert(spark, path, batch, seq="seq")
     return keyed_table.read_table(spark, path)
@@ -268,7 +287,7 @@ def upsert_latest(spark, sf):
 @query
 def upsert_vmstat_by_cach(spark, sf):
     path = scratch_dir(spark, "vmstat")
-    keyed_table.ensure_table(spark, path, schemas.VMSTAT, ["CACH"])
+    keyed_table.ensure_table(spark, path, schemas.VMSTAT, ["CACH"], BUCKETS)
     keyed_table.upsert(spark, path, _vmstat(spark, sf, "strict"), seq="seq")
     return keyed_table.read_table(spark, path)
 
@@ -279,7 +298,7 @@ def upsert_employees(spark, sf):
     lines = scratch_dir(spark, "employee-lines")
     adapters.employee_lines(_employees(spark, sf), quoted=True).write.text(lines)
     path = scratch_dir(spark, "employees")
-    jobs.employees_to_table(spark, lines, "csv", path)
+    jobs.employees_to_table(spark, lines, "csv", path, BUCKETS)
     return keyed_table.read_table(spark, path)
 
 
@@ -288,7 +307,7 @@ def upsert_employee_cells(spark, sf):
     """The job from employee lines to cells, read back."""
     lines, path = scratch_dir(spark, "employee-lines"), scratch_dir(spark, "employee-cells")
     adapters.employee_lines(_employees(spark, sf), quoted=False).write.text(lines)
-    jobs.employees_to_cells(spark, lines, path)
+    jobs.employees_to_cells(spark, lines, path, BUCKETS)
     return keyed_table.read_table(spark, path)
 
 
@@ -296,7 +315,7 @@ def upsert_employee_cells(spark, sf):
 def upsert_subset_columns(spark, sf):
     """A batch without last_name: stored names stay, new employees have none."""
     path = scratch_dir(spark, "employees")
-    keyed_table.ensure_table(spark, path, schemas.EMPLOYEE, ["emp_no"])
+    keyed_table.ensure_table(spark, path, schemas.EMPLOYEE, ["emp_no"], BUCKETS)
     keyed_table.upsert(spark, path, _employees(spark, sf))
     nation = table(spark, sf, "nation")
 
@@ -318,7 +337,7 @@ def upsert_subset_columns(spark, sf):
 def upsert_cells(spark, sf):
     """Cells of two batches: a cell keeps its last write."""
     path = scratch_dir(spark, "cells")
-    keyed_table.ensure_cells(spark, path)
+    keyed_table.ensure_cells(spark, path, BUCKETS)
     for batch in _halves(_sensor(spark, sf, keep_seq=True)):
         keyed_table.write_cells(spark, path, cells.route(batch, "both"))
     return keyed_table.read_table(spark, path)
@@ -329,14 +348,14 @@ def upsert_posts(spark, sf):
     """Posts with a keyword, texts of any length."""
     path = scratch_dir(spark, "posts")
     found = keyword_filter(adapters.posts(table(spark, sf, "documents")), ["the", "de"])
-    jobs.posts_to_table(spark, project_posts(found), path)
+    jobs.posts_to_table(spark, project_posts(found), path, BUCKETS)
     return keyed_table.read_table(spark, path)
 
 
 @query
 def table_head(spark, sf):
     path = scratch_dir(spark, "employees")
-    keyed_table.ensure_table(spark, path, schemas.EMPLOYEE, ["emp_no"])
+    keyed_table.ensure_table(spark, path, schemas.EMPLOYEE, ["emp_no"], BUCKETS)
     keyed_table.upsert(spark, path, _employees(spark, sf))
     return keyed_table.table_head(spark, path, 5)
 
@@ -486,12 +505,13 @@ def stream_cells(spark, sf):
     later = iter(states)
 
     def take(lines):
-        jobs.sensor_cells_stream(spark, parse_sensor(lines), path, next(later), trigger=None)
+        jobs.sensor_cells_stream(spark, parse_sensor(lines), path, next(later), BUCKETS,
+                                 trigger=None)
 
     landing = _in_turns(spark, sf, adapters.sensor_lines, [0, 12], F.concat_ws("_", *[
         _field(",", i) for i in range(3)]), take)
     jobs.sensor_cells_stream(spark, parse_sensor(stream_lines(spark, landing)), path, states[1],
-                             trigger=None)
+                             BUCKETS, trigger=None)
     return keyed_table.read_table(spark, path)
 
 
@@ -499,16 +519,39 @@ def stream_cells(spark, sf):
 def stream_cells_read_back(spark, sf):
     """Binary cells written by a stream and read back as sensor rows."""
     path, state = scratch_dir(spark, "cells"), scratch_dir(spark, "cells-state")
-    jobs.sensor_cells_stream(spark, _sensor_stream(spark, sf), path, state, encoding="binary",
-                             trigger=None)
+    jobs.sensor_cells_stream(spark, _sensor_stream(spark, sf), path, state, BUCKETS,
+                             encoding="binary", trigger=None)
     return jobs.read_sensor_table(spark, path, "binary")
 
 
+@query
+def stream_once(spark, sf):
+    """Counts of a stream of binary message bodies, half of whose files are delivered twice."""
+    first, state = scratch_dir(spark, "bodies"), scratch_dir(spark, "bodies-state")
+    landing, out = scratch_dir(spark, "bodies-landing"), scratch_dir(spark, "bodies-counts")
+    lines = adapters.sensor_lines(table(spark, sf, "events"))
+    bodies = lines.select(F.encode("value", "UTF-8").alias("body"))
+    for part, rows in enumerate(bodies.randomSplit([1.0, 1.0], 7)):
+        rows.write.parquet(f"{first}/{part}")
+    for turn, part in (("a", 0), ("b", 0), ("b", 1)):  # the first half comes in both turns
+        files.copy_tree(spark, f"{first}/{part}", f"{landing}/{turn}/{part}")
+    lines = stream_lines(spark, landing, "parquet", "body", bodies.schema, once="1 hour",
+                         recursiveFileLookup="true")
+
+    def count(batch, batch_id):
+        _to_parquet(out)(stats.sensor_counts(batch), batch_id)
+
+    run_batches(parse_sensor(lines), [count], state)
+    counted = spark.read.parquet(out)
+    return counted.groupBy(*stats.BY).agg(F.sum("total").alias("total"))
+
+
 @query
 def stream_vmstat(spark, sf):
     path, state = scratch_dir(spark, "vmstat"), scratch_dir(spark, "vmstat-state")
     _in_turns(spark, sf, adapters.vmstat_lines, [0], _token(6),
-              lambda lines: jobs.vmstat_stream_to_table(spark, lines, path, state, trigger=None))
+              lambda lines: jobs.vmstat_stream_to_table(spark, lines, path, state, BUCKETS,
+                                                          trigger=None))
     return keyed_table.read_table(spark, path)
 
 
@@ -517,7 +560,8 @@ def stream_vmstat_cells(spark, sf):
     path, state = scratch_dir(spark, "vmstat"), scratch_dir(spark, "vmstat-state")
     _in_turns(spark, sf, lambda events: adapters.vmstat_lines(events, stamped=True), [0],
               F.concat_ws(" ", _token(18), _token(19)),
-              lambda lines: jobs.vmstat_stream_to_cells(spark, lines, path, state, trigger=None))
+              lambda lines: jobs.vmstat_stream_to_cells(spark, lines, path, state, BUCKETS,
+                                                          trigger=None))
     return keyed_table.read_table(spark, path)
 
 
@@ -526,7 +570,7 @@ def stream_posts(spark, sf):
     """Posts with a keyword from a stream, by id; the rows' order is that of the files."""
     path, state = scratch_dir(spark, "posts"), scratch_dir(spark, "posts-state")
     posts = adapters.posts(stream_table(spark, sf, "documents"))
-    jobs.post_stream(spark, posts, KEYWORDS, path, state, trigger=None)
+    jobs.post_stream(spark, posts, KEYWORDS, path, state, BUCKETS, trigger=None)
     return keyed_table.read_table(spark, path)
 
 
@@ -543,7 +587,8 @@ def stream_report(spark, sf):
 def stream_window_counts(spark, sf):
     """Running window counts: each batch upserts the panes it changed, windows are made of those."""
     path, state = scratch_dir(spark, "windows"), scratch_dir(spark, "windows-state")
-    jobs.window_stream(spark, _sensor_stream(spark, sf), path, state, trigger=None, **WINDOW)
+    jobs.window_stream(spark, _sensor_stream(spark, sf), path, state, BUCKETS, trigger=None,
+                       **WINDOW)
     return jobs.read_windows(spark, path, **WINDOW).select("w_start", *stats.BY, "total")
 
 

@@ -4,7 +4,8 @@ Batch jobs take paths. Stream jobs take a stream, of lines from ``stream_lines``
 parsed from it, a target and a checkpoint folder; ``timeout`` and ``name`` go to
 ``run_batches``. ``trigger`` is how often they take a batch; ``trigger=None`` takes what is there
 and ends. Writes to one key go by the order of arrival, the stream's ``seq``; batches are
-told apart by the id in the checkpoint, so several streams may share a target.
+told apart by the id in the checkpoint, so several streams may share a target, one after the other.
+``buckets`` is the number of folders of a keyed table: choose it so that one holds some gigabytes.
 """
 
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ WITHOUT_LAST_NAME = ["emp_no", "birth_date", "first_name", "gender", "hire_date"
 
 # Batch --------------------------------------------------------------------------------
 
-def employees_to_table(spark, source, fmt, table, null_key="reject", seq=None, buckets=16):
+def employees_to_table(spark, source, fmt, table, buckets, null_key="reject", seq=None):
     """Upsert employee files into the table; Avro leaves last_name as it is stored.
 
     Returns the rows without a number, which are not written.
@@ -42,7 +43,7 @@ def employees_to_table(spark, source, fmt, table, null_key="reject", seq=None, b
     return bad
 
 
-def employees_to_cells(spark, source, table, buckets=16):
+def employees_to_cells(spark, source, table, buckets):
     """Employee lines, quotes kept, as cells under the employee's number."""
     keyed_table.ensure_cells(spark, table, buckets)
     rows = parse_employee(read_lines(spark, source), quotes="keep")
@@ -54,7 +55,7 @@ def read_sensor_table(spark, table, encoding="text"):
     return cells.decode_cells(keyed_table.read_table(spark, table), encoding)
 
 
-def posts_to_table(spark, posts, table, max_len=None, on_long="fail", batch_id=None, buckets=16,
+def posts_to_table(spark, posts, table, buckets, max_len=None, on_long="fail", batch_id=None,
                    seq=None, stream="default"):
     """Upsert posts by id, of one id the last by ``seq``.
 
@@ -131,8 +132,8 @@ def report_stream(rows, pump, maint, out, checkpoint, show=0, trigger=STATS_INTE
             made.drop()
 
 
-def sensor_cells_stream(spark, rows, table, checkpoint, encoding="text", mode="both",
-                        buckets=16, trigger=CELL_INTERVAL, **run):
+def sensor_cells_stream(spark, rows, table, checkpoint, buckets, encoding="text", mode="both",
+                        trigger=CELL_INTERVAL, **run):
     """Sensor rows to the data and alert families."""
     keyed_table.ensure_cells(spark, table, buckets, binary=encoding == "binary")
 
@@ -144,7 +145,7 @@ def sensor_cells_stream(spark, rows, table, checkpoint, encoding="text", mode="b
     return run_batches(rows, [put], checkpoint, trigger, **run)
 
 
-def vmstat_stream_to_table(spark, lines, table, checkpoint, buckets=16,
+def vmstat_stream_to_table(spark, lines, table, checkpoint, buckets,
                            trigger=STATS_INTERVAL, **run):
     """Strict vmstat lines to a table keyed by cache size."""
     keyed_table.ensure_table(spark, table, schemas.VMSTAT, ["CACH"], buckets)
@@ -158,7 +159,7 @@ def vmstat_stream_to_table(spark, lines, table, checkpoint, buckets=16,
     return run_batches(rows, [put], checkpoint, trigger, **run)
 
 
-def vmstat_stream_to_cells(spark, lines, table, checkpoint, buckets=16,
+def vmstat_stream_to_cells(spark, lines, table, checkpoint, buckets,
                            trigger=CELL_INTERVAL, **run):
     """Lenient vmstat lines to cells under date and time."""
     keyed_table.ensure_cells(spark, table, buckets)
@@ -171,21 +172,21 @@ def vmstat_stream_to_cells(spark, lines, table, checkpoint, buckets=16,
     return run_batches(rows, [put], checkpoint, trigger, **run)
 
 
-def post_stream(spark, posts, terms, table, checkpoint, max_len=None, on_long="fail",
+def post_stream(spark, posts, terms, table, checkpoint, buckets, max_len=None, on_long="fail",
                 trigger=STATS_INTERVAL, **run):
     """Posts with one of the terms to a table keyed by id; a ``seq`` of the posts orders them."""
     rows = project_posts(keyword_filter(posts, terms))
     seq = "seq" if "seq" in rows.columns else None
 
     def put(batch, i):
-        posts_to_table(batch.sparkSession, placed(batch), table, max_len, on_long, batch_id=i,
-                       seq=seq, stream=stream_id(batch.sparkSession, checkpoint))
+        posts_to_table(batch.sparkSession, placed(batch), table, buckets, max_len, on_long,
+                       batch_id=i, seq=seq, stream=stream_id(batch.sparkSession, checkpoint))
 
     return run_batches(rows, [put], checkpoint, trigger, **run)
 
 
-def window_stream(spark, rows, table, checkpoint, length="6 seconds", slide="2 seconds",
-                  time="event", watermark="1 hour", buckets=16, trigger=STATS_INTERVAL, **run):
+def window_stream(spark, rows, table, checkpoint, buckets, length="6 seconds", slide="2 seconds",
+                  time="event", watermark="1 hour", trigger=STATS_INTERVAL, **run):
     """Sums of the panes of sliding windows, kept in a table; ``read_windows`` gives the windows.
 
     A batch writes only the panes it changed, each once, though it is in several windows. The
@@ -207,8 +208,8 @@ def read_windows(spark, table, length="6 seconds", slide="2 seconds"):
     return stats.windows_of_panes(keyed_table.read_table(spark, table), ["psi"], length, slide)
 
 
-def arrival_window_stream(spark, rows, table, checkpoint, length="6 seconds", slide="2 seconds",
-                          buckets=16, trigger=STATS_INTERVAL, **run):
+def arrival_window_stream(spark, rows, table, checkpoint, buckets, length="6 seconds",
+                          slide="2 seconds", trigger=STATS_INTERVAL, **run):
     """Counts and psi statistics over the rows that arrived in the last ``length``, in a table.
 
     Run it every ``slide``; see ``arrival_windows``. Its windows go by the clock, so it has no end of

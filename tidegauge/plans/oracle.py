@@ -192,6 +192,9 @@ ORACLE.update({
     "stream_posts": ORACLE["keyword_posts"].replace(
         "id, text, source", "tweet_id, text tweet, source", 1),
     "stream_report": _ALERT_VIEW,
+    "stream_once": ORACLE["sensor_counts"],
+    "cells_decode_clustered": _DECODED,
+    "keyword_posts_many": ORACLE["keyword_posts"],
     "stream_alert_devices": _ALERT_VIEW,
     "alert_maintenance_devices": _ALERT_VIEW,
     "upsert_employee_cells": ORACLE["cells_employee"],

@@ -95,3 +95,11 @@ def remove_tree(spark, path):
     """Remove a folder with what is in it; none is no error."""
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def copy_tree(spark, source, target):
+    """Copy a folder with what is in it, on one file system or between two."""
+    from_fs, from_path = _fs(spark, source)
+    to_fs, to_path = _fs(spark, target)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(from_fs, from_path, to_fs, to_path, False, conf)
