@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidegauge import schemas
 from tidegauge.functions import text
 from tidegauge.operators.filters import alerts, drop_lines_containing, keyword_filter
-from tidegauge.operators.parse import (bad_rows, conform, good_rows, parse_employee,
+from tidegauge.operators.parse import (bad_rows, conform, counted, good_rows, parse_objects, parse_employee,
                                        parse_maint, parse_pump, parse_sensor, parse_vmstat,
                                        project_posts)
 
@@ -168,3 +168,40 @@ def test_many_terms_equal_the_expression(spark, monkeypatch):
     for term in terms:
         assert keyword_filter(df, [term] + ["zz"] * text.MANY_TERMS).collect() == \
             keyword_filter(df, [term]).collect()
+
+
+def test_objects_that_drift(spark):
+    df = lines(spark, '{"emp_no": 1, "first_name": "A", "more": {"x": [1, null]}, "n": 2}',
+               '{"emp_no": "2", "first_name": null}', '{"emp_no": "two"}', '{"emp_no": 1.5}', "[1]",
+               '{"emp_no": 3', '{"first_name": "B"}', '{"emp_no": 4, "first_name": 7}', None, "", "null",
+               '{"emp_no": 5, "first_name": "C", "emp no": 1}')
+    rows = parse_objects(df, schemas.EMPLOYEE, "emp_no")
+    good = {r["emp_no"]: r for r in good_rows(rows).collect()}
+    assert good[1]["first_name"] == "A" and good[1]["hire_date"] is None
+    assert good[1]["_rest"] == {"more": '{"x":[1,null]}', "n": "2"}
+    assert good[5]["_rest"] == {"emp no": "1"}
+    assert good[2]["first_name"] is None and good[4]["first_name"] == "7"
+    bad = [r["_bad"] for r in bad_rows(rows).collect()]
+    assert {'{"emp_no": "two"}', "[1]", '{"emp_no": 3', '{"first_name": "B"}', "", "null"} <= set(bad)
+    assert len(good) + len(bad) == 12
+
+
+def test_counts_of_one_pass(spark):
+    df = lines(spark, GOOD, GOOD, "short", "a,b")
+    rows, counts = counted(df, parse_sensor, "permissive")
+    assert rows.count() == 4
+    assert counts.get() == {"read": 4, "kept": 2, "bad": 2, "dropped": 0}
+    rows, counts = counted(df, parse_vmstat, "lenient")
+    assert rows.collect() == []
+    assert counts.get() == {"read": 4, "kept": 0, "bad": 0, "dropped": 4}
+
+
+def test_counts_of_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text(f"{GOOD}\nshort\n")
+    rows, _ = counted(spark.readStream.text(str(tmp_path / "in")), parse_sensor, "permissive")
+    query = rows.writeStream.format("noop").option(
+        "checkpointLocation", str(tmp_path / "s")).trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    seen = [p["observedMetrics"] for p in query.recentProgress if p["numInputRows"]]
+    assert [(m["lines"]["n"], m["rows"]["n"], m["rows"]["bad"]) for m in seen] == [(2, 2, 1)]

@@ -12,6 +12,7 @@ column it mentions, which measured four times slower.
 Columns beside ``value`` (a sequence number, say) pass through.
 """
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,3 +133,77 @@ def project_posts(df, id="id", text="text", created_at="created_at"):
     seq = ["seq"] if "seq" in df.columns else []
     return df.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"),
                      F.col(created_at).cast("string").alias("created_at"), *seq)
+
+
+# Objects whose fields drift --------------------------------------------------------------
+
+REST = "_rest"
+
+
+def parse_objects(lines, schema, key=None):
+    """JSON lines bound to the schema by name, whatever else the objects hold.
+
+    Each line is read once, into a variant. Fields that the schema does not name are kept in
+    ``_rest``, a map of their values as JSON text. A line that is no object, or has a field that does
+    not fit its type, or no ``key``, is a bad row: it is in ``_bad`` and null elsewhere (see
+    ``good_rows``). A missing or null field is null.
+    """
+    read = lines.withColumn("_v", F.try_parse_json("value"))
+    json = F.to_json("_v")
+    read = read.withColumn("_fields", F.when(
+        F.startswith(json, F.lit("{")), F.from_json(json, "map<string,string>")))
+    names = schema.fieldNames()
+    found = {f.name: F.try_variant_get("_v", f"$['{f.name}']", f.dataType.simpleString())
+             for f in schema}
+    typed = read.select("*", *[found[n].alias(f"_{i}") for i, n in enumerate(names)])
+    ok = F.col("_fields").isNotNull()
+    for i, f in enumerate(schema):
+        text = F.try_element_at("_fields", F.lit(f.name))
+        fits = F.col(f"_{i}").isNotNull()
+        if isinstance(f.dataType, T.IntegralType):  # a variant's fraction would be cut off
+            fits = fits & text.rlike(r"^[+-]?\d+$")
+        ok = ok & (fits | text.isNull())
+    if key is not None:
+        ok = ok & F.col(f"_{names.index(key)}").isNotNull()
+    rest = F.map_filter("_fields", lambda k, v: ~k.isin(names))
+    good = F.struct(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)], rest.alias(REST),
+                    F.lit(None).cast("string").alias(BAD))
+    bad = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema],
+                   F.lit(None).cast("map<string,string>").alias(REST),
+                   F.coalesce("value", F.lit("")).alias(BAD))
+    passed = [c for c in lines.columns if c != "value"]
+    return typed.select(F.inline(F.array(F.when(F.coalesce(ok, F.lit(False)), good).otherwise(bad))),
+                        *passed)
+
+
+# Counts of what a parser leaves out ------------------------------------------------------
+
+class Counts:
+    """Lines read, rows kept and rows marked bad, counted in the pass that reads them."""
+
+    def __init__(self):
+        self.lines, self.rows = Observation(), Observation()
+
+    def get(self):
+        """The counts as a dict; waits for the first action on the rows to end."""
+        read, made = self.lines.get, self.rows.get
+        return {"read": read["n"], "kept": made["n"] - made["bad"], "bad": made["bad"],
+                "dropped": read["n"] - made["n"]}
+
+
+def counted(lines, parse, *args, **options):
+    """(rows of ``parse(lines)``, their ``Counts``); nothing is read twice for them.
+
+    For a stream the counts are in its progress, by the names ``lines`` and ``rows``, and the second
+    result is None.
+    """
+    def made_of(df):
+        bad = F.count(BAD) if BAD in df.columns else F.count(F.lit(None))
+        return F.count(F.lit(1)).alias("n"), bad.alias("bad")
+
+    if lines.isStreaming:
+        rows = parse(lines.observe("lines", F.count(F.lit(1)).alias("n")), *args, **options)
+        return rows.observe("rows", *made_of(rows)), None
+    counts = Counts()
+    rows = parse(lines.observe(counts.lines, F.count(F.lit(1)).alias("n")), *args, **options)
+    return rows.observe(counts.rows, *made_of(rows)), counts

@@ -6,8 +6,9 @@ from pyspark.sql import types as T
 from tidegauge import schemas
 from tidegauge.operators import cells, joins, keyed_table, sinks, stats
 from tidegauge.operators.filters import alerts, keyword_filter
-from tidegauge.operators.parse import (bad_rows, good_rows, parse_employee, parse_maint, parse_pump,
-                                       parse_sensor, parse_vmstat, project_posts)
+from tidegauge.operators.parse import (REST, bad_rows, counted, good_rows, parse_employee,
+                                       parse_maint, parse_objects, parse_pump, parse_sensor,
+                                       parse_vmstat, project_posts)
 from tidegauge.plans import adapters, jobs
 from tidegauge.plans.adapters import stream_table, table
 from tidegauge.plans.avro_files import write_avro
@@ -136,6 +137,42 @@ def permissive_bad(spark, sf):
     return bad_rows(parse_sensor(_spoiled(spark, sf), "permissive")).drop("seq")
 
 
+def _drifting(spark, sf):
+    """Employees as JSON lines: some have more fields, some a number that is none, some are cut."""
+    rows = _employees(spark, sf)
+    number = F.when(F.col("emp_no") % 7 == 0, F.concat(F.lit('"no '), "emp_no", F.lit('"'))).otherwise(
+        F.col("emp_no").cast("string"))
+    extra = F.when(F.col("emp_no") % 3 == 0, F.concat(F.lit(', "level": '), F.col("emp_no") % 10))
+    names = [F.concat(F.lit(f', "{c}": "'), c, F.lit('"')) for c in rows.columns if c != "emp_no"]
+    line = F.concat(F.lit('{"emp_no": '), number, *names, F.coalesce(extra, F.lit("")), F.lit("}"))
+    cut = F.when(F.col("emp_no") % 11 == 0, F.substring(line, 1, 30)).otherwise(line)
+    return rows.select(cut.alias("value"))
+
+
+@query
+def employees_drifting(spark, sf):
+    rows = good_rows(parse_objects(_drifting(spark, sf), schemas.EMPLOYEE, "emp_no"))
+    return rows.select(*schemas.EMPLOYEE.fieldNames(), F.try_element_at(REST, F.lit("level")).alias("level"))
+
+
+@query
+def employees_drifting_bad(spark, sf):
+    return bad_rows(parse_objects(_drifting(spark, sf), schemas.EMPLOYEE, "emp_no"))
+
+
+@query
+def counted_lines(spark, sf):
+    """Lines read, kept, bad and dropped by a lenient and a permissive parser, each in its one pass."""
+    stamped = adapters.vmstat_lines(table(spark, sf, "events"), stamped=True)
+    found = []
+    for name, lines, parse, mode in (("vmstat", stamped, parse_vmstat, "lenient"),
+                                     ("sensor", _spoiled(spark, sf), parse_sensor, "permissive")):
+        rows, counts = counted(lines, parse, mode)
+        rows.write.format("noop").mode("overwrite").save()
+        found.append({"parser": name, **counts.get()})
+    return spark.createDataFrame(found, "parser string, read long, kept long, bad long, dropped long")
+
+
 # Filters ------------------------------------------------------------------------------
 
 @query

@@ -192,6 +192,28 @@ ORACLE.update({
     "stream_posts": ORACLE["keyword_posts"].replace(
         "id, text, source", "tweet_id, text tweet, source", 1),
     "stream_report": _ALERT_VIEW,
+    "employees_drifting": f"""
+        select *, case when emp_no % 3 = 0 then cast(emp_no % 10 as varchar) end "level"
+        from ({_EMPLOYEE}) where emp_no % 7 <> 0 and emp_no % 11 <> 0""",
+    "employees_drifting_bad": f"""
+        with l as (
+            select emp_no, '{{"emp_no": ' || case when emp_no % 7 = 0
+                then '"no ' || emp_no || '"' else cast(emp_no as varchar) end
+                || ', "birth_date": "' || birth_date || '", "first_name": "' || first_name
+                || '", "last_name": "' || last_name || '", "gender": "' || gender
+                || '", "hire_date": "' || hire_date || '"'
+                || case when emp_no % 3 = 0 then ', "level": ' || emp_no % 10 else '' end
+                || '}}' line
+            from ({_EMPLOYEE}))
+        select case when emp_no % 11 = 0 then substr(line, 1, 30) else line end _bad
+        from l where emp_no % 7 = 0 or emp_no % 11 = 0""",
+    "counted_lines": """
+        select 'vmstat' parser, count(*) + 3 * count(*) filter (event_id % 100 = 0) "read",
+               count(*) kept, cast(0 as bigint) bad,
+               3 * count(*) filter (event_id % 100 = 0) dropped from events
+        union all
+        select 'sensor', count(*), count(*) filter (hour(ts) <> 0),
+               count(*) filter (hour(ts) = 0), 0 from events""",
     "stream_once": ORACLE["sensor_counts"],
     "cells_decode_clustered": _DECODED,
     "keyword_posts_many": ORACLE["keyword_posts"],
