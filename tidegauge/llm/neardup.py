@@ -45,6 +45,7 @@ STEP = float(np.log(1.02))  # texts of the exact join meet by the logarithm of t
 SLACK = 1e-6  # what rounding may add to a bound
 FIRST, MORE = 1, 16  # pairs of two classes and a share that are tried at once, and how they grow
 SHARES = 8
+BEFORE = 8  # shingles before its own that a row of the exact join carries
 GROUP = 64  # members compared with one copy of their leader
 
 _rng = np.random.default_rng(20240229)  # a fixed seed: every worker draws the same tables
@@ -126,9 +127,16 @@ def node_of(key, body):
     return F.coalesce(key.cast("long"), made)
 
 
-def small_parts(frame, rows=128):
-    for at in range(0, len(frame), rows):
-        yield frame.iloc[at:at + rows]
+def small_parts(frame, rows=128, chars=1_000_000):
+    """Parts of a frame of so many rows and about so many characters of text; one row at least."""
+    column = "t" if "t" in frame.columns else "_t"
+    ends = frame[column].str.len().fillna(0).cumsum().to_numpy()
+    at = 0
+    while at < len(frame):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, min(at + rows, int(np.searchsorted(ends, done + chars, "right"))))
+        yield frame.iloc[at:to]
+        at = to
 
 
 def frequent_shingles(docs, text="text", rare=RARE):
@@ -279,6 +287,9 @@ def candidates(crowd, texts, shared, least):
     weights: only shingles before the rest is below ``least`` of a text count, and the heavier text
     is looked for among weights that its rest allows. Members of a shingle's largest class meet only
     those of others. ``hope`` is the largest such rest of both.
+
+    A pair may share hundreds of such shingles and need meet at the first only. Each row carries the
+    ``BEFORE`` shingles before its own; where the two texts share one of these, they have met there.
     """
 
     def run(frames):
@@ -299,9 +310,10 @@ def candidates(crowd, texts, shared, least):
                                      F.max("class").alias("high")).filter("df > 1")
     order = Window.partitionBy("node").orderBy("df", "h")
     ordered = found.join(counted, "h", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn(
-        "rest", F.col("total") - F.sum("w").over(order) + F.col("w"))
+        "rest", F.col("total") - F.sum("w").over(order) + F.col("w")).withColumn(
+        "before", F.collect_list("h").over(order.rowsBetween(-BEFORE, -1)))
     first = keep(ordered.filter((F.col("rest") >= F.col("total") * (least * (1 - SLACK))) & (
-        F.col("low") < F.col("high"))).select("h", "node", "class", "total", "rest"), "near-first-shingles")
+        F.col("low") < F.col("high"))).select("h", "node", "class", "total", "rest", "before"), "near-first-shingles")
     discard(found)
     largest = first.groupBy("h", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(
         F.max_by("class", F.struct("n", "class")).alias("main"), F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -317,6 +329,7 @@ def candidates(crowd, texts, shared, least):
         return s.join(l, ["h", "level"]).filter(
             (F.col("s.class") != F.col("l.class"))
             & (F.struct("s.total", "s.node") < F.struct("l.total", "l.node"))
+            & ~F.arrays_overlap("s.before", "l.before")
             & (shared_most >= (F.col("s.total") + F.col("l.total")) * (least / (1 + least)))).select(
             F.col("s.node").alias("leader"), F.col("l.node").alias("node"),
             (F.col("s.rest") + F.col("l.rest")).alias("hope"))
@@ -332,7 +345,7 @@ def settled(linked, now, crowd, texts, shared, least):
     The most hopeful pairs of two classes are compared first; pairs that their links join need no more
     comparison. The rest follows until none is left.
     """
-    left = keep(candidates(crowd, texts, shared, least), "near-candidates", True)
+    left = keep(candidates(crowd, texts, shared, least), "near-candidates")
     first = FIRST
     while True:
         one, other = (now.select(F.col("node").alias(c), F.col("class").alias(f"{c}_class"))
@@ -346,7 +359,7 @@ def settled(linked, now, crowd, texts, shared, least):
         tried = left.filter(F.col("rank") <= first).select("leader", "node")
         if not tried.limit(1).count():
             return now
-        found = keep(verified(tried, texts, shared, least), "near-links", True)
+        found = keep(verified(tried, texts, shared, least), "near-links")
         if found.limit(1).count():
             linked = keep(linked.union(found), "near-linked", True)
             now = components(linked)
@@ -380,7 +393,9 @@ def classes(docs, key="doc_id", text="text", least=0.8):
         # Whatever their number: a plan that changes with it would not show its cost.
         texts = keep(rows.select("_n", "_t").join(wanted.hint("merge"), "_n").dropDuplicates(
             ["_n"]), "near-texts")
-        linked = keep(linked.union(verified(pairs, texts, shared, least)), "near-linked", True)
+        # Texts are compared by all tasks; only the table of links is narrow.
+        linked = keep(linked.union(keep(verified(pairs, texts, shared, least), "near-links")),
+                      "near-linked", True)
         now = components(linked)
         # Larger buckets with several classes: their members' other pairs are still to be compared.
         seen = members.join(heads.filter(F.col("size") > LEADERS + 1).select("bucket").distinct(),
