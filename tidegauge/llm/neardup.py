@@ -127,7 +127,7 @@ def node_of(key, body):
     return F.coalesce(key.cast("long"), made)
 
 
-def small_parts(frame, rows=128, chars=1_000_000):
+def small_parts(frame, rows=128, chars=200_000):
     """Parts of a frame of so many rows and about so many characters of text; one row at least."""
     column = "t" if "t" in frame.columns else "_t"
     ends = frame[column].str.len().fillna(0).cumsum().to_numpy()
@@ -169,7 +169,7 @@ def frequent_shingles(docs, text="text", rare=RARE):
                     held.append(np.unique(hashes[a:b]))
                     size += len(held[-1])
                 count += len(part)
-                if count >= PART or size >= 4_000_000:
+                if count >= PART or size >= 1_500_000:
                     yield flush()
                     held, size, count = [], 0, 0
         if held:
