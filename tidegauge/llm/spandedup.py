@@ -391,6 +391,7 @@ def removals(docs, key="doc_id", text="text", length=LENGTH, part=PART, hot_part
     flagged = keep(listed.union(local).groupBy("g").agg(F.collect_set("h").alias("hs")).join(
         least, "g"), "span-flagged")
     discard(said)
+    discard(found)
     release(spark)
     words = spark.sparkContext.broadcast(_filter_bits(flagged.select("g")))
 
@@ -408,6 +409,7 @@ def removals(docs, key="doc_id", text="text", length=LENGTH, part=PART, hot_part
     # Bucketed by its text's key, the table meets the marks later without another shuffle.
     some = some.join(flagged, F.col("_g") == F.col("g")).filter(F.col("_d") == F.col("d"))
     some = bucketed(some.select("_g", "_t", "_d", "hs"), "_g", "span_texts")
+    discard(flagged)
     release(spark)
     windows = some.mapInPandas(
         functools.partial(contexts, length, part, buckets, shared_hot), WINDOWS)
