@@ -1,5 +1,6 @@
 import hashlib
 import math
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -115,6 +116,59 @@ def test_main_text_in_wrappers(before, after):
     assert htmltext.main_text(f"<html>{before}{AROUND[0]}{ARTICLE}{AROUND[1]}{after}</html>") == want
 
 
+COMMENTS = "".join(f"<div class=x><p>Comment {k}: I liked this article a lot, really. It was long, thank you.</p></div>"
+                   for k in range(20))
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "advert", "sidebar", "cookie-consent", "related-posts"])
+@pytest.mark.parametrize("page", [
+    "{0}{1}", "<div class=content>{0}</div>{1}", "<article>{0}{1}</article>", "<main>{0}{1}</main>",
+    "<main><article class=post>{0}</article>{1}</main>", "<div class=content>{0}{1}</div>"])
+def test_main_text_without_what_is_longer_than_the_article(page, name):
+    other = f'<div class="{name}">{COMMENTS}</div>'
+    want = htmltext.main_text(f"<body>{ARTICLE}</body>")
+    assert want.count("\n") == 6
+    assert htmltext.main_text(f"<body>{page.format(ARTICLE, other)}</body>") == want
+
+
+def test_main_text_without_nested_comment_articles():
+    one = '<li class="comment"><article class="comment-body"><p>{} I liked it a lot, thank you.</p></article></li>'
+    page = f"<body><article>{ARTICLE}</article><section id=comments><ol>{''.join(map(one.format, range(30)))}</ol></section>"
+    assert htmltext.main_text(page) == htmltext.main_text(ARTICLE)
+
+
+@pytest.mark.parametrize("attribute", [
+    'class="overflow-hidden"', 'class="overflow-x-hidden"', 'aria-hidden="false"', 'data-hidden="false"',
+    'class="elementor-widget"', 'class="alert-info"', 'class="social-x"', 'class="x-share"', "title='a > b'"])
+def test_main_text_with_names_that_say_nothing(attribute):
+    want = htmltext.main_text(f"<body>{ARTICLE}</body>")
+    for page in (f"<body {attribute}>{ARTICLE}", f"<body><div {attribute}>{ARTICLE}</div>",
+                 "<body><main>" + ARTICLE.replace("<p>", f"<p {attribute}>"),
+                 "<body>" + ARTICLE.replace("<p>", f"<div {attribute}>").replace("</p>", "</div>")):
+        assert htmltext.main_text(page) == want
+    for attribute in ("hidden", "aria-hidden=true", 'style="color: red; display: none"'):
+        assert htmltext.main_text(f"<body><div {attribute}><p>Not seen, but long.</p></div>{ARTICLE}") == want
+
+
+def test_main_text_of_forms_and_scripts_inside_a_block():
+    text = "A sentence of the text, which is long enough to be kept, and{} another one, which is as long."
+    page = "<article><p>" + text.format("<script>x()</script><button>Send</button><select><option>a</select>")
+    assert htmltext.main_text(page) == text.format("")
+    assert htmltext.main_text("<p>" + text.format(" &#" + "9" * 5000 + ";")) == text.format(" \ufffd")
+
+
+@pytest.mark.parametrize("page", [
+    "".join(f"<p>Short {'text, with, stops. ' * (i % 7)}{i}.</p>" for i in range(100000)),
+    "".join(f"<p>Short text {i}.</p>" for i in range(100000)), "<script " * 125000, "<script \"" * 125001 + ">",
+    "<a \"'>" * 200000, '<a b="x>' * 100001, "<div>x" * 100000, "<div>" * 100000 + "x" + "</span>" * 100000,
+    "<!" * 500000, "</a " * 300000, "<li><ul>" + "<div>" * 50000 + "<li></li>" * 50000,
+    "<button>x" * 100000, "<div " + "a " * 300000 + ">x"], ids=range(13))
+def test_time_of_long_and_broken_pages(page):
+    start = time.time()
+    htmltext.main_text(page)
+    assert time.time() - start < 20  # seconds where quadratic work would take hours
+
+
 def test_main_text_of_tricky_pages(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, "u", "no markup at all, only a sentence of text."),
             (4, "u", "<p>unclosed <b>and long enough to be text, with a stop.<!-- never closed <p>x"),

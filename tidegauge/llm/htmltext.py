@@ -3,13 +3,19 @@
 A page becomes a row of text blocks. A linear classifier scores each block from its length,
 links, punctuation and the names around it; the scores become the capacities of the block's
 edges to the terminals content and boilerplate. Neighbours on the page and near relatives in
-the element tree are joined by smoothness edges. Names say nothing against the page itself, ``article``
-and ``main``, nor do names or ``form`` against an element that holds most of the page's text. The minimum cut, found by maximum flow, is
+the element tree are joined by smoothness edges. The minimum cut, found by maximum flow, is
 the cheapest labelling; the content blocks in page order are the text.
 
+Names are whole tokens of class, id and role; a word that can mean little else, such as comments or
+cookie, also counts as a part of a token. Names, ``form`` and ``hidden`` say nothing against ``html``,
+``body`` and ``main``, nor against what is around ``main``, or around the first ``h1`` or the
+``article`` of most text if it holds most of the page's text. So comments, adverts or a sidebar longer than
+the article stay out.
+
 Nulls and empty pages have the empty text. White space inside a block becomes one space,
 blocks are joined by a line feed. Repeated pages have equal texts. An empty table gives an
-empty result. Work and memory of a page grow with its length; nothing is cut off.
+empty result. Columns ``text`` and ``n_chars`` of the input give way to those of the result. Markup is
+read in one pass forward, broken or not; memory grows with the length of a page; nothing is cut off.
 """
 
 import html
@@ -28,8 +34,16 @@ BLOCKS = frozenset((
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main "
     "menu nav ol p pre section summary table tbody td tfoot th thead title tr ul").split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head title button select option textarea".split())
-WHOLE = frozenset("html body article main".split())  # names do not count against these
+UNSEEN = frozenset("head title".split())
+# Elements whose content is no text of the page: up to their end tag, or if it is missing, to the
+# end of the page (RAW) or not at all.
+RAW = frozenset("script style iframe".split())
+SKIPPED = RAW | frozenset("noscript template svg math object canvas audio video button select textarea "
+                          "datalist".split())
+LISTED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"),
+          "tr": ("tr",)}  # elements that end others of their kind, inside the next of LISTS
+LISTS = ("ul", "ol", "dl", "table", "tbody", "thead", "tfoot")
+WHOLE = frozenset("html body main".split())  # nothing but their tags counts against these
 TAG_SCORE = {"article": 4.0, "main": 3.0, "header": -4.0, "footer": -8.0, "aside": -8.0,
              "nav": -9.0, "menu": -9.0, "form": -9.0, "dialog": -9.0, "label": -9.0, "legend": -9.0, "address": -1.0, "li": -0.5, "td": -0.5,
              "blockquote": 0.5, "h1": 1.0, "figcaption": -0.5}
@@ -46,174 +60,317 @@ NAME_SCORE = {
                     "search form".split(), -8.0),
     **dict.fromkeys("header masthead topbar".split(), -4.0),
     **dict.fromkeys("article content main story entry post body text".split(), 3.0)}
+# Words that count as a part of a token too: related-posts, site-footer, cookie-consent, post-content.
+PARTS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promoted navbar navigation "
+    "breadcrumb breadcrumbs pagination comment comments reply replies disqus cookie cookies consent gdpr "
+    "newsletter sidebar related recommended footer copyright article content story entry post".split())
 BIAS, PER_CHAR, PER_STOP, PER_LINK = -1.0, 0.02, 0.6, -6.0
 NEIGHBOUR, SIBLING, COUSIN = 0.6, 0.8, 0.3
+STRONG, LOWEST, HIGHEST, AGAIN = -8.0, -12.0, 6.0, 2.0
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|canvas|audio|video)"
-    r"\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.DOTALL | re.IGNORECASE)
-_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true",
-                     re.IGNORECASE)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+_ATTRIBUTE = re.compile(r"([^\s=\"'<>/]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']++)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
 # Tokens that tell the state or layout of a page, such as has-sidebar, no-sidebar and comments-open.
 _STATE = re.compile(r"(?:has|have|no|not|with|without|is|show|hide)[-_]|.*[-_](?:open|opened|closed|enabled|"
                     r"disabled|on|off|left|right|none)\Z")
 _SPACES = re.compile(r"\s+")
 _STOPS = re.compile(r"[.!?;:,…](?:\s|$)")
+_FAR_NUMBER = re.compile(r"&#[0-9]{1000,};?")  # beyond any character, and too long for int()
+_ENDS = {name: re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE) for name in SKIPPED}
+
+
+def _attributes(text):
+    """Attributes by name, the first of each; one without a value has the empty value."""
+    found = {}
+    for match in _ATTRIBUTE.finditer(text):
+        found.setdefault(match[1].lower(), match[2] or match[3] or match[4] or "")
+    return found
 
 
 def _named_score(attributes):
-    """The lowest score of the words in class, id and role, or else the highest."""
+    """The lowest score of the names in class, id and role, or else the highest."""
     found = []
-    for match in _NAMED.finditer(attributes):
-        for token in (match[2] or match[3] or match[4] or "").lower().split():
-            if not _STATE.match(token):
-                found += [NAME_SCORE[word] for word in _PART.findall(token) if word in NAME_SCORE]
+    for token in " ".join(attributes.get(k, "") for k in ("class", "id", "role")).lower().split():
+        if token in NAME_SCORE:
+            found.append(NAME_SCORE[token])
+        elif not _STATE.match(token):
+            found += [NAME_SCORE[word] for word in _PART.findall(token) if word in PARTS]
     if not found:
         return 0.0
     return min(found) if min(found) < 0 else max(found)
 
 
+def _is_hidden(attributes):
+    return ("hidden" in attributes and attributes["hidden"].lower() != "until-found"
+            or attributes.get("aria-hidden", "").lower() == "true"
+            or bool(_NO_DISPLAY.search(attributes.get("style", ""))))
+
+
+def tokens(page):
+    """(text before, name, is end tag, attributes) of each tag, comments and unseen content left out.
+
+    The name of a skipped element comes once, as None, and that of a comment as the empty string. The end
+    of the page has None and no attributes. Every search goes forward, and one that finds nothing is not made again.
+    """
+    at = start = 0
+    tag, endless = _TAG, set()
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = len(page) if end < 0 else end + 3
+            yield page[start:at], "", False, ""
+        elif page.startswith(("<!", "<?"), at):
+            end = page.find(">", at)
+            if end < 0:
+                break
+            end += 1
+            yield page[start:at], "", False, ""
+        else:
+            if not page.startswith("/", at + 1) and not page[at + 1:at + 2].isalpha():
+                at += 1
+                continue
+            found = tag.match(page, at)
+            if not found and tag is _TAG and page[at + 1:at + 2] != "/":
+                tag = _PLAIN_TAG  # a quotation mark without its second, or no more end of a tag
+                found = tag.match(page, at)
+            if not found:
+                if page.find(">", at) < 0:
+                    break
+                at += 1
+                continue
+            end, name = found.end(), found[2].lower()
+            closed = None
+            if name in SKIPPED and not found[1] and not (
+                    name in ("svg", "math") and found[3].endswith("/")) and name not in endless:
+                closed = _ENDS[name].search(page, end)
+                if not closed and name not in RAW:
+                    endless.add(name)
+            if closed or name in RAW and not found[1]:
+                end = closed.end() if closed else len(page)
+                yield page[start:at], None if name not in ("script", "style", "template") else "", False, ""
+            else:
+                yield page[start:at], name, bool(found[1]), found[3]
+        at = start = end
+    yield page[start:], None, False, None
+
+
+class Elements:
+    """The open elements of a page and, by number, all that were ever open; 0 is the page."""
+
+    def __init__(self):
+        self.parent, self.depth, self.name, self.own, self.free = [0], [0], [""], [0.0], [0.0]
+        self.unseen, self.held, self.mark = [False], [0], [False]
+        self.stack, self.where = [0], {}
+
+    def open(self, name, own, free):
+        """``own`` is the element's score, ``free`` that without what names and hiding say against it."""
+        top, number = self.stack[-1], len(self.parent)
+        self.parent.append(top)
+        self.depth.append(self.depth[top] + 1)
+        self.name.append(name)
+        self.own.append(own)
+        self.free.append(free)
+        self.unseen.append(self.unseen[top] or name in UNSEEN)
+        self.held.append(0)
+        self.mark.append(False)
+        for kind in (name, "#block") if name in BLOCKS else (name,):
+            self.where.setdefault(kind, []).append(len(self.stack))
+        self.stack.append(number)
+
+    def last(self, *names):
+        """The highest place on the stack of an element of these names, 0 for none."""
+        return max((self.where[n][-1] for n in names if self.where.get(n)), default=0)
+
+    def close(self, place):
+        """Closes the elements from this place of the stack on."""
+        while len(self.stack) > place:
+            name = self.name[self.stack.pop()]
+            self.where[name].pop()
+            if name in BLOCKS:
+                self.where["#block"].pop()
+
+    def around(self):
+        """For each element the score that it and those around it give to a block.
+
+        From the page inwards scores add up between bounds. A strong score against an element takes away
+        what spoke for those around it, and little that is inside can then speak for it.
+        """
+        held, n = self.held, len(self.parent)
+        for i in range(n - 1, 0, -1):
+            held[self.parent[i]] += held[i]
+        marks = {"main": [], "h1": [], "article": []}
+        for i in range(1, n):
+            if self.name[i] in marks and not self.unseen[i]:
+                marks[self.name[i]].append(i)
+        rooms = [(i, False) for i in marks["main"]] + [(i, True) for i in marks["h1"][:1]]
+        if marks["article"]:
+            rooms.append((max(marks["article"], key=lambda i: held[i]), True))
+        for i, most in rooms:
+            while i and not (self.mark[i] and not most):
+                self.mark[i] = self.mark[i] or not most or 2 * held[i] > held[0]
+                i = self.parent[i]
+        score, inside, under = [0.0] * n, [False] * n, [False] * n
+        for i in range(1, n):
+            up, name = self.parent[i], self.name[i]
+            w = self.free[i] if self.mark[i] or name in WHOLE else self.own[i]
+            if name == "header" and inside[up]:
+                w /= 2
+            inside[i] = inside[up] or name in ("article", "main")
+            under[i] = under[up] or w <= STRONG
+            total = min(0.0, score[up]) + w if w <= STRONG else score[up] + (
+                min(w, AGAIN / 2) if under[i] else w)
+            top = max(score[up], STRONG + AGAIN) if under[i] and w > STRONG else HIGHEST
+            score[i] = max(LOWEST, min(top, total))
+        return score
+
+
 def blocks(page):
-    """Text blocks of a page: (text, link characters, score of its elements, element path)."""
-    stack = []  # (name, score, score if it holds most of the text, number)
-    found, pieces, linked = [], [], []
-    held = {}  # characters of text by element
-    state = {"link": 0, "number": 0}
+    """Text blocks of a page and its elements: ([(text, link characters, element)], elements)."""
+    tree = Elements()
+    found, pieces, linked = [], [], 0
+    link = False
 
     def end():
-        text = _SPACES.sub(" ", html.unescape("".join(pieces))).strip()
+        nonlocal linked
+        raw = "".join(pieces)
         pieces.clear()
-        if text and not any(e[0] in UNSEEN for e in stack):
-            found.append((text, len("".join(linked)), tuple(stack)))
-            for e in stack:
-                held[e[3]] = held.get(e[3], 0) + len(text)
-        linked.clear()
-
-    def around(elements):
-        """The score of a block's elements."""
-        inside = any(e[0] in ("article", "main") for e in elements)
-        worth = [(e[0], e[2] if 2 * held[e[3]] > whole else e[1]) for e in elements]
-        low = [w for _, w in worth if w <= -8]
-        # Inside an advert or a footer no name of an outer element makes up for it.
-        return min(low) if low else max(-8.0, min(6.0, sum(
-            w / 2 if n == "header" and inside else w for n, w in worth)))
-
-    def put(text):
+        text = _SPACES.sub(" ", html.unescape(_FAR_NUMBER.sub("\ufffd", raw) if "&#" in raw else raw)).strip()
+        if text and not tree.unseen[tree.stack[-1]]:
+            found.append((text, linked, tree.stack[-1]))
+            tree.held[tree.stack[-1]] += len(text)
+        linked = 0
+
+    for text, name, is_end, attributes in tokens(page):
         if text:
             pieces.append(text)
-            if state["link"]:
-                linked.append(text.strip())
-
-    at = 0
-    for token in _TOKEN.finditer(page):
-        put(page[at:token.start()])
-        at = token.end()
-        name = (token[3] or "").lower()
-        if not name:
-            if token[1] or token[0].startswith("<!--"):
-                put("" if not token[1] else " ")
+            linked += len(text.strip()) if link else 0
+        if attributes is None:
+            break
+        if not name or name == "br":
+            if name is None or name == "br":
+                pieces.append(" ")
             continue
         if name == "a":
-            state["link"] = 0 if token[2] else 1
-        if name == "br":
-            put(" ")
-        if name not in BLOCKS and not (_NAMED.search(token[4]) and _named_score(token[4]) <= -8):
-            if token[2]:
-                # The end of an inline element that was taken as a block for its name.
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        end()
-                        del stack[k:]
-                        break
-                    if stack[k][0] in BLOCKS:
-                        break
+            link = not is_end
+        known = {} if is_end or not attributes else _attributes(attributes)
+        named = _named_score(known) if known else 0.0
+        if name not in BLOCKS and named > STRONG:
+            # The end of an inline element that was taken as a block for its name.
+            if is_end and tree.last(name) > tree.last("#block"):
+                end()
+                tree.close(tree.last(name))
             continue
         if name in VOID:
             if name == "hr":
                 end()
             continue
         end()
-        state["link"] = 0 if name != "a" else state["link"]
-        if token[2]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+        link = link and name == "a"
+        if is_end:
+            if tree.last(name):
+                tree.close(tree.last(name))
             continue
-        if name in ("li", "dt", "dd", "td", "th", "tr"):
-            same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"),
-                    "tr": ("tr",), "li": ("li",)}[name]
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in same:
-                    del stack[k:]
-                    break
-                if stack[k][0] in ("ul", "ol", "dl", "table", "tbody", "thead", "tfoot"):
-                    break
+        if name in LISTED and tree.last(*LISTED[name]) > tree.last(*LISTS):
+            tree.close(tree.last(*LISTED[name]))
         # A paragraph ends where another block begins; a head where the body does.
-        while stack and (stack[-1][0] == "p" or stack[-1][0] == "head" and name == "body"
-                         or stack[-1][0] == "title"):
-            stack.pop()
-        if token[4].endswith("/") and name not in BLOCKS:
+        while (top := tree.name[tree.stack[-1]]) in ("p", "title") or top == "head" and name == "body":
+            tree.close(len(tree.stack) - 1)
+        if attributes.endswith("/") and name not in BLOCKS:
             continue
-        tag, named = TAG_SCORE.get(name, 0.0), _named_score(token[4])
-        hidden = -9.0 if token[4] and _HIDDEN.search(token[4]) else 0.0
-        most = (0.0 if name == "form" else tag) + max(0.0, named) + hidden
-        state["number"] += 1
-        stack.append((name, most if name in WHOLE else tag + named + hidden, most, state["number"]))
-    put(page[at:])
+        tag, hidden = TAG_SCORE.get(name, 0.0), -9.0 if known and _is_hidden(known) else 0.0
+        tree.open(name, tag + named + hidden, (0.0 if name == "form" else tag) + max(0.0, named))
     end()
-    whole = sum(len(text) for text, _, _ in found)
-    return [(text, links, around(path), tuple(e[3] for e in path)) for text, links, path in found]
+    return found, tree
 
 
-def scores(found):
+def scores(found, tree):
     """Score of each block: positive for content."""
-    out = []
-    for text, linked, around, _ in found:
-        out.append(BIAS + PER_CHAR * min(200, len(text)) + PER_STOP * min(3, len(_STOPS.findall(text)))
-                   + PER_LINK * min(1.0, linked / len(text)) + around)
-    return out
+    around = tree.around()
+    return [BIAS + PER_CHAR * min(200, len(text)) + PER_STOP * min(3, len(_STOPS.findall(text)))
+            + PER_LINK * min(1.0, linked / len(text)) + around[element] for text, linked, element in found]
 
 
-def edges(found):
+def edges(found, tree):
     """Smoothness edges (i, j, weight): neighbours on the page, siblings and cousins.
 
     A block is joined to the block before it, and to the last block before it of the same
     parent and of the same grandparent, where these are others: at most three edges a block.
     """
-    weight = {}
-    last = {}
-    for i, (_, _, _, path) in enumerate(found):
+    weight, last = {}, {}
+    parent, depth = tree.parent, tree.depth
+    for i, (_, _, element) in enumerate(found):
         near = []
         if i:
-            shared = 0
-            for a, b in zip(path, found[i - 1][3], strict=False):
-                if a != b:
-                    break
-                shared += 1
-            apart = len(path) + len(found[i - 1][3]) - 2 * shared
+            a, b, apart = element, found[i - 1][2], 0
+            while a != b:
+                if depth[a] >= depth[b]:
+                    a = parent[a]
+                else:
+                    b = parent[b]
+                apart += 1
             near.append((i - 1, NEIGHBOUR / max(1, apart)))
-        for depth, w in ((1, SIBLING), (2, COUSIN)):
-            if len(path) >= depth:
-                parent = (depth, path[:-depth])
-                if parent in last:
-                    near.append((last[parent], w))
-                last[parent] = i
+        up = element
+        for level, w in ((1, SIBLING), (2, COUSIN)):
+            if up:
+                up = parent[up]
+                if (level, up) in last:
+                    near.append((last[level, up], w))
+                last[level, up] = i
         for j, w in near:
             weight[j, i] = weight.get((j, i), 0.0) + w
     return [(j, i, w) for (j, i), w in weight.items()]
 
 
+def _reached(n, arcs, to, left, source, sink):
+    """Pushes the maximum flow by blocking flows; True for each node that the source still reaches."""
+    while True:
+        level = [-1] * n
+        level[source] = 0
+        wave = [source]
+        for i in wave:
+            for e in arcs[i]:
+                if left[e] > 1e-12 and level[to[e]] < 0:
+                    level[to[e]] = level[i] + 1
+                    wave.append(to[e])
+        if level[sink] < 0:
+            return [x >= 0 for x in level]
+        following, path, i = [0] * n, [], source
+        while True:
+            if i == sink:
+                flow = min(left[e] for e in path)
+                for k, e in enumerate(path):
+                    left[e] -= flow
+                    left[e ^ 1] += flow
+                full = next(k for k, e in enumerate(path) if left[e] <= 1e-12)
+                i = to[path[full] ^ 1]
+                del path[full:]
+            while following[i] < len(arcs[i]):
+                e = arcs[i][following[i]]
+                if left[e] > 1e-12 and level[to[e]] == level[i] + 1:
+                    break
+                following[i] += 1
+            if following[i] < len(arcs[i]):
+                path.append(arcs[i][following[i]])
+                i = to[path[-1]]
+            elif i == source:
+                break
+            else:
+                e = path.pop()
+                i = to[e ^ 1]
+                following[i] += 1
+
+
 def minimum_cut(unary, pairs):
     """Labels that minimise the sum of unary costs and of the weights of cut pairs.
 
     ``unary[i]`` is the gain of label True over False. A block whose own capacity exceeds all
     its edges has its label in every minimum cut; such blocks are settled first and their edges
-    go to their neighbours' capacities. The rest is a flow network, on which shortest
-    augmenting paths find the maximum flow; what the source still reaches is content.
+    go to their neighbours' capacities. The rest is a flow network, on which blocking flows over
+    level graphs make up the maximum flow; what the source still reaches is content.
     """
     n = len(unary)
     own = list(unary)
@@ -239,42 +396,33 @@ def minimum_cut(unary, pairs):
     if not rest:
         return label
     source, sink = n, n + 1
-    left = {i: dict(near[i]) for i in rest}
-    left[source], left[sink] = {}, {}
+    arcs, to, left = [[] for _ in range(n + 2)], [], []
+
+    def join(i, j, forth, back):
+        arcs[i].append(len(to))
+        arcs[j].append(len(to) + 1)
+        to.extend((j, i))
+        left.extend((forth, back))
+
     for i in rest:
         if own[i] > 0:
-            left[source][i], left[i][source] = own[i], 0.0
+            join(source, i, own[i], 0.0)
         else:
-            left[i][sink], left[sink][i] = -own[i], 0.0
-    while True:
-        before = {source: None}
-        wave = deque([source])
-        while wave and sink not in before:
-            i = wave.popleft()
-            for j, c in left[i].items():
-                if c > 1e-12 and j not in before:
-                    before[j] = i
-                    wave.append(j)
-        if sink not in before:
-            break
-        path, j = [], sink
-        while before[j] is not None:
-            path.append((before[j], j))
-            j = before[j]
-        flow = min(left[i][j] for i, j in path)
-        for i, j in path:
-            left[i][j] -= flow
-            left[j][i] += flow
+            join(i, sink, -own[i], 0.0)
+        for j, w in near[i].items():
+            if i < j:
+                join(i, j, w, w)
+    reached = _reached(n + 2, arcs, to, left, source, sink)
     for i in rest:
-        label[i] = i in before
+        label[i] = reached[i]
     return label
 
 
 def main_text(page):
-    found = blocks(page)
+    found, tree = blocks(page)
     if not found:
         return ""
-    label = minimum_cut(scores(found), edges(found))
+    label = minimum_cut(scores(found, tree), edges(found, tree))
     return "\n".join(b[0] for b, content in zip(found, label, strict=True) if content)
 
 
