@@ -1,4 +1,6 @@
+import datetime
 import hashlib
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -32,17 +34,64 @@ def test_archive_of_tricky_pages(spark):
         assert hashlib.sha256(r.payload).hexdigest() == r.digest and r.length == len(r.payload)
     kinds = {(r.id, r.type, r.refers_to) for r in rows}
     assert {(1, "response", None), (2, "revisit", 1), (5, "response", None), (6, "response", None),
-            (7, "response", None), (8, "revisit", 7), (None, "response", None)} <= kinds
+            (7, "response", None), (8, "revisit", 7), (None, "revisit", 1)} <= kinds
+    assert {r.url for r in rows if r.id == 2} == {None}
     assert spark.read.parquet(folder + "/payloads").count() == len({p[2] or "" for p in pages})
     first = next(r for r in rows if r.id == 1 and "a" in r.url)
     assert first.url == "http://a/  b"
 
 
-def test_records_of_an_archive_have_their_bytes(spark):
-    folder, _ = read_back(spark, [(1, "u", LONG, "", ""), (2, "u", LONG, "", "")])
-    rows = [bytes(r.record) for r in warc.record_bytes(warc.read_archive(spark, folder)).collect()]
-    assert sorted(LONG.encode() in r for r in rows) == [False, True]
-    assert all(r.startswith(b"WARC/1.1\r\n") and r.endswith(b"\r\n\r\n") for r in rows)
+def records_of_file(data):
+    """(fields, block) of the records of an uncompressed WARC file, read by the standard's grammar."""
+    found, at = [], 0
+    while at < len(data):
+        head = data.index(b"\r\n\r\n", at)
+        version, *lines = data[at:head].decode().split("\r\n")
+        assert version == "WARC/1.1"
+        fields = dict(line.split(": ", 1) for line in lines)
+        end = head + 4 + int(fields["Content-Length"])
+        assert data[end:end + 4] == b"\r\n\r\n"
+        found.append((fields, data[head + 4:end]))
+        at = end + 4
+    return found
+
+
+def test_records_of_an_archive_are_those_of_a_file(spark):
+    folder, _ = read_back(spark, [(1, "http://a/é", LONG + "é", "", ""), (2, None, LONG + "é", "", ""),
+                                  (None, "http://b/", LONG + "é", "", ""), (4, "http://c/", None, "", "")])
+    rows = warc.record_bytes(warc.read_archive(spark, folder)).collect()
+    found = records_of_file(b"".join(bytes(r.record) for r in rows))
+    assert len(found) == len({f["WARC-Record-ID"] for f, _ in found}) == 4
+    first = next(f for f, _ in found if f["WARC-Target-URI"] == "http://a/é")
+    for fields, block in found:
+        uuid.UUID(fields["WARC-Record-ID"].strip("<>"))
+        datetime.datetime.strptime(fields["WARC-Date"], "%Y-%m-%dT%H:%M:%SZ")
+        assert fields["Content-Type"] == "application/http; msgtype=response"
+        head, body = block.split(b"\r\n\r\n", 1)
+        length = int(head.split(b"Content-Length: ")[1])
+        if fields["WARC-Type"] == "response":
+            assert len(body) == length
+            assert fields["WARC-Payload-Digest"] == "sha256:" + hashlib.sha256(body).hexdigest()
+        else:
+            assert not body and length == len(LONG) + 2
+            assert fields["WARC-Refers-To"] == first["WARC-Record-ID"]
+            assert fields["WARC-Refers-To-Target-URI"] == "http://a/é"
+            assert fields["WARC-Refers-To-Date"] == first["WARC-Date"]
+    assert sorted(f["WARC-Type"] for f, _ in found) == ["response", "response", "revisit", "revisit"]
+
+
+def test_dates_of_an_archive(spark):
+    pages = spark.sql("""select 1 page_id, 'u' url, 'x' html, timestamp_seconds(1000000000) seen
+                         union all select 2, 'u', 'x', null""")
+    folder = scratch_dir(spark, "warc")
+    warc.write_archive(pages, folder, date="seen")
+    dates = {r.id: r.date for r in warc.parse_header(warc.read_archive(spark, folder)).collect()}
+    assert dates[1] == "2001-09-09T01:46:40Z" and dates[2] > "2020"
+
+
+def test_rows_without_ids_are_responses_if_all_are(spark):
+    _, rows = read_back(spark, [(None, "u", LONG, "", ""), (None, "v", LONG, "", "")])
+    assert [(r.type, r.refers_to) for r in rows] == [("response", None)] * 2
 
 
 def test_empty_archive(spark):

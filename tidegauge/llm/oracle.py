@@ -8,9 +8,10 @@ ORACLE = {
             from pages),
         f as (select *, min(page_id) over (partition by payload_digest) first from p)
         select page_id, payload_bytes, payload_digest,
-               case when payload_bytes >= 100 and page_id > first then 'revisit'
+               case when payload_bytes >= 100 and first is not null and page_id is distinct from first
+                    then 'revisit'
                     else 'response' end record_type,
-               case when payload_bytes >= 100 and page_id > first then first end refers_to
+               case when payload_bytes >= 100 and page_id is distinct from first then first end refers_to
         from f""",
     # The rate that the iterations find is the target for the source's size.
     "op7_mixing": r"""
