@@ -221,6 +221,20 @@ def test_classes_against_all_pairs(sample):
     assert {r.doc_id: r.class_id for r in neardup.classes(sample).collect()} == want
 
 
+def test_every_text_of_an_id_is_compared(spark):
+    rng = np.random.default_rng(11)
+    one, other, third = (" ".join(rng.choice([f"w{k}" for k in range(5000)], 300)) for _ in range(3))
+    near = {t: t.rsplit(" ", 3)[0] + " x y z" for t in (one, other, third)}
+    rows = [(1, one), (1, other), (1, third), (2, near[one]), (3, near[other]), (4, near[third]), (4, third),
+            (5, "alone and nothing else at all"), (None, near[third]), (1, one), (6, one)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter((r.doc_id, r.class_id) for r in neardup.classes(df).collect())
+    assert found == Counter((i, 5 if i == 5 else 1) for i, _ in rows)
+    kept = [sorted(tuple(r) for r in neardup.keep_one(x).collect()) for x in (df, df.orderBy(F.desc("text")))]
+    least = min((one, other, third), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert kept == [[(1, least), (5, "alone and nothing else at all")]] * 2
+
+
 def test_frequent_shingles_are_counted_exactly(sample):
     found, n = neardup.frequent_shingles(sample, rare=20)
     count = Counter()

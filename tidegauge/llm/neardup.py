@@ -24,14 +24,16 @@ joined it meanwhile. No bucket is capped and no pair that meets in one is left o
 pair may meet in no band: one at 0.8 with a chance of 1 in 600.
 
 Nulls count as empty texts. Texts without words are linked to exact copies only; one to four
-words are one shingle. Rows of one id are one document: their classes join. A null id is replaced by
-a number from the hash of the text, above those of real ids. An empty table gives an empty result.
+words are one shingle. Rows of one id are one document: each of their texts is compared, and their classes
+join. A null id, and that of an id's second and later texts, is replaced by a number from the hash of the text,
+above those of real ids. An empty table gives an empty result.
 """
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.llm.common import discard, keep, ready, tasks
 from tidegauge.llm.components import components
@@ -121,10 +123,14 @@ def similarity(one, other):
     return float(shared / total) if total else 0.0
 
 
+def made_id(body):
+    """A number above real ids, from the text."""
+    return F.xxhash64(body).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+
+
 def node_of(key, body):
     """The id of a document; for a null id a number above real ids, from the text."""
-    made = F.xxhash64(body).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    return F.coalesce(key.cast("long"), made)
+    return F.coalesce(key.cast("long"), made_id(body))
 
 
 def small_parts(frame, rows=128, chars=200_000):
@@ -375,16 +381,30 @@ def classes(docs, key="doc_id", text="text", least=0.8):
     rows = docs.select(node_of(F.col(key), body).alias("_n"),
                        body.alias("_t"), F.col(key).isNull().alias("_null"))
     shared = spark.sparkContext.broadcast(frequent_shingles(rows, "_t"))
-    digests = keep(rows.select("_n", "_null", F.sha2("_t", 256).alias("digest")), "near-digests", True)
-    first = keep(digests.groupBy("digest").agg(F.min("_n").alias("node")), "near-first", True)
-    copies = keep(digests.join(first, "digest").select("_n", "_null", "node"), "near-copies", True)
+    digest = F.sha2("_t", 256)
+    digests = keep(rows.select("_n", "_null", digest.alias("digest"), made_id("_t").alias("made")),
+                   "near-digests", True)
+    # Ids of several texts: the text of the least digest has the id, the others a number of their own.
+    several = keep(digests.groupBy("_n").agg(F.min("digest").alias("own"), F.max("digest").alias("last")).filter(
+        "own < last").drop("last"), "near-several", True)
+    numbered = digests.withColumn("_m", F.col("_n"))
+    if several.limit(1).count():
+        def number(made, of):
+            return F.when(F.col("own") != of, made).otherwise(F.col("_n"))
+
+        numbered = digests.join(several, "_n", "left").withColumn("_m", number(F.col("made"), F.col("digest")))
+        rows = keep(rows.join(several, "_n", "left").select(
+            number(made_id("_t"), digest).alias("_n"), "_t"), "near-numbered")
+    first = keep(numbered.groupBy("digest").agg(F.min("_m").alias("node")), "near-first", True)
+    copies = keep(numbered.join(first, "digest").select("_n", "_null", "_m", "node"), "near-copies", True)
     nodes = copies.select("node").distinct()
     keyed = keep(banded(rows, shared), "near-bands").join(
         nodes.withColumnRenamed("node", "_n"), "_n", "left_semi")
     members = keep(keyed.select(F.explode("keys").alias("bucket"), F.col("_n").alias("node"))
                    .distinct(), "near-buckets", True)
-    linked = keep(copies.filter(F.col("_n") != F.col("node")).select(
-        F.col("node").alias("a"), F.col("_n").alias("b")).distinct(), "near-linked", True)
+    pairs = [copies.filter(F.col(b) != F.col(a)).select(F.col(a).alias("a"), F.col(b).alias("b"))
+             for a, b in (("node", "_m"), ("_n", "_m"))]  # copies of a text, texts of an id
+    linked = keep(pairs[0].union(pairs[1]).distinct(), "near-linked", True)
     heads = leaders(members)
     pairs = keep(members.join(heads, "bucket").filter(F.col("node") != F.col("leader")).select(
         "leader", "node").distinct(), "near-pairs", True)
@@ -419,11 +439,14 @@ def classes(docs, key="doc_id", text="text", least=0.8):
 def keep_one(docs, key="doc_id", text="text", least=0.8):
     """The documents that are the smallest id of their class, one row each, with all columns.
 
-    Of rows with one id, or of equal texts without an id, one stays.
+    Of rows with one id, or of equal texts without an id, one stays: that of the text with the least digest,
+    and of those one whose columns' hash is least.
     """
     found = keep(classes(docs, key, text, least).distinct(), "near-classes")
     node = node_of(F.col(key), F.coalesce(F.col(text), F.lit("")))
     stay = found.select("class_id").distinct()
     rows = docs.withColumn("_node", node).join(
         stay.withColumnRenamed("class_id", "_node"), "_node", "left_semi")
-    return rows.dropDuplicates(["_node"]).select(*docs.columns)
+    order = F.struct(F.sha2(F.coalesce(F.col(text), F.lit("")), 256), F.xxhash64(*[
+        f.name for f in docs.schema if isinstance(f.dataType, T.AtomicType)]))
+    return rows.groupBy("_node").agg(F.min_by(F.struct(*docs.columns), order).alias("_row")).select("_row.*")
