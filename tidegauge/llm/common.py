@@ -1,5 +1,6 @@
 """What the operators of this package share."""
 
+import contextlib
 import gc
 import os
 import pathlib
@@ -15,6 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
+_BYTES = re.compile(r"(-?\d+)\s*([kmgtp]?)b?")
 
 
 def keep(df, label, narrow=False):
@@ -57,7 +59,7 @@ def ready(spark):
     time, now and when a lazy result is computed: with long texts the usual batch of thousands of
     rows is most of a worker's memory. A smaller setting of the session's own is left as it is.
     """
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", spark.conf.get(BATCH).lower()).groups()
+    number, unit = _BYTES.fullmatch(spark.conf.get(BATCH).lower()).groups()
     now = int(number) << 10 * (" kmgtp".index(unit) if unit else 0)
     if not 0 < now <= BATCH_BYTES:
         spark.conf.set(BATCH, f"{BATCH_BYTES}b")
@@ -67,6 +69,20 @@ def ready(spark):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
+@contextlib.contextmanager
+def smaller_batches(spark, size):
+    """Workers get batches of so many bytes at most for what is computed inside the block."""
+    ready(spark)
+    before = spark.conf.get(BATCH)
+    number, unit = _BYTES.fullmatch(before.lower()).groups()
+    if int(number) << 10 * (" kmgtp".index(unit) if unit else 0) > size:
+        spark.conf.set(BATCH, f"{size}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def tasks(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -35,13 +35,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.common import discard, keep, ready, tasks
+from tidegauge.llm.common import discard, keep, smaller_batches, tasks
 from tidegauge.llm.components import components
 from tidegauge.llm.hashing import mix, shingle_hashes
 
 BANDS, ROWS = 9, 3
 RARE = 10
 PART = 4096  # documents counted together before their frequent shingles are handed on
+HELD = 500_000  # or so many shingles
+BATCH_BYTES = 2 << 20  # of Arrow batches
 LEADERS = 3  # members of a bucket that all others are compared with
 STEP = float(np.log(1.02))  # texts of the exact join meet by the logarithm of their weight
 SLACK = 1e-6  # what rounding may add to a bound
@@ -175,7 +177,7 @@ def frequent_shingles(docs, text="text", rare=RARE):
                     held.append(np.unique(hashes[a:b]))
                     size += len(held[-1])
                 count += len(part)
-                if count >= PART or size >= 1_500_000:
+                if count >= PART or size >= HELD:
                     yield flush()
                     held, size, count = [], 0, 0
         if held:
@@ -375,8 +377,13 @@ def settled(linked, now, crowd, texts, shared, least):
 
 def classes(docs, key="doc_id", text="text", least=0.8):
     """(id, class_id) of each row: class_id is the smallest id of the class."""
+    # The texts compared are shuffled while an executor still has what the stages before needed.
+    with smaller_batches(docs.sparkSession, BATCH_BYTES):
+        return _classes(docs, key, text, least)
+
+
+def _classes(docs, key, text, least):
     spark = docs.sparkSession
-    ready(spark)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(node_of(F.col(key), body).alias("_n"),
                        body.alias("_t"), F.col(key).isNull().alias("_null"))
