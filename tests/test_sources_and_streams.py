@@ -14,7 +14,7 @@ from tidegauge.plans import jobs
 from tidegauge.plans.avro_files import write_avro
 from tidegauge.sources import (kafka_options, message_text, read_employees, read_lines,
                                stream_lines, widen)
-from tidegauge.sources.clustered import drop_clustered, write_clustered
+from tidegauge.sources.clustered import drop_clustered, scan_ranges, write_clustered, write_ranges
 from tidegauge.sources.employees import XML_TAGS
 from tidegauge.streaming import (arrival_windows, batch_sql, run_batches, start_batches,
                                  stream_id)
@@ -118,6 +118,43 @@ def test_messages_delivered_again_are_dropped(spark, tmp_path):
         stream_lines(spark, str(landing), once="1 hour")
 
 
+def test_scans_of_ranges_open_their_files_only(spark, tmp_path):
+    """Prefixes and bounds against a plain filter; a hot key is split over ranges, null keys stay."""
+    keys = [f"R{i % 97}_{i}" for i in range(3000)] + ["R5_hot"] * 1500 + ["é", "", "R", None, None]
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, v int")
+    path = str(tmp_path / "ranges")
+    write_ranges(rows, "k", path, 12, ["v"])
+    assert got(spark.read.parquet(f"{path}/rows").select("v")) == [(i,) for i in range(len(keys))]
+
+    def scanned(**bounds):
+        return scan_ranges(spark, path, "k", rows.schema, **bounds)
+
+    for bounds, rule in (
+            ({"prefix": "R5_"}, lambda k: k.startswith("R5_")), ({"prefix": "R"}, lambda k: k.startswith("R")),
+            ({"prefix": ""}, lambda k: True), ({"prefix": "é"}, lambda k: k == "é"),
+            ({"prefix": "S"}, lambda k: False), ({"prefix": "R9", "high": "R93"}, lambda k: "R9" <= k < "R93"),
+            ({"low": "R5_hot", "high": "R5_hou"}, lambda k: k == "R5_hot"),
+            ({"low": "R90"}, lambda k: k >= "R90"), ({"high": "R10_1"}, lambda k: k < "R10_1")):
+        want = sorted((k, i) for i, k in enumerate(keys) if k is not None and rule(k))
+        assert got(scanned(**bounds)) == want, bounds
+    assert scanned().count() == len(keys)
+    for file in glob.glob(f"{path}/rows/*/*.parquet"):
+        held = [r["k"] or "" for r in spark.read.parquet(file).collect()]
+        assert held == sorted(held)
+    every = len(spark.read.parquet(f"{path}/rows").inputFiles())
+    assert len(scanned(prefix="R77_").inputFiles()) == 1 < every == 12
+    assert len(scanned(low="R5_hot", high="R5_hou").inputFiles()) > 2
+    assert "StringStartsWith(k,R77_)" in scanned(prefix="R77_")._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_empty_ranges(spark, tmp_path):
+    none = spark.createDataFrame([], "k string, v int")
+    write_ranges(none, "k", str(tmp_path / "none"), 4)
+    assert scan_ranges(spark, str(tmp_path / "none"), "k", none.schema, prefix="R").count() == 0
+    assert scan_ranges(spark, str(tmp_path / "none"), "k", none.schema).count() == 0
+
+
 def test_message_text(spark):
     df = spark.sql("select encode('é', 'UTF-8') body, 'k' key")
     assert message_text(df, "body").first()["value"] == "é"

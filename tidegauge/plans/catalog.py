@@ -14,7 +14,7 @@ from tidegauge.plans.adapters import stream_table, table
 from tidegauge.plans.avro_files import write_avro
 from tidegauge.session import scratch_dir
 from tidegauge.sources import files, read_employees, read_lines, stream_lines
-from tidegauge.sources.clustered import drop_clustered, write_clustered
+from tidegauge.sources.clustered import drop_clustered, scan_ranges, write_clustered, write_ranges
 from tidegauge.sources.employees import XML_TAGS
 from tidegauge.streaming import batch_sql, run_batches
 
@@ -273,6 +273,29 @@ def cells_decode_clustered(spark, sf):
     return spark.read.parquet(out)
 
 
+def _cells_in_ranges(spark, sf):
+    """The folder and schema of text cells stored in ranges of their row key."""
+    written = cells.route(_sensor(spark, sf), "both")
+    path = scratch_dir(spark, "cell-ranges")
+    write_ranges(written, "row_key", path, BUCKETS, ["qualifier"])
+    return path, written.schema
+
+
+@query
+def cells_scan_prefix(spark, sf):
+    """Cells whose row key starts with a prefix, from the files of ranges that can hold them."""
+    path, schema = _cells_in_ranges(spark, sf)
+    return scan_ranges(spark, path, "row_key", schema, prefix="R12")
+
+
+@query
+def cells_scan_between(spark, sf):
+    """Rows put together from the cells whose row key is between two bounds."""
+    path, schema = _cells_in_ranges(spark, sf)
+    found = scan_ranges(spark, path, "row_key", schema, low="R2", high="R3")
+    return cells.project_family(found, "alert", ["psi"]).filter("psi is not null")
+
+
 @query
 def cells_project_family(spark, sf):
     written = cells.encode_cells(_sensor(spark, sf, keep_seq=True), cells.sensor_key(),

@@ -216,6 +216,11 @@ ORACLE.update({
                count(*) filter (hour(ts) = 0), 0 from events""",
     "stream_once": ORACLE["sensor_counts"],
     "cells_decode_clustered": _DECODED,
+    "cells_scan_prefix": f"""
+        select * from ({ORACLE["cells_route_both"]}) where row_key like 'R12%'""",
+    "cells_scan_between": f"""
+        select arg_max(cast(psi as varchar), seq) psi from ({_SENSOR})
+        where psi < 5.0 and resid >= 'R2' and resid < 'R3' group by resid, "date", "time\"""",
     "keyword_posts_many": ORACLE["keyword_posts"],
     "stream_alert_devices": _ALERT_VIEW,
     "alert_maintenance_devices": _ALERT_VIEW,

@@ -1,8 +1,11 @@
-"""Tables bucketed and sorted by a key: joins and groupings by the key do not shuffle them.
+"""Tables stored by a key: bucketed for joins and groupings, or in ranges for scans.
 
-Spark knows the buckets from the catalogue. A filter on some keys reads only their buckets, and of
-these only the row groups whose statistics allow the keys. A table whose session is gone is
-registered again by ``open_clustered``.
+Joins and groupings by the key do not shuffle a bucketed table. Spark knows the buckets from the
+catalogue. A filter on some keys reads only their buckets, and of these only the row groups whose
+statistics allow the keys. A table whose session is gone is registered again by ``open_clustered``.
+
+A table in ranges (``write_ranges``) needs no catalogue; a scan of a key prefix or of keys between two
+bounds opens the files of the ranges that can hold them.
 """
 
 import uuid
@@ -12,6 +15,8 @@ from pyspark.sql import functions as F
 from tidegauge.session import scratch_dir
 from tidegauge.sources import files
 
+RANGE = "key_range"
+
 
 def write_clustered(df, key, buckets, name=None, path=None):
     """Write ``df`` and return the name of its table.
@@ -43,6 +48,42 @@ def drop_clustered(spark, name):
         files.remove_tree(spark, row["data_type"])
 
 
+def write_ranges(df, key, path, ranges, split=()):
+    """Write ``df`` below a new ``path`` in so many ranges of a text key, each sorted by it.
+
+    A range has a folder of its own, and a small table has its least and greatest key, read from
+    what was written. A key with more rows than a range should hold is split by the columns ``split``
+    over several ranges, which then share it. Rows without a key are kept; no scan by key finds them.
+    """
+    spark = df.sparkSession
+    dealt = df.repartitionByRange(ranges, key, *split).withColumn(RANGE, F.spark_partition_id())
+    dealt.sortWithinPartitions(RANGE, key, *split).write.partitionBy(RANGE).parquet(f"{path}/rows")
+    written = spark.read.schema(df.select(key).schema.add(RANGE, "integer")).parquet(f"{path}/rows")
+    written.groupBy(RANGE).agg(F.min(key).alias("low"), F.max(key).alias("high")).coalesce(1).write.parquet(
+        f"{path}/ranges")
+
+
+def scan_ranges(spark, path, key, schema, prefix=None, low=None, high=None):
+    """The rows of ``write_ranges`` whose key starts with ``prefix``, or is at least ``low`` and below ``high``.
+
+    Only folders of ranges that can hold such keys are listed and opened; in their files Parquet's
+    statistics leave out row groups. Without a bound all rows are read.
+    """
+    found = spark.read.schema(f"{RANGE} int, low string, high string").parquet(f"{path}/ranges")
+    wanted, rows = F.lit(True), F.lit(True)
+    if prefix is not None:
+        wanted &= (F.col("high") >= prefix) & ((F.col("low") <= prefix) | F.col("low").startswith(prefix))
+        rows &= F.col(key).startswith(prefix)
+    if low is not None:
+        wanted, rows = wanted & (F.col("high") >= low), rows & (F.col(key) >= low)
+    if high is not None:
+        wanted, rows = wanted & (F.col("low") < high), rows & (F.col(key) < high)
+    folders = [f"{path}/rows/{RANGE}={r[0]}" for r in found.filter(wanted).select(RANGE).collect()]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders).filter(rows)
+
+
 def few_keys(df, key, most):
     """The distinct keys of ``df``, null left out, if there are at most ``most``, else None."""
     found = df.filter(F.col(key).isNotNull()).select(key).distinct().limit(most + 1).collect()
