@@ -496,7 +496,9 @@ def cut_documents(docs, key="doc_id", text="text", length=LENGTH, **sizes):
             out.append(t)
         return pd.Series(out, index=texts.index, dtype=object)
 
-    done = met.withColumn("_left", cut(f"_doc.{text}", "first", "n"))
+    # Else the filter below would have a second call, and each task a second Python worker.
+    once = cut.asNondeterministic()
+    done = met.withColumn("_left", once(f"_doc.{text}", "first", "n"))
     done = done.filter(F.col("first").isNull() | (F.col("_left") != ""))
     return done.select(*[F.col("_left").alias(text) if c == text else F.col(f"_doc.{c}")
                          for c in docs.columns])
