@@ -416,6 +416,44 @@ def test_licences_and_inheritance(spark):
     assert licences.scan(df.limit(0)).count() == 0
 
 
+def blocks_of(text):
+    """Lines, runs of comment lines, paragraphs and the whole text, line by line."""
+    lines, signs = text.split("\n"), ("#", "//", "/*", "*", ";", "--", "<!--", "%")
+    runs, paragraphs = [[]], [[]]
+    for line in lines:
+        if line.lstrip(" \t").startswith(signs):
+            runs[-1].append(line)
+        else:
+            runs.append([])
+        if any(c.isalnum() for c in line):
+            paragraphs[-1].append(line)
+        else:
+            paragraphs.append([])
+    return {*lines, text, *("\n".join(b) for b in runs + paragraphs)}
+
+
+def test_licences_in_wrapped_notices_and_licence_files(spark):
+    files = {
+        "doc.py": ('import os\n"""A module.\n\nLicensed under the\nApache License,\nVersion 2.0.\n"""\n', "Apache-2.0"),
+        "mid.c": ("int x;\n// This Source Code Form is subject to\n// the terms of the Mozilla\n"
+                  "// Public License, v. 2.0.\nint y;\n", "MPL-2.0"),
+        "star.c": ("/*\n * Redistribution and use in source and binary\n * forms, with or without modification,\n"
+                   " * are permitted provided that the\n * following conditions are met:\n *\n * no\n */\nint z;",
+                   "BSD-3-Clause"),
+        "m/LICENSE": ("MIT License\n\nCopyright (c) 2020 A. Name\n\nPermission is hereby granted", "MIT"),
+        "a/LICENSE": ("   Apache License\n   Version 2.0, January 2004\n   http://x.org/\n\n   TERMS\n" + "word " * 3000,
+                      "Apache-2.0"),
+        "g/COPYING": ("  GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\n Everyone is " + "free " * 99, "GPL-3.0"),
+        "much.py": ("# a word\n" * 100_000 + "x = 1\n", None),
+        "none.py": ("# nothing of the kind\n\nx = 1\n\n\n", None)}
+    df = spark.createDataFrame([(p, t) for p, (t, _) in files.items()], "path string, text string")
+    got = {r.path: r.licence for r in licences.own_licences(df).collect()}
+    assert got == {p: licence for p, (_, licence) in files.items() if licence}
+    under = spark.createDataFrame([("a/src/x.c", "int x;"), ("m/y.c", None)], df.schema)
+    below = {r.path: (r.licence, r.from_path) for r in licences.scan(df.union(under)).collect()}
+    assert below["a/src/x.c"] == ("Apache-2.0", "a/LICENSE") and below["m/y.c"] == ("MIT", "m/LICENSE")
+
+
 def test_licence_scores_against_plain_cosine(sample):
     files = sample.selectExpr("cast(doc_id as string) path", "text")
     rows = files.collect()
@@ -425,7 +463,7 @@ def test_licence_scores_against_plain_cosine(sample):
     idf, vectors = licences.weights(licences.TEMPLATES, df, len(rows))
     want = {}
     for r in rows:
-        for block in [*r.text.split("\n"), r.text]:
+        for block in blocks_of(r.text):
             counts = licences.terms_of(block)
             size = math.sqrt(sum((n * idf.get(t, 1.0)) ** 2 for t, n in counts.items()))
             for licence, _, vector in vectors:

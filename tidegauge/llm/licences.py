@@ -1,7 +1,8 @@
 """Licence scan of files: TF-IDF cosine to templates, then inheritance along directories.
 
-Every line of a file, its leading comment and the whole file are blocks. A block is a sparse
-vector over the terms of the templates: term frequency times inverse document frequency,
+Every line of a file, every run of comment lines, every paragraph (what lies between lines without
+letters or digits) and the whole file are blocks, so a notice is found as a line, wrapped over
+lines of a comment or of a docstring, and as a file of its own. A block is a sparse vector over the terms of the templates: term frequency times inverse document frequency,
 counted over all files; a term that no template has adds its frequency, with weight one, to the
 block's length only. A file's own licence is that of the template with the highest cosine over its
 blocks, if that is at least ``least``; of equals, the first by name.
@@ -61,10 +62,21 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International "
                   "License."),
+    # Titles of licence files.
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
     ("CC0-1.0", "To the extent possible under law, the author has dedicated all copyright to the "
                 "public domain under CC0 1.0."),
 )
-_COMMENT = r"^(?:[ \t]*(?:#|//|/\*|\*|;|--|<!--|%)[^\n]*(?:\n|$))+"
+# Possessive: a run of any length is matched without recursion.
+_COMMENT = r"(?m)(?:^[ \t]*+(?:#|//|/\*|\*|;|--|<!--|%)[^\n]*+(?:\n|\z))++"
+_BETWEEN = r"\n[^\p{L}\p{N}\n]*+\n"  # paragraphs
 
 
 def terms_of(text):
@@ -132,10 +144,11 @@ def own_licences(files, templates=TEMPLATES, least=LEAST, path="path", text="tex
         re.escape(t) for t in sorted(required(vectors, least))) + ")(?![a-z0-9])"
     possible = files.select(F.col(path).alias("path"), F.col(text).alias("text")).filter(
         F.lower(F.col("text")).rlike(needed))
-    line = F.filter(F.split("text", "\n"), lambda x: F.lower(x).rlike(needed))
-    comment = F.regexp_extract("text", _COMMENT, 0)
-    blocks = possible.select("path", F.posexplode(F.array_distinct(F.concat(
-        line, F.array(comment, F.col("text"))))).alias("block", "body")).filter(
+    cut = F.concat(F.split("text", "\n"), F.regexp_extract_all("text", F.lit(_COMMENT), F.lit(0)),
+                   F.split("text", _BETWEEN))
+    some = F.filter(cut, lambda x: F.lower(x).rlike(needed))
+    blocks = possible.select("path", F.posexplode(F.array_union(some, F.array("text"))).alias(
+        "block", "body")).filter(
         reach(F.lower("body"), vectors) >= least ** 2 - 1e-9)
     counted = blocks.select("path", "block", F.explode(_terms(F.col("body"))).alias("term")) \
         .groupBy("path", "block", "term").agg(F.count(F.lit(1)).alias("tf"))
