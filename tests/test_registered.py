@@ -25,3 +25,17 @@ def test_query_equals_sql(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def customers(spark, sf, rows):
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                          "c_mktsegment string").write.parquet(f"{sf}/customer.parquet")
+    spark.createDataFrame([(1, "one", 0), (2, "two", 0)], "n_nationkey int, n_name string, n_regionkey int"
+                          ).write.parquet(f"{sf}/nation.parquet")
+
+
+def test_avro_numbers_beyond_int_and_null_names(spark, tmp_path):
+    customers(spark, tmp_path, [(5_000_000_000, "Ann", 1, 0.0, "x"), (-3, None, 1, 0.0, None)])
+    found = {r.emp_no: (r.first_name, r.last_name) for r in QUERIES["employees_avro"](
+        spark, str(tmp_path)).collect()}
+    assert found == {5_000_000_000: ("x", "Ann"), -3: (None, None)}

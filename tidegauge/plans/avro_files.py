@@ -16,7 +16,7 @@ _TYPES = {T.IntegerType(): "int", T.LongType(): "long", T.StringType(): "string"
 
 
 def write_avro(df, path):
-    """Write ``df`` (int, long and non-null string columns) below ``path``."""
+    """Write ``df`` (int, long and string columns, null or not) below ``path``."""
     if has_avro(df.sparkSession):
         df.write.format("avro").save(path)
         return
@@ -24,7 +24,7 @@ def write_avro(df, path):
     uri = files.qualified(df.sparkSession, path).replace("file:/", "/", 1)
     schema = json.dumps({
         "type": "record", "name": "row",
-        "fields": [{"name": f.name, "type": _TYPES[f.dataType]} for f in df.schema]})
+        "fields": [{"name": f.name, "type": ["null", _TYPES[f.dataType]]} for f in df.schema]})
     kinds = [_TYPES[f.dataType] for f in df.schema]
 
     # Defined here so that it travels to the workers by value, without the package.
@@ -48,6 +48,11 @@ def write_avro(df, path):
             raw = s.encode("utf-8") if isinstance(s, str) else s
             return number(len(raw)) + raw
 
+        def field(v, kind):
+            if v is None:
+                return number(0)
+            return number(1) + (text(v) if kind == "string" else number(v))
+
         task = TaskContext.get()
         name = f"{uri}/part-{task.partitionId():06d}"
         started = f"{name}-{task.taskAttemptId()}.part"
@@ -64,8 +69,7 @@ def write_avro(df, path):
                     continue
                 columns = [c.to_pylist() for c in batch.columns]
                 body = b"".join(
-                    text(v) if kind == "string" else number(v)
-                    for row in zip(*columns) for kind, v in zip(kinds, row))
+                    field(v, kind) for row in zip(*columns) for kind, v in zip(kinds, row))
                 out.write(number(batch.num_rows) + number(len(body)) + body + sync)
                 total += batch.num_rows
         system.move(started, f"{name}.avro")

@@ -105,7 +105,7 @@ def employees_xml(spark, sf):
 @query
 def employees_avro(spark, sf):
     path = scratch_dir(spark, "employees-avro")
-    write_avro(_employees(spark, sf).withColumn("emp_no", F.col("emp_no").cast("int")), path)
+    write_avro(_employees(spark, sf), path)
     return good_rows(read_employees(spark, path, "avro"))
 
 

@@ -7,7 +7,7 @@ def _struct(types, names):
     return T.StructType([T.StructField(n, t) for n, t in zip(names, types)])
 
 
-_S, _D, _F, _L, _I = T.StringType(), T.DoubleType(), T.FloatType(), T.LongType(), T.IntegerType()
+_S, _D, _F, _L = T.StringType(), T.DoubleType(), T.FloatType(), T.LongType()
 
 # Field names and their order are part of the input formats.
 METRICS = ["hz", "disp", "flo", "sedPPM", "psi", "chlPPM"]
@@ -22,7 +22,7 @@ EMPLOYEE = _struct(
     [_L] + [_S] * 5,
     ["emp_no", "birth_date", "first_name", "last_name", "gender", "hire_date"],
 )
-EMPLOYEE_AVRO = _struct([_I] + [_S] * 5, EMPLOYEE.fieldNames())
+EMPLOYEE_AVRO = EMPLOYEE  # int numbers of older files are read as bigint
 VMSTAT_COUNTERS = ["R", "B", "SWPD", "FREE", "BUFF", "CACH", "SI", "SO", "BI", "BO",
                    "INS", "CS", "US", "SY", "ID", "WA"]
 VMSTAT = _struct([_S] * 17, VMSTAT_COUNTERS + ["ST"])
