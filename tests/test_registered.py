@@ -39,3 +39,12 @@ def test_avro_numbers_beyond_int_and_null_names(spark, tmp_path):
     found = {r.emp_no: (r.first_name, r.last_name) for r in QUERIES["employees_avro"](
         spark, str(tmp_path)).collect()}
     assert found == {5_000_000_000: ("x", "Ann"), -3: (None, None)}
+
+
+def test_number_of_a_customer_and_a_supplier(spark, tmp_path):
+    customers(spark, tmp_path, [(0, "Ann", 1, 0.0, "BUILDING"), (7, "Bob", 1, 0.0, "BUILDING")])
+    spark.createDataFrame([(0, "S", 2, 0.0), (7, "T", 2, 0.0)], "s_suppkey long, s_name string, "
+                          "s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = {r.emp_no: (r.first_name, r.last_name) for r in QUERIES["upsert_subset_columns"](
+        spark, str(tmp_path)).collect()}
+    assert found == {0: ("two", "Ann"), 7: ("one", "Bob"), -7: ("two", None)}

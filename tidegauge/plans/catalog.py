@@ -373,22 +373,25 @@ def upsert_employee_cells(spark, sf):
 
 @query
 def upsert_subset_columns(spark, sf):
-    """A batch without last_name: stored names stay, new employees have none."""
+    """A batch without last_name: stored names stay, new employees have none.
+
+    A number that both a customer and a supplier give keeps what the supplier, who comes later, says.
+    """
     path = scratch_dir(spark, "employees")
     keyed_table.ensure_table(spark, path, schemas.EMPLOYEE, ["emp_no"], BUCKETS)
     keyed_table.upsert(spark, path, _employees(spark, sf))
     nation = table(spark, sf, "nation")
 
-    def changed(df, key, nationkey):
+    def changed(df, key, nationkey, turn):
         return df.join(nation, F.col(nationkey) == F.col("n_nationkey")).select(
             key.cast("bigint").alias("emp_no"), F.lit("1970-01-01").alias("birth_date"),
             F.col("n_name").alias("first_name"), F.lit("X").alias("gender"),
-            F.lit("2000-01-01").alias("hire_date"))
+            F.lit("2000-01-01").alias("hire_date"), F.lit(turn).alias("turn"))
 
     old = changed(table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING"),
-                  F.col("c_custkey"), "c_nationkey")
-    new = changed(table(spark, sf, "supplier"), -F.col("s_suppkey"), "s_nationkey")
-    keyed_table.upsert(spark, path, old.unionByName(new), seq=None,
+                  F.col("c_custkey"), "c_nationkey", 0)
+    new = changed(table(spark, sf, "supplier"), -F.col("s_suppkey"), "s_nationkey", 1)
+    keyed_table.upsert(spark, path, old.unionByName(new), seq="turn",
                        columns=["emp_no", "birth_date", "first_name", "gender", "hire_date"])
     return keyed_table.read_table(spark, path)
 
