@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import (fingerprints, htmltext, licences, neardup, pieces, spandedup,
                            suffixes)
-from tidegauge.llm.components import components
+from tidegauge.llm.components import components, thinned
 
 
 # Fingerprints ---------------------------------------------------------------------------
@@ -321,6 +321,27 @@ def test_components_of_a_long_chain(spark):
     assert {found[i] for i in range(61)} == {0} and found[101] == 100 and found[205] == 200
 
 
+def test_a_group_of_many_leaders_has_a_link_for_each_member(spark):
+    rng = np.random.default_rng(5)
+    crowd = [(leader, node) for node in range(10, 310) for leader in range(4)]
+    others = [(1000 + int(a), 1000 + int(b)) for a, b in rng.integers(0, 400, (250, 2)) if a != b]
+    links = spark.createDataFrame([*crowd, *others, (3, 1000), (5000, 5001), (5001, 5002)], "a long, b long")
+    near = defaultdict(set)
+    for a, b in [(r.a, r.b) for r in links.collect()]:
+        near[a].add(b)
+        near[b].add(a)
+    want = {}
+    for n in sorted(near):
+        todo = [] if n in want else [n]
+        while todo:
+            x = todo.pop()
+            if x not in want:
+                want[x] = n
+                todo += near[x]
+    assert {r.node: r["class"] for r in components(links).collect()} == want
+    assert thinned(links).filter("a < 1000 and b < 1000").count() == 300 + 3
+
+
 # Repeated spans -------------------------------------------------------------------------
 
 def cut(rows, length):

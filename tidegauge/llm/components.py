@@ -1,10 +1,24 @@
 """Connected components of links, as tables."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import keep
 
 
+def thinned(links, a="a", b="b"):
+    """(a, b): links that join the same nodes, at most one for each node of ``b`` besides those between nodes of ``a``.
+
+    A node of ``b`` keeps its link to the smallest node of ``a``; each other link of it goes on from that
+    one. A group whose members are all linked to the same few nodes has as many links as members then,
+    not a multiple.
+    """
+    least = F.min(a).over(Window.partitionBy(b))
+    met = links.select(F.col(a), F.col(b), least.alias("least"))
+    own = F.when(F.col("least") == F.col(a), F.col(b)).otherwise(F.col(a))
+    return met.select(F.col("least").alias("a"), own.alias("b")).filter("a != b").distinct()
+
+
 def components(links, a="a", b="b"):
     """(node, class): the smallest node of the component, for every node of a link.
 
@@ -12,9 +26,9 @@ def components(links, a="a", b="b"):
     class, so that a class crosses long chains in few rounds. Every round is a written table.
     Hubs are reduced before the shuffle of a sum and split by skew joins.
     """
-    one, other = F.col(a).alias("node"), F.col(b).alias("near")
-    edges = keep(links.select(one, other).union(
-        links.select(other.alias("node"), one.alias("near"))).distinct(), "edges", True)
+    links = keep(thinned(links, a, b), "thinned", True)
+    edges = keep(links.select(F.col("a").alias("node"), F.col("b").alias("near")).union(
+        links.select(F.col("b").alias("node"), F.col("a").alias("near"))).distinct(), "edges", True)
     classes = keep(edges.select("node").distinct().withColumn("class", F.col("node")),
                    "classes", True)
     while True:
