@@ -60,6 +60,38 @@ def test_json_without_number(spark, tmp_path):
     assert sorted(r["emp_no"] for r in zero.collect()) == [0, 3]
 
 
+def test_xml_file_is_read_by_many_tasks(spark, tmp_path):
+    rows = [f"<employee>\n<emp_no>{i}</emp_no><first_name>A &amp; <![CDATA[</x>]]> {i}</first_name></employee>\n"
+            for i in range(200)]
+    odd = ['<employee a="x>y" ><emp_no>-1</emp_no><!-- c --></employee >', "<employee/>", '<employee b="1"/>',
+           "<employee><emp_no>-2</emp_no><note><n>1</n></note></employee>"]
+    text = "<?xml version='1.0'?>\n<!-- c -->\n<employees>\n" + "".join([*rows, *odd]) + "</employees>\n"
+    (tmp_path / "e.xml").write_text(text)
+    small = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "1"}
+    old = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        df = read_employees(spark, str(tmp_path / "e.xml"), "xml")
+        assert df.rdd.getNumPartitions() >= 8
+        found = {r.emp_no: r.first_name for r in good_rows(df).collect()}
+        assert found == {**{i: f"A & </x> {i}" for i in range(200)}, -1: None, -2: None}
+        assert bad_rows(df).count() == 2
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("text", [
+    "<employees><employee><emp_no>1</emp_no></employees>", "<employees><employee><emp_no>1</emp_no>",
+    "<employees><employee><emp_no>one</emp_no></employee></employees>",
+    "<employees><!-- <employee><emp_no>1</emp_no></employee> --></employees>"])
+def test_xml_that_cannot_be_bound_fails(spark, tmp_path, text):
+    (tmp_path / "e.xml").write_text(text)
+    with pytest.raises(Exception):
+        read_employees(spark, str(tmp_path / "e.xml"), "xml").collect()
+
+
 def test_json_of_wrong_type_fails(spark, tmp_path):
     (tmp_path / "e.json").write_text('{"emp_no": "three"}')
     with pytest.raises(Exception):
