@@ -137,11 +137,12 @@ def too_long(df, max_len):
 def _one_per_key(df, keys, seq, columns):
     key_ok = functools.reduce(operator.and_, [F.col(k).isNotNull() for k in keys])
     wrong = F.raise_error(F.lit(f"null in key {keys}"))
-    df = df.withColumn(keys[0], F.when(key_ok, F.col(keys[0])).otherwise(wrong))
+    rest = [c for c in columns if c not in keys]
+    checked = rest[0] if rest else keys[0]  # a key as it came keeps rows where they were dealt by it
+    df = df.withColumn(checked, F.when(key_ok, F.col(checked)).otherwise(wrong))
     if seq is not None:
         ordered = df.select(*columns, F.col(seq).alias("_seq"))
         return _newest_rows(ordered, keys, ["_seq"])
-    rest = [c for c in columns if c not in keys]
     grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
                                     F.max(F.struct(F.lit(0), *rest)).alias("_r"))
     twice = F.raise_error(F.concat(F.lit("key written twice in one batch without seq: "),
@@ -174,13 +175,13 @@ def upsert(spark, path, df, seq=None, columns=None, batch_id=None, stream="defau
     rows = _one_per_key(df.select(*typed, *carried), keys, seq, columns)
     rows = rows.withColumn("bucket", _bucket(table))
     aside = scratch_dir(spark, "table-batch")
-    rows.write.partitionBy("bucket").parquet(aside)  # once, to know which buckets it has
+    rows.write.parquet(aside)  # once, to know which buckets it has
     rows = spark.read.schema(rows.schema).parquet(aside)
-    found = [int(n[len("bucket="):]) for n in files.names(spark, aside) if n.startswith("bucket=")]
+    found = [r[0] for r in rows.select("bucket").distinct().collect()]
     if found:
         ready = f"{path}/_next-{uuid.uuid4().hex}"
-        merged = _united(_stored(spark, path, table, found), rows, schema, keys, columns)
-        merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(ready)
+        merged = _united(_stored(spark, path, table, found), rows, table, columns)
+        merged.write.partitionBy("bucket").parquet(ready)
     files.remove_tree(spark, aside)
     applied = applied if batch_id is None else {**applied, stream: batch_id}
     try:
@@ -197,13 +198,21 @@ def _stored(spark, path, table, buckets):
     return rows.filter(F.col("bucket").isin(buckets))
 
 
-def _united(stored, rows, schema, keys, columns):
-    """One row for each key of both: the written columns of ``rows``, if there, the rest as stored."""
+def _united(stored, rows, table, columns):
+    """One row for each key of both: the written columns of ``rows``, if there, the rest as stored.
+
+    The one shuffle is by bucket and part of a bucket, for the write that follows. It comes before any
+    grouping: rows of a table are packed so tightly that a split's would not fit a task when sorted.
+    """
+    schema, keys = _schema(table), table["keys"]
     new = [c for c in columns if c not in keys]
     kept = [c for c in schema.fieldNames() if c not in columns]
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64(F.lit("part"), *keys), F.lit(max(1, tasks // table["buckets"])))
     both = stored.withColumn("_turn", F.lit(0)).unionByName(
         rows.withColumn("_turn", F.lit(1)), allowMissingColumns=True)
-    grouped = both.groupBy("bucket", *keys).agg(
+    dealt = both.withColumn("_part", part).repartition("bucket", "_part")
+    grouped = dealt.groupBy("bucket", "_part", *keys).agg(
         F.max_by(F.struct(F.lit(0), *new), "_turn").alias("_new"),
         F.max_by(F.struct(F.lit(0), *kept), F.when(F.col("_turn") == 0, 0)).alias("_kept"))
     values = {**{c: F.col(f"_new.{c}") for c in new}, **{c: F.col(f"_kept.{c}") for c in kept}}
@@ -228,10 +237,9 @@ def _put_in_place(spark, path, table):
     note = json.loads(files.read_text(spark, f"{path}/_writing.json"))
     number = note["number"]
     if _done(spark, path)[0] == number:
-        if note["ready"]:
-            spark.read.schema(_stored_schema(table)).parquet(note["ready"]).write.mode(
-                "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "bucket").parquet(f"{path}/data")
+        for bucket in files.names(spark, note["ready"]) if note["ready"] else []:
+            if bucket.startswith("bucket="):  # those not moved yet
+                files.move_tree(spark, f"{note['ready']}/{bucket}", f"{path}/data/{bucket}")
         files.create_text(spark, f"{path}/_done/{number + 1:010d}.json", json.dumps(note["applied"]))
         files.remove(spark, f"{path}/_done/{number:010d}.json")
     files.remove(spark, f"{path}/_writing.json")

@@ -97,6 +97,15 @@ def remove_tree(spark, path):
     fs.delete(p, True)
 
 
+def move_tree(spark, source, target):
+    """Give a folder the place of another one on the same file system, which goes."""
+    fs, from_path = _fs(spark, source)
+    _, to_path = _fs(spark, target)
+    fs.delete(to_path, True)
+    if not fs.rename(from_path, to_path):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def copy_tree(spark, source, target):
     """Copy a folder with what is in it, on one file system or between two."""
     from_fs, from_path = _fs(spark, source)
