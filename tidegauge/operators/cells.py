@@ -35,6 +35,15 @@ def employee_key():
     return F.col("emp_no").cast("string")
 
 
+def by_row(df, key):
+    """``df`` with the rows of a key in one task, for cells that are then grouped by their keys.
+
+    Cells are many times the rows that they are made from, so the rows are shuffled, and grouping the
+    cells needs no shuffle of its own.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _coded(df, columns, encoding):
     """``df`` with the stored form of each column beside it, made once for all its cells."""
 

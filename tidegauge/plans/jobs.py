@@ -139,7 +139,8 @@ def sensor_cells_stream(spark, rows, table, checkpoint, buckets, encoding="text"
 
     def put(batch, i):
         keyed_table.write_cells(batch.sparkSession, table,
-                                cells.route(placed(batch), mode, encoding), batch_id=i,
+                                cells.route(cells.by_row(placed(batch), cells.sensor_key()), mode,
+                                            encoding), batch_id=i,
                                 stream=stream_id(batch.sparkSession, checkpoint))
 
     return run_batches(rows, [put], checkpoint, trigger, **run)
@@ -166,8 +167,9 @@ def vmstat_stream_to_cells(spark, lines, table, checkpoint, buckets,
     rows = parse_vmstat(lines, "lenient")
 
     def put(batch, i):
-        keyed_table.write_cells(batch.sparkSession, table, cells.vmstat_cells(placed(batch)),
-                                batch_id=i, stream=stream_id(batch.sparkSession, checkpoint))
+        dealt = cells.by_row(placed(batch), cells.vmstat_key())
+        keyed_table.write_cells(batch.sparkSession, table, cells.vmstat_cells(dealt), batch_id=i,
+                                stream=stream_id(batch.sparkSession, checkpoint))
 
     return run_batches(rows, [put], checkpoint, trigger, **run)
 
