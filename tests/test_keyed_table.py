@@ -3,6 +3,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge import schemas
 from tidegauge.operators import cells, keyed_table
@@ -213,3 +214,33 @@ def test_cells_last_write_wins(spark, tmp_path):
     assert {r["family"]: r["value"] for r in table.filter("qualifier = 'psi'").collect()} == \
         {"alert": "1.0", "data": "8.0"}
     assert cells.decode_cells(table).first()["psi"] == 8.0
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_cells_are_grouped_where_their_rows_were_dealt(spark):
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.SENSOR)
+    rows = spark.createDataFrame([], f"{fields}, seq long")
+    for dealt, key, made in ((rows, cells.sensor_key(), cells.route),
+                             (spark.createDataFrame([], T.StructType([*schemas.VMSTAT_STAMPED, T.StructField("seq", T.LongType())])),
+                              cells.vmstat_key(), cells.vmstat_cells)):
+        found = made(cells.by_row(dealt, key)).select(*schemas.CELL.fieldNames(), "seq")
+        assert exchanges(keyed_table._one_per_key(
+            found, schemas.CELL_KEYS, "seq", schemas.CELL.fieldNames())) == 1
+
+
+def test_a_write_shuffles_stored_and_new_rows_once(spark, tmp_path):
+    path = str(tmp_path / "cells")
+    keyed_table.ensure_cells(spark, path, 4)
+    for value in ("old", "new"):
+        keyed_table.write_cells(spark, path, spark.createDataFrame(
+            [(f"r{i}", "data", "q", f"{value}{i}") for i in range(0 if value == "old" else 20, 40)], schemas.CELL))
+    found = {r.row_key: r.value for r in keyed_table.read_table(spark, path).collect()}
+    assert found == {f"r{i}": f"{'old' if i < 20 else 'new'}{i}" for i in range(40)}
+    table = keyed_table._table(spark, path)
+    stored = keyed_table._stored(spark, path, table, list(range(4)))
+    united = keyed_table._united(stored, stored, table, schemas.CELL.fieldNames())
+    assert exchanges(united) == 1 and "partial_max_by" in united._jdf.queryExecution().executedPlan(
+        ).toString().split("Exchange")[0]
