@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tidegauge.llm import (fingerprints, htmltext, licences, neardup, pieces, spandedup,
+from tidegauge.llm import (common, fingerprints, htmltext, licences, neardup, pieces, spandedup,
                            suffixes)
 from tidegauge.llm.components import components, thinned
 
@@ -342,6 +342,27 @@ def test_a_group_of_many_leaders_has_a_link_for_each_member(spark):
     assert thinned(links).filter("a < 1000 and b < 1000").count() == 300 + 3
 
 
+def test_rounds_of_components_go_on_with_links_between_classes_only(spark, monkeypatch):
+    """A star, a chain in a random order and links between their parts: all tables are a small multiple of the links."""
+    rng = np.random.default_rng(11)
+    order = [int(x) + 2000 for x in rng.permutation(100)]
+    pairs = [(5, i) for i in range(1000, 1300)] + list(zip(order, order[1:])) + [(1299, 3), (9000, order[7])]
+    kept = []
+
+    def counted(df, label, narrow=False):
+        table = common.keep(df, label, narrow)
+        kept.append(table.count())
+        return table
+
+    monkeypatch.setattr("tidegauge.llm.components.keep", counted)
+    rows = components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    found = {r.node: r["class"] for r in rows}
+    assert len(rows) == len(found) == 302 + 101
+    assert {found[n] for n in (3, 5, *range(1000, 1300))} == {3}
+    assert {found[n] for n in (*order, 9000)} == {2000}
+    assert sum(kept) <= 8 * len(pairs)
+
+
 # Repeated spans -------------------------------------------------------------------------
 
 def cut(rows, length):

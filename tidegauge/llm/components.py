@@ -19,27 +19,46 @@ def thinned(links, a="a", b="b"):
     return met.select(F.col("least").alias("a"), own.alias("b")).filter("a != b").distinct()
 
 
+def _rooted(up):
+    """(node, class) of a forest (node, class) of parents: class is the root that the parents lead to."""
+    while True:
+        above = up.select(F.col("node").alias("class"), F.col("class").alias("next"))
+        jumped = keep(up.join(above, "class", "left").select(
+            "node", F.coalesce("next", "class").alias("class"), F.col("next").isNotNull().alias("moved")),
+            "classes", True)
+        up = jumped.select("node", "class")
+        if not jumped.filter("moved").limit(1).count():
+            return up
+
+
 def components(links, a="a", b="b"):
     """(node, class): the smallest node of the component, for every node of a link.
 
-    Each round gives a node the smallest class among its neighbours and then the class of its
-    class, so that a class crosses long chains in few rounds. Every round is a written table.
-    Hubs are reduced before the shuffle of a sum and split by skew joins.
+    Each round gives every node with smaller neighbours to the smallest of them, follows these parents to
+    their roots and goes on with the links between different roots only. Links that lead to a parent are done, and two
+    rounds at least halve the nodes, so all rounds together read a small multiple of the links. Every
+    round is a written table. Hubs are reduced before the shuffle of a sum and split by skew joins.
     """
-    links = keep(thinned(links, a, b), "thinned", True)
-    edges = keep(links.select(F.col("a").alias("node"), F.col("b").alias("near")).union(
-        links.select(F.col("b").alias("node"), F.col("a").alias("near"))).distinct(), "edges", True)
-    classes = keep(edges.select("node").distinct().withColumn("class", F.col("node")),
-                   "classes", True)
-    while True:
-        near = edges.join(classes.withColumnRenamed("node", "near"), "near").groupBy("node").agg(
-            F.min("class").alias("least"))
-        found = keep(classes.join(near, "node").select(
-            "node", F.least("class", "least").alias("class"), F.col("class").alias("old")),
-            "classes", True)
-        jump = found.select(F.col("node").alias("class"), F.col("class").alias("next"))
-        jumped = keep(found.join(jump, "class").select(
-            "node", F.col("next").alias("class"), "old"), "classes", True)
-        if not jumped.filter(F.col("class") != F.col("old")).limit(1).count():
-            return jumped.select("node", "class")
-        classes = jumped.select("node", "class")
+    def between(x, y, rows):
+        return rows.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).filter("x != y").distinct()
+
+    edges = keep(between("a", "b", thinned(links, a, b)), "edges", True)
+    ups = []
+    while not ups or edges.limit(1).count():
+        up = keep(edges.groupBy(F.col("y").alias("node")).agg(F.min("x").alias("class")), "classes", True)
+        roots = _rooted(up)
+        other = edges.join(up, F.col("y") == F.col("node")).filter("x != class").select("x", "y")
+        one, two = (roots.select(F.col("node").alias(c), F.col("class").alias(f"{c}_root")) for c in "xy")
+        edges = keep(between("to", "y_root", other.join(two, "y").join(one, "x", "left").withColumn(
+            "to", F.coalesce("x_root", "x"))), "edges", True)
+        ups.append(roots)
+    found = ups.pop()
+    while ups:
+        found = keep(moved(ups.pop(), found).union(found), "classes", True)
+    return found.union(found.select("class").distinct().select(F.col("class").alias("node"), "class"))
+
+
+def moved(classes, up):
+    """``classes`` (node, class) where classes have become parts of those that ``up`` (node, class) names."""
+    above = up.select(F.col("node").alias("class"), F.col("class").alias("next"))
+    return classes.join(above, "class", "left").select("node", F.coalesce("next", "class").alias("class"))

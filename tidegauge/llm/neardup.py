@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.llm.common import discard, keep, smaller_batches, tasks
-from tidegauge.llm.components import components
+from tidegauge.llm.components import components, moved
 from tidegauge.llm.hashing import mix, shingle_hashes
 
 BANDS, ROWS = 9, 3
@@ -347,11 +347,12 @@ def candidates(crowd, texts, shared, least):
     return met.groupBy("leader", "node").agg(F.max("hope").alias("hope"))
 
 
-def settled(linked, now, crowd, texts, shared, least):
+def settled(now, crowd, texts, shared, least):
     """The classes when every link between members of the crowd counts.
 
     The most hopeful pairs of two classes are compared first; pairs that their links join need no more
-    comparison. The rest follows until none is left.
+    comparison. The rest follows until none is left. Only the new links and the classes they join are
+    looked at again, not all links.
     """
     left = keep(candidates(crowd, texts, shared, least), "near-candidates")
     first = FIRST
@@ -364,13 +365,16 @@ def settled(linked, now, crowd, texts, shared, least):
         order = Window.partitionBy(F.least("x", "y"), F.greatest("x", "y"), F.pmod(
             F.xxhash64("leader", "node"), F.lit(SHARES))).orderBy(F.col("hope").desc(), "leader", "node")
         left = keep(apart.withColumn("rank", F.row_number().over(order)), "near-candidates", True)
-        tried = left.filter(F.col("rank") <= first).select("leader", "node")
+        tried = left.filter(F.col("rank") <= first)
         if not tried.limit(1).count():
             return now
-        found = keep(verified(tried, texts, shared, least), "near-links")
+        found = keep(verified(tried.select("leader", "node"), texts, shared, least), "near-links").select(
+            F.col("a").alias("leader"), F.col("b").alias("node"))
         if found.limit(1).count():
-            linked = keep(linked.union(found), "near-linked", True)
-            now = components(linked)
+            joined = keep(components(tried.join(found, ["leader", "node"]).select("x", "y"), "x", "y"),
+                          "near-joined", True)
+            alone = joined.join(now.select("node"), "node", "left_anti")  # classes of one that had no link
+            now = keep(moved(now, joined).union(alone), "near-now", True)
         left = left.filter(F.col("rank") > first)
         first *= MORE
 
@@ -423,7 +427,7 @@ def _classes(docs, key, text, least):
         # Texts are compared by all tasks; only the table of links is narrow.
         linked = keep(linked.union(keep(verified(pairs, texts, shared, least), "near-links")),
                       "near-linked", True)
-        now = components(linked)
+        now = keep(components(linked), "near-now", True)
         # Larger buckets with several classes: their members' other pairs are still to be compared.
         seen = members.join(heads.filter(F.col("size") > LEADERS + 1).select("bucket").distinct(),
                             "bucket", "left_semi").join(now, "node", "left").select(
@@ -433,7 +437,7 @@ def _classes(docs, key, text, least):
         crowd = keep(seen.join(split.select("bucket"), "bucket", "left_semi").select(
             "node", "class").distinct(), "near-crowd", True)
         if crowd.limit(1).count():
-            now = settled(linked, now, crowd, texts, shared, least)
+            now = settled(now, crowd, texts, shared, least)
         discard(texts)
     else:
         now = components(linked)
