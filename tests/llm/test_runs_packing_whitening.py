@@ -284,3 +284,26 @@ def test_deviations_stay_exact():
     sums = [int(s) for s in x.sum(axis=0)]
     want = [sum((3 * int(a) - s) ** 2 for a, s in zip(row, sums, strict=True)) for row in x]
     assert whitening.deviations(x, 3, sums) == [w if w < 1 << 63 else None for w in want]
+
+
+def test_words_of_letters_are_encoded_without_marks_between_them():
+    """Half as many tokens pass the tokenizer; ids are those of each word by itself, letters or not."""
+    encoder = packing.Encoder(packing.word_tokenizer())
+    plain = packing.Encoder(packing.word_tokenizer())
+    passed, whole = [], encoder.whole
+
+    def counted(texts):
+        found = whole(texts)
+        passed.append(sum(map(len, found)) // 4)
+        return found
+
+    encoder.whole = counted
+    words = [f"{a}{b}{c}".encode() for a in "b\u00e9st" for b in ("ario", "\u00fcl", "en") for c in ("ung", "at", "\u00df")]
+    want = {w: plain.whole([w.decode()])[0] for w in words}
+    assert encoder.each(words) == want
+    assert sum(passed) == sum(map(len, want.values())) // 4
+    # Letters that become two words or a letter and a mark, words of other signs, no word at all.
+    odd = ["\u0130x", "\u0958a", "don't", "a0b", "0", "\u00a0", "x", "\u03a3\u03a3", "caf\u00e9", "<|endoftext|>", "ok..."]
+    assert encoder.each([w.encode() for w in odd]) == {w.encode(): plain.whole([w])[0] for w in odd}
+    text = " ".join([*odd, "ok.", "OK...", *[w.decode() for w in words]])
+    assert encoder.encode(text) == plain.whole([text])[0]

@@ -40,7 +40,6 @@ END = 0
 GROUP = 16384  # pieces packed in one task
 WORDS = 1 << 19  # words of late that a worker remembers, and as many before
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-LETTERS = re.compile(rb"[A-Za-z]")
 LONGEST = 64  # bytes of a word that is remembered
 PIECES = "doc_id {}, piece int, start long, length long, ids_crc32 long, ids {}"
 
@@ -61,13 +60,21 @@ class Encoder:
 
     def __init__(self, path, across_spaces=False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.across_spaces = across_spaces
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)).encode() or b"(?!)")
         self.mark = None
+        # Ids with which words end, if the end of any word is told by its last id.
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = None
+        if suffix and "ByteLevel" in repr(self.tokenizer.pre_tokenizer) and all(
+                c + suffix in vocab for c in pre_tokenizers.ByteLevel.alphabet()):
+            self.last = np.zeros(max(vocab.values()) + 1, bool)
+            self.last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
         self.known, self.before = {}, {}  # words of late, and those known before
 
     def whole(self, texts):
@@ -75,25 +82,45 @@ class Encoder:
         return [as_bytes(e.ids) for e in found]
 
     def each(self, words):
-        """Ids of each word: as one text with a digit between the words, cut where its id is.
+        """Ids of each word: as one text, cut where the words end.
 
-        Words with that digit, and all if the cuts do not agree with the words, go one by one.
+        A word of letters ends with an id that ends words. Others, and all if there is not one such id for each
+        word, are one text with a digit between the words, cut where its id is. Words
+        with that digit, and all if the cuts do not agree with the words, go one by one.
         """
+        found = self.spelt(words)
+        words = [w for w in words if w not in found] if found else words
+        if not words:
+            return found
         mark = self.whole(["0"])[0] if self.mark is None else self.mark
         self.mark = mark
         plain = [w for w in words if b"0" not in w] if len(mark) == 4 else []
-        found = {}
         if plain:
             raw = self.whole([b" 0 ".join(plain).decode()])[0]
             ids = np.frombuffer(raw, "<u4")
             cuts = (4 * np.flatnonzero(ids == np.frombuffer(mark, "<u4"))).tolist()
             if len(cuts) == len(plain) - 1:
-                found = {w: raw[a:b] for w, a, b in zip(
-                    plain, [0, *(c + 4 for c in cuts)], [*cuts, len(raw)], strict=True)}
+                found.update((w, raw[a:b]) for w, a, b in zip(
+                    plain, [0, *(c + 4 for c in cuts)], [*cuts, len(raw)], strict=True))
         rest = [w for w in words if w not in found]
         found.update(zip(rest, self.whole([w.decode() for w in rest]), strict=True))
         return found
 
+    def spelt(self, words):
+        """Ids of the words of letters alone, if each has one id that ends words; else of none.
+
+        Each has such an id, as it has a letter; so as many ids as words are one for each.
+        """
+        texts = [w.decode() for w in words] if self.last is not None else []
+        kept = [(w, t) for w, t in zip(words, texts) if t.isalpha()]
+        if not kept:
+            return {}
+        raw = self.whole([" ".join([t for _, t in kept])])[0]
+        cuts = (4 * np.flatnonzero(self.last[np.frombuffer(raw, "<u4")]) + 4).tolist()
+        if len(cuts) != len(kept) or cuts[-1] != len(raw):
+            return {}
+        return {w: raw[a:b] for (w, _), a, b in zip(kept, [0, *cuts[:-1]], cuts, strict=True)}
+
     def encode(self, text):
         if self.across_spaces:
             return self.whole([text])[0]
@@ -101,33 +128,44 @@ class Encoder:
         if len(self.known) > WORDS:
             self.known, self.before = {}, self.known
         known = self.known
-        new = {w for w in words if w not in known}
-        if new:
+        found = list(map(known.get, words))
+        at = [i for i, ids in enumerate(found) if ids is None]
+        if at:
+            new = {words[i] for i in at}
             self.learn(new)
-        ids = b"".join(map(known.__getitem__, words))
-        for word in new:
-            if len(word) > LONGEST:
-                del known[word]
-        return ids
+            for i in at:
+                found[i] = known[words[i]]
+            for word in new:
+                if len(word) > LONGEST:
+                    del known[word]
+        return b"".join(found)
 
     def learn(self, new):
         """Adds new words. Marks behind an ASCII letter are tokens of their own."""
         known, before = self.known, self.before
-        cut = {}
+        special = self.special.search(b" ".join(new))
+        cut, parts = [], set()
         for word in new:
             if word in before:
                 known[word] = before[word]
                 continue
             head = word.rstrip(MARKS)
-            apart = LETTERS.match(head[-1:]) and not self.special.search(word)
-            cut[word] = (head, word[len(head):]) if apart else (word, b"")
-        heads = {part for parts in cut.values() for part in parts if part and part not in known}
-        ids = {h: before[h] for h in heads if h in before}
-        ids.update(self.each([h for h in heads if h not in ids]))
-        ids[b""] = b""
-        for word, (head, tail) in cut.items():
-            known[word] = (ids[head] if head in ids else known[head]) + (
-                ids[tail] if tail in ids else known[tail])
+            if not head[-1:].isalpha() or special and self.special.search(word):
+                head = word
+            cut.append((word, head, word[len(head):]))
+            parts.update(cut[-1][1:])
+        parts.discard(b"")
+        ids, unknown = {b"": b""}, []
+        for part in parts:
+            if part in known:
+                ids[part] = known[part]
+            elif part in before:
+                ids[part] = before[part]
+            else:
+                unknown.append(part)
+        ids.update(self.each(unknown))
+        for word, head, tail in cut:
+            known[word] = ids[head] + ids[tail]
 
 
 @functools.lru_cache(maxsize=2)
