@@ -365,6 +365,33 @@ def test_rounds_of_components_go_on_with_links_between_classes_only(spark, monke
 
 # Repeated spans -------------------------------------------------------------------------
 
+
+def test_suffixes_that_differ_late_are_ordered_without_a_sort_by_several_keys(monkeypatch):
+    rng = np.random.default_rng(4)
+    stems = [bytes(rng.integers(97, 100, 60).astype(np.uint8)) for _ in range(3)]
+    text = b"".join(stems[rng.integers(0, 3)][:rng.integers(5, 60)] + bytes([rng.integers(97, 100)]) for _ in range(60))
+    data = np.frombuffer(text, np.uint8)
+    words = suffixes.words_at(data)
+    keys = []
+    sort = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda columns, *rest: keys.append(len(columns[0])) or sort(columns, *rest))
+    some = rng.permutation(len(data))
+    for at in (some, some[:1], some[:0]):
+        found = suffixes.lexicographic(words, at.copy())
+        assert sorted(found) == sorted(at)
+        padded = [(text + bytes(suffixes.DEPTH))[p:p + suffixes.DEPTH] for p in found]
+        assert padded == sorted(padded)
+    assert sum(keys) == 0
+    owner = rng.integers(0, 50, len(data))
+    chosen = np.arange(len(data)) < len(data) - suffixes.DEPTH
+    for length in (32, 37, 48, 50, 55, 56):
+        least = {}
+        for p in np.flatnonzero(chosen):
+            run = text[p:p + length]
+            least[run] = min(least.get(run, 99), owner[p])
+        at, got = suffixes.first_owners(data, chosen, lambda p: owner[p], length)
+        assert got.tolist() == [least[text[p:p + length]] for p in at]
+
 def cut(rows, length):
     """Removed bytes of (id, text) rows by looking up every window."""
     least = {}

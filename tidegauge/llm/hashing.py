@@ -41,10 +41,11 @@ def sums(data):
     return out
 
 
-def span_hash(sums_, starts, ends):
-    """Hash of the bytes from starts to ends, wherever they stand."""
+def span_hash(sums_, starts, ends, size=None):
+    """Hash of the bytes from starts to ends, wherever they stand; slices of places need the spans' size."""
     _, down = powers(len(sums_))
-    return mix((sums_[ends] - sums_[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    size = np.uint64(size) if size else (ends - starts).astype(np.uint64)
+    return mix((sums_[ends] - sums_[starts]) * down[starts] + size)
 
 
 def joined(texts):

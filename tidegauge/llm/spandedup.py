@@ -93,9 +93,8 @@ def anchors(data, good, length=LENGTH, gram=GRAM):
         piece = data[low:low + SLICE + length]
         total = sums(piece)
         n = len(piece) - gram + 1
-        begin = np.arange(n)
-        h = span_hash(total, begin, begin + gram)
-        key = (h & ~np.uint64(0xFFFFFF)) | begin.astype(np.uint64)
+        h = span_hash(total, slice(0, n), slice(gram, gram + n), gram)
+        key = (h & ~np.uint64(0xFFFFFF)) | np.arange(n, dtype=np.uint64)
         least, size = key, 1
         while size < width:
             step = min(size, width - size)
@@ -110,6 +109,19 @@ def anchors(data, good, length=LENGTH, gram=GRAM):
     return np.concatenate(places), np.concatenate(found), np.concatenate(hashes)
 
 
+def in_order(h):
+    """Places in order of ``h``, those of equal numbers in their own order."""
+    order = np.argsort(h)
+    sorted_ = h[order]
+    same = sorted_[1:] == sorted_[:-1]
+    tied = np.zeros(len(h), bool)
+    tied[1:] |= same
+    tied[:-1] |= same
+    at = np.flatnonzero(tied)
+    order[at] = order[at][np.lexsort((order[at], sorted_[at]))]
+    return order
+
+
 def part_id(keys):
     """An id of a part from the keys of its texts, whatever task makes it."""
     at = np.arange(1, len(keys) + 1, dtype=np.uint64)
@@ -125,7 +137,7 @@ def part_anchors(rows, length):
     first = np.flatnonzero(np.diff(pos, prepend=-1))
     pos, h = pos[first], h[first]
     number = np.searchsorted(starts, pos, side="right") - 1
-    order = np.argsort(h, kind="stable")  # texts stay in order
+    order = in_order(h)  # texts stay in order
     number, h = number[order], h[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (number[1:] != number[:-1])
@@ -178,7 +190,7 @@ def repeated_anchors(hot_from, group):
     whole[:, 3:] = np.concatenate(h)
     h = whole.view("<u8")[:, 0]
     number, many, part = map(np.concatenate, (number, many, part))
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     heads = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0]))
     sizes = np.diff(np.concatenate([heads, [len(h)]]))
     good = (sizes > 1) | (np.maximum.reduceat(many[order], heads) > 0)

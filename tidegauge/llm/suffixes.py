@@ -10,6 +10,7 @@ to that depth need.
 import numpy as np
 
 DEPTH = 56
+SLICE = 1 << 13  # positions compared together; what stands there fits into a core's cache
 
 
 def words_at(data):
@@ -18,28 +19,58 @@ def words_at(data):
     return np.ndarray((len(data) + DEPTH + 8,), ">u8", padded, strides=(1,))
 
 
+def goes_on(words, at, begin, end):
+    """For each position but the first, whether the bytes from begin to end after it are those after the one before.
+
+    Bytes of the word in which ``begin`` lies count too: callers know them to be equal or do not care.
+    """
+    rows = np.ndarray((len(words) - DEPTH,), f"V{DEPTH}", words.base, strides=(1,))
+    whole, rest = divmod(end, 8)
+    mask = np.frombuffer(b"\xff" * rest + b"\x00" * (8 - rest), np.uint64)
+    same = np.ones(len(at) - 1, bool)
+    for low in range(0, len(same), SLICE):
+        some, found = rows[at[low:low + SLICE + 1]], same[low:low + SLICE]
+        some = some.view(np.uint64).reshape(-1, DEPTH // 8)
+        for k in range(begin // 8, whole):
+            found &= some[1:, k] == some[:-1, k]
+        if rest:
+            found &= (some[1:, whole] ^ some[:-1, whole]) & mask == 0
+    return same
+
+
 def lexicographic(words, at):
     """Positions ``at`` in order of their first ``DEPTH`` bytes.
 
-    Two words decide most of the order. Where all of a group of equal beginnings go on equally,
-    which is what repeats do, the group is in order already; the others are sorted by the rest.
+    The first word decides most of the order. Where all of a group of equal beginnings go on equally,
+    which is what repeats do, the group is in order already. The others are sorted by their group and as
+    many of the next bytes as fit into one number with it, and so on.
     """
-    one, two = (words[at + 8 * k].astype(np.uint64) for k in (0, 1))
-    order = np.lexsort((two, one))
-    at, one, two = at[order], one[order], two[order]
-    new = np.ones(len(at), bool)
-    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-    group = np.cumsum(new) - 1
-    inner = np.flatnonzero(~new)  # places with an equal beginning before them
-    open_ = np.zeros(len(inner), bool)
-    for k in range(2, DEPTH // 8):
-        open_ |= words[at[inner] + 8 * k] != words[at[inner - 1] + 8 * k]
-    unsettled = np.zeros(len(at), bool)
-    unsettled[group[inner[open_]]] = True
-    rest = np.flatnonzero(unsettled[group])
-    if len(rest):
-        keys = [words[at[rest] + 8 * k].astype(np.uint64) for k in range(DEPTH // 8 - 1, 1, -1)]
-        at[rest] = at[rest][np.lexsort([*keys, group[rest]])]
+    key = words[at].astype(np.uint64)
+    order = np.argsort(key)
+    at, key = at[order], key[order]
+    rest, todo, depth = None, at, 8  # places that are not settled (all), what stands there, bytes in order
+    while len(todo):
+        new = np.ones(len(todo), bool)
+        new[1:] = key[1:] != key[:-1]
+        open_ = ~new
+        open_[1:] &= ~goes_on(words, todo, depth, DEPTH)
+        group = np.cumsum(new) - 1
+        unsettled = np.zeros(len(todo), bool)
+        unsettled[group[open_]] = True
+        left = np.flatnonzero(unsettled[group])
+        rest = left if rest is None else rest[left]
+        if not len(left) or depth >= DEPTH:
+            break
+        todo = todo[left]
+        group = np.cumsum(new[left]) - 1
+        bits = max(int(group[-1]).bit_length(), 8)
+        bits += -bits % 8
+        key = (group.astype(np.uint64) << np.uint64(64 - bits)) | (
+            words[todo + depth].astype(np.uint64) >> np.uint64(bits))
+        order = np.argsort(key)
+        todo, key = todo[order], key[order]
+        at[rest] = todo
+        depth += 8 - bits // 8
     return at
 
 
@@ -124,14 +155,7 @@ def first_owners(data, chosen, owner_of, length):
         return at, np.zeros(0, np.int64)
     words = words_at(data)
     order = sort_suffixes(data, chosen, words)
-    same = np.ones(len(order) - 1, bool)
-    whole, rest = divmod(length, 8)
-    for k in range(whole):
-        part = words[order + 8 * k]
-        same &= part[1:] == part[:-1]
-    if rest:
-        part = words[order + 8 * whole].astype(np.uint64) >> np.uint64(64 - 8 * rest)
-        same &= part[1:] == part[:-1]
+    same = goes_on(words, order, 0, length)
     starts = np.flatnonzero(np.concatenate([[True], ~same]))
     owners = owner_of(order)
     least = np.minimum.reduceat(owners, starts)
