@@ -307,3 +307,21 @@ def test_words_of_letters_are_encoded_without_marks_between_them():
     assert encoder.each([w.encode() for w in odd]) == {w.encode(): plain.whole([w])[0] for w in odd}
     text = " ".join([*odd, "ok.", "OK...", *[w.decode() for w in words]])
     assert encoder.encode(text) == plain.whole([text])[0]
+
+
+def test_words_of_latin_letters_go_straight_to_the_model():
+    """Of other steps only marks and words of other signs are in need, and marks once."""
+    encoder, plain = (packing.Encoder(packing.word_tokenizer()) for _ in range(2))
+    passed, whole = [], encoder.whole
+    encoder.whole = lambda texts: passed.extend(texts) or whole(texts)
+    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)] if chr(c).isalpha()]
+    texts = [" ".join(f"{a}{b}{c}" for a in letters[k::7] for b in letters[::5] for c in ("", "ung", "É")) for k in range(7)]
+    for text in texts:
+        assert encoder.encode(text) == plain.whole([text])[0]
+    assert passed == []
+    for text in ("Hello, été... Çà!", "Later, NOËL... là!", "hello été"):
+        assert encoder.encode(text) == plain.whole([text])[0]
+    assert len(passed) == 2 and passed[0] == "0" and set(passed[1].split(" 0 ")) == {",", "...", "!"}
+    # A sign that joins the letter before it, signs that are no letters, special tokens in both cases.
+    for text in ("e\u0301t e\u0301 \u00d7a \u00f7 a\u00f7b \u0130x", "a<|endoftext|> A<|ENDOFTEXT|> b<|endoftext|>c", "É's it'S 'T 0É"):
+        assert encoder.encode(text) == plain.whole([text])[0]

@@ -18,10 +18,12 @@ the same sequences. An empty table gives an empty result. Other columns are igno
 
 The tokenizers this is for split texts before all else: at white space, which they drop, between
 letters and marks, and at each digit. So a worker encodes a word once and remembers a bounded number
-of words. For others, ``across_spaces=True`` encodes whole texts.
+of words. For others, ``across_spaces=True`` encodes whole texts. Words of Latin letters that are new skip
+the tokenizer's own steps before its model where these only put letters in lower case and map their bytes.
 """
 
 import functools
+import json
 import os
 import re
 import struct
@@ -41,6 +43,12 @@ GROUP = 16384  # pieces packed in one task
 WORDS = 1 << 19  # words of late that a worker remembers, and as many before
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 LONGEST = 64  # bytes of a word that is remembered
+# Letters of ASCII and of U+00C0 to U+00FF in UTF-8: each has one lower case letter and composes with none of them.
+LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# Steps that do no more to a word of such letters than lower their case and map their bytes.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+BYTES = {b: 0x100 + b - 0x5E for b in range(0x7F, 0xA1)} | {0xAD: 0x143}  # as ByteLevel maps those of no sign
 PIECES = "doc_id {}, piece int, start long, length long, ids_crc32 long, ids {}"
 
 
@@ -55,6 +63,17 @@ def as_bytes(ids):
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def only_lowers(path):
+    """Whether the tokenizer's steps before its model are such that a word of ``LATIN`` only gets lower case."""
+    with open(path, encoding="utf-8") as file:
+        steps = json.load(file)
+    split = {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+    before = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return ((steps["normalizer"] or {}).get("normalizers") == NORMALIZERS and len(before) == 2
+            and before[0] == split and before[1]["type"] == "ByteLevel"
+            and not before[1]["add_prefix_space"] and not before[1]["use_regex"])
+
+
 class Encoder:
     """Ids of texts by a tokenizer file, as little-endian numbers of four bytes."""
 
@@ -75,6 +94,10 @@ class Encoder:
                 c + suffix in vocab for c in pre_tokenizers.ByteLevel.alphabet()):
             self.last = np.zeros(max(vocab.values()) + 1, bool)
             self.last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        self.latin = None
+        if self.last is not None and only_lowers(path):
+            self.latin = Tokenizer(self.tokenizer.model)
+            self.latin.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.known, self.before = {}, {}  # words of late, and those known before
 
     def whole(self, texts):
@@ -106,20 +129,31 @@ class Encoder:
         found.update(zip(rest, self.whole([w.decode() for w in rest]), strict=True))
         return found
 
+    def spelt_latin(self, words):
+        """Ids of words of Latin letters, straight from the tokenizer's model."""
+        if not words:
+            return {}
+        text = b" ".join(words).decode().lower()
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(BYTES)
+        found = self.latin.encode_batch_fast([text], add_special_tokens=False)
+        return self.cut(words, as_bytes(found[0].ids))
+
     def spelt(self, words):
-        """Ids of the words of letters alone, if each has one id that ends words; else of none.
+        """Ids of the words of letters alone, if each has one id that ends words; else of none."""
+        texts = [w.decode() for w in words] if self.last is not None else []
+        kept = [(w, t) for w, t in zip(words, texts) if t.isalpha()]
+        return self.cut([w for w, _ in kept], self.whole([" ".join([t for _, t in kept])])[0]) if kept else {}
+
+    def cut(self, words, raw):
+        """The ids of each word, if as many of all these ids end words; else of none.
 
         Each has such an id, as it has a letter; so as many ids as words are one for each.
         """
-        texts = [w.decode() for w in words] if self.last is not None else []
-        kept = [(w, t) for w, t in zip(words, texts) if t.isalpha()]
-        if not kept:
-            return {}
-        raw = self.whole([" ".join([t for _, t in kept])])[0]
         cuts = (4 * np.flatnonzero(self.last[np.frombuffer(raw, "<u4")]) + 4).tolist()
-        if len(cuts) != len(kept) or cuts[-1] != len(raw):
+        if len(cuts) != len(words) or cuts[-1] != len(raw):
             return {}
-        return {w: raw[a:b] for (w, _), a, b in zip(kept, [0, *cuts[:-1]], cuts, strict=True)}
+        return {w: raw[a:b] for w, a, b in zip(words, [0, *cuts[:-1]], cuts, strict=True)}
 
     def encode(self, text):
         if self.across_spaces:
@@ -141,31 +175,49 @@ class Encoder:
         return b"".join(found)
 
     def learn(self, new):
-        """Adds new words. Marks behind an ASCII letter are tokens of their own."""
+        """Adds new words. Marks behind a letter of ASCII or ``LATIN`` are tokens of their own."""
         known, before = self.known, self.before
         special = self.special.search(b" ".join(new))
-        cut, parts = [], set()
+        cut, parts, latin, tails = [], set(), set(), set()
         for word in new:
             if word in before:
                 known[word] = before[word]
                 continue
             head = word.rstrip(MARKS)
-            if not head[-1:].isalpha() or special and self.special.search(word):
+            if special and self.special.search(word):
                 head = word
-            cut.append((word, head, word[len(head):]))
-            parts.update(cut[-1][1:])
-        parts.discard(b"")
-        ids, unknown = {b"": b""}, []
-        for part in parts:
-            if part in known:
-                ids[part] = known[part]
-            elif part in before:
-                ids[part] = before[part]
+                parts.add(head)
+            elif self.latin and (head.isalpha() or LATIN.fullmatch(head)):
+                head = head.lower()  # has the same ids and may be known
+                latin.add(head)
             else:
-                unknown.append(part)
-        ids.update(self.each(unknown))
+                if not head[-1:].isalpha():
+                    head = word
+                parts.add(head)
+            tail = word[len(head):]
+            tails.add(tail)
+            cut.append((word, head, tail))
+        tails.discard(b"")
+        ids = {b"": b""}
+        unknown = self.recalled(latin, ids)
+        ids.update(self.spelt_latin(unknown))
+        parts.update(w for w in unknown if w not in ids)
+        ids.update(self.each(self.recalled(parts | tails, ids)))
         for word, head, tail in cut:
             known[word] = ids[head] + ids[tail]
+        for tail in tails:
+            known[tail] = ids[tail]
+
+    def recalled(self, words, ids):
+        """The words that are not known; ids of the others go to ``ids``."""
+        unknown = []
+        for word in words:
+            found = self.known.get(word) or self.before.get(word)
+            if found:
+                ids[word] = found
+            else:
+                unknown.append(word)
+        return unknown
 
 
 @functools.lru_cache(maxsize=2)
