@@ -244,6 +244,36 @@ def test_frequent_shingles_are_counted_exactly(sample):
     assert dict(zip(found[0].tolist(), found[1].tolist(), strict=True)) == want
 
 
+def test_every_shingle_of_a_text_carries_its_document_frequency(spark, monkeypatch):
+    """Over several chunks and ranges, with rare and common shingles, copies, empty and short texts."""
+    monkeypatch.setattr(neardup, "CHUNK", 2000)
+    rng = np.random.default_rng(21)
+    texts = [" ".join(rng.choice(["a", "b", "c"], rng.integers(0, 60))) for _ in range(150)]
+    texts += [" ".join(f"u{k}v{i}" for i in range(20)) for k in range(30)] + [texts[3], texts[3], "a", "a b", " "]
+    own = [neardup.counted([t])[0].tolist() for t in texts]
+    count = Counter(h for hashes in own for h in hashes)
+    rows = spark.createDataFrame(list(enumerate(texts)), "_n long, _t string").repartition(3)
+    chunks = neardup.dealt(rows, sum(map(len, texts)))
+    assert chunks.select("chunk").distinct().count() > 3
+    found = {r["_n"]: r for r in neardup.banded(chunks, len(texts), 5).collect()}
+    assert sorted(found) == list(range(len(texts)))
+    for k, hashes in enumerate(own):
+        assert np.frombuffer(found[k]["_d"], np.int64).tolist() == [count[h] for h in hashes]
+        assert (found[k]["keys"] is None) == (not hashes)
+
+
+def test_a_passage_of_a_twentieth_of_all_documents_weighs_less_than_their_own_words(spark):
+    passage = [f"p{i}" for i in range(300)]
+    texts = [" ".join([*passage, *(f"d{k}w{i}" for i in range(34))]) for k in range(10)]
+    texts += [" ".join(f"y{k}z{i}" for i in range(50)) for k in range(190)]
+    near = texts[20].replace("y20z49", "other")  # a rare text's copy is still one
+    rows = spark.createDataFrame(list(enumerate([*texts, near])), "doc_id long, text string")
+    (a, b) = (set(neardup.shingle_hashes([t])[0].tolist()) for t in texts[:2])
+    assert len(a & b) / len(a | b) > 0.81  # all weights equal
+    found = {r.doc_id: r.class_id for r in neardup.classes(rows).collect()}
+    assert found == {i: 20 if i == 200 else i for i in range(201)}
+
+
 def test_samples_agree_as_often_as_documents_are_similar():
     rng = np.random.default_rng(2)
     ids = np.unique(rng.integers(0, 1 << 63, 900, dtype=np.uint64))

@@ -7,12 +7,12 @@ documents that agree in a band meet in a bucket. In each bucket all members are
 leaders, and pairs of a weighted Jaccard similarity of at least ``least`` are links. Classes are
 the connected components of links and exact copies.
 
-Document frequencies count over all documents. A shingle weighs 1 + log(documents / documents that
-have it), but no more than one in exactly one of ``RARE`` documents. The ceiling is low on purpose: the
-shingles of a text of which a third of all documents are edited copies would else weigh so little against
-those of the edits that no copy is similar to another. Also only the shingles
-above that share, at most ``RARE`` times the mean number of shingles of a document, need their
-exact count; ``frequent_shingles`` finds them in two passes and proves that none is missing.
+Document frequencies are exact, of every shingle, and count over all documents. A shingle weighs
+1 + log(1 + log(documents / documents that have it)): it falls with each further document, and has no ceiling. The
+second logarithm is on purpose: with one only, the shingles of a text of which a third of all documents are edited
+copies weigh so little against those of the edits that no copy is similar to another. Documents are dealt to
+chunks of some ``CHUNK`` bytes; a chunk sends each of its distinct shingles once, by ranges of the hash, and gets the
+sums over all chunks back in the same order (``sent``, ``returned``). A text then carries the frequencies of its shingles.
 
 A bucket is led by its ``LEADERS`` most popular members, those in the largest buckets; all its
 members are compared with each of them. So buckets of up to ``LEADERS + 1`` members are compared
@@ -35,14 +35,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.common import discard, keep, smaller_batches, tasks
+from tidegauge.llm.common import discard, keep, ready, release, smaller_batches, tasks, utf8_bytes
 from tidegauge.llm.components import components, moved
 from tidegauge.llm.hashing import mix, shingle_hashes
 
 BANDS, ROWS = 9, 3
-RARE = 10
-PART = 4096  # documents counted together before their frequent shingles are handed on
-HELD = 500_000  # or so many shingles
+RARE = float("inf")  # frequent_shingles lists those in at least 1/RARE of all documents: all
+CHUNK = 2 << 20  # bytes of texts whose shingles are sent together
+RANGE = 16 << 20  # bytes of texts, in all, for each range of hashes
 BATCH_BYTES = 2 << 20  # of Arrow batches
 LEADERS = 3  # members of a bucket that all others are compared with
 STEP = float(np.log(1.02))  # texts of the exact join meet by the logarithm of their weight
@@ -57,8 +57,8 @@ _R = _rng.gamma(2.0, 1.0, 1 << 14).astype(np.float32) + np.float32(1e-4)
 _LOG_C = np.log(np.sort(_rng.gamma(2.0, 1.0, 1 << 18)) + 1e-12).astype(np.float32)
 
 
-def weighted(texts, frequent, n_docs):
-    """(shingle hashes, weights, offsets) of the texts, shingles of a text distinct and sorted."""
+def counted(texts):
+    """(shingle hashes, times, offsets) of the texts, shingles of a text distinct and sorted."""
     hashes, first = shingle_hashes(texts)
     parts, counts = [], []
     for a, b in zip(first[:-1], first[1:], strict=True):
@@ -68,15 +68,34 @@ def weighted(texts, frequent, n_docs):
     offset = np.zeros(len(parts) + 1, np.int64)
     np.cumsum([len(p) for p in parts], out=offset[1:])
     if not offset[-1]:
-        return np.zeros(0, np.uint64), np.zeros(0), offset
-    values = np.concatenate(parts)
-    weights = np.concatenate(counts) * (1 + np.log(RARE))
-    keys, df = frequent
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), offset
+    return np.concatenate(parts), np.concatenate(counts), offset
+
+
+def weights_of(times, df, n_docs):
+    """Term frequency times inverse document frequency."""
+    return times * (1 + np.log1p(np.log(n_docs / df)))
+
+
+def weighted(texts, frequent, n_docs):
+    """(shingle hashes, weights, offsets) of the texts, shingles of a text distinct and sorted.
+
+    ``frequent`` is (sorted hashes, document frequencies); a shingle not among them is in one document.
+    """
+    values, times, offset = counted(texts)
+    keys, known = frequent
+    df = np.ones(len(values))
     if len(keys):
         at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
         hit = keys[at] == values
-        weights[hit] *= (1 + np.log(n_docs / df[at[hit]])) / (1 + np.log(RARE))
-    return values, weights, offset
+        df[hit] = known[at[hit]]
+    return values, weights_of(times, df, n_docs), offset
+
+
+def reweighted(texts, carried, n_docs):
+    """The same, of texts that carry the document frequencies of their shingles, as ``banded`` gives them."""
+    values, times, offset = counted(texts)
+    return values, weights_of(times, np.frombuffer(b"".join(carried), np.int64), n_docs), offset
 
 
 def samples(values, weights, offset, seeds):
@@ -147,85 +166,122 @@ def small_parts(frame, rows=128, chars=200_000):
         at = to
 
 
-def frequent_shingles(docs, text="text", rare=RARE):
-    """Sorted hashes and exact document frequencies of shingles in at least n/rare documents.
+def dealt(rows, size):
+    """(chunk, _n, _t) of rows (_n, _t) whose texts have ``size`` bytes in all.
 
-    Pass one counts within parts of some thousand documents and hands on the shingles in at
-    least 1/(2 rare) of a part. What a part holds back of a shingle is below that share of the
-    part, so of a shingle in n/rare documents at least n/(2 rare) is handed on, and at most
-    2 * rare * (mean shingles of a document) shingles reach that sum: a bounded list. Pass two
-    counts these exactly.
+    Equal rows of one partition share a chunk, those of others need not: a group of copies without an id is spread.
     """
-    n = docs.count()
-    if not n:
-        return (np.zeros(0, np.uint64), np.zeros(0)), 0
-    texts = docs.select(F.col(text).alias("t")).coalesce(
-        max(docs.sparkSession.sparkContext.defaultParallelism, n // PART, 1))
+    chunk = F.pmod(F.xxhash64("_n", F.spark_partition_id()), F.lit(size // CHUNK + 1))
+    return rows.select(chunk.alias("chunk"), "_n", "_t")
 
-    def local(frames):
-        held, size, count = [], 0, 0
 
-        def flush():
-            values, df = np.unique(np.concatenate(held), return_counts=True)
-            often = df >= count / (2 * rare)
-            return pd.DataFrame({"h": values[often].view(np.int64), "df": df[often]})
+def planes(numbers):
+    """The numbers' first bytes, then their second ones and so on: bytes that are all zero take no room in a shuffle."""
+    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
 
-        for frame in frames:
-            for part in small_parts(frame):
-                hashes, first = shingle_hashes(part["t"])
-                for a, b in zip(first[:-1], first[1:], strict=True):
-                    held.append(np.unique(hashes[a:b]))
-                    size += len(held[-1])
-                count += len(part)
-                if count >= PART or size >= HELD:
-                    yield flush()
-                    held, size, count = [], 0, 0
-        if held:
-            yield flush()
-
-    handed = texts.mapInPandas(local, "h long, df long").groupBy("h").agg(F.sum("df").alias("df"))
-    rows = handed.filter(F.col("df") >= n / (2 * rare)).select("h").collect()
-    keys = np.sort(np.array([r["h"] for r in rows], np.int64).view(np.uint64))
-    if not len(keys):
-        return (keys, np.zeros(0)), n
-    shared = docs.sparkSession.sparkContext.broadcast(keys)
-
-    def exact(frames):
-        keys = shared.value
-        counts = np.zeros(len(keys), np.int64)
-        for frame in frames:
-            for part in small_parts(frame):
-                hashes, first = shingle_hashes(part["t"])
-                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-                hit = keys[at] == hashes
-                owner = np.repeat(np.arange(len(part)), np.diff(first))[hit]
-                once = np.unique(owner.astype(np.int64) * len(keys) + at[hit])
-                counts += np.bincount(once % len(keys), minlength=len(keys))
-        some = np.flatnonzero(counts)
-        yield pd.DataFrame({"k": some, "df": counts[some]})
 
-    counted = texts.mapInPandas(exact, "k long, df long").groupBy("k").agg(
-        F.sum("df").alias("df")).filter(F.col("df") >= n / rare).collect()
-    counted = sorted((r["k"], r["df"]) for r in counted)
-    return (keys[[k for k, _ in counted]], np.array([d for _, d in counted], float)), n
+def unplaned(data, kind):
+    return np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
 
-def banded(rows, shared, turn=0):
-    """(_n, keys): the band keys of each row (_n, _t) whose text has a word."""
+def in_parts(texts):
+    """``counted``, some texts at a time."""
+    found = [counted(part["_t"]) for part in small_parts(pd.DataFrame({"_t": texts}))]
+    values, times, offsets = zip(*found, strict=True)
+    ends = np.cumsum(np.concatenate([np.diff(o) for o in offsets]))
+    return np.concatenate(values), np.concatenate(times), np.concatenate([[0], ends])
 
-    def run(frames):
-        frequent, n_docs = shared.value
-        for frame in frames:
-            for part in small_parts(frame):
-                values, weights, offset = weighted(part["_t"], frequent, n_docs)
-                full = np.flatnonzero(np.diff(offset))
-                if not len(full):
-                    continue
-                kept = np.concatenate([offset[:-1][full], offset[-1:]])
-                keys = bands(values, weights, kept, turn)
-                yield pd.DataFrame({"_n": part["_n"].to_numpy()[full], "keys": list(keys)})
 
-    return rows.select("_n", "_t").mapInPandas(run, "_n long, keys array<long>")
+def sent(chunks, ranges):
+    """(chunk, part, hashes, docs): a chunk's distinct shingles in order and in how many of its texts each is.
+
+    Of each hash the difference to the one before is sent, which is a smaller number.
+    ``part`` is the number of a range of hashes; no chunk has more than one row for it.
+    """
+
+    def run(frame):
+        values, docs = np.unique(in_parts(frame["_t"])[0], return_counts=True)
+        part = ((values >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+        own, first = np.unique(part, return_index=True)
+        ends = np.append(first, len(part))[1:]
+        return pd.DataFrame({
+            "chunk": np.full(len(own), frame["chunk"].iat[0]), "part": own,
+            "hashes": [planes(np.diff(values[a:b], prepend=np.uint64(0))) for a, b in zip(first, ends, strict=True)],
+            "docs": [planes(docs[a:b].astype(np.int32)) for a, b in zip(first, ends, strict=True)]})
+
+    return chunks.groupBy("chunk").applyInPandas(run, "chunk long, part long, hashes binary, docs binary")
+
+
+def summed(frame):
+    """(hashes, documents, place of each sent hash among them) of the rows of one part of ``sent``."""
+    every = np.concatenate([np.cumsum(unplaned(x, np.uint64), dtype=np.uint64) for x in frame["hashes"]])
+    hashes, at = np.unique(every, return_inverse=True)
+    docs = np.concatenate([unplaned(x, np.int32) for x in frame["docs"]])
+    return hashes, np.bincount(at, docs, len(hashes)).astype(np.int64), at
+
+
+def returned(rows):
+    """(chunk, part, df): the document frequencies of what was sent, in its order."""
+
+    def run(frame):
+        _, docs, at = summed(frame)
+        ends = np.cumsum(frame["docs"].str.len().to_numpy() // 4)
+        df = [planes(x) for x in np.split(docs[at], ends[:-1])]
+        return pd.DataFrame({"chunk": frame["chunk"], "part": frame["part"], "df": df})
+
+    return rows.groupBy("part").applyInPandas(run, "chunk long, part long, df binary")
+
+
+def ranges_of(spark, size):
+    return max(tasks(spark), -(-size // RANGE))
+
+
+def frequent_shingles(docs, text="text", rare=RARE):
+    """Sorted hashes and exact document frequencies of shingles in at least n/rare documents, and n.
+
+    The list comes to the driver. The operator does not use it: its frequencies stay with the texts.
+    """
+    ready(docs.sparkSession)
+    body = F.coalesce(F.col(text), F.lit(""))
+    n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(body)), F.lit(0))).first()
+    rows = docs.select(made_id(body).alias("_n"), body.alias("_t"))
+
+    def run(frame):
+        hashes, docs, _ = summed(frame)
+        return pd.DataFrame({"h": hashes.view(np.int64), "df": docs})
+
+    found = sent(dealt(rows, size), ranges_of(docs.sparkSession, size)).groupBy("part").applyInPandas(
+        run, "h long, df long").filter(F.col("df") >= n / rare).collect()
+    keys = np.array([r["h"] for r in found], np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return (keys[order], np.array([r["df"] for r in found], float)[order]), n
+
+
+def banded(chunks, n_docs, ranges, turn=0):
+    """(_n, keys, _d) of each row of ``dealt``: its band keys, null without a word, and the document
+    frequencies of its distinct shingles in order, as 64-bit numbers.
+    """
+
+    def run(frame, back):
+        values, times, offset = in_parts(frame["_t"])
+        known = np.unique(values)
+        df = np.concatenate([np.zeros(0, np.int64), *(
+            unplaned(x, np.int64) for x in back.sort_values("part")["df"])])
+        if len(df) != len(known):
+            raise RuntimeError("a chunk's rows changed while their shingles were counted")
+        df = df[np.searchsorted(known, values)]
+        full = np.flatnonzero(np.diff(offset))
+        keys = [None] * len(frame)
+        if len(full):
+            kept = np.concatenate([offset[:-1][full], offset[-1:]])
+            for k, own in zip(full, bands(values, weights_of(times, df, n_docs), kept, turn), strict=True):
+                keys[k] = own
+        return pd.DataFrame({"_n": frame["_n"], "keys": keys, "_d": [
+            df[a:b].tobytes() for a, b in zip(offset[:-1], offset[1:], strict=True)]})
+
+    back = returned(sent(chunks, ranges))
+    return chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(
+        run, "_n long, keys array<long>, _d binary")
 
 
 def leaders(members):
@@ -246,7 +302,7 @@ def leaders(members):
     return keep(heads.select("bucket", F.col("node").alias("leader"), "size"), "near-heads", True)
 
 
-def verified(pairs, texts, shared, least):
+def verified(pairs, texts, n_docs, least):
     """The pairs (leader, node) whose texts have at least that similarity.
 
     Members are dealt to groups of some ``GROUP``, each with a copy of its leader's text. A task
@@ -264,11 +320,10 @@ def verified(pairs, texts, shared, least):
         "leader", "part", (F.col("node") != F.col("leader")))
 
     def run(frames):
-        frequent, n_docs = shared.value
         held = (None, None)
         for frame in frames:
             for rows in small_parts(frame):
-                values, weights, offset = weighted(rows["_t"], frequent, n_docs)
+                values, weights, offset = reweighted(rows["_t"], rows["_d"], n_docs)
                 out = []
                 for k, (leader, node) in enumerate(zip(rows["leader"], rows["node"], strict=True)):
                     own = slice(offset[k], offset[k + 1])
@@ -280,14 +335,14 @@ def verified(pairs, texts, shared, least):
                 if out:
                     yield pd.DataFrame(out, columns=["a", "b"])
 
-    return ordered.select("leader", "node", "_t").mapInPandas(run, "a long, b long")
+    return ordered.select("leader", "node", "_t", "_d").mapInPandas(run, "a long, b long")
 
 
 def level(weight):
     return F.floor(F.log(weight) / STEP)
 
 
-def candidates(crowd, texts, shared, least):
+def candidates(crowd, texts, n_docs, least):
     """(leader, node, hope): pairs of crowd members (node, class) of two classes that may be links.
 
     Shingles are in one order, by the number of members that have them. All that a pair shares stands
@@ -301,10 +356,9 @@ def candidates(crowd, texts, shared, least):
     """
 
     def run(frames):
-        frequent, n_docs = shared.value
         for frame in frames:
             for part in small_parts(frame):
-                values, weights, offset = weighted(part["_t"], frequent, n_docs)
+                values, weights, offset = reweighted(part["_t"], part["_d"], n_docs)
                 sizes = np.diff(offset)
                 total = np.array([weights[x:y].sum() for x, y in zip(offset[:-1], offset[1:], strict=True)])
                 yield pd.DataFrame({
@@ -312,7 +366,7 @@ def candidates(crowd, texts, shared, least):
                     "class": np.repeat(part["class"].to_numpy(), sizes), "w": weights,
                     "total": np.repeat(total, sizes)})
 
-    own = crowd.join(texts.withColumnRenamed("_n", "node"), "node").select("node", "class", "_t")
+    own = crowd.join(texts.withColumnRenamed("_n", "node"), "node").select("node", "class", "_t", "_d")
     found = keep(own.mapInPandas(run, "h long, node long, class long, w double, total double"), "near-shingles")
     counted = found.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("class").alias("low"),
                                      F.max("class").alias("high")).filter("df > 1")
@@ -347,14 +401,14 @@ def candidates(crowd, texts, shared, least):
     return met.groupBy("leader", "node").agg(F.max("hope").alias("hope"))
 
 
-def settled(now, crowd, texts, shared, least):
+def settled(now, crowd, texts, n_docs, least):
     """The classes when every link between members of the crowd counts.
 
     The most hopeful pairs of two classes are compared first; pairs that their links join need no more
     comparison. The rest follows until none is left. Only the new links and the classes they join are
     looked at again, not all links.
     """
-    left = keep(candidates(crowd, texts, shared, least), "near-candidates")
+    left = keep(candidates(crowd, texts, n_docs, least), "near-candidates")
     first = FIRST
     while True:
         one, other = (now.select(F.col("node").alias(c), F.col("class").alias(f"{c}_class"))
@@ -368,7 +422,7 @@ def settled(now, crowd, texts, shared, least):
         tried = left.filter(F.col("rank") <= first)
         if not tried.limit(1).count():
             return now
-        found = keep(verified(tried.select("leader", "node"), texts, shared, least), "near-links").select(
+        found = keep(verified(tried.select("leader", "node"), texts, n_docs, least), "near-links").select(
             F.col("a").alias("leader"), F.col("b").alias("node"))
         if found.limit(1).count():
             joined = keep(components(tried.join(found, ["leader", "node"]).select("x", "y"), "x", "y"),
@@ -391,10 +445,10 @@ def _classes(docs, key, text, least):
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(node_of(F.col(key), body).alias("_n"),
                        body.alias("_t"), F.col(key).isNull().alias("_null"))
-    shared = spark.sparkContext.broadcast(frequent_shingles(rows, "_t"))
     digest = F.sha2("_t", 256)
-    digests = keep(rows.select("_n", "_null", digest.alias("digest"), made_id("_t").alias("made")),
-                   "near-digests", True)
+    digests = keep(rows.select("_n", "_null", digest.alias("digest"), made_id("_t").alias("made"),
+                               utf8_bytes("_t").alias("size")), "near-digests", True)
+    n_docs, size = digests.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     # Ids of several texts: the text of the least digest has the id, the others a number of their own.
     several = keep(digests.groupBy("_n").agg(F.min("digest").alias("own"), F.max("digest").alias("last")).filter(
         "own < last").drop("last"), "near-several", True)
@@ -409,8 +463,9 @@ def _classes(docs, key, text, least):
     first = keep(numbered.groupBy("digest").agg(F.min("_m").alias("node")), "near-first", True)
     copies = keep(numbered.join(first, "digest").select("_n", "_null", "_m", "node"), "near-copies", True)
     nodes = copies.select("node").distinct()
-    keyed = keep(banded(rows, shared), "near-bands").join(
-        nodes.withColumnRenamed("node", "_n"), "_n", "left_semi")
+    banded_rows = keep(banded(dealt(rows, size), n_docs, ranges_of(spark, size)), "near-bands")
+    release(spark)
+    keyed = banded_rows.join(nodes.withColumnRenamed("node", "_n"), "_n", "left_semi")
     members = keep(keyed.select(F.explode("keys").alias("bucket"), F.col("_n").alias("node"))
                    .distinct(), "near-buckets", True)
     pairs = [copies.filter(F.col(b) != F.col(a)).select(F.col(a).alias("a"), F.col(b).alias("b"))
@@ -422,10 +477,11 @@ def _classes(docs, key, text, least):
     if pairs.limit(1).count():
         wanted = pairs.select(F.col("leader").alias("_n")).union(pairs.select("node")).distinct()
         # Whatever their number: a plan that changes with it would not show its cost.
-        texts = keep(rows.select("_n", "_t").join(wanted.hint("merge"), "_n").dropDuplicates(
-            ["_n"]), "near-texts")
+        texts = keep(rows.select("_n", "_t").join(wanted.hint("merge"), "_n").dropDuplicates(["_n"]).join(
+            banded_rows.select("_n", "_d").hint("merge"), "_n").dropDuplicates(["_n"]), "near-texts")
+        discard(banded_rows)
         # Texts are compared by all tasks; only the table of links is narrow.
-        linked = keep(linked.union(keep(verified(pairs, texts, shared, least), "near-links")),
+        linked = keep(linked.union(keep(verified(pairs, texts, n_docs, least), "near-links")),
                       "near-linked", True)
         now = keep(components(linked), "near-now", True)
         # Larger buckets with several classes: their members' other pairs are still to be compared.
@@ -437,7 +493,7 @@ def _classes(docs, key, text, least):
         crowd = keep(seen.join(split.select("bucket"), "bucket", "left_semi").select(
             "node", "class").distinct(), "near-crowd", True)
         if crowd.limit(1).count():
-            now = settled(now, crowd, texts, shared, least)
+            now = settled(now, crowd, texts, n_docs, least)
         discard(texts)
     else:
         now = components(linked)
