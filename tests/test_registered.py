@@ -1,8 +1,12 @@
 import pytest
 from oracle_check import compare, connect
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tidegauge import schemas
 from tidegauge.plans import catalog, oracle
+from tidegauge.plans.avro_files import write_avro
+from tidegauge.sources import read_employees
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
@@ -41,6 +45,46 @@ def test_avro_numbers_beyond_int_and_null_names(spark, tmp_path):
     assert found == {5_000_000_000: ("x", "Ann"), -3: (None, None)}
 
 
+def avro_names(spark, sf):
+    return {r.emp_no: r.last_name for r in QUERIES["employees_avro"](spark, str(sf)).collect()}
+
+
+def test_avro_in_a_shared_folder_that_only_spark_reaches(spark, tmp_path, monkeypatch):
+    customers(spark, tmp_path, [(1, "Ann", 1, 0.0, "x"), (2, "B\u00f6", 1, 0.0, None)])
+    (tmp_path / "shared").mkdir()
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(f"fs.viewfs.mounttable.{tmp_path.name}.link./shared", f"file://{tmp_path}/shared")
+    monkeypatch.setattr(catalog, "scratch_dir", lambda _, label: f"viewfs://{tmp_path.name}/shared/{label}")
+    assert avro_names(spark, tmp_path) == {1: "Ann", 2: "B\u00f6"}
+    assert list(tmp_path.glob("shared/employees-avro/*.avro"))
+
+
+def test_avro_on_a_cluster_without_the_package(spark, tmp_path, monkeypatch):
+    customers(spark, tmp_path, [(1, "Ann", 1, 0.0, "x")])
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert avro_names(spark, tmp_path) == {1: "Ann"}
+
+
+def test_avro_text_that_cannot_be_decoded(spark, tmp_path):
+    customers(spark, tmp_path, [(1, "Ann", 1, 0.0, "x")])
+    spoiled = spark.read.parquet(f"{tmp_path}/customer.parquet").withColumn(
+        "c_name", F.unhex(F.lit("41FF42")).cast("string"))
+    (tmp_path / "spoiled").mkdir()
+    spoiled.write.parquet(f"{tmp_path}/spoiled/customer.parquet")
+    assert avro_names(spark, tmp_path / "spoiled") == {1: "A\ufffdB"}
+
+
+def test_avro_files_are_whole_and_split(spark, tmp_path):
+    rows = spark.range(30_000, numPartitions=2).select(
+        F.col("id").alias("emp_no"), *[F.concat(F.lit(f"{c}\n"), "id").alias(c)
+                                       for c in schemas.EMPLOYEE.fieldNames()[1:]])
+    write_avro(rows, str(tmp_path / "many"))
+    write_avro(spark.createDataFrame([], rows.schema), str(tmp_path / "none"))
+    many = read_employees(spark, str(tmp_path / "many"), "avro").select(rows.columns)
+    assert many.exceptAll(rows).count() == rows.exceptAll(many).count() == 0
+    assert read_employees(spark, str(tmp_path / "none"), "avro").count() == 0
+
+
 def test_number_of_a_customer_and_a_supplier(spark, tmp_path):
     customers(spark, tmp_path, [(0, "Ann", 1, 0.0, "BUILDING"), (7, "Bob", 1, 0.0, "BUILDING")])
     spark.createDataFrame([(0, "S", 2, 0.0), (7, "T", 2, 0.0)], "s_suppkey long, s_name string, "

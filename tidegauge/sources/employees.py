@@ -63,16 +63,14 @@ def has_avro(spark):
 
 
 def read_avro(spark, path, schema):
-    """Avro files by the Avro data source, or in a local session by the bundled input format.
+    """Avro files by the Avro data source, or without its package ``spark-avro`` by the bundled input format.
 
-    On a cluster the data source's package, ``spark-avro``, is needed. The input format splits files and renders each record as JSON; only files named
+    The input format splits files and renders each record as JSON; only files named
     ``*.avro`` are read by either.
     """
     if has_avro(spark):
         return spark.read.format("avro").load(path).select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("reading Avro on a cluster needs the package org.apache.spark:spark-avro")
     records = spark.sparkContext.hadoopFile(
         path,
         "org.apache.avro.mapred.AvroAsTextInputFormat",

@@ -33,14 +33,15 @@ def names(spark, path):
     return sorted(s.getPath().getName() for s in fs.listStatus(p))
 
 
-def make_dir(spark, path):
+def sizes(spark, path):
+    """Bytes of the direct children by name."""
     fs, p = _fs(spark, path)
-    fs.mkdirs(p)
+    return {s.getPath().getName(): s.getLen() for s in fs.listStatus(p)}
 
 
-def qualified(spark, path):
+def make_dir(spark, path):
     fs, p = _fs(spark, path)
-    return fs.makeQualified(p).toString()
+    fs.mkdirs(p)
 
 
 def read_text(spark, path):
@@ -97,6 +98,14 @@ def remove_tree(spark, path):
     fs.delete(p, True)
 
 
+def rename(spark, source, target):
+    """Give a file a name that is free, on the same file system."""
+    fs, from_path = _fs(spark, source)
+    _, to_path = _fs(spark, target)
+    if not fs.rename(from_path, to_path):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def move_tree(spark, source, target):
     """Give a folder the place of another one on the same file system, which goes."""
     fs, from_path = _fs(spark, source)
